@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import bpe, packing, quality, training_order
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.op1_quality,
+    "op2_training_order": training_order.op2_training_order,
+    "op6_bpe": bpe.op6_bpe,
+    "op9_packing": packing.op9_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
