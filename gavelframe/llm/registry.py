@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, quality, training_order
+from . import bpe, html_text, licenses, packing, quality, training_order
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.op1_quality,
     "op2_training_order": training_order.op2_training_order,
+    "op5_licenses": licenses.op5_licenses,
     "op6_bpe": bpe.op6_bpe,
     "op9_packing": packing.op9_packing,
+    "op10_html": html_text.op10_html,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op5_licenses": licenses.ORACLE,
 }
-ORACLE_SQL: dict[str, str] = {}
