@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_text, licenses, packing, quality, training_order, vector_dedup
+from . import bpe, html_text, licenses, packing, quality, topk, training_order, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.op1_quality,
@@ -14,9 +14,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_vector_dedup": vector_dedup.op3_vector_dedup,
     "op5_licenses": licenses.op5_licenses,
     "op6_bpe": bpe.op6_bpe,
+    "op8_topk": topk.op8_topk,
     "op9_packing": packing.op9_packing,
     "op10_html": html_text.op10_html,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_licenses": licenses.ORACLE,
+    "op8_topk": topk.ORACLE,
 }
