@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_text, licenses, packing, quality, topk, training_order, vector_dedup
+from . import bpe, html_text, licenses, near_dedup, packing, quality, topk, training_order, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.op1_quality,
     "op2_training_order": training_order.op2_training_order,
     "op3_vector_dedup": vector_dedup.op3_vector_dedup,
+    "op4_near_dedup": near_dedup.op4_near_dedup,
     "op5_licenses": licenses.op5_licenses,
     "op6_bpe": bpe.op6_bpe,
     "op8_topk": topk.op8_topk,
