@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -54,6 +55,12 @@ def release(df: DataFrame | None) -> None:
     where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def collect_shuffles(spark: SparkSession) -> None:
+    """Have the driver collect its garbage, so that Spark deletes the shuffle files of what has been materialised."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_text, licenses, near_dedup, packing, quality, topk, training_order, vector_dedup
+from . import bpe, html_text, licenses, near_dedup, packing, quality, repeats, topk, training_order, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.op1_quality,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_dedup": near_dedup.op4_near_dedup,
     "op5_licenses": licenses.op5_licenses,
     "op6_bpe": bpe.op6_bpe,
+    "op7_repeats": repeats.op7_repeats,
     "op8_topk": topk.op8_topk,
     "op9_packing": packing.op9_packing,
     "op10_html": html_text.op10_html,
