@@ -231,7 +231,7 @@ def whole_copies(chunks: DataFrame) -> DataFrame:
 
 def _with(chunks: DataFrame, *sides: DataFrame) -> DataFrame:
     for side in sides:
-        chunks = chunks.join(side.hint("merge"), "chunk", "left")
+        chunks = chunks.join(side.hint("shuffle_hash"), "chunk", "left")  # the texts are neither shuffled nor sorted
     return chunks.drop("n_bytes")
 
 
