@@ -148,21 +148,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> Model
     return train(sorted(examples, key=lambda e: (e[2], e[0].tobytes())))
 
 
-def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with score double and predicted int; every whole text is scored."""
+def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """docs with score double and predicted int (under these names, instead of columns of docs that have them); every whole text is scored."""
     spark = docs.sparkSession
     small_batches(spark)
     sent = spark.sparkContext.broadcast((model.weights, model.bias))
-    keep = [c for c in docs.columns if c not in ("score", "predicted")]
+    keep = [c for c in docs.columns if c not in names]
     docs = docs.select(*keep)
-    schema = T.StructType([*docs.schema]).add("score", "double").add("predicted", "integer")
+    schema = T.StructType([*docs.schema]).add(names[0], "double").add(names[1], "integer")
     at = keep.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*sent.value)
         for batch in batches:
             scores = own.score([t or "" for t in batch.column(at).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], [*keep, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))], [*keep, *names])
 
     return docs.mapInArrow(run, schema)
 
@@ -177,4 +177,5 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts, with the columns of documents."""
     labels = table(spark, sf_dir, "labels")
-    return score(docs, fit(docs, labels)).where(F.col("predicted") == 1).select(*docs.columns)
+    names = ("_gf_score", "_gf_predicted")  # docs may have columns of the usual names
+    return score(docs, fit(docs, labels), names=names).where(F.col(names[1]) == 1).select(*docs.columns)
