@@ -55,7 +55,7 @@ def publish(items: DataFrame, path: str, least: int = MIN_DICTIONARY) -> None:
     if row.refused:
         raise RefusedRefresh(f"{row.refused}: {row.total} names, {row.abolished_count} abolished codes")
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    pointer, fresh = jvm.org.apache.hadoop.fs.Path(f"{path}/_current"), jvm.org.apache.hadoop.fs.Path(f"{path}/_current.{version}")
+    pointer, fresh = jvm.org.apache.hadoop.fs.Path(f"{path}/CURRENT"), jvm.org.apache.hadoop.fs.Path(f"{path}/CURRENT.{version}")
     fs = pointer.getFileSystem(conf)
     out = fs.create(fresh)
     out.write(bytearray(version.encode()))
@@ -69,7 +69,7 @@ def publish(items: DataFrame, path: str, least: int = MIN_DICTIONARY) -> None:
 
 def current(spark: SparkSession, path: str) -> DataFrame:
     """The dictionary that the pointer names."""
-    version = spark.read.text(f"{path}/_current", wholetext=True).first()[0].strip()
+    version = spark.read.text(f"{path}/CURRENT", wholetext=True).first()[0].strip()
     return spark.read.parquet(f"{path}/version={version}")
 
 
