@@ -13,7 +13,8 @@ nodes of each host back to its pages; only tables that are small by their measur
 
 Defined cases: null html counts as empty and gives an empty text; a null url or one without a host takes
 part in no tree; a host of fewer than MIN_PAGES distinct pages gives no evidence and loses no branch;
-repeated pages of one host count once in its tree; unclosed and misplaced tags are tolerated.
+repeated pages of one host count once in its tree; articles, and branches with half of a page's text, are never
+removed as unimportant, so that near copies on one host keep theirs; unclosed and misplaced tags are tolerated.
 """
 
 from __future__ import annotations
@@ -152,15 +153,25 @@ def _walk(top: Node) -> Iterator[Node]:
         stack.extend(p for p in reversed(node.parts) if isinstance(p, Node))
 
 
+def _sizes(top: Node) -> dict[int, int]:
+    """Characters of text below each node."""
+    sizes: dict[int, int] = {}
+    for node in [*reversed(list(_walk(top)))]:  # children before parents
+        sizes[id(node)] = sum(sizes[id(p)] if isinstance(p, Node) else len(p or "") for p in node.parts)
+    return sizes
+
+
 def _texts(node: Node, low: frozenset[str]) -> Iterator[str | None]:
-    """The text of a branch without what is removed, None between blocks."""
+    """The text of a branch without what is removed, None between blocks; a branch with half of the text isn't removed as unimportant."""
+    sizes = _sizes(node) if low else {}
     stack: list = [iter(node.parts)]
     while stack:
         part = next(stack[-1], stack)
         if part is stack:
             stack.pop()
         elif isinstance(part, Node):
-            if not part.scrap and not (part.path in low and part.tag not in INLINE and part.tag not in TEXTUAL):
+            noise = part.path in low and part.tag not in INLINE and part.tag not in TEXTUAL and 2 * sizes[id(part)] < sizes[id(node)]
+            if not part.scrap and not noise:
                 stack.append(iter(part.parts))
         else:
             yield part
@@ -180,9 +191,9 @@ def _blocks(node: Node, low: frozenset[str]) -> list[str]:
 
 
 def main_text(source: str, low: frozenset[str] = frozenset()) -> str:
-    """The article of one page; low: the paths of its host that the style tree removes."""
+    """The article of one page; low: the paths of its host that the style tree removes (articles themselves stay)."""
     top = parse(source)
-    roots = [n for n in _walk(top) if n.root and not n.scrap and n.path not in low and not any(a.root for a in _above(n) if a.tag == n.tag)]
+    roots = [n for n in _walk(top) if n.root and not n.scrap and not any(a.root for a in _above(n) if a.tag == n.tag)]
     articles = [n for n in roots if n.tag == "article"] or roots
     found = max((_blocks(n, low) for n in articles), key=lambda b: sum(map(len, b)), default=[])
     return "\n".join(found or _blocks(top, low))

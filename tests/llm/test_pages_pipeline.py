@@ -34,6 +34,12 @@ def test_html_style_tree_removes_what_a_site_repeats(spark):
     assert got[100] == "We never sleep\nText number 100 is its own"
 
 
+def test_html_near_copies_on_a_site_keep_their_article(spark):
+    body = "<body><div class='top'>Menu %d</div><article><h1>Same</h1><div class='text'><p>Same long text of all pages of this site</p></div></article></body>"
+    rows = [(k, f"http://d.example/{k}", body % k) for k in range(8)]
+    assert {r.text for r in html_text.extract(pages_frame(spark, rows)).collect()} == {"Same\nSame long text of all pages of this site"}
+
+
 def test_html_odd_rows(spark):
     rows = [(0, None, None), (1, "", ""), (None, "https://a.example/", "<p>x"), (3, "https://a.example/", "no markup at all"), (3, "https://a.example/", "no markup at all"), (4, "nonsense", "<article>" * 500 + "deep"), (5, "http://h/", "<p>" + "long " * 50_000)]
     got = [(r.page_id, r.url, r.text, r.n_chars) for r in html_text.extract(pages_frame(spark, rows)).collect()]
