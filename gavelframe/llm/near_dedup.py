@@ -7,11 +7,11 @@ can come first any more. Two registers agree with the probability of the probabi
 
 1. Documents with the same words form one class at once, whatever its size; its smallest doc_id stands for it.
 2. Registers are banded. In each bucket every member is a candidate with the bucket's smallest member; of a
-   member's candidates the one with most equal registers is verified first, the others only if the two are
-   not connected by then.
+   member's candidates the one with most equal registers is verified.
 3. In buckets that still hold several components, blocks of members are compared by their registers (not
-   where both are of one component), so that no pair of a bucket is left out, and what may reach the
-   threshold is verified.
+   where both are of one component). In ROUNDS rounds each member's best partner outside its component is
+   verified, which joins nearly all that belongs together; then every pair of a bucket that may reach the
+   threshold and is not connected by then, so that none is left out.
 
 Verification computes the probability Jaccard of the two whole texts exactly. Groups are the connected
 components of verified pairs; no step gathers a bucket, a group or a component in one task or on the driver.
@@ -32,16 +32,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MUL, chunks, materialize, mix64, small_batches, span_hashes, table
+from .common import MUL, chunks, collect_shuffles, materialize, mix64, release, small_batches, span_hashes, table
 from .graph import components
 
 WORDS = 5
 SIMILARITY = 0.8
-REGISTERS = 128
-BAND = 4
+REGISTERS = 256
+#: Registers of a band: texts of a similarity of 0.8 share one of the 36 bands in 9,998 of 10,000 cases.
+BAND = 7
+TAG = np.dtype("<u2")
 #: Estimates so far below the threshold (four standard errors) are not verified.
 MARGIN = 4 * (SIMILARITY * (1 - SIMILARITY) / REGISTERS) ** 0.5
-BLOCK = 512
+BLOCK = 2048
+ROUNDS = 2
 CHUNK_CHARS = 1_000_000
 
 _ALNUM: np.ndarray | None = None
@@ -89,7 +92,7 @@ def shingles(words: np.ndarray, owner: np.ndarray, n: int = WORDS) -> tuple[np.n
 
 
 def registers(hashes: np.ndarray, weights: np.ndarray, owner: np.ndarray, texts: int, m: int = REGISTERS) -> np.ndarray:
-    """The m registers (32-bit tags of the first arrivals) of each text; zeros for texts without shingles."""
+    """The m registers (16-bit tags of the first arrivals) of each text; zeros for texts without shingles."""
     never = np.uint64(0xFFFFFFFFFFFFFFFF)
     best = np.full(texts * m, never, np.uint64)
     total = np.bincount(owner, weights, texts)
@@ -116,7 +119,7 @@ def registers(hashes: np.ndarray, weights: np.ndarray, owner: np.ndarray, texts:
         begun = np.where(open_, horizon, begun)
         horizon = np.where(open_, horizon * 2, horizon)
         todo = open_
-    tags = (best & np.uint64(0xFFFFFFFF)).astype(np.uint32).reshape(texts, m)
+    tags = (best & np.uint64(0xFFFF)).astype(TAG).reshape(texts, m)
     tags[total == 0] = 0
     return tags
 
@@ -164,7 +167,7 @@ def _estimated(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, REGISTERS) for c in ("sig_a", "sig_b"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), TAG).reshape(-1, REGISTERS) for c in ("sig_a", "sig_b"))
             est = (x == y).mean(axis=1)
             kept = pa.array(est >= SIMILARITY - MARGIN)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept), pa.array(est).filter(kept)], ["a", "b", "est"])
@@ -181,7 +184,7 @@ def _weighted(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
 def verified(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Those pairs (a, b) of which the whole texts have at least the similarity."""
     texts = docs.select(F.col("doc_id"), "text")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     some = texts.join(wanted, "doc_id", "left_semi")
     joined = pairs.select("a", "b").join(some.toDF("a", "text_a"), "a").join(some.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
 
@@ -200,16 +203,11 @@ def _with_component(rows: DataFrame, parts: DataFrame, column: str, name: str) -
     return rows.join(part, column, "left").withColumn(name, F.coalesce("_part", column)).drop("_part")
 
 
-def _across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """pairs whose ends are in different components."""
-    return _with_component(_with_component(pairs, parts, "a", "part_a"), parts, "b", "part_b").where("part_a <> part_b")
-
-
-def _block_pairs(members: DataFrame, parts: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs (a, b) in one bucket, in different components, that may reach the threshold."""
+def _compared(members: DataFrame, parts: DataFrame, sigs: DataFrame, best: bool) -> DataFrame:
+    """Pairs (a, b) in one bucket, in different components, that may reach the threshold; with best, one for each member."""
     rows = _with_component(members, parts, "rep", "part")
     mixed = rows.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("bucket")
-    rows = materialize(rows.join(mixed, "bucket", "left_semi").select("bucket", "rep", "part"), "mixed")
+    rows = materialize(rows.join(mixed, "bucket", "left_semi").select("bucket", "band", "rep", "part"), "mixed")
     # large components have blocks of their own, which are not compared with each other
     sizes = rows.groupBy("bucket", "part").agg(F.count("*").alias("n"))
     large = sizes.where(F.col("n") >= BLOCK // 2)
@@ -217,29 +215,46 @@ def _block_pairs(members: DataFrame, parts: DataFrame, sigs: DataFrame) -> DataF
     dealt = rows.join(large, ["bucket", "part"], "left").join(small, "bucket", "left")
     count = F.ceil(F.coalesce("n", "n_small") / BLOCK)
     dealt = dealt.withColumn("own", F.when(F.col("n").isNotNull(), F.col("part"))).withColumn("block", F.pmod(F.xxhash64("rep"), count))
-    members_of = dealt.join(sigs, "rep").groupBy("bucket", "own", "block").agg(F.collect_list(F.struct("rep", "part", "sig")).alias("m"))  # about BLOCK members by the hash
+    members_of = dealt.join(sigs, "rep").groupBy("bucket", "own", "block").agg(F.min("band").alias("band"), F.collect_list(F.struct("rep", "part", "sig")).alias("m"))  # about BLOCK members by the hash
     blocks = materialize(members_of.withColumn("id", F.xxhash64(F.coalesce("own", F.lit(-1)), "own", "block")), "blocks")
-    heads = blocks.select("bucket", "id", "own")
-    a, b = heads.toDF("bucket", "x", "own_a"), heads.toDF("bucket", "y", "own_b")
-    met = a.join(b, "bucket").where("x <= y AND NOT coalesce(own_a = own_b, false)").select("bucket", "x", "y")
-    side = lambda name, s: blocks.select("bucket", F.col("id").alias(name), F.col("m.rep").alias(f"rep_{s}"), F.col("m.part").alias(f"part_{s}"), F.array_join(F.transform("m.sig", lambda v: F.hex(v)), "").alias(f"sig_{s}"))
+    heads = blocks.select("bucket", "id", "own", "band")
+    a, b = heads.toDF("bucket", "x", "own_a", "band"), heads.drop("band").toDF("bucket", "y", "own_b")
+    met = a.join(b, "bucket").where("x <= y AND NOT coalesce(own_a = own_b, false)").select("bucket", "x", "y", "band")
+    side = lambda name, s: blocks.select("bucket", F.col("id").alias(name), *(F.col(f"m.{c}").alias(f"{c}_{s}") for c in ("rep", "part", "sig")))
     joined = met.join(side("x", "a"), ["bucket", "x"]).join(side("y", "b"), ["bucket", "y"])
+    least = int(np.ceil((SIMILARITY - MARGIN) * REGISTERS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                reps, part, sig = ([row[f"{c}_{s}"] for s in "ab"] for c in ("rep", "part", "sig"))
+            for k in range(batch.num_rows):
+                row = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
+                reps, part, tags = ([row[f"{c}_{s}"] for s in "ab"] for c in ("rep", "part", "sig"))
                 reps, part = [np.array(r) for r in reps], [np.array(p) for p in part]
-                x, y = (np.frombuffer(bytes.fromhex(s), np.uint32).reshape(-1, REGISTERS) for s in sig)
+                x, y = (np.frombuffer(b"".join(t), TAG).reshape(-1, REGISTERS) for t in tags)
                 equal = np.zeros((len(x), len(y)), np.int16)
-                for k in range(REGISTERS):
-                    equal += x[:, k, None] == y[None, :, k]
-                i, j = np.nonzero((equal >= (SIMILARITY - MARGIN) * REGISTERS) & (part[0][:, None] != part[1][None, :]))
-                p, q = reps[0][i], reps[1][j]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["b", "a"])
+                for column in range(REGISTERS):
+                    equal += x[:, column, None] == y[None, :, column]
+                equal[part[0][:, None] == part[1][None, :]] = 0
+                if best:
+                    i, j = np.arange(len(x)), np.arange(len(y))
+                    i, j = np.concatenate([i, equal.argmax(axis=0)]), np.concatenate([equal.argmax(axis=1), j])
+                    own, other = np.concatenate([reps[0], reps[1]]), np.concatenate([reps[1][j[: len(x)]], reps[0][i[len(x) :]]])
+                else:
+                    i, j = np.nonzero(equal >= least)
+                    # a pair of several buckets comes from the first of them only
+                    first = [np.logical_and.reduce(x[i[c : c + BLOCK], : BAND * (REGISTERS // BAND)].reshape(-1, REGISTERS // BAND, BAND) == y[j[c : c + BLOCK], : BAND * (REGISTERS // BAND)].reshape(-1, REGISTERS // BAND, BAND), axis=2).argmax(axis=1) for c in range(0, len(i), BLOCK)]
+                    keep = np.concatenate(first) == row["band"] if first else np.zeros(0, bool)
+                    i, j = i[keep], j[keep]
+                    own, other = reps[0][i], reps[1][j]
+                found = equal[i, j]
+                fine = found >= least
+                yield pa.RecordBatch.from_arrays([pa.array(own[fine]), pa.array(other[fine]), pa.array(found[fine].astype(np.int32))], ["own", "other", "equal"])
 
     small_batches(members.sparkSession, 4)
-    return joined.mapInArrow(run, "b long, a long").select("a", "b").distinct()
+    found = joined.mapInArrow(run, "own long, other long, equal int")
+    if best:
+        found = found.groupBy("own").agg(F.max_by("other", F.struct("equal", "other")).alias("other"))
+    return found.select(F.greatest("own", "other").alias("a"), F.least("own", "other").alias("b")).distinct()
 
 
 def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -247,30 +262,35 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     every = materialize(signatures(docs), "signatures")
-    copies = every.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    copies = materialize(every.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "copies")
     of_doc = every.select("doc_id", "k1", "k2").join(copies, ["k1", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("rep"))
     of_doc = materialize(of_doc, "classes")
+    release(copies)
     one = every.where("sig IS NOT NULL").groupBy("doc_id").agg(F.min("sig").alias("sig"))
     sigs = materialize(one.join(of_doc.where("doc_id = rep").select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").select(F.col("doc_id").alias("rep"), "sig"), "reps")
+    release(every)
+    collect_shuffles(spark)
 
-    banded = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda k: F.xxhash64(k, F.substring(F.col("sig"), k * (4 * BAND) + 1, F.lit(4 * BAND))))
-    buckets = sigs.select("rep", F.explode(banded).alias("bucket"))
+    banded = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda k: F.xxhash64(k, F.substring(F.col("sig"), k * (TAG.itemsize * BAND) + 1, F.lit(TAG.itemsize * BAND))))
+    buckets = sigs.select("rep", F.posexplode(banded).alias("band", "bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1").select("bucket", "hub")
     members = materialize(buckets.join(hubs, "bucket"), "buckets")
+    collect_shuffles(spark)
 
     small_batches(spark, 2048)
-    stars = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
-    stars = materialize(_estimated(stars, sigs), "stars")
+    stars = materialize(_estimated(members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), sigs), "stars")
     first = stars.groupBy("a").agg(F.max_by("b", F.struct("est", "b")).alias("b"))
     links = materialize(verified(first, docs, similarity), "links")
     parts = materialize(components(links), "parts")
-    # the other stars, where they could still join two components
-    more = materialize(_across(stars.join(first, ["a", "b"], "left_anti"), parts).select("a", "b"), "stars")
-    links = materialize(links.unionByName(verified(more, docs, similarity)), "links")
-    parts = materialize(components(links), "parts")
-    rest = materialize(_block_pairs(members, parts, sigs).join(stars.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    links = links.unionByName(verified(rest, docs, similarity))
-    parts = components(links)
+    for _ in range(ROUNDS):
+        more = materialize(verified(materialize(_compared(members, parts, sigs, True), "best"), docs, similarity), "links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        parts = materialize(components(links), "parts")
+        collect_shuffles(spark)
+    rest = materialize(_compared(members, parts, sigs, False), "rest")
+    parts = components(links.unionByName(verified(rest, docs, similarity)))
     return _with_component(of_doc, parts, "rep", "class_id").select("doc_id", "class_id")
 
 
