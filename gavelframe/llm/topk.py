@@ -3,7 +3,8 @@
 Vectors are cut into SLICES groups of dimensions, so that a score is the sum of one partial score per slice,
 and each (block of queries, block of candidates, slice) is a task of its own. Phase 1 gathers the k best
 partial scores of every task and the lowest partial score of every slice; summed, with the lowest standing in
-for what was not sent, they bound the k-th best score from below: the cutoff. Phase 2 hands each query's
+for what was not sent, they bound scores from below. The NEAR * k candidates with the highest bounds get their
+exact scores, of which the k-th best is a safe cutoff whatever the others score. Phase 2 hands each query's
 cutoff to all tasks, which send every entry whose partial score reaches cutoff / SLICES; a candidate that is
 sent by no slice scores less than the cutoff. Phase 3 bounds what was sent from both sides, raises the
 cutoff, drops what can't reach it and fetches the partial scores still missing, so that the scores are exact.
@@ -32,6 +33,7 @@ from .common import materialize, small_batches, table
 from .vector_dedup import usable
 
 K = 5
+NEAR = 4
 SLICES = 2
 BLOCK = 4096
 QUERY_BLOCK = 1024
@@ -132,7 +134,12 @@ def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     floor = lows.groupBy("query_id").agg(F.sum("low").alias("floor"))
     bounds = sent.join(lows.select("query_id", "slice", F.col("low").alias("slice_low")), ["query_id", "slice"]).groupBy("query_id", "vec_id").agg(F.sum(F.col("partial") - F.col("slice_low")).alias("above"))
     bounds = bounds.join(floor, "query_id").select("query_id", "vec_id", (F.col("above") + F.col("floor")).alias("bound"))
-    cutoffs = materialize(_kth(bounds, k, "bound"), "cutoffs")
+    v = lambda name, column: rows.select(F.col("vec_id").alias(name), F.col("v").alias(column))
+    product = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("bound"), "vec_id"))
+    near = materialize(bounds.withColumn("place", place).where(F.col("place") <= NEAR * k).select("query_id", "vec_id"), "near")
+    near = near.join(v("query_id", "a"), "query_id").join(v("vec_id", "b"), "vec_id").select("query_id", "vec_id", product.alias("bound"))
+    cutoffs = materialize(_kth(near, k, "bound"), "cutoffs")
     # phase 2: the cutoffs of a block of queries (QUERY_BLOCK numbers) travel with the block
     in_block = rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-rows.where(is_query).count() // QUERY_BLOCK)))).alias("block"))
     sets = in_block.join(cutoffs, "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "cutoff")).alias("c"))
@@ -146,13 +153,12 @@ def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     missing = F.col("slices") - F.col("n")
     under = F.ceil(F.col("cutoff").cast("decimal(38,0)") / F.col("slices")).cast("long") - 1
     seen = seen.withColumn("least", F.col("sum") + F.col("floor") - F.col("seen_low")).withColumn("most", F.when(missing == 0, F.col("sum")).otherwise(F.col("sum") + missing * under))
-    seen = materialize(seen.select("query_id", "vec_id", "sum", "least", "most", missing.alias("missing")), "seen")
+    seen = materialize(seen.select("query_id", "vec_id", "sum", "least", "most", missing.alias("missing"), F.col("cutoff").alias("base")), "seen")
     higher = _kth(seen, k, "least")
-    left = seen.join(higher, "query_id", "left").where(F.col("cutoff").isNull() | (F.col("most") >= F.col("cutoff")))
+    best = F.greatest("cutoff", "base")  # null only where there are fewer than k candidates
+    left = seen.join(higher, "query_id", "left").where(best.isNull() | (F.col("most") >= best))
     known = left.where("missing = 0").select("query_id", "vec_id", F.col("sum").alias("score"))
-    v = lambda name, column: rows.select(F.col("vec_id").alias(name), F.col("v").alias(column))
     open_ = left.where("missing > 0").select("query_id", "vec_id").join(v("query_id", "a"), "query_id").join(v("vec_id", "b"), "vec_id")
-    product = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
     scores = known.unionByName(open_.select("query_id", "vec_id", product.alias("score")))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return scores.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
