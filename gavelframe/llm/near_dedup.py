@@ -290,7 +290,11 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         parts = materialize(components(links), "parts")
         collect_shuffles(spark)
     rest = materialize(_compared(members, parts, sigs, False), "rest")
-    parts = components(links.unionByName(verified(rest, docs, similarity)))
+    links = materialize(links.unionByName(verified(rest, docs, similarity)), "links")
+    parts = components(links)
+    for done in (sigs, members, stars, rest):
+        release(done)
+    collect_shuffles(spark)
     return _with_component(of_doc, parts, "rep", "class_id").select("doc_id", "class_id")
 
 

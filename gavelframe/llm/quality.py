@@ -3,8 +3,8 @@
 A document is the average of learned vectors of its hashed words and character 3- to 5-grams (within a
 word, with its boundaries, and a hashed token per pair of words that says if the second repeats the
 first); a softmax over two classes reads the average. Vectors and softmax are trained
-together by stochastic gradient descent in numpy on a bounded sample of labelled rows; scoring runs in
-Spark tasks over every whole text. As the softmax is linear in the average, the trained model folds into
+together by stochastic gradient descent in numpy, in one Spark task, on a bounded sample of labelled rows;
+scoring runs in Spark tasks over every whole text. As the softmax is linear in the average, the trained model folds into
 one logit per hash bucket, which is what the tasks receive (BUCKETS floats, whatever the corpus size).
 
 Defined cases: a null text counts as empty; an empty text has no features and gets the bias alone;
@@ -143,9 +143,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> Model
     )
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = texts.join(F.broadcast(usable), "doc_id").select("doc_id", "text", "label")  # at most max_rows ids
-    bags = rows.mapInArrow(lambda it: (b for x in it for b in _bags([x])), "ids binary, shares binary, label int").collect()
-    examples = [(np.frombuffer(r.ids, np.int32), np.frombuffer(r.shares, np.float32), r.label) for r in bags]
-    return train(sorted(examples, key=lambda e: (e[2], e[0].tobytes())))
+    bags = rows.mapInArrow(lambda it: (b for x in it for b in _bags([x])), "ids binary, shares binary, label int")
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        examples = [(np.frombuffer(i, np.int32), np.frombuffer(s, np.float32), y) for batch in batches for i, s, y in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        model = train(sorted(examples, key=lambda e: (e[2], e[0].tobytes())))
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], ["weights", "bias"])
+
+    # one task trains on the bounded sample and returns the folded model
+    model = bags.repartition(1).mapInArrow(learn, "weights binary, bias double").collect()
+    return Model(np.frombuffer(model[0].weights, np.float32), model[0].bias) if model else train([])
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MUL, collect_shuffles, materialize, mix64, scratch_dir, shuffle_width, small_batches, table
+from .common import MUL, collect_shuffles, materialize, mix64, release, scratch_dir, shuffle_width, small_batches, table
 
 LENGTH = 50
 #: A perfect difference set: every residue modulo PERIOD is the difference of two of its members.
@@ -54,16 +54,16 @@ def word_view(buffer: bytes) -> np.ndarray:
     return np.ndarray((n,), "<u8", buffer, strides=(1,)) if n else np.zeros(0, np.uint64)
 
 
-def names(words: np.ndarray, at: np.ndarray, length: int, seed: int) -> np.ndarray:
-    """64-bit names of the length bytes (8 at least) at each position."""
-    h = np.full(len(at), (seed * int(MUL)) % 2**64, np.uint64)
+def names(words: np.ndarray, at: np.ndarray, length: int, seeds: tuple[int, ...]) -> list[np.ndarray]:
+    """64-bit names of the length bytes (8 at least) at each position, one for each seed."""
+    out = [np.full(len(at), (seed * int(MUL)) % 2**64, np.uint64) for seed in seeds]
     for k in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:
-        h ^= words[at + k]
-        h *= MUL
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(32)
-    return mix64(h)
+        word = words[k:][at]
+        for h in out:
+            h ^= word
+            h *= MUL
+            h ^= h >> np.uint64(29)
+    return [mix64(h) for h in out]
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -112,10 +112,10 @@ class Chunk:
         doc = self._of(at)
         fits = at + size <= self.stops[doc] if len(at) else np.zeros(0, bool)
         at, doc = at[fits], self.number[doc[fits]]
-        h = names(self.words, at, size, 1)
+        h = names(self.words, at, size, (1,))[0]
         key = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)) << np.uint64(32) | h & np.uint64(0xFFFFFFFF)
-        order = np.argsort(key, kind="stable")
-        return at, *_classes(key[order], doc[order], order)[:3]
+        order = np.argsort(key)
+        return at, *_classes(key[order], doc[order], order)
 
     def candidates(self, at: np.ndarray, length: int) -> np.ndarray:
         """Starts of the strings that hold one of the sampled positions at, early enough."""
@@ -124,28 +124,31 @@ class Chunk:
         doc = self._of(at)
         steps = np.zeros(len(self.text) + 1, np.int32)
         np.add.at(steps, np.maximum(at - (PERIOD - 1), self.starts[doc]), 1)
-        np.add.at(steps, at + 1, -1)
+        steps[at + 1] -= 1  # no position twice
         at = np.flatnonzero(np.cumsum(steps[:-1]) > 0)
         return at[at + length <= self.stops[self._of(at)]]
 
     def prefixes(self, at: np.ndarray, buckets: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For the strings at these starts: name's index, if an earlier document here has it; then buckets and names of the distinct ones."""
-        h, other = names(self.words, at, length, 2), names(self.words, at, length, 3)
+        h, other = names(self.words, at, length, (2, 3))
         bucket = (other >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-        order = np.lexsort((h, bucket))
+        order = np.argsort(h)
+        order = order[np.argsort(bucket[order].astype(np.uint16 if buckets < 1 << 16 else np.uint64), kind="stable")]
         h, bucket, doc = h[order], bucket[order], self.number[self._of(at)][order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (bucket[1:] != bucket[:-1])
+        place = np.cumsum(new) - 1
+        first = np.minimum.reduceat(doc, np.flatnonzero(new)) if len(h) else doc
         index, later = np.empty(len(h), np.int64), np.empty(len(h), bool)
-        index[order] = np.cumsum(new) - 1
-        later[order] = doc > doc[new][np.cumsum(new) - 1]  # the sort is stable: the first of a class is its first document
+        index[order] = place
+        later[order] = doc > first[place]
         return index, later, bucket[new], h[new]
 
     def removed(self, at: np.ndarray, length: int) -> np.ndarray:
         """Mask of the bytes that the strings at these starts cover."""
         steps = np.zeros(len(self.text) + 1, np.int32)
-        np.add.at(steps, at, 1)
-        np.add.at(steps, at + length, -1)
+        steps[at] += 1  # no position twice
+        steps[at + length] -= 1
         return np.cumsum(steps[:-1]) > 0
 
 
@@ -156,7 +159,7 @@ def _classes(key: np.ndarray, doc: np.ndarray, order: np.ndarray) -> tuple[np.nd
     firsts = np.flatnonzero(new)
     index = np.empty(len(key), np.int64)
     index[order] = np.cumsum(new) - 1
-    several = doc[firsts] != doc[np.append(firsts[1:], len(key)) - 1] if len(key) else np.zeros(0, bool)  # ascending within a class
+    several = np.minimum.reduceat(doc, firsts) != np.maximum.reduceat(doc, firsts) if len(key) else np.zeros(0, bool)
     return index, key[firsts], several
 
 
@@ -208,10 +211,13 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     chunks = rows.mapInArrow(run, "chunk long, n_bytes long, ids binary, lengths binary, digests binary, text binary")
     name = f"gf_chunks_{uuid.uuid4().hex}"
     # each task writes the few chunks that it has made, so that there is a file per chunk at most
-    writer = chunks.write.format("parquet").option("compression", "zstd").option("path", f"{scratch_dir(spark)}/{name}")
+    path = f"{scratch_dir(spark)}/{name}"
+    writer = chunks.write.format("parquet").option("compression", "zstd").option("path", path)
     writer.bucketBy(shuffle_width(spark), "chunk").saveAsTable(name)
     collect_shuffles(spark)
-    return spark.table(name)
+    back = spark.table(name)
+    back._gf_name, back._gf_path = name, path
+    return back
 
 
 def whole_copies(chunks: DataFrame) -> DataFrame:
@@ -321,7 +327,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     collect_shuffles(spark)
     found = _with(chunks, copies, bits, more).mapInArrow(results, schema)
     whole = F.length("text").cast("long").alias("n_bytes")
-    return found.unionByName(rows.where("doc_id IS NULL").select("doc_id", whole, F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("text").alias("kept")))
+    found = found.unionByName(rows.where("doc_id IS NULL").select("doc_id", whole, F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("text").alias("kept")))
+    found._gf_chunks = chunks
+    return found
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,7 +342,11 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Removal works on bytes, so that it can cut a character in two; what is left of such a one goes as well.
     """
-    found = materialize(remove_repeats(docs).where("n_removed > 0").groupBy("doc_id").agg(F.count("*").alias("_rows"), F.min("kept").alias("_kept")), "removed")
+    every = remove_repeats(docs)
+    found = materialize(every.where("n_removed > 0").groupBy("doc_id").agg(F.count("*").alias("_rows"), F.min("kept").alias("_kept")), "removed")
+    spark.sql(f"DROP TABLE {every._gf_chunks._gf_name}")
+    release(every._gf_chunks)
+    collect_shuffles(spark)
     # rows that repeat a doc_id are told apart by nothing but their text: they stay as they are
     once = found.where("_rows = 1").drop("_rows")
     joined = docs.join(once, "doc_id", "left")
