@@ -14,7 +14,9 @@ nodes of each host back to its pages; only tables that are small by their measur
 Defined cases: null html counts as empty and gives an empty text; a null url or one without a host takes
 part in no tree; a host of fewer than MIN_PAGES distinct pages gives no evidence and loses no branch;
 repeated pages of one host count once in its tree; articles, and branches with half of a page's text, are never
-removed as unimportant, so that near copies on one host keep theirs; unclosed and misplaced tags are tolerated.
+removed as unimportant; inside articles and main elements near copies count once together (a page counts
+1 / the number of pages on its host that share the block in the middle of its article when blocks are ordered by
+that number), so that a list that is the same in near copies stays in them; unclosed and misplaced tags are tolerated.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -190,19 +193,24 @@ def _blocks(node: Node, low: frozenset[str]) -> list[str]:
     return out
 
 
-def main_text(source: str, low: frozenset[str] = frozenset()) -> str:
-    """The article of one page; low: the paths of its host that the style tree removes (articles themselves stay)."""
-    top = parse(source)
+def _article(top: Node, low: frozenset[str]) -> list[str]:
     roots = [n for n in _walk(top) if n.root and not n.scrap and not any(a.root for a in _above(n) if a.tag == n.tag)]
     articles = [n for n in roots if n.tag == "article"] or roots
-    found = max((_blocks(n, low) for n in articles), key=lambda b: sum(map(len, b)), default=[])
-    return "\n".join(found or _blocks(top, low))
+    return max((_blocks(n, low) for n in articles), key=lambda b: sum(map(len, b)), default=[])
 
 
-def style_nodes(source: str) -> Iterator[tuple[str, str, str]]:
-    """(path, digest of the presentation, digest of the content) of each container of a page."""
-    digest = lambda text: hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+def main_text(source: str, low: frozenset[str] = frozenset()) -> str:
+    """The article of one page; low: the paths of its host that the style tree removes (articles themselves stay)."""
     top = parse(source)
+    return "\n".join(_article(top, low) or _blocks(top, low))
+
+
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
+def style_nodes(top: Node) -> Iterator[tuple[str, str, str, int]]:
+    """(path, digest of the presentation, digest of the content, 1 inside an article or main else 0) of each container of a page."""
     texts: dict[int, list[str]] = {}
     order = list(_walk(top))
     for node in reversed(order):  # children before parents
@@ -214,7 +222,14 @@ def style_nodes(source: str) -> Iterator[tuple[str, str, str]]:
             continue
         text = " ".join("".join(own).split())
         texts[id(node)] = [text]
-        yield node.path, digest(" ".join(node.tags)), digest(text)
+        yield node.path, _digest(" ".join(node.tags)), _digest(text), int(node.root or any(n.root for n in _above(node)))
+
+
+def article_blocks(top: Node) -> Iterator[tuple[None, None, str, int]]:
+    """(null, null, digest, characters) of each distinct block of the page's article."""
+    blocks = _article(top, frozenset())
+    for block, times in Counter(blocks).items():
+        yield None, None, _digest(block), times * len(block)
 
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
@@ -225,26 +240,31 @@ def host(url: str = "url"):
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path, n_pages and importance (0 to 1) of every container node of every host."""
+    """host, path, n_pages (in articles without near copies) and importance (0 to 1) of every container node of every host."""
     small_batches(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list[str]] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for site, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                page = hashlib.blake2b((source or "").encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
-                for row in style_nodes(source or ""):
+                page, top = _digest(source or ""), parse(source or "")
+                for row in (*style_nodes(top), *article_blocks(top)):
                     for column, value in zip(out, (site, page, *row), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in out], ["host", "page", "path", "style", "content"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in out[:5]), pa.array(out[5], pa.int64())], ["host", "page", "path", "style", "content", "size"])
 
     rows = pages.select(host().alias("host"), F.col("html").cast("string").alias("html")).where(F.col("host") != "")
-    nodes = rows.mapInArrow(run, "host string, page string, path string, style string, content string").dropDuplicates()
+    every = materialize(rows.mapInArrow(run, "host string, page string, path string, style string, content string, size long").dropDuplicates(), "style-nodes")
+    # near copies of an article count once together
+    blocks = every.where("path IS NULL").select("host", "page", "content", "size")
+    shared = blocks.groupBy("host", "content").agg(F.count("*").alias("n")).where("n > 1")
+    weights = blocks.join(shared, ["host", "content"], "left").groupBy("host", "page").agg(F.expr("1 / percentile(coalesce(n, 1), 0.5, size)").alias("w"))
+    nodes = every.where("path IS NOT NULL").join(weights, ["host", "page"], "left").withColumn("w", F.when(F.col("size") == 1, F.coalesce("w", F.lit(1.0))).otherwise(1.0))
     # one row per (host, path, kind, value): counts before any group of a host meets
-    values = nodes.select("host", "path", F.explode(F.array(F.struct(F.lit("s").alias("kind"), F.col("style").alias("value")), F.struct(F.lit("c").alias("kind"), F.col("content").alias("value")))).alias("v"))
-    counts = values.groupBy("host", "path", "v.kind", "v.value").agg(F.count("*").alias("n"))
-    kinds = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"), F.count("*").alias("values"))
-    entropy = F.when(F.col("m") > 1, (F.log("m") - F.col("nlogn") / F.col("m")) / F.log("m")).otherwise(1.0)
+    values = nodes.select("host", "path", "w", F.explode(F.array(F.struct(F.lit("s").alias("kind"), F.col("style").alias("value")), F.struct(F.lit("c").alias("kind"), F.col("content").alias("value")))).alias("v"))
+    counts = values.groupBy("host", "path", "v.kind", "v.value").agg(F.sum("w").alias("n"))
+    kinds = counts.groupBy("host", "path", "kind").agg(F.round(F.sum("n"), 6).alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"), F.count("*").alias("values"))
+    entropy = F.when(F.col("m") > 1, F.least(F.lit(1.0), (F.log("m") - F.col("nlogn") / F.col("m")) / F.log("m"))).otherwise(1.0)
     kinds = kinds.withColumn("entropy", entropy)
     one = lambda kind, column: F.max(F.when(F.col("kind") == kind, F.col(column)))
     tree = kinds.groupBy("host", "path").agg(one("s", "entropy").alias("style_entropy"), one("c", "entropy").alias("content_entropy"), one("s", "values").alias("styles"), F.max("m").alias("n_pages"))

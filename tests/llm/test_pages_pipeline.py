@@ -40,6 +40,20 @@ def test_html_near_copies_on_a_site_keep_their_article(spark):
     assert {r.text for r in html_text.extract(pages_frame(spark, rows)).collect()} == {"Same\nSame long text of all pages of this site"}
 
 
+def test_html_near_copies_keep_a_list_under_half_of_the_article(spark):
+    text = "<p>The same paragraph of each copy, which is longer than the list that comes after it</p>"
+    body = "<body><article><h1>Title %d</h1>" + text + "<ul><li>one point</li><li>another point</li></ul></article><div class='advert'>Buy %d</div></body>"
+    other = "<body><article><h1>Title %d</h1><p>Paragraph number %d of a text that is all its own</p><div class='box'><p>Rate this text</p></div></article></body>"
+    rows = [(k, f"http://e.example/{k}", body % (k, k)) for k in range(4)] + [(k, f"http://e.example/{k}", other % (k, k)) for k in range(10, 16)]
+    # four texts of three copies each: their common box still goes
+    rows += [(100 + k, f"http://f.example/{k}", (other % (k, k // 3)).replace("Title", "T")) for k in range(12)]
+    got = {r.page_id: r.text for r in html_text.extract(pages_frame(spark, rows)).collect()}
+    for k in range(4):
+        assert got[k] == f"Title {k}\nThe same paragraph of each copy, which is longer than the list that comes after it\none point\nanother point"
+    assert got[11] == "Title 11\nParagraph number 11 of a text that is all its own"
+    assert got[107] == "T 7\nParagraph number 2 of a text that is all its own"
+
+
 def test_html_odd_rows(spark):
     rows = [(0, None, None), (1, "", ""), (None, "https://a.example/", "<p>x"), (3, "https://a.example/", "no markup at all"), (3, "https://a.example/", "no markup at all"), (4, "nonsense", "<article>" * 500 + "deep"), (5, "http://h/", "<p>" + "long " * 50_000)]
     got = [(r.page_id, r.url, r.text, r.n_chars) for r in html_text.extract(pages_frame(spark, rows)).collect()]
