@@ -86,7 +86,7 @@ def local_best(pairs: DataFrame, k: int) -> DataFrame:
                 q_ids, c_ids, scores = _partials(row)
                 low = scores.min(axis=1)
                 own = q_ids[:, None] == c_ids[None, :]
-                scores[own] = np.iinfo(np.int64).min
+                scores[own] = -np.iinfo(np.int64).max  # the minimum itself can't be negated
                 n = min(k, len(c_ids))
                 top = np.argpartition(-scores, n - 1, axis=1)[:, :n] if n < len(c_ids) else np.broadcast_to(np.arange(n), (len(q_ids), n))
                 i, j = np.repeat(np.arange(len(q_ids)), n), top.ravel()
@@ -98,16 +98,17 @@ def local_best(pairs: DataFrame, k: int) -> DataFrame:
 
 
 def over_cutoff(pairs: DataFrame) -> DataFrame:
-    """Phase 2: every entry of which slices * partial reaches the query's cutoff (block column cutoffs)."""
+    """Phase 2: every entry of which slices * partial reaches the query's cutoff (block column cutoffs); without a cutoff, every entry."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 q_ids, c_ids, scores = _partials(row)
                 known = dict(zip(row["cutoff_ids"], row["cutoffs"], strict=True))
-                least = np.array([known.get(int(q), np.iinfo(np.int64).min) for q in q_ids])
+                least = np.array([known.get(int(q), 0) for q in q_ids], np.int64)
+                every = np.array([int(q) not in known for q in q_ids], bool)  # fewer than k candidates
                 slices = min(SLICES, row["dim"])
-                i, j = np.nonzero(scores >= -(-least // slices)[:, None])
+                i, j = np.nonzero((scores >= -(-least // slices)[:, None]) | every[:, None])
                 other = q_ids[i] != c_ids[j]
                 i, j = i[other], j[other]
                 yield pa.RecordBatch.from_arrays([pa.array(q_ids[i]), pa.array(np.full(len(i), row["slice"], np.int32)), pa.array(c_ids[j]), pa.array(scores[i, j])], ["query_id", "slice", "vec_id", "partial"])

@@ -180,3 +180,18 @@ def test_top_k_odd_rows(spark, odd_vectors):
     got = [tuple(r) for r in topk.top_k(odd_vectors, F.col("vec_id") % 50 == 0).collect()]
     assert sorted(got) == sorted(want)
     assert topk.top_k(odd_vectors.where("false"), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_top_k_with_fewer_than_k_candidates(spark):
+    three = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [-1.0, 0.0])]
+    rare = [(50, [1.0, 0.0, 1.0]), (51, [0.5, 0.0, -1.0]), (100, [7.0])]
+    six = [(150 + k, [float(k), float(k), 1.0, 1.0]) for k in range(6)]  # the slices agree on the best
+    for rows in (three, three + rare + six):
+        good = {i: np.floor(256 * np.array(e)).astype(int) for i, e in rows}
+        want = []
+        for q, x in good.items():
+            if q % 50 == 0:
+                scores = sorted((-int(x @ y), i) for i, y in good.items() if i != q and len(y) == len(x))[:5]
+                want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
+        got = [tuple(r) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0).collect()]
+        assert sorted(got) == sorted(want) and len(got) >= 2
