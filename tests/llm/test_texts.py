@@ -11,6 +11,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from gavelframe.llm import bpe, licenses, packing, quality, registry, training_order
+from pyspark.sql import functions as F
 
 from .conftest import SF
 from oracle import both, connect
@@ -140,6 +141,17 @@ def test_packing_pieces_and_sequences(spark, documents, odd_docs):
     assert len(by_sequence) <= 1.05 * sum(r.length for r in rows) / 1024 + 10
 
 
+def test_packing_ids_of_added_tokens_and_long_white_space(spark):
+    tokenizer = Tokenizer.from_file(JSON)
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>\n", "a" + " " * 1_200_000 + "b <|endoftext", " " * 1_200_000, "\n" * 1_200_000 + "x"]
+    encode = packing.worker_tokenizer(JSON, P.PATTERN)
+    assert np.frombuffer(encode(texts[0]), "<u4").tolist() == [64, 220, 50256, 275]
+    for text in texts:
+        assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    rows = packing.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), JSON, P.PATTERN).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert {r.doc_id: r.n for r in rows} == {i: 1 + len(tokenizer.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
 def test_best_two_fit_never_overfills():
     rng = np.random.default_rng(2)
     for _ in range(20):
