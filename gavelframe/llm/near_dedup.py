@@ -17,8 +17,8 @@ Verification computes the probability Jaccard of the two whole texts exactly. Gr
 components of verified pairs; no step gathers a bucket, a group or a component in one task or on the driver.
 
 Defined cases: a null text counts as empty; texts without any word are classed by their exact text, so that
-empty ones are copies of each other; texts of fewer than five words match equal word sequences only; rows
-that repeat a doc_id are one document, which takes the smallest class of its texts; rows with a null doc_id are left out; an empty
+empty ones are copies of each other; texts of fewer than five words match equal word sequences only; texts
+of one doc_id are all compared and then united in one class; rows with a null doc_id are left out; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MUL, chunks, collect_shuffles, materialize, mix64, release, small_batches, span_hashes, table
+from .common import MUL, chunks, collect_shuffles, materialize, mix64, release, small_batches, span_hashes, table, text_or_empty
 from .graph import components
 
 WORDS = 5
@@ -257,8 +257,43 @@ def _compared(members: DataFrame, parts: DataFrame, sigs: DataFrame, best: bool)
     return found.select(F.greatest("own", "other").alias("a"), F.least("own", "other").alias("b")).distinct()
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The rows with a doc_id, one for each distinct text of it, with a _key of their own; and doc_id and _key where the two differ.
+
+    The first text of a doc_id, by its digest, has the doc_id as key; others have a hash that is 2^62 at least.
+    """
+    docs = docs.where("doc_id IS NOT NULL")
+    own = F.col("doc_id").cast("long")
+    repeated = materialize(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return docs.withColumn("_key", own), None
+    some = docs.join(repeated, "doc_id", "left_semi").withColumn("_sha", F.sha2(text_or_empty().cast("binary"), 256))
+    some = materialize(some.dropDuplicates(["doc_id", "_sha"]), "texts")
+    firsts = some.groupBy("doc_id").agg(F.min("_sha").alias("_first"))
+    other = F.shiftrightunsigned(F.xxhash64("doc_id", "_sha"), 2).bitwiseOR(F.lit(1 << 62))
+    some = some.join(firsts, "doc_id").withColumn("_key", F.when(F.col("_sha") == F.col("_first"), own).otherwise(other)).drop("_sha", "_first")
+    rows = docs.join(repeated, "doc_id", "left_anti").withColumn("_key", own).unionByName(some)
+    return rows, some.where("_key <> doc_id").select(own.alias("doc_id"), "_key")
+
+
 def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id and class_id (the smallest doc_id of its near-duplicates, itself included) of every document."""
+    """doc_id and class_id (the smallest doc_id of its near-duplicates, itself included) of every document; texts of one doc_id are in one class."""
+    rows, several = _keyed(docs.select("doc_id", "text"))
+    found = _text_groups(rows, similarity)
+    if several is None:
+        return found
+    found = materialize(found, "found")
+    of = lambda key, name: found.select(F.col("doc_id").alias(key), F.col("class_id").alias(name))
+    edges = several.join(of("_key", "a"), "_key").join(of("doc_id", "b"), "doc_id").select("a", "b")
+    united = _with_component(found, components(edges), "class_id", "class_id")
+    ids = materialize(united.join(several.select(F.col("_key").alias("doc_id")), "doc_id", "left_anti").select("doc_id", "class_id"), "ids")
+    least = ids.groupBy("class_id").agg(F.min("doc_id").alias("least"))
+    return ids.join(least, "class_id").select("doc_id", F.col("least").alias("class_id"))
+
+
+def _text_groups(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """_key of each row as doc_id, and class_id, the smallest key of its near-duplicates."""
+    docs = rows.select(F.col("_key").alias("doc_id"), "text")
     spark = docs.sparkSession
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     every = materialize(signatures(docs), "signatures")
@@ -303,6 +338,7 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id; rows without a doc_id stay."""
-    kept = groups(docs).where("doc_id = class_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """One row of each group, one with the smallest doc_id; different texts of a doc_id count as documents; rows without a doc_id stay."""
+    rows, _ = _keyed(docs)
+    kept = _text_groups(rows).where("doc_id = class_id").select(F.col("doc_id").alias("_key"))
+    return rows.join(kept, "_key", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

@@ -265,11 +265,11 @@ def _met(sent: DataFrame, earlier: bool) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept (binary: the bytes that stay) of every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept (binary: the bytes that stay) and, where bytes go, the text's SHA-256 of every row."""
     if length < PERIOD + 7:
         raise ValueError(f"length must be at least {PERIOD + 7}")
     spark = docs.sparkSession
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, text_sha256 string"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     chunks = chunked(rows.where("doc_id IS NOT NULL"))
     total = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
@@ -318,7 +318,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             stops = np.cumsum(n)
             for k in short.tolist():
                 kept[k] = row["text"][stops[k] - n[k] : stops[k]]
-            yield pa.RecordBatch.from_arrays([pa.array(chunk.ids), pa.array(n), pa.array(n_removed), pa.array(n_spans), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            sha = [hashlib.sha256(row["text"][stops[k] - n[k] : stops[k]]).hexdigest() if n_removed[k] else None for k in range(len(n))]
+            yield pa.RecordBatch.from_arrays([pa.array(chunk.ids), pa.array(n), pa.array(n_removed), pa.array(n_spans), pa.array(kept, pa.binary()), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "text_sha256"])
 
     kinds = "bucket int, chunk long, blob binary"
     bits = materialize(_met(_with(chunks, copies).mapInArrow(tuples, kinds), False), "tuples")
@@ -327,7 +328,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     collect_shuffles(spark)
     found = _with(chunks, copies, bits, more).mapInArrow(results, schema)
     whole = F.length("text").cast("long").alias("n_bytes")
-    found = found.unionByName(rows.where("doc_id IS NULL").select("doc_id", whole, F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("text").alias("kept")))
+    found = found.unionByName(rows.where("doc_id IS NULL").select("doc_id", whole, F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("text").alias("kept"), F.lit(None).cast("string").alias("text_sha256")))
     found._gf_chunks = chunks
     return found
 
@@ -343,13 +344,12 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Removal works on bytes, so that it can cut a character in two; what is left of such a one goes as well.
     """
     every = remove_repeats(docs)
-    found = materialize(every.where("n_removed > 0").groupBy("doc_id").agg(F.count("*").alias("_rows"), F.min("kept").alias("_kept")), "removed")
+    # rows that repeat a doc_id are told apart by their text
+    found = materialize(every.where("n_removed > 0").groupBy("doc_id", F.col("text_sha256").alias("_sha")).agg(F.min("kept").alias("_kept")), "removed")
     spark.sql(f"DROP TABLE {every._gf_chunks._gf_name}")
     release(every._gf_chunks)
     collect_shuffles(spark)
-    # rows that repeat a doc_id are told apart by nothing but their text: they stay as they are
-    once = found.where("_rows = 1").drop("_rows")
-    joined = docs.join(once, "doc_id", "left")
+    joined = docs.withColumn("_sha", F.sha2(F.col("text").cast("string").cast("binary"), 256)).join(found, ["doc_id", "_sha"], "left")
     return _cleaned(joined, docs)
 
 

@@ -163,6 +163,19 @@ def test_difference_cover():
     assert (repeats.unpacked(repeats.packed(values)) == values).all()
 
 
+def test_rows_that_repeat_a_doc_id_are_deduplicated(spark):
+    rng = np.random.default_rng(11)
+    a, b, c, d = (" ".join(f"w{k}" for k in rng.integers(0, 10_000, 60)) for _ in range(4))
+    docs = spark.createDataFrame([(7, a), (7, a), (7, b), (3, a), (5, b), (9, c), (9, c), (9, d), (11, d)], "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_dedup.groups(docs).collect()} == {7: 3, 3: 3, 5: 3, 9: 9, 11: 9}
+    kept = sorted((r.doc_id, r.text) for r in near_dedup.near_dedup_stage(spark, docs, "").collect())
+    assert [t for _, t in kept if t not in (c, d)] == [a, b] and sorted(t for _, t in kept if t in (c, d)) == sorted([c, d]) and kept[0][0] == 3 and kept[1][0] == 5
+    passage = "x%dy " * 30 % tuple(range(30))
+    docs = spark.createDataFrame([(1, "first " + passage), (1, "first " + passage), (2, "second " + passage), (2, "second " + passage), (2, "other " + passage)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.text) for r in repeats.repeats_stage(spark, docs, "").collect())
+    assert got == [(1, "first " + passage)] * 2 + [(2, "other")] + [(2, "second")] * 2
+
+
 def test_top_k_equals_sql(spark):
     con = connect(SF)
     mine, theirs = both(spark, con, registry.QUERIES["op8_topk"], registry.ORACLE_SQL["op8_topk"], SF)
