@@ -12,6 +12,8 @@ nothing; a null doc_id is kept; repeated rows are each reported; other columns a
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +62,29 @@ SPELLINGS = [
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("authorised", "authorized"), ("favour", "favor"), ("initialise", "initialize"),
     ("merchantibility", "merchantability"), ("non-infringement", "noninfringement"), ("organisation", "organization"), ("recognise", "recognize"), ("utilisation", "utilization"), ("whilst", "while"),
 ]
+#: Further ids of which a line "SPDX-License-Identifier: ID" is a notice.
+SPDX_IDS = (
+    "0BSD AGPL-3.0-only AGPL-3.0-or-later Artistic-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC0-1.0 EPL-2.0 EUPL-1.2 GPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0"
+    " GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MPL-2.0 Unlicense WTFPL Zlib"
+).split()
+SPDX_NOTICES = [(x, f"SPDX-License-Identifier: {x}") for x in SPDX_IDS]
+#: Digests of further whole licences, from the full texts in /usr/share/common-licenses.
+DIGESTS = [
+    ("Apache-2.0", "6ab5deeb4b2c14f4681b97d03ec0d6cf046968b552bd6e2efe1721910b2e5e9e"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-2.0", "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1"),
+    ("GPL-3.0", "f3ab5ee40da170411ea6671f9845ada2aaba303ee57ba6086b373d1e66c9dc3f"),
+    ("LGPL-2.0", "9b0b3105b96203f9d9e4b72d4b77951152156c88139302b5aedf6295e3ceaaa3"),
+    ("LGPL-2.1", "cb225061bb71741fe8b31a2092e22fe05b1130438158ae5d16c48fd50186e345"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "fbe9a0b96f52e03cb474f9a7083781399c011279e85b548118563ec96e659354"),
+    ("MPL-2.0", "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "f06741c6c5feec30d99f80228f0d9ea6b884eae0e790ab18a0f4257184befa86"),
+    ("GFDL-1.3", "80229e90e6f40a551a447f33ef48bd361a8e3166d53f29a2d1537245e2064feb"),
+]
+#: A copyright line behind comment marks; such lines are dropped as well when whole texts are looked up.
+COMMENTED_LINE = r"(^|\n)[ \t]*(?:#+|\*+|/\*+|//+|;+|--+|%+|<!--)[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*"
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*"
 SEPARATORS = r"[^\p{L}\p{N}]+"
 MENTION = r"(?i)licen[cs]e"
@@ -91,21 +116,42 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
 
+def uncommented(text: Column) -> Column:
+    """The digest of a text without copyright lines in comments; null if it has none."""
+    lower = F.lower(text.cast("string"))
+    return F.when(lower.contains("copyright") | lower.contains("(c)") | lower.contains("©") | lower.contains("all rights reserved"), F.when(lower.rlike(COMMENTED_LINE), digest(F.regexp_replace(lower, COMMENTED_LINE, "$1"))))
+
+
+def mention(notices: list[tuple[str, str]]) -> str:
+    """A pattern of which each line that can be one of the notices has a match: MENTION, or the longest word of a notice without it."""
+    same = dict(SPELLINGS)
+    words = set()
+    for _, text in notices:
+        own = re.findall(r"[^\W_]+", text.lower())
+        if own and not re.search(MENTION, text):
+            word = max(own, key=len)
+            word = same.get(word, word)
+            words |= {word, *(a for a, b in SPELLINGS if b == word)}
+    return "(?iu)" + "|".join([MENTION.removeprefix("(?i)"), *sorted(words)]) if words else MENTION
+
+
 def known(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
     """license_id and digest of a list of known texts, one row per digest."""
     texts = spark.createDataFrame(rows, "license_id string, text string")
     return texts.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license_id").alias("license_id"))
 
 
-def scan(docs: DataFrame, licences: list[tuple[str, str]] = LICENCES, notices: list[tuple[str, str]] = NOTICES) -> DataFrame:
+def scan(docs: DataFrame, licences: list[tuple[str, str]] = LICENCES, notices: list[tuple[str, str]] = NOTICES + SPDX_NOTICES, digests: list[tuple[str, str]] = DIGESTS) -> DataFrame:
     """doc_id, digest, license_id (null if the text is no known licence) and notice_ids (sorted, comma-separated)."""
     spark = docs.sparkSession
-    whole = known(spark, licences)
+    whole = known(spark, licences).unionByName(spark.createDataFrame(digests, "license_id string, digest string")).groupBy("digest").agg(F.min("license_id").alias("license_id"))
     lookup = F.create_map(*[x for name, text in notices for x in (digest(F.lit(text)), F.lit(name))])
-    lines = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"), lambda line: line.rlike(MENTION))
+    gate = mention(notices)
+    lines = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"), lambda line: line.rlike(gate))
     hits = F.array_compact(F.transform(lines, lambda line: F.try_element_at(lookup, digest(line))))
-    rows = docs.select("doc_id", digest(F.col("text")).alias("digest"), F.array_join(F.array_sort(F.array_distinct(hits)), ",").alias("notice_ids"))
-    return rows.join(F.broadcast(whole), "digest", "left").select("doc_id", "digest", "license_id", "notice_ids")
+    rows = docs.select("doc_id", digest(F.col("text")).alias("digest"), uncommented(F.col("text")).alias("_other"), F.array_join(F.array_sort(F.array_distinct(hits)), ",").alias("notice_ids"))
+    found = F.broadcast(whole.withColumnRenamed("digest", "_key"))
+    return rows.join(found, F.coalesce("_other", "digest") == F.col("_key"), "left").select("doc_id", "digest", "license_id", "notice_ids")
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

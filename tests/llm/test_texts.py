@@ -186,3 +186,16 @@ def test_licence_spellings_and_odd_rows(spark, odd_docs, no_docs):
     assert licenses.scan(odd_docs).count() == odd_docs.count() and licenses.scan(no_docs).count() == 0
     empty = licenses.scan(odd_docs.where("text = ''")).first()
     assert empty.digest == hashlib.sha256(b"").hexdigest() and empty.license_id is None
+
+
+def test_licences_known_whole_commented_and_notices_of_the_caller(spark):
+    folder = "/usr/share/common-licenses"
+    names = [("Apache-2.0", "Apache-2.0"), ("GPL-2", "GPL-2.0"), ("GPL-3", "GPL-3.0"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3", "LGPL-3.0"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0")]
+    texts = [(i, open(f"{folder}/{f}", encoding="utf-8").read()) for f, i in names]
+    texts += [("MIT", "# Copyright (c) 2020 Somebody\n#\n# " + licenses.MIT.replace("\n", "\n# ")), ("ISC", "/*\n * Copyright 2020 Somebody\n * " + licenses.ISC.replace("\n", "\n * ") + "\n */")]
+    got = {r.doc_id: r.license_id for r in licenses.scan(spark.createDataFrame([(k, t) for k, (_, t) in enumerate(texts)], "doc_id long, text string")).collect()}
+    assert [got[k] for k in range(len(texts))] == [i for i, _ in texts]
+    rows = spark.createDataFrame([(1, "// SPDX-License-Identifier: MPL-2.0"), (2, "x\nDedicated to the public domain!"), (3, "Use is authorised")], "doc_id long, text string")
+    assert {r.doc_id: r.notice_ids for r in licenses.scan(rows).collect()} == {1: "MPL-2.0", 2: "", 3: ""}
+    own = [("PD", "Dedicated to the public domain."), ("X", "Use is authorized.")]
+    assert {r.doc_id: r.notice_ids for r in licenses.scan(rows, notices=own).collect()} == {1: "", 2: "PD", 3: "X"}
