@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import ARROW_ROWS, materialize, table
 
 #: Entries and longest match (characters) that a worker's memory of matches may hold.
 MEMO_ENTRIES, MEMO_CHARS = 250_000, 48
@@ -151,8 +151,7 @@ def worker_encoder(path: str, pattern: str) -> tuple[SegmentTreeBpe, TextEncoder
 
 
 def encode_texts(docs: DataFrame, path: str, pattern: str, keep: str = "doc_id") -> DataFrame:
-    """keep, ids binary (little-endian unsigned 32-bit) and decoded binary for every row."""
-    small_batches(docs.sparkSession)
+    """keep, ids binary (little-endian unsigned 32-bit) and decoded binary for every row. Run it within arrow_rows(), which bounds a batch of long texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, encoder = worker_encoder(path, pattern)
@@ -170,6 +169,5 @@ def op6_bpe(spark: SparkSession, sf_dir: str, ranks_file: str | None = None) ->
 
     path = ranks_file or public_tokenizers.path("byte_bpe_50k.tiktoken")
     rows = encode_texts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return rows.select(
-        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    digests = rows.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return materialize(digests, "digests", ARROW_ROWS)

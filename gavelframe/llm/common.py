@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,19 @@ from pyspark.sql import functions as F
 ARROW_ROWS = 256
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int | None = ARROW_ROWS) -> Iterator[None]:
+    """At most so many rows in an Arrow batch of the plans that run inside; the session's own setting afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        if rows:
+            spark.conf.set(key, str(rows))
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Bound the memory of one Arrow batch (a session setting read when a plan runs)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -24,35 +39,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The shared folder of spark.checkpoint.dir. Where that is unset, a temporary one in local mode only."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         conf = current.get() if current.isDefined() else None
     if not conf:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="gavelframe-ckpt-")
         spark.sparkContext.setCheckpointDir(conf)
     return conf.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str = "t") -> DataFrame:
-    """Cut lineage: write df as a table in the shared folder and read it back."""
+def materialize(df: DataFrame, name: str = "t", rows: int | None = None) -> DataFrame:
+    """Cut lineage: write df as a table in the shared folder and read it back. rows: those of an Arrow batch meanwhile."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/gf-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with arrow_rows(spark, rows):
+        df.write.option("compression", "zstd").parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._gf_path = path
     return back
 
 
-def release(df: DataFrame | None) -> None:
-    """Delete a table that materialize() wrote, once nothing reads it any more."""
-    path = getattr(df, "_gf_path", None)
-    if path is None:
-        return
-    jvm = df.sparkSession._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+def release(*tables: DataFrame | None) -> None:
+    """Delete tables that materialize() wrote, once nothing reads them any more."""
+    for df in tables:
+        if path := getattr(df, "_gf_path", None):
+            where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def collect_shuffles(spark: SparkSession) -> None:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches, table
+from .common import ARROW_ROWS, materialize, table
 
 LENGTH = 1024
 END_ID = 2
@@ -75,7 +75,6 @@ def cut(n: int, length: int = LENGTH) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, path: str, pattern: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of every piece."""
-    small_batches(docs.sparkSession)
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +146,7 @@ def best_two_fit(lengths: np.ndarray, capacity: int = LENGTH) -> tuple[np.ndarra
 
 def pack(rows: DataFrame, capacity: int = LENGTH, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """rows of pieces (see pieces()) with sequence_id and offset."""
-    rows = materialize(rows, "pieces")
+    rows = materialize(rows, "pieces", ARROW_ROWS)
     groups = max(1, -(-rows.count() // group_pieces))
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:

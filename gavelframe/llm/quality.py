@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import MUL, chunks, mix64, small_batches, span_hashes, table
+from .common import ARROW_ROWS, MUL, arrow_rows, chunks, materialize, mix64, span_hashes, table
 
 BUCKET_BITS = 17
 DIM = 8
@@ -135,7 +135,6 @@ def held_out(doc_id: str = "doc_id"):
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> Model:
     """Train on at most max_rows labelled rows that are not held out."""
-    small_batches(docs.sparkSession)
     usable = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
         .groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
@@ -151,14 +150,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> Model
         yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], ["weights", "bias"])
 
     # one task trains on the bounded sample and returns the folded model
-    model = bags.repartition(1).mapInArrow(learn, "weights binary, bias double").collect()
+    with arrow_rows(docs.sparkSession):
+        model = bags.repartition(1).mapInArrow(learn, "weights binary, bias double").collect()
     return Model(np.frombuffer(model[0].weights, np.float32), model[0].bias) if model else train([])
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
-    """docs with score double and predicted int (under these names, instead of columns of docs that have them); every whole text is scored."""
+    """docs with score double and predicted int (under these names, instead of columns of docs that have them); every whole text is scored. Run it within arrow_rows()."""
     spark = docs.sparkSession
-    small_batches(spark)
     sent = spark.sparkContext.broadcast((model.weights, model.bias))
     keep = [c for c in docs.columns if c not in names]
     docs = docs.select(*keep)
@@ -178,11 +177,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(docs, table(spark, sf_dir, "labels"))
     small = docs.select("doc_id", held_out().alias("held_out"), "text")
-    return score(small, model).select("doc_id", "held_out", "score", "predicted")
+    return materialize(score(small, model).select("doc_id", "held_out", "score", "predicted"), "scores", ARROW_ROWS)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts, with the columns of documents."""
     labels = table(spark, sf_dir, "labels")
     names = ("_gf_score", "_gf_predicted")  # docs may have columns of the usual names
-    return score(docs, fit(docs, labels), names=names).where(F.col(names[1]) == 1).select(*docs.columns)
+    return materialize(score(docs, fit(docs, labels), names=names).where(F.col(names[1]) == 1).select(*docs.columns), "accepted", ARROW_ROWS)

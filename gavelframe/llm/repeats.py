@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MUL, collect_shuffles, materialize, mix64, release, scratch_dir, shuffle_width, small_batches, table
+from .common import MUL, arrow_rows, collect_shuffles, materialize, mix64, release, scratch_dir, shuffle_width, table
 
 LENGTH = 50
 #: A perfect difference set: every residue modulo PERIOD is the difference of two of its members.
@@ -46,6 +46,8 @@ CHUNK_BYTES = 4 << 20
 #: Names in a bucket: of tuples (on average) and of whole prefixes (at most about).
 BUCKET_TUPLES, BUCKET_PREFIXES = 1 << 20, 1 << 22
 DIGEST = 16
+#: Chunks in an Arrow batch.
+CHUNK_ROWS = 4
 
 
 def word_view(buffer: bytes) -> np.ndarray:
@@ -182,7 +184,6 @@ def _told(bits: list[dict] | None, bucket: np.ndarray) -> np.ndarray:
 def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The table of chunks, bucketed by chunk: chunk, n_bytes, ids, lengths, digests, text (all binary but the first two)."""
     spark = docs.sparkSession
-    small_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
@@ -213,7 +214,8 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     # each task writes the few chunks that it has made, so that there is a file per chunk at most
     path = f"{scratch_dir(spark)}/{name}"
     writer = chunks.write.format("parquet").option("compression", "zstd").option("path", path)
-    writer.bucketBy(shuffle_width(spark), "chunk").saveAsTable(name)
+    with arrow_rows(spark):
+        writer.bucketBy(shuffle_width(spark), "chunk").saveAsTable(name)
     collect_shuffles(spark)
     back = spark.table(name)
     back._gf_name, back._gf_path = name, path
@@ -265,7 +267,10 @@ def _met(sent: DataFrame, earlier: bool) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (binary: the bytes that stay) and, where bytes go, the text's SHA-256 of every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept (binary: the bytes that stay) and, where bytes go, the text's SHA-256 of every row.
+
+    Write the result with some CHUNK_ROWS rows in an Arrow batch, then call forget() on it.
+    """
     if length < PERIOD + 7:
         raise ValueError(f"length must be at least {PERIOD + 7}")
     spark = docs.sparkSession
@@ -275,7 +280,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     total = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     n_tuples, n_prefixes = (max(1, -(-total // size)) for size in (BUCKET_TUPLES * PERIOD // len(COVER), BUCKET_PREFIXES))
     copies = materialize(whole_copies(chunks), "copies")
-    small_batches(spark, 4)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Chunk]]:
         for batch in batches:
@@ -322,20 +326,29 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(chunk.ids), pa.array(n), pa.array(n_removed), pa.array(n_spans), pa.array(kept, pa.binary()), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "text_sha256"])
 
     kinds = "bucket int, chunk long, blob binary"
-    bits = materialize(_met(_with(chunks, copies).mapInArrow(tuples, kinds), False), "tuples")
+    bits = materialize(_met(_with(chunks, copies).mapInArrow(tuples, kinds), False), "tuples", CHUNK_ROWS)
     collect_shuffles(spark)
-    more = materialize(_met(_with(chunks, copies, bits).mapInArrow(prefixes, kinds), True).withColumnRenamed("bits", "more"), "prefixes")
+    more = materialize(_met(_with(chunks, copies, bits).mapInArrow(prefixes, kinds), True).withColumnRenamed("bits", "more"), "prefixes", CHUNK_ROWS)
     collect_shuffles(spark)
     found = _with(chunks, copies, bits, more).mapInArrow(results, schema)
     whole = F.length("text").cast("long").alias("n_bytes")
     found = found.unionByName(rows.where("doc_id IS NULL").select("doc_id", whole, F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("text").alias("kept"), F.lit(None).cast("string").alias("text_sha256")))
-    found._gf_chunks = chunks
+    found._gf_chunks, found._gf_tables = chunks, (copies, bits, more)
     return found
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = remove_repeats(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    every = remove_repeats(table(spark, sf_dir, "documents"))
+    found = materialize(every.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")), "kept", CHUNK_ROWS)
+    forget(every)
+    return found
+
+
+def forget(found: DataFrame) -> None:
+    """Drop the table of chunks that a result of remove_repeats() reads, once that result is written."""
+    found.sparkSession.sql(f"DROP TABLE {found._gf_chunks._gf_name}")
+    release(found._gf_chunks, *found._gf_tables)
+    collect_shuffles(found.sparkSession)
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -345,10 +358,8 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     every = remove_repeats(docs)
     # rows that repeat a doc_id are told apart by their text
-    found = materialize(every.where("n_removed > 0").groupBy("doc_id", F.col("text_sha256").alias("_sha")).agg(F.min("kept").alias("_kept")), "removed")
-    spark.sql(f"DROP TABLE {every._gf_chunks._gf_name}")
-    release(every._gf_chunks)
-    collect_shuffles(spark)
+    found = materialize(every.where("n_removed > 0").groupBy("doc_id", F.col("text_sha256").alias("_sha")).agg(F.min("kept").alias("_kept")), "removed", CHUNK_ROWS)
+    forget(every)
     joined = docs.withColumn("_sha", F.sha2(F.col("text").cast("string").cast("binary"), 256)).join(found, ["doc_id", "_sha"], "left")
     return _cleaned(joined, docs)
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches, table
+from .common import materialize, table
 from .vector_dedup import usable
 
 K = 5
@@ -37,6 +37,8 @@ NEAR = 4
 SLICES = 2
 BLOCK = 4096
 QUERY_BLOCK = 1024
+#: Pairs of blocks in an Arrow batch.
+BLOCK_PAIRS = 4
 
 
 def quantized(vectors: DataFrame) -> DataFrame:
@@ -125,12 +127,10 @@ def _kth(bounds: DataFrame, k: int, column: str) -> DataFrame:
 def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: the k best candidates of each row for which is_query (a Column) holds."""
     spark = vectors.sparkSession
-    small_batches(spark, 2048)
     rows = materialize(quantized(vectors), "quantized")
     queries, candidates = _blocks(rows.where(is_query), QUERY_BLOCK, "queries"), _blocks(rows, BLOCK, "candidates")
-    small_batches(spark, 4)
     pairs = _paired(queries, candidates)
-    sent = materialize(local_best(pairs, k), "local")
+    sent = materialize(local_best(pairs, k), "local", BLOCK_PAIRS)
     lows = sent.groupBy("query_id", "slice").agg(F.min("low").alias("low"))
     floor = lows.groupBy("query_id").agg(F.sum("low").alias("floor"))
     bounds = sent.join(lows.select("query_id", "slice", F.col("low").alias("slice_low")), ["query_id", "slice"]).groupBy("query_id", "vec_id").agg(F.sum(F.col("partial") - F.col("slice_low")).alias("above"))
@@ -146,7 +146,7 @@ def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     sets = in_block.join(cutoffs, "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "cutoff")).alias("c"))
     told = queries.join(sets, "block", "left").select(*queries.columns, F.coalesce(F.col("c.query_id"), F.array().cast("array<long>")).alias("cutoff_ids"), F.coalesce(F.col("c.cutoff"), F.array().cast("array<long>")).alias("cutoffs"))
     told = _paired(told, candidates).withColumnsRenamed({"cutoff_ids_q": "cutoff_ids", "cutoffs_q": "cutoffs"})
-    entries = materialize(over_cutoff(told), "entries")
+    entries = materialize(over_cutoff(told), "entries", BLOCK_PAIRS)
     # phase 3: both bounds of what was sent, a higher cutoff, then exact scores
     slices = lows.groupBy("query_id").agg(F.count("*").alias("slices"), F.sum("low").alias("floor"))
     seen = entries.join(lows, ["query_id", "slice"]).groupBy("query_id", "vec_id").agg(F.sum("partial").alias("sum"), F.sum("low").alias("seen_low"), F.count("*").alias("n"))

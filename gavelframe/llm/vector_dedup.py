@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches, table
+from .common import materialize, table
 from .graph import components
 
 COSINE = 0.93
@@ -174,26 +174,23 @@ def compare(tiled: DataFrame, rotations: dict[int, np.ndarray], cosine: float =
                 at = np.flatnonzero(count)
                 yield pa.RecordBatch.from_arrays([pa.array(every[at]), pa.array(count[at].astype(np.int64)), pa.array(root[at])], ["rep", "n", "root"])
 
-    small_batches(spark, 8)
     return joined.mapInArrow(run, "rep long, n long, root long")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept for every vec_id of vectors (vec_id, embedding, label)."""
     spark = vectors.sparkSession
-    small_batches(spark, 4096)
     rows = vectors.where("vec_id IS NOT NULL").groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min(F.struct("label", "embedding")).alias("v")).select("vec_id", "v.label", "v.embedding")
     nonzero = F.exists(F.col("embedding"), lambda x: x != 0)
     good = rows.where(usable() & nonzero & F.col("label").isNotNull())
     reps = materialize(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors")
     dims = [r.d for r in reps.select(F.size("embedding").alias("d")).distinct().collect()]  # lengths of vectors, one in practice
     rotations = {d: _rotation(reps, d) for d in dims}
-    tiled = materialize(tiles(reps, rotations), "tiles")
-    found = materialize(compare(tiled, rotations, cosine), "links")
+    tiled = materialize(tiles(reps, rotations), "tiles", 4096)
+    found = materialize(compare(tiled, rotations, cosine), "links", 8)
     counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
     parts = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     of_rep = reps.select("rep", "label", "embedding", "copies").join(counts, "rep", "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    small_batches(spark)
     alone = rows.where(~(usable() & nonzero & F.col("label").isNotNull())).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     linked = good.join(of_rep, ["label", "embedding"]).select("vec_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
