@@ -8,10 +8,12 @@ can come first any more. Two registers agree with the probability of the probabi
 1. Documents with the same words form one class at once, whatever its size; its smallest doc_id stands for it.
 2. Registers are banded. In each bucket every member is a candidate with the bucket's smallest member; of a
    member's candidates the one with most equal registers is verified.
-3. In buckets that still hold several components, blocks of members are compared by their registers (not
-   where both are of one component). In ROUNDS rounds each member's best partner outside its component is
-   verified, which joins nearly all that belongs together; then every pair of a bucket that may reach the
-   threshold and is not connected by then, so that none is left out.
+3. In buckets that still hold several components, blocks of members are compared by their registers, which
+   gives the members with an open pair: one in two components that may reach the threshold.
+4. Blocks of these members meet with their whole shingle sets. A task verifies its open pairs, likeliest first,
+   but those that its own links connect by then, and gives the links alone, so that a group of n near copies
+   makes fewer than n rows in each pair of blocks and no pair of copies is ever a row. A pair that shares several
+   buckets is verified in the first; every open pair is, so that none is left out.
 
 Verification computes the probability Jaccard of the two whole texts exactly. Groups are the connected
 components of verified pairs; no step gathers a bucket, a group or a component in one task or on the driver.
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MUL, chunks, collect_shuffles, materialize, mix64, release, small_batches, span_hashes, table, text_or_empty
+from .common import ARROW_ROWS, MUL, chunks, collect_shuffles, materialize, mix64, release, span_hashes, table, text_or_empty
 from .graph import components
 
 WORDS = 5
@@ -43,9 +45,10 @@ BAND = 7
 TAG = np.dtype("<u2")
 #: Estimates so far below the threshold (four standard errors) are not verified.
 MARGIN = 4 * (SIMILARITY * (1 - SIMILARITY) / REGISTERS) ** 0.5
-BLOCK = 2048
-ROUNDS = 2
+#: Members of a block whose registers are compared, bytes of a block whose shingle sets are, and members of a slice of a star.
+BLOCK, BLOCK_BYTES, SLICE = 1024, 4 << 20, 64
 CHUNK_CHARS = 1_000_000
+BANDS = REGISTERS // BAND
 
 _ALNUM: np.ndarray | None = None
 
@@ -142,7 +145,6 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, k1, k2 (equal for equal word sequences) and sig (registers; null below WORDS words)."""
-    small_batches(docs.sparkSession, 1024)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,20 +183,40 @@ def _weighted(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(hashes[s:e], weights[s:e]) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def verified(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Those pairs (a, b) of which the whole texts have at least the similarity."""
-    texts = docs.select(F.col("doc_id"), "text")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    some = texts.join(wanted, "doc_id", "left_semi")
-    joined = pairs.select("a", "b").join(some.toDF("a", "text_a"), "a").join(some.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
+def weighted_sets(docs: DataFrame) -> DataFrame:
+    """rep and its distinct shingles (hashes, ascending, and counts, as bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (_weighted([t or "" for t in batch.column(c).to_pylist()]) for c in ("text_a", "text_b"))
+            ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
+            for i, j in chunks(texts, CHUNK_CHARS):
+                sets = _weighted(texts[i:j])
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array([h.tobytes() for h, _ in sets], pa.binary()), pa.array([w.astype(np.uint32).tobytes() for _, w in sets], pa.binary())], ["rep", "hashes", "counts"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "rep long, hashes binary, counts binary")
+
+
+def _sets(hashes: pa.Array, counts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(np.frombuffer(h, np.uint64), np.frombuffer(c, np.uint32).astype(float)) for h, c in zip(hashes.to_pylist(), counts.to_pylist(), strict=True)]
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Those pairs (a, b) of which the whole texts have at least the similarity; b may be in any number of pairs.
+
+    The partners of a hub b are dealt in slices, so that no task holds more than some SLICE of them.
+    """
+    many = materialize(pairs.groupBy("b").agg(F.count("*").alias("n")), "stars")
+    dealt = pairs.join(many, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / SLICE)).alias("slice"))
+    dealt = materialize(dealt, "dealt")
+    hubs = dealt.select("b", "slice").distinct().join(sets.toDF("b", "hashes_b", "counts_b"), "b")
+    joined = dealt.join(sets.toDF("a", "hashes_a", "counts_a"), "a").join(hubs, ["b", "slice"]).select("a", "b", "hashes_a", "counts_a", "hashes_b", "counts_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (_sets(batch.column(f"hashes_{c}"), batch.column(f"counts_{c}")) for c in "ab")
             kept = pa.array([probability_jaccard(p, q) >= similarity for p, q in zip(x, y, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], ["a", "b"])
 
-    small_batches(docs.sparkSession, 128)
     return joined.mapInArrow(run, "a long, b long")
 
 
@@ -203,58 +225,126 @@ def _with_component(rows: DataFrame, parts: DataFrame, column: str, name: str) -
     return rows.join(part, column, "left").withColumn(name, F.coalesce("_part", column)).drop("_part")
 
 
-def _compared(members: DataFrame, parts: DataFrame, sigs: DataFrame, best: bool) -> DataFrame:
-    """Pairs (a, b) in one bucket, in different components, that may reach the threshold; with best, one for each member."""
-    rows = _with_component(members, parts, "rep", "part")
-    mixed = rows.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("bucket")
-    rows = materialize(rows.join(mixed, "bucket", "left_semi").select("bucket", "band", "rep", "part"), "mixed")
-    # large components have blocks of their own, which are not compared with each other
-    sizes = rows.groupBy("bucket", "part").agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") >= BLOCK // 2)
-    small = sizes.where(F.col("n") < BLOCK // 2).groupBy("bucket").agg(F.sum("n").alias("n_small"))
-    dealt = rows.join(large, ["bucket", "part"], "left").join(small, "bucket", "left")
-    count = F.ceil(F.coalesce("n", "n_small") / BLOCK)
-    dealt = dealt.withColumn("own", F.when(F.col("n").isNotNull(), F.col("part"))).withColumn("block", F.pmod(F.xxhash64("rep"), count))
-    members_of = dealt.join(sigs, "rep").groupBy("bucket", "own", "block").agg(F.min("band").alias("band"), F.collect_list(F.struct("rep", "part", "sig")).alias("m"))  # about BLOCK members by the hash
-    blocks = materialize(members_of.withColumn("id", F.xxhash64(F.coalesce("own", F.lit(-1)), "own", "block")), "blocks")
-    heads = blocks.select("bucket", "id", "own", "band")
-    a, b = heads.toDF("bucket", "x", "own_a", "band"), heads.drop("band").toDF("bucket", "y", "own_b")
-    met = a.join(b, "bucket").where("x <= y AND NOT coalesce(own_a = own_b, false)").select("bucket", "x", "y", "band")
-    side = lambda name, s: blocks.select("bucket", F.col("id").alias(name), *(F.col(f"m.{c}").alias(f"{c}_{s}") for c in ("rep", "part", "sig")))
-    joined = met.join(side("x", "a"), ["bucket", "x"]).join(side("y", "b"), ["bucket", "y"])
+def _met(rows: DataFrame, data: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of blocks of a bucket, and the blocks. rows: bucket, band, part, rep, size; data: rep and what goes with it.
+
+    Blocks hold about the limit by the sizes. A component of half a block or more has blocks of its own, which
+    don't meet each other. m_y is null where a block meets itself.
+    """
+    sizes = materialize(rows.groupBy("bucket", "part").agg(F.sum("size").alias("own_size")), "sizes")
+    small = materialize(sizes.where(F.col("own_size") < limit // 2).groupBy("bucket").agg(F.sum("own_size").alias("rest")), "small")
+    deal = sizes.join(small, "bucket", "left").withColumn("large", F.col("own_size") >= limit // 2)
+    count = F.ceil(F.when(F.col("large"), F.col("own_size")).otherwise(F.col("rest")) / limit)
+    deal = deal.select("bucket", "part", "large", count.alias("n"))
+    own = F.when(F.col("large"), F.col("part")).otherwise(F.lit(0))
+    dealt = rows.join(deal, ["bucket", "part"]).select("bucket", "band", "part", "rep", F.struct("large", own.alias("own"), F.pmod(F.xxhash64("rep"), F.col("n")).alias("block")).alias("id"))
+    dealt = materialize(dealt, "dealt")  # the groups below are then dealt by all their keys, not by the bucket alone
+    held = [F.col(c) for c in ("rep", "part", *(c for c in data.columns if c != "rep"))]
+    blocks = materialize(dealt.join(data, "rep").groupBy("bucket", "id").agg(F.min("band").alias("band"), F.collect_list(F.struct(*held)).alias("m")), "blocks", 1)
+    heads = blocks.select("bucket", "id", "band")
+    met = heads.toDF("bucket", "x", "band").join(heads.drop("band").toDF("bucket", "y"), "bucket")
+    met = met.where("x <= y AND NOT (x.large AND y.large AND x.own = y.own)").withColumn("y", F.expr("CASE WHEN x <> y THEN y END"))
+    side = lambda name: blocks.select("bucket", F.col("id").alias(name), F.col("m").alias(f"m_{name}"))
+    return met.join(side("x"), ["bucket", "x"]).join(side("y"), ["bucket", "y"], "left").select("band", "bucket", "m_x", "m_y"), blocks
+
+
+class Block:
+    """Members of a block: reps, components, registers, and the registers of each band in two words."""
+
+    def __init__(self, members: pa.StructArray) -> None:
+        self.members = members
+        self.reps, self.parts = (members.field(c).to_numpy() for c in ("rep", "part"))
+        self.tags = np.frombuffer(b"".join(members.field("sig").to_pylist()), TAG).reshape(-1, REGISTERS)
+        wide = np.zeros((len(self.reps), BANDS, 8), TAG)
+        wide[:, :, :BAND] = self.tags[:, : BANDS * BAND].reshape(-1, BANDS, BAND)
+        self.bands = wide.view(np.uint64)
+
+
+def open_pairs(x: Block, y: Block | None, band: int, strip: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Members (i of x, j of y) in different components, first together in this band, that may reach the threshold; and their equal registers."""
     least = int(np.ceil((SIMILARITY - MARGIN) * REGISTERS))
+    alone, y = y is None, y or x
+    found = [(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int16))]
+    for c in range(0, len(x.reps), strip):
+        tags = x.tags[c : c + strip]
+        equal = np.zeros((len(tags), len(y.reps)), np.int16)
+        for column in range(REGISTERS):
+            equal += tags[:, column, None] == y.tags[None, :, column]
+        fit = (equal >= least) & (x.parts[c : c + strip, None] != y.parts[None, :])
+        if alone:
+            fit &= np.arange(c, c + len(tags))[:, None] < np.arange(len(y.reps))[None, :]
+        i, j = np.nonzero(fit)
+        for s in range(0, len(i), 4096):
+            a, b = i[s : s + 4096], j[s : s + 4096]
+            first = (x.bands[a + c] == y.bands[b]).all(axis=2).argmax(axis=1) == band
+            found.append(((a[first] + c).astype(np.int32), b[first].astype(np.int32), equal[a[first], b[first]]))
+    return tuple(np.concatenate(f) for f in zip(*found, strict=True))
+
+
+def _open(rows: DataFrame, sigs: DataFrame) -> DataFrame:
+    """bucket, band, part and rep of the members with an open pair in the bucket."""
+    met, blocks = _met(rows.withColumn("size", F.lit(1)), sigs, BLOCK)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                bucket, band = batch.column("bucket")[k].as_py(), batch.column("band")[k].as_py()
+                x, y = Block(batch.column("m_x")[k].values), Block(batch.column("m_y")[k].values) if batch.column("m_y")[k].is_valid else None
+                i, j, _ = open_pairs(x, y, band)
+                sides = [(x, np.unique(np.concatenate([i, j])))] if y is None else [(x, np.unique(i)), (y, np.unique(j))]
+                for side, at in sides:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), bucket)), pa.array(np.full(len(at), band, np.int32)), pa.array(side.parts[at]), pa.array(side.reps[at])], ["bucket", "band", "part", "rep"])
+
+    found = materialize(met.mapInArrow(run, "bucket long, band int, part long, rep long"), "open", 1)
+    release(blocks)
+    return materialize(found.distinct(), "open")
+
+
+def links_of(x: Block, y: Block | None, band: int, similarity: float) -> list[tuple[int, int]]:
+    """Links between components that connect what the block pair's open pairs do when all are verified."""
+    i, j, equal = open_pairs(x, y, band)
+    if not len(i):
+        return []
+    sides = [x] if y is None else [x, y]
+    sets = [_sets(s.members.field("hashes"), s.members.field("counts")) for s in sides]
+    nodes, at = np.unique(np.concatenate([s.parts for s in sides]), return_inverse=True)
+    of_x, of_y = at[: len(x.reps)], at[-len(sides[-1].reps) :]
+    up = np.arange(len(nodes))
+
+    def find(k: int) -> int:
+        while up[k] != k:
+            up[k] = k = up[up[k]]
+        return k
+
+    links = []
+    order = np.argsort(-equal, kind="stable")
+    for s in range(0, len(order), 4096):
+        some = order[s : s + 4096]
+        roots = np.array([find(k) for k in range(len(nodes))])
+        some = some[roots[of_x[i[some]]] != roots[of_y[j[some]]]]
+        for a, b in zip(i[some], j[some], strict=True):
+            p, q = find(of_x[a]), find(of_y[b])
+            if p != q and probability_jaccard(sets[0][a], sets[-1][b]) >= similarity:
+                up[max(p, q)] = min(p, q)
+                links.append((int(nodes[of_x[a]]), int(nodes[of_y[b]])))
+    return links
+
+
+def _settled(rows: DataFrame, sigs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between components by the verified open pairs of all buckets."""
+    bytes_of = sets.select("rep", (F.length("hashes") + F.length("counts") + 2 * REGISTERS).alias("size"))
+    met, blocks = _met(rows.join(bytes_of, "rep"), sigs.join(sets, "rep"), BLOCK_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
-                reps, part, tags = ([row[f"{c}_{s}"] for s in "ab"] for c in ("rep", "part", "sig"))
-                reps, part = [np.array(r) for r in reps], [np.array(p) for p in part]
-                x, y = (np.frombuffer(b"".join(t), TAG).reshape(-1, REGISTERS) for t in tags)
-                equal = np.zeros((len(x), len(y)), np.int16)
-                for column in range(REGISTERS):
-                    equal += x[:, column, None] == y[None, :, column]
-                equal[part[0][:, None] == part[1][None, :]] = 0
-                if best:
-                    i, j = np.arange(len(x)), np.arange(len(y))
-                    i, j = np.concatenate([i, equal.argmax(axis=0)]), np.concatenate([equal.argmax(axis=1), j])
-                    own, other = np.concatenate([reps[0], reps[1]]), np.concatenate([reps[1][j[: len(x)]], reps[0][i[len(x) :]]])
-                else:
-                    i, j = np.nonzero(equal >= least)
-                    # a pair of several buckets comes from the first of them only
-                    first = [np.logical_and.reduce(x[i[c : c + BLOCK], : BAND * (REGISTERS // BAND)].reshape(-1, REGISTERS // BAND, BAND) == y[j[c : c + BLOCK], : BAND * (REGISTERS // BAND)].reshape(-1, REGISTERS // BAND, BAND), axis=2).argmax(axis=1) for c in range(0, len(i), BLOCK)]
-                    keep = np.concatenate(first) == row["band"] if first else np.zeros(0, bool)
-                    i, j = i[keep], j[keep]
-                    own, other = reps[0][i], reps[1][j]
-                found = equal[i, j]
-                fine = found >= least
-                yield pa.RecordBatch.from_arrays([pa.array(own[fine]), pa.array(other[fine]), pa.array(found[fine].astype(np.int32))], ["own", "other", "equal"])
-
-    small_batches(members.sparkSession, 4)
-    found = joined.mapInArrow(run, "own long, other long, equal int")
-    if best:
-        found = found.groupBy("own").agg(F.max_by("other", F.struct("equal", "other")).alias("other"))
-    return found.select(F.greatest("own", "other").alias("a"), F.least("own", "other").alias("b")).distinct()
+                x, y = Block(batch.column("m_x")[k].values), Block(batch.column("m_y")[k].values) if batch.column("m_y")[k].is_valid else None
+                links = links_of(x, y, batch.column("band")[k].as_py(), similarity)
+                yield pa.RecordBatch.from_arrays([pa.array([s[c] for s in links], pa.int64()) for c in (0, 1)], ["a", "b"])
+
+    found = materialize(met.mapInArrow(run, "a long, b long"), "links", 1)
+    release(blocks)
+    return found
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -269,7 +359,7 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         return docs.withColumn("_key", own), None
     some = docs.join(repeated, "doc_id", "left_semi").withColumn("_sha", F.sha2(text_or_empty().cast("binary"), 256))
     some = materialize(some.dropDuplicates(["doc_id", "_sha"]), "texts")
-    firsts = some.groupBy("doc_id").agg(F.min("_sha").alias("_first"))
+    firsts = materialize(some.groupBy("doc_id").agg(F.min("_sha").alias("_first")), "firsts")
     other = F.shiftrightunsigned(F.xxhash64("doc_id", "_sha"), 2).bitwiseOR(F.lit(1 << 62))
     some = some.join(firsts, "doc_id").withColumn("_key", F.when(F.col("_sha") == F.col("_first"), own).otherwise(other)).drop("_sha", "_first")
     rows = docs.join(repeated, "doc_id", "left_anti").withColumn("_key", own).unionByName(some)
@@ -292,45 +382,43 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 
 def _text_groups(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """_key of each row as doc_id, and class_id, the smallest key of its near-duplicates."""
-    docs = rows.select(F.col("_key").alias("doc_id"), "text")
+    """_key of each row (no two rows have the same) as doc_id, and class_id, the smallest key of its near-duplicates."""
+    docs = rows.select(F.col("_key").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     spark = docs.sparkSession
-    docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    every = materialize(signatures(docs), "signatures")
+    every = materialize(signatures(docs), "signatures", ARROW_ROWS)
     copies = materialize(every.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "copies")
-    of_doc = every.select("doc_id", "k1", "k2").join(copies, ["k1", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("rep"))
+    of_doc = every.join(copies, ["k1", "k2"]).select("doc_id", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("sig")).alias("sig"))
     of_doc = materialize(of_doc, "classes")
-    release(copies)
-    one = every.where("sig IS NOT NULL").groupBy("doc_id").agg(F.min("sig").alias("sig"))
-    sigs = materialize(one.join(of_doc.where("doc_id = rep").select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").select(F.col("doc_id").alias("rep"), "sig"), "reps")
-    release(every)
-    collect_shuffles(spark)
+    release(every, copies)
+    sigs = of_doc.where("sig IS NOT NULL").select("rep", "sig")
 
-    banded = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda k: F.xxhash64(k, F.substring(F.col("sig"), k * (TAG.itemsize * BAND) + 1, F.lit(TAG.itemsize * BAND))))
+    banded = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring(F.col("sig"), k * (TAG.itemsize * BAND) + 1, F.lit(TAG.itemsize * BAND))))
     buckets = sigs.select("rep", F.posexplode(banded).alias("band", "bucket"))
-    hubs = buckets.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1").select("bucket", "hub")
+    hubs = materialize(buckets.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1").select("bucket", "hub"), "hubs")
     members = materialize(buckets.join(hubs, "bucket"), "buckets")
+    release(hubs)
+    collect_shuffles(spark)
+    candidates = materialize(members.select("rep").distinct(), "candidates")
+    sigs = materialize(sigs.join(candidates, "rep", "left_semi"), "sigs")
+    sets = materialize(weighted_sets(docs.join(candidates, F.col("doc_id") == F.col("rep"), "left_semi")), "sets", ARROW_ROWS)
     collect_shuffles(spark)
 
-    small_batches(spark, 2048)
-    stars = materialize(_estimated(members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), sigs), "stars")
-    first = stars.groupBy("a").agg(F.max_by("b", F.struct("est", "b")).alias("b"))
-    links = materialize(verified(first, docs, similarity), "links")
+    stars = materialize(_estimated(members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), sigs), "stars", 2048)
+    first = materialize(stars.groupBy("a").agg(F.max_by("b", F.struct("est", "b")).alias("b")), "first")
+    links = materialize(verified(first, sets, similarity), "links", 128)
     parts = materialize(components(links), "parts")
-    for _ in range(ROUNDS):
-        more = materialize(verified(materialize(_compared(members, parts, sigs, True), "best"), docs, similarity), "links")
-        if more.isEmpty():
-            break
-        links = links.unionByName(more)
-        parts = materialize(components(links), "parts")
-        collect_shuffles(spark)
-    rest = materialize(_compared(members, parts, sigs, False), "rest")
-    links = materialize(links.unionByName(verified(rest, docs, similarity)), "links")
-    parts = components(links)
-    for done in (sigs, members, stars, rest):
-        release(done)
     collect_shuffles(spark)
-    return _with_component(of_doc, parts, "rep", "class_id").select("doc_id", "class_id")
+
+    dealt = materialize(_with_component(members.select("bucket", "band", "rep"), parts, "rep", "part"), "members")
+    mixed = materialize(dealt.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("bucket"), "mixed")
+    left = materialize(dealt.join(mixed, "bucket", "left_semi"), "left")
+    release(members, stars, first, dealt, mixed)
+    still = _open(left, sigs)
+    more = _settled(still, sigs, sets, similarity)
+    whole = components(more)
+    release(candidates, sigs, sets, left, still)
+    collect_shuffles(spark)
+    return _with_component(_with_component(of_doc.select("doc_id", "rep"), parts, "rep", "part"), whole, "part", "class_id").select("doc_id", "class_id")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,6 +90,42 @@ def test_near_dedup_equals_brute_force(spark, documents):
     assert {r.doc_id: r.class_id for r in near_dedup.groups(docs).collect()} == brute_groups(texts)
 
 
+def test_near_dedup_of_one_large_group(spark, monkeypatch):
+    """Near copies of one text, changed in 0 to 15 of 150 words, in many small blocks: links by a plain comparison of all pairs of sets."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 64)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 1 << 17)
+    rng = np.random.default_rng(16)
+    base = [f"w{k}" for k in range(150)]
+    texts = {}
+    for k in range(400):
+        words = list(base)
+        for at in rng.integers(0, 150, rng.integers(0, 16)):
+            words[at] = f"x{rng.integers(0, 3)}"
+        texts[k] = " ".join(words)
+    sets = [Counter(tuple(w[i : i + 5]) for i in range(146)) for w in (texts[k].split() for k in range(400))]
+    groups = Groups(texts)
+    for i in range(400):
+        for j in range(i):
+            both = sets[i] & sets[j]
+            if max(sets[i].values()) == max(sets[j].values()) == 1:
+                same = len(both) / len(sets[i] | sets[j])
+            else:
+                same = sum(1 / sum(max(sets[i][z] / sets[i][x], sets[j][z] / sets[j][x]) for z in sets[i] | sets[j]) for x in both)
+            if same >= 0.8:
+                groups.join(i, j)
+    want = {i: groups.find(i) for i in texts}
+    got = {r.doc_id: r.class_id for r in near_dedup.groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert 1 < len(set(want.values())) < 400 and got == want
+
+
+def test_rows_of_a_doc_id_do_not_hide_later_copies(spark):
+    rng = np.random.default_rng(12)
+    a, b, c = (" ".join(f"w{k}" for k in rng.integers(0, 10_000, 60)) for _ in range(3))
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (7, b), (9, c)], "doc_id long, text string")
+    assert sorted(r.text for r in near_dedup.near_dedup_stage(spark, docs, "").collect()) == sorted([a, b, c])
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
+
+
 def test_near_dedup_odd_rows(spark, odd_docs, no_docs):
     got = {r.doc_id: r.class_id for r in near_dedup.groups(odd_docs).collect()}
     assert got[0] == got[1] == 0 and got[7] == got[8] == 7 and got[9] == 9 and None not in got
