@@ -1,42 +1,57 @@
 """HTML main-text extraction with site style trees.
 
-All pages of a host are merged into one style tree: a node is the path of container elements (tag, id and
-classes) from body; it counts, over the distinct pages that have it, the presentations (sequences of child
-tags) and the contents (subtree texts) seen there. The importance of a node mixes the entropies of both,
-to the base of the number of pages: a menu that is the same on every page has 0, an article near 1. Each
-page is then read again; branches of low importance go, and so do elements that by their tag, role or
-class are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments.
-What is left of the longest article (or main element, else of the body) gives the blocks of the text.
-
-Spark groups the nodes of all hosts (a hot host is pre-aggregated before the shuffle) and joins the few low
-nodes of each host back to its pages; only tables that are small by their measured size are broadcast.
-
-Defined cases: null html counts as empty and gives an empty text; a null url or one without a host takes
-part in no tree; a host of fewer than MIN_PAGES distinct pages gives no evidence and loses no branch;
-repeated pages of one host count once in its tree; articles, and branches with half of a page's text, are never
-removed as unimportant; inside articles and main elements near copies count once together (a page counts
-1 / the number of pages on its host that share the block in the middle of its article when blocks are ordered by
-that number), so that a list that is the same in near copies stays in them; unclosed and misplaced tags are tolerated.
+All pages of a host are merged into one style tree. A node is a path of block elements (tag, id and classes,
+numbers in them made alike) from the root; runs of text that stand directly in it are a child of their own, a
+leaf. Over the pages that have a node, its presentations are the sequences of its children; a leaf's contents
+are its text blocks, link targets and image sources. Both are compared by entropy to the base of the number of pages
+m, so that 0 is "always the same" and 1 "always another":
+
+* presentation(E) = -sum p log_m p over E's presentations;
+* redundancy(leaf) = the mean of log_m(pages that share it) over the leaf's contents (the entropy of a content
+  that n pages share alike);
+* redundancy(E) = (1 - presentation(E)) * the mean of its children's, each by its share in E's presentations;
+* importance(E) = 1 - redundancy(E) * (1 - 1/m): a branch counts as important until pages speak against it.
+
+So a branch is unimportant if neither its looks nor its contents differ from page to page, from the leaves up; one page alone
+proves nothing, and there is no least number of pages. Paths lead from each leaf to all of its ancestors at
+once, hence redundancies are a sum over the leaves below, one grouping whatever the depth.
+
+Each page is then read again without its low branches: those of an importance of LOW at most, and outside articles and
+main elements also those whose redundancy is REDUNDANT at least and RATIO times that of the page's main branch (the one
+with most text of its own). Where the tree can't tell, as on a page without a host, elements that by their tag,
+role or class are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments
+go as well. The text is that of the main element, else of the articles in page order (not of mere
+teasers, of which more than half is link text), else of what is left of the body.
+
+Near copies of a page count once together: a page weighs 1 / the number of pages on its host that share the block
+in the middle of its text when blocks are ordered by that number.
+
+A page is read in time linear in its size; blocks nested deeper than DEPTH count as part of their ancestor at that
+depth in the tree. A host's low branches go to its pages as a list; those of a host with more than LISTED go page by page.
+
+Defined cases: null html counts as empty and gives an empty text; a null url or one without a host takes part in no
+tree and loses no branch by it; repeated pages of one host count once in its tree; repeated rows are each returned;
+an empty table gives no rows; other columns are ignored; unclosed, misplaced and deeply nested tags are tolerated.
 """
 
 from __future__ import annotations
 
-import hashlib
 import html
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches, table
+from .common import ARROW_ROWS, materialize, release, table
 
-MIN_PAGES = 4
-LOW = 0.2
-#: Weight of the content against the presentation, to the power of the number of presentations.
-GAMMA = 0.9
+LOW = 0.25
+REDUNDANT, RATIO = 0.1, 4.0
+DEPTH = 32
+LISTED = 10_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -52,26 +67,60 @@ SCRAP_NAMES = frozenset(
 SCRAP_OUTSIDE = frozenset("header masthead topbar".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
-ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|href|src)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
-CLOSES_ITEM = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dd", ("dl",)), "dd": ("dt", ("dl",)), "tr": ("tr", ("table",)), "td": ("td", ("tr", "table")), "th": ("th", ("tr", "table"))}
+#: An open item that a new one closes, unless one of the other elements stands between: by family of tags.
+FAMILIES = (("li", "ul", "ol", "menu"), ("dt", "dd", "dl"), ("tr", "table"), ("td", "th", "tr", "table"))
+ITEMS = {"li": (0, {"li"}), "dt": (1, {"dt", "dd"}), "dd": (1, {"dt", "dd"}), "tr": (2, {"tr"}), "td": (3, {"td", "th"}), "th": (3, {"td", "th"})}
+
+
+def _key(label: str, seed: int = 0) -> int:
+    """A 64-bit name (signed) of a label below the node of that name."""
+    h = xxhash.xxh3_64_intdigest(label.encode("utf-8", "surrogatepass"), seed % 2**64)
+    return h - 2**64 if h >= 2**63 else h
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "scrap", "root", "parts", "tags")
+    """An element. own: the node of the style tree that it belongs to, itself unless it is inline or too deep."""
+
+    __slots__ = ("tag", "label", "parent", "scrap", "article", "main", "link", "own", "key", "depth", "kids", "found", "block", "nearest", "parts")
 
-    def __init__(self, tag: str, path: str, parent: Node | None, scrap: bool, root: bool) -> None:
-        self.tag, self.path, self.parent, self.scrap, self.root = tag, path, parent, scrap, root
+    def __init__(self, tag: str, label: str, parent: Node | None, scrap: bool) -> None:
+        self.tag, self.label, self.parent, self.scrap = tag, label, parent, scrap
         self.parts: list[str | Node | None] = []  # text, child, or None between two blocks
-        self.tags: list[str] = []
+        inline = tag in INLINE
+        self.article = tag == "article" or (parent is not None and parent.article)
+        self.main = tag == "main" or (parent is not None and parent.main)
+        self.link = tag == "a" or (parent is not None and inline and parent.link)
+        self.block = parent.block if inline and parent else self
+        self.nearest = [None] * len(FAMILIES) if parent is None else parent.nearest
+        if any(tag in family for family in FAMILIES):
+            self.nearest = [self if tag in family else old for family, old in zip(FAMILIES, self.nearest, strict=True)]
+        if parent is not None and (inline or parent.own.depth >= DEPTH):
+            self.own = parent.own
+            return
+        self.own, self.depth = self, parent.own.depth + 1 if parent else 0
+        self.key = _key(label, parent.own.key if parent else 0)
+        self.kids: list[int] = []  # names of the children in page order; texts of one place are one child
+        self.found: list[str] = []  # contents of its leaf
+        if parent is not None:
+            parent.own.kids.append(self.key)
 
 
 def parse(source: str) -> Node:
     """A tolerant tree of the page; text stands in parts in page order, with None at the borders of blocks."""
-    top = node = Node("html", "", None, False, False)
-    at, size = 0, len(source)
+    top = node = Node("html", "html", None, False)
+    open_: Counter[str] = Counter()
+    at, size, last = 0, len(source), source.rfind(">") + 1
+
+    def leave(to: Node) -> None:
+        nonlocal node
+        while node is not to:
+            open_[node.tag] -= 1
+            node = node.parent
+
     while at < size:
-        match = TOKEN.search(source, at)
+        match = TOKEN.search(source, at, last)
         if match is None:
             node.parts.append(source[at:])
             break
@@ -85,13 +134,13 @@ def parse(source: str) -> Node:
         if tag in ("html", "body", "head"):  # their own content is void, raw or belongs to the body
             continue
         if closing:
-            up = node
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if up is not None and up.parent is not None:
+            if open_[tag]:
+                up = node
+                while up.tag != tag:
+                    up = up.parent
+                leave(up.parent)
                 if tag not in INLINE:
-                    up.parent.parts.append(None)
-                node = up.parent
+                    node.parts.append(None)
             continue
         if tag == "br":
             node.parts.append(" ")
@@ -99,42 +148,38 @@ def parse(source: str) -> Node:
         if tag in RAW:
             end = ENDS[tag].search(source, at)
             at = end.end() if end else size
-            if tag not in INLINE:
-                node.parts.append(None)
+            node.parts.append(None)
             continue
+        names, label = [], tag
+        if attributes and "=" in attributes:
+            for kind, *values in ATTRIBUTE.findall(attributes):
+                value = next((v for v in values if v), "")
+                if kind.lower() in ("href", "src"):
+                    if tag in ("a", "img"):
+                        node.own.found.append(f"{kind.lower()} {value}")
+                    continue
+                value = value.lower()
+                names += re.split(r"[^a-z0-9]+", value)
+                if kind.lower() != "role":
+                    label += ("#" if kind.lower() == "id" else ".") + ".".join(sorted(re.sub(r"[0-9]+", "0", value).split()))
         if tag in VOID:
             if tag not in INLINE:
                 node.parts.append(None)
             continue
         if tag not in INLINE:
-            up = node
-            while up.parent is not None and (up.tag in INLINE or up.tag == "p"):
-                if up.tag == "p":
-                    node = up.parent
+            if node.block.tag == "p":
+                leave(node.block.parent)
+                node.parts.append(None)
+            if tag in ITEMS:
+                family, same = ITEMS[tag]
+                item = node.nearest[family]
+                if item is not None and item.tag in same:
+                    leave(item.parent)
                     node.parts.append(None)
-                    break
-                up = up.parent
-            if tag in CLOSES_ITEM:
-                same, bounds = CLOSES_ITEM[tag]
-                up = node
-                while up.parent is not None and up.tag not in bounds:
-                    if up.tag in (tag, same):
-                        node = up.parent
-                        node.parts.append(None)
-                        break
-                    up = up.parent
-        names = []
-        label = tag
-        if attributes and "=" in attributes:
-            for kind, *values in ATTRIBUTE.findall(attributes):
-                value = next((v for v in values if v), "").lower()
-                names += re.split(r"[^a-z0-9]+", value)
-                if kind.lower() != "role":
-                    label += ("#" if kind.lower() == "id" else ".") + ".".join(sorted(value.split()))
-        inside = node.root or any(n.root for n in _above(node))
-        scrap = tag in SCRAP or not SCRAP_NAMES.isdisjoint(names) or (not inside and (tag == "header" or not SCRAP_OUTSIDE.isdisjoint(names)))
-        child = Node(tag, f"{node.path}>{label}" if tag not in INLINE else node.path, node, node.scrap or scrap, tag in ("article", "main"))
-        node.tags.append(tag)
+        outside = not (node.article or node.main)
+        scrap = tag in SCRAP or not SCRAP_NAMES.isdisjoint(names) or (outside and (tag == "header" or not SCRAP_OUTSIDE.isdisjoint(names)))
+        child = Node(tag, label, node, node.scrap or scrap)
+        open_[tag] += 1
         if tag not in INLINE:
             node.parts.append(None)
         node.parts.append(child)
@@ -142,13 +187,22 @@ def parse(source: str) -> Node:
     return top
 
 
-def _above(node: Node) -> Iterator[Node]:
-    while (node := node.parent) is not None:
-        yield node
+def _below(node: Node, keep=lambda child: True) -> Iterator[tuple[str | None, Node]]:
+    """The texts below a node in page order, None between blocks, and the element that holds each; without children that keep() refuses."""
+    stack = [(node, iter(node.parts))]
+    while stack:
+        holder, parts = stack[-1]
+        part = next(parts, stack)
+        if part is stack:
+            stack.pop()
+        elif not isinstance(part, Node):
+            yield part, holder
+        elif keep(part):
+            stack.append((part, iter(part.parts)))
 
 
 def _walk(top: Node) -> Iterator[Node]:
-    """All nodes below top, before their children."""
+    """All nodes from top on, before their children."""
     stack = [top]
     while stack:
         node = stack.pop()
@@ -156,80 +210,93 @@ def _walk(top: Node) -> Iterator[Node]:
         stack.extend(p for p in reversed(node.parts) if isinstance(p, Node))
 
 
-def _sizes(top: Node) -> dict[int, int]:
-    """Characters of text below each node."""
-    sizes: dict[int, int] = {}
-    for node in [*reversed(list(_walk(top)))]:  # children before parents
-        sizes[id(node)] = sum(sizes[id(p)] if isinstance(p, Node) else len(p or "") for p in node.parts)
-    return sizes
-
-
-def _texts(node: Node, low: frozenset[str]) -> Iterator[str | None]:
-    """The text of a branch without what is removed, None between blocks; a branch with half of the text isn't removed as unimportant."""
-    sizes = _sizes(node) if low else {}
-    stack: list = [iter(node.parts)]
-    while stack:
-        part = next(stack[-1], stack)
-        if part is stack:
-            stack.pop()
-        elif isinstance(part, Node):
-            noise = part.path in low and part.tag not in INLINE and part.tag not in TEXTUAL and 2 * sizes[id(part)] < sizes[id(node)]
-            if not part.scrap and not noise:
-                stack.append(iter(part.parts))
-        else:
-            yield part
-
-
-def _blocks(node: Node, low: frozenset[str]) -> list[str]:
-    out, run = [], []
-    for part in [*_texts(node, low), None]:
+def _blocks(node: Node, keep=lambda child: True) -> Iterator[tuple[str, Node, int]]:
+    """Each text block with the element that it began in, and how much of it is link text."""
+    run: list[str] = []
+    holder, linked = node, 0
+    for part, at in [*_below(node, keep), (None, node)]:
         if part is not None:
+            holder = holder if run else at
             run.append(part)
+            linked += len(part) if at.link else 0
         elif run:
-            text = " ".join(html.unescape("".join(run)).split())
-            if text:
-                out.append(text)
-            run = []
-    return out
-
-
-def _article(top: Node, low: frozenset[str]) -> list[str]:
-    roots = [n for n in _walk(top) if n.root and not n.scrap and not any(a.root for a in _above(n) if a.tag == n.tag)]
-    articles = [n for n in roots if n.tag == "article"] or roots
-    return max((_blocks(n, low) for n in articles), key=lambda b: sum(map(len, b)), default=[])
-
-
-def main_text(source: str, low: frozenset[str] = frozenset()) -> str:
-    """The article of one page; low: the paths of its host that the style tree removes (articles themselves stay)."""
-    top = parse(source)
-    return "\n".join(_article(top, low) or _blocks(top, low))
-
-
-def _digest(text: str) -> str:
-    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
-
-
-def style_nodes(top: Node) -> Iterator[tuple[str, str, str, int]]:
-    """(path, digest of the presentation, digest of the content, 1 inside an article or main else 0) of each container of a page."""
-    texts: dict[int, list[str]] = {}
-    order = list(_walk(top))
-    for node in reversed(order):  # children before parents
-        own: list[str] = []
-        for part in node.parts:
-            own += texts.pop(id(part), []) if isinstance(part, Node) else [part or " "]
-        if node.tag in INLINE or node.tag in TEXTUAL or node is top:
-            texts[id(node)] = own
-            continue
-        text = " ".join("".join(own).split())
-        texts[id(node)] = [text]
-        yield node.path, _digest(" ".join(node.tags)), _digest(text), int(node.root or any(n.root for n in _above(node)))
-
-
-def article_blocks(top: Node) -> Iterator[tuple[None, None, str, int]]:
-    """(null, null, digest, characters) of each distinct block of the page's article."""
-    blocks = _article(top, frozenset())
-    for block, times in Counter(blocks).items():
-        yield None, None, _digest(block), times * len(block)
+            if text := " ".join(html.unescape("".join(run)).split()):
+                yield text, holder, linked
+            run, linked = [], 0
+
+
+def _article(top: Node, keep) -> list[str]:
+    """The blocks of the main element, or of the articles but for teasers; empty if the page has neither."""
+    roots = [n for n in _walk(top) if n.tag in ("article", "main") and not n.scrap]
+    mains = [n for n in roots if n.tag == "main" and not n.parent.main]
+    if mains:
+        return [text for n in mains for text, *_ in _blocks(n, keep)]
+    parts = [list(_blocks(n, keep)) for n in roots if n.tag == "article" and not n.parent.article]
+    teasers = [2 * sum(linked for *_, linked in p) > sum(len(text) for text, *_ in p) for p in parts]
+    return [text for p, teaser in zip(parts, teasers, strict=True) if not teaser or all(teasers) for text, *_ in p]
+
+
+def kept_blocks(top: Node, redundancy: Mapping[int, float], low: float = LOW) -> list[str]:
+    """The blocks of one page; redundancy: of its host's nodes in the style tree (those below REDUNDANT / RATIO may be missing)."""
+    main = 0.0
+    if redundancy:
+        size: Counter[int] = Counter()
+        for text, holder, _ in _blocks(top):
+            own = holder.own
+            while own.tag in TEXTUAL and own.parent is not None:
+                own = own.parent.own
+            size[own.key] += len(text)
+        main = redundancy.get(max(size, key=size.__getitem__, default=0), REDUNDANT / RATIO)
+
+    def keep(node: Node) -> bool:
+        if node.scrap:
+            return False
+        if node.own is not node or node.tag in TEXTUAL:
+            return True
+        r = redundancy.get(node.key, 0.0)
+        return not (r >= 1 - low or (r >= REDUNDANT and r >= RATIO * main and not (node.article or node.main)))
+
+    return _article(top, keep) or [text for text, *_ in _blocks(top, keep)]
+
+
+PRESENTATION, CHILD, CONTENT, CHAIN, BLOCK = range(5)
+
+
+def style_rows(top: Node) -> Iterator[tuple[int, int, int, float, list[int] | None]]:
+    """(node, kind, value, n, above) of a page for the style tree.
+
+    PRESENTATION: a sequence of children and its share in the node's occurrences; CHILD: a child and its share
+    in the node's presentations; CONTENT: a content of a leaf and its share there; CHAIN: a leaf and the nodes
+    from the root down to it; BLOCK: a block of the page's text and its characters.
+    """
+    for text, holder, _ in _blocks(top):
+        holder.own.found.append(f"text {text}")
+    leaf_of, nodes = {}, [n for n in _walk(top) if n.own is n]
+    by_key: dict[int, list[Node]] = defaultdict(list)
+    for n in nodes:
+        if n.found:
+            leaf_of[n.key] = _key("#text", n.key)
+            n.kids.append(leaf_of[n.key])
+        by_key[n.key].append(n)
+    for key, same in by_key.items():
+        looks = Counter(_key(" ".join(map(str, n.kids))) for n in same)
+        children: Counter[int] = Counter()
+        for n in same:
+            for kid, times in Counter(n.kids).items():
+                children[kid] += times / len(n.kids)
+        yield from ((key, PRESENTATION, look, times / len(same), None) for look, times in looks.items())
+        yield from ((key, CHILD, kid, share / len(same), None) for kid, share in children.items())
+        if key in leaf_of:
+            contents = Counter(_key(f) for n in same for f in n.found)
+            total = sum(contents.values())
+            yield from ((leaf_of[key], CONTENT, content, times / total, None) for content, times in contents.items())
+            above, up = [leaf_of[key]], same[0]
+            while up is not None:
+                above.append(up.own.key)
+                up = up.own.parent
+            yield leaf_of[key], CHAIN, 0, 0.0, above[::-1]
+    for block, times in Counter(kept_blocks(top, {})).items():
+        yield 0, BLOCK, _key(block), float(times * len(block)), None
 
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
@@ -239,55 +306,90 @@ def host(url: str = "url"):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), HOST, 1))
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path, n_pages (in articles without near copies) and importance (0 to 1) of every container node of every host."""
-    small_batches(pages.sparkSession)
+def style_nodes(pages: DataFrame) -> DataFrame:
+    """The rows of style_rows() for every distinct page of every host, with host and page (a hash of the html)."""
+    names = ["host", "page", "node", "kind", "value", "n", "above"]
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int8(), pa.int64(), pa.float64(), pa.list_(pa.int64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for site, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                page, top = _digest(source or ""), parse(source or "")
-                for row in (*style_nodes(top), *article_blocks(top)):
+            out: list[list] = [[] for _ in names]
+            for site, page, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for row in style_rows(parse(source)):
                     for column, value in zip(out, (site, page, *row), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in out[:5]), pa.array(out[5], pa.int64())], ["host", "page", "path", "style", "content", "size"])
-
-    rows = pages.select(host().alias("host"), F.col("html").cast("string").alias("html")).where(F.col("host") != "")
-    every = materialize(rows.mapInArrow(run, "host string, page string, path string, style string, content string, size long").dropDuplicates(), "style-nodes")
-    # near copies of an article count once together
-    blocks = every.where("path IS NULL").select("host", "page", "content", "size")
-    shared = blocks.groupBy("host", "content").agg(F.count("*").alias("n")).where("n > 1")
-    weights = blocks.join(shared, ["host", "content"], "left").groupBy("host", "page").agg(F.expr("1 / percentile(coalesce(n, 1), 0.5, size)").alias("w"))
-    nodes = every.where("path IS NOT NULL").join(weights, ["host", "page"], "left").withColumn("w", F.when(F.col("size") == 1, F.coalesce("w", F.lit(1.0))).otherwise(1.0))
-    # one row per (host, path, kind, value): counts before any group of a host meets
-    values = nodes.select("host", "path", "w", F.explode(F.array(F.struct(F.lit("s").alias("kind"), F.col("style").alias("value")), F.struct(F.lit("c").alias("kind"), F.col("content").alias("value")))).alias("v"))
-    counts = values.groupBy("host", "path", "v.kind", "v.value").agg(F.sum("w").alias("n"))
-    kinds = counts.groupBy("host", "path", "kind").agg(F.round(F.sum("n"), 6).alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"), F.count("*").alias("values"))
-    entropy = F.when(F.col("m") > 1, F.least(F.lit(1.0), (F.log("m") - F.col("nlogn") / F.col("m")) / F.log("m"))).otherwise(1.0)
-    kinds = kinds.withColumn("entropy", entropy)
-    one = lambda kind, column: F.max(F.when(F.col("kind") == kind, F.col(column)))
-    tree = kinds.groupBy("host", "path").agg(one("s", "entropy").alias("style_entropy"), one("c", "entropy").alias("content_entropy"), one("s", "values").alias("styles"), F.max("m").alias("n_pages"))
-    weight = F.pow(F.lit(GAMMA), F.col("styles"))
-    return tree.select("host", "path", "n_pages", ((1 - weight) * F.col("style_entropy") + weight * F.col("content_entropy")).alias("importance"))
-
-
-def extract(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES) -> DataFrame:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
+
+    body = F.coalesce(F.col("html").cast("string"), F.lit(""))
+    rows = pages.select(host().alias("host"), F.xxhash64(body).alias("page"), body.alias("html")).where(F.col("host") != "")
+    found = rows.mapInArrow(run, "host string, page long, node long, kind byte, value long, n double, above array<long>")
+    # rows of repeated pages are equal, so that each page counts once
+    return materialize(found.groupBy("host", "page", "node", "kind", "value").agg(F.max("n").alias("n"), F.max("above").alias("above")), "style-nodes", ARROW_ROWS)
+
+
+def style_tree(every: DataFrame) -> DataFrame:
+    """host, node, n_pages (near copies count once) and redundancy (1 - importance) of every node of style_nodes()."""
+    blocks = every.where(F.col("kind") == BLOCK).select("host", "page", "value", "n")
+    shared = materialize(blocks.groupBy("host", "value").agg(F.count("*").alias("pages")).where("pages > 1"), "shared")
+    weights = blocks.join(shared, ["host", "value"], "left").groupBy("host", "page").agg(F.expr("1 / percentile(coalesce(pages, 1), 0.5, cast(n AS long))").alias("w"))
+    rows = every.where(F.col("kind").isin(PRESENTATION, CHILD, CONTENT)).drop("above").join(materialize(weights, "weights"), ["host", "page"], "left").withColumn("w", F.coalesce("w", F.lit(1.0)))
+    # one row per (host, node, kind, value): counts before any group of a host meets
+    values = materialize(rows.groupBy("host", "node", "kind", "value").agg(F.sum(F.col("w") * F.col("n")).alias("mass"), F.sum("w").alias("pages")), "values")
+    of = lambda kind: values.where(F.col("kind") == kind)
+    several = F.col("m") > 1 + 1e-9
+    looks = of(PRESENTATION).groupBy("host", "node").agg(F.sum("mass").alias("m"), F.sum(F.col("mass") * F.log("mass")).alias("mlogm"))
+    looks = looks.select("host", "node", "m", F.when(several, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("mlogm") / F.col("m") / F.log("m")))).otherwise(0.0).alias("alike"))
+    looks = materialize(looks, "looks")
+    leaves = of(CONTENT).groupBy("host", "node").agg(F.sum("mass").alias("m"), F.sum(F.col("mass") * F.log(F.greatest("pages", F.lit(1.0)))).alias("shared"))
+    leaves = leaves.select("host", F.col("node").alias("leaf"), "m", F.when(several, F.least(F.lit(1.0), F.col("shared") / F.col("m") / F.log("m"))).otherwise(0.0).alias("own"))
+    # (1 - presentation) * share of each step from a node to a child
+    steps = of(CHILD).join(looks, ["host", "node"]).select("host", "node", F.col("value").alias("child"), (F.col("alike") * F.col("mass") / F.col("m")).alias("factor"))
+    steps = materialize(steps.where("factor > 0"), "steps")
+    chains = every.where(F.col("kind") == CHAIN).groupBy("host", F.col("node").alias("leaf")).agg(F.max("above").alias("above"))
+    paths = materialize(leaves.join(chains, ["host", "leaf"]), "paths")
+    walked = paths.where("own > 0").select("host", "leaf", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("above") - 2), lambda k: F.struct(F.col("above")[k].alias("node"), F.col("above")[k + 1].alias("child")))).alias("k", "step"))
+    factors = walked.select("host", "leaf", "k", "step.node", "step.child").join(steps, ["host", "node", "child"])
+    factors = factors.groupBy("host", "leaf").agg(F.sort_array(F.collect_list(F.struct("k", "factor"))).alias("f"))  # DEPTH + 1 at most
+    joined = paths.join(factors, ["host", "leaf"])
+    depth = F.size("above") - 1
+    # from a node in place i down to the leaf; steps without a factor leave nothing to their ancestors
+    ancestors = joined.select("host", "leaf", "own", "above", "f", depth.alias("d"), F.explode(F.sequence(F.lit(0), depth - 1)).alias("i"))
+    below = F.filter("f", lambda x: x["k"] >= F.col("i"))
+    product = F.aggregate(below, F.lit(1.0), lambda p, x: p * x["factor"])
+    parts = ancestors.where(F.size(below) == F.col("d") - F.col("i")).select("host", F.col("above")[F.col("i")].alias("node"), (product * F.col("own")).alias("r"))
+    sums = parts.groupBy("host", "node").agg(F.sum("r").alias("r"))
+    redundancy = F.coalesce(F.col("r"), F.lit(0.0)) * (1 - 1 / F.greatest("m", F.lit(1.0)))
+    return looks.join(sums, ["host", "node"], "left").select("host", "node", F.round("m", 6).alias("n_pages"), F.round(redundancy, 9).alias("redundancy"))
+
+
+def extract(pages: DataFrame, low: float = LOW) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    spark = pages.sparkSession
-    doomed = style_tree(pages).where((F.col("n_pages") >= min_pages) & (F.col("importance") < low))
-    rules = materialize(doomed.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low")), "style-tree")  # a few template paths a host
-    rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host().alias("host"))
-    joined = rows.join(rules, "host", "left").select("page_id", "url", "html", "low")
-    small_batches(spark)
+    every = style_nodes(pages)
+    found = materialize(style_tree(every).where(F.col("redundancy") >= REDUNDANT / RATIO).select("host", "node", "redundancy"), "style-tree")
+    sizes = materialize(found.groupBy("host").agg(F.count("*").alias("size")), "sizes")
+    rule = F.collect_list(F.struct("node", "redundancy"))
+    listed = materialize(found.join(sizes.where(F.col("size") <= LISTED), "host").groupBy("host").agg(rule.alias("rules")), "rules")
+    many = sizes.where(F.col("size") > LISTED).select("host")
+    body = F.col("html").cast("string")
+    joined = pages.select("page_id", "url", body.alias("html"), host().alias("host")).join(listed, "host", "left")
+    if not many.isEmpty():
+        there = every.where(F.col("kind") == PRESENTATION).select("host", "page", "node").distinct().join(many, "host", "left_semi")
+        single = materialize(there.join(found, ["host", "node"]).groupBy("host", "page").agg(rule.alias("own_rules")), "page-rules")  # a page's own nodes
+        joined = joined.withColumn("page", F.xxhash64(F.coalesce("html", F.lit("")))).join(single, ["host", "page"], "left").withColumn("rules", F.coalesce("rules", "own_rules"))
+    joined = joined.select("page_id", "url", "html", F.col("rules.node").alias("nodes"), F.col("rules.redundancy").alias("redundancy"))
     kinds = [joined.schema[c].dataType.simpleString() for c in ("page_id", "url")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h or "", frozenset(p or ())) for h, p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            texts = [
+                "\n".join(kept_blocks(parse(source or ""), dict(zip(nodes or (), values or (), strict=True)), low))
+                for source, nodes, values in zip(*(batch.column(c).to_pylist() for c in ("html", "nodes", "redundancy")), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return joined.mapInArrow(run, f"page_id {kinds[0]}, url {kinds[1]}, text string, n_chars long")
+    out = materialize(joined.mapInArrow(run, f"page_id {kinds[0]}, url {kinds[1]}, text string, n_chars long"), "texts", ARROW_ROWS)
+    release(every, found, sizes, listed)
+    return out
 
 
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """HTML main text and the pipeline."""
 
-import hashlib
+import math
+import time
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -54,6 +56,108 @@ def test_html_near_copies_keep_a_list_under_half_of_the_article(spark):
     assert got[107] == "T 7\nParagraph number 2 of a text that is all its own"
 
 
+def brute_tree(sources):
+    """Redundancy of each node of one host, from the root's definition downwards; pages are weighted by the middle block of their texts."""
+    tops = [html_text.parse(x) for x in dict.fromkeys(sources)]
+    blocks = [Counter(html_text.kept_blocks(t, {})) for t in tops]
+    pages_of = Counter(b for page in blocks for b in page)
+    weights = []
+    for page in blocks:
+        numbers = sorted(pages_of[b] for b, n in page.items() for _ in range(n * len(b)))
+        weights.append(1 / ((numbers[(len(numbers) - 1) // 2] + numbers[len(numbers) // 2]) / 2) if numbers else 1)
+    seen, m, looks, kids, contents = set(), Counter(), defaultdict(Counter), defaultdict(Counter), defaultdict(lambda: defaultdict(dict))
+    for k, top in enumerate(tops):
+        for text, holder, _ in html_text._blocks(top):
+            holder.own.found.append(text)
+        by = defaultdict(list)
+        for n in html_text._walk(top):
+            if n.own is n:
+                by[n.key].append(n)
+        for key, same in by.items():
+            m[key] += weights[k]
+            every = [f for n in same for f in n.found]
+            for f in every:
+                contents[key][f][k] = every.count(f) / len(every)
+            for n in same:
+                children = [*n.kids, *(["text"] if n.found else [])]
+                looks[key][tuple(children)] += weights[k] / len(same)
+                for c in children:
+                    kids[key][c] += weights[k] / len(same) / len(children)
+            seen.add(key)
+
+    def leaf(key):
+        pages = {k for f in contents[key].values() for k in f}
+        total = sum(weights[k] for k in pages)
+        if total <= 1 + 1e-9:
+            return 0
+        mass = lambda f: sum(weights[k] * share for k, share in contents[key][f].items())
+        return min(1, sum(mass(f) * math.log(max(1, sum(weights[k] for k in contents[key][f]))) for f in contents[key]) / sum(map(mass, contents[key])) / math.log(total))
+
+    def redundancy(key):
+        if m[key] <= 1 + 1e-9:
+            return 0
+        entropy = -sum(x / m[key] * math.log(x / m[key]) for x in looks[key].values()) / math.log(m[key])
+        return (1 - min(1, max(0, entropy))) * sum(share / m[key] * (leaf(key) if c == "text" else redundancy(c)) for c, share in kids[key].items())
+
+    return {key: redundancy(key) * (1 - 1 / max(1, m[key])) for key in seen}
+
+
+def test_html_style_tree_equals_brute_force(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(40):
+        menu = "".join(f"<li><a href='/{j}'>Item {j}</a></li>" for j in range(rng.integers(4, 7)))
+        text = "".join(f"<p>Paragraph {k if k < 30 else 30 + k % 3} {j} of a text</p>" for j in range(rng.integers(1, 6)))
+        rows.append((k, f"http://{'ab'[k % 2]}.example/{k}", f"<body><div class='m'><ul>{menu}</ul></div><div class='box{k}'><b>Box</b> {k % 3}<div>in {k % 2}</div></div><div class='t'>{text}</div>tail {rng.integers(0, 2)}</body>"))
+    rows += [(100, "http://a.example/0", rows[0][2]), (101, "http://c.example/", "<p>alone"), (102, "http://d.example/", ""), (103, "http://d.example/1", None)]
+    tree = html_text.style_tree(html_text.style_nodes(pages_frame(spark, rows))).collect()
+    for site in "abcd":
+        want = brute_tree([x or "" for _, url, x in rows if url.startswith(f"http://{site}.")])
+        got = {r.node: r.redundancy for r in tree if r.host == f"{site}.example"}
+        assert got.keys() == want.keys()
+        assert all(got[n] == pytest.approx(want[n], abs=1e-6) for n in want)
+    want = brute_tree([x for _, url, x in rows if url.startswith("http://a.")]).values()
+    assert max(want) > 0.3 and min(want) < 0.05
+
+
+def test_html_article_is_the_most_important_branch_of_every_host(spark, monkeypatch):
+    """On the given pages the tree alone, without names and tags of menus and adverts, ranks the article first."""
+    monkeypatch.setattr(html_text, "SCRAP_NAMES", frozenset())
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    tree = {(r.host, r.node): r.redundancy for r in html_text.style_tree(html_text.style_nodes(pages)).where("n_pages >= 10").collect()}
+    sites = 0
+    for row in pages.select("html", html_text.host().alias("host")).dropDuplicates(["host"]).collect():
+        top = html_text.parse(row.html)
+        branches = {p.tag: tree.get((row.host, p.key)) for p in top.parts if isinstance(p, html_text.Node)}
+        if branches.get("article") is not None:
+            sites += 1
+            assert all(branches["article"] <= r for r in branches.values() if r is not None)
+    assert sites >= 3
+
+
+def test_html_articles_in_parts_and_headlines(spark):
+    parts = "<body><article><h1>One</h1><p>First part</p></article><div>between</div><article><p>Second part</p></article><article><a href='/x'>Read another text</a></article></body>"
+    main = "<body><div>top</div><main><h1>Headline</h1><article><p>Body</p></article><div class='related'>more</div></main><p>below</p></body>"
+    got = [r.text for r in html_text.extract(pages_frame(spark, [(1, "http://g/", parts), (2, "http://g2/", main)])).orderBy("page_id").collect()]
+    assert got == ["One\nFirst part\nSecond part", "Headline\nBody"]
+
+
+def test_html_many_low_branches_go_page_by_page(spark, monkeypatch):
+    body = "<body><div class='head'><div class='promise'><p>We never sleep</p></div></div><div class='main'><p>Text number %d is its own</p></div></body>"
+    rows = [(k, f"http://b.example/{k}", body % k) for k in range(8)]
+    monkeypatch.setattr(html_text, "LISTED", 1)
+    assert {r.text for r in html_text.extract(pages_frame(spark, rows)).collect()} == {f"Text number {k} is its own" for k in range(8)}
+
+
+@pytest.mark.parametrize("source", ["<div>" * 100_000 + "deep", "<b>" * 50_000 + "<div></div>" * 20_000 + "deep", "<ul>" + "<div>" * 50_000 + "<li></li>" * 20_000 + "deep", "<a " * 50_000 + "deep", "<div>" * 50_000 + "</p>" * 50_000 + "deep"])
+def test_html_hostile_pages_take_linear_time(source):
+    began = time.time()
+    top = html_text.parse(source)
+    assert html_text.kept_blocks(top, {})[0].endswith("deep")
+    assert len(list(html_text.style_rows(top))) < 200
+    assert time.time() - began < 10
+
+
 def test_html_odd_rows(spark):
     rows = [(0, None, None), (1, "", ""), (None, "https://a.example/", "<p>x"), (3, "https://a.example/", "no markup at all"), (3, "https://a.example/", "no markup at all"), (4, "nonsense", "<article>" * 500 + "deep"), (5, "http://h/", "<p>" + "long " * 50_000)]
     got = [(r.page_id, r.url, r.text, r.n_chars) for r in html_text.extract(pages_frame(spark, rows)).collect()]
