@@ -1,32 +1,40 @@
-"""Training-order materialisation: token ids in fixed-stride shards, in a keyed global order.
-
-Texts are tokenised and joined, an end id after each, into sequences of a fixed number of ids; the last
-sequence of each input task is filled up with end ids. Sequences are numbered 0..N-1 and a keyed Feistel
-permutation of the next power of four, walked along its cycle until it falls below N, gives each its slot.
-Range partitions of the slots are the shards: every record has the same stride, so slot s lies in shard
-s // shard_rows at byte (s % shard_rows) * stride, and a run resumes at any slot by reading on from there.
-
-The sequences are written once as a table in the shared folder before they are numbered; numbers come from
-that table's (task, position) pairs, so a lost executor can't renumber anything. The driver sees one count
-per input task.
-
-Defined cases: a null text counts as empty and adds one end id; a null doc_id is kept as a null in doc_ids;
-an empty table gives no sequences.
+"""Training-order materialisation: token ids in fixed-stride binary shards, in a keyed global order.
+
+Texts are tokenised in the order of (doc_id, hash of the text) and joined, an end id after each, into sequences of a
+fixed number of ids; the last sequence of all is filled up with end ids. Sequences are numbered 0..N-1 and a keyed
+Feistel permutation of the next power of four, walked along its cycle until it falls below N, gives each its
+slot. The order depends on the rows and the key alone, not on files, partitions or the cluster.
+
+Range partitions of the slots are the shards, one file each: a record is the sequence's ids (little-endian
+unsigned integers of ID_BYTES or, for larger vocabularies, 4 bytes) and one closing byte, so that slot s stands in shard
+s // shard_rows from byte (s % shard_rows) * stride on, and a run resumes at any slot by reading on from there.
+Shards are written by Spark's text writer, whose lines are the raw bytes: its commit protocol leaves a whole
+file or none when an executor is lost.
+
+1. Texts are range-partitioned by (doc_id, hash), tokenised in that order and written with their place in the
+   partition; the partitions' first places are sums over a table of one row per partition, in two steps.
+2. Each text is cut where sequences end; the cuts go to the partition of their slot's shard, sorted by slot
+   and place, and are joined to records there. No sequence or text is gathered anywhere else.
+
+Defined cases: a null text counts as empty and adds one end id; a null doc_id is kept as a null in doc_ids and
+comes first; repeated rows are kept, each with its ids; a very long text fills as many sequences as it needs; an
+empty table gives no sequences and no shard; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches, table
+from .common import ARROW_ROWS, arrow_rows, materialize, scratch_dir, table, text_or_empty
 from .packing import worker_tokenizer
 
 SEQUENCE_IDS = 1024
@@ -34,6 +42,10 @@ SHARD_ROWS = 16_384
 ROUNDS = 6
 KEY = "epoch-0"
 END_ID = 50_256
+#: Bytes of an id where all ids fit in them.
+ID_BYTES = 2
+#: Partitions whose sizes are summed together first.
+SPAN = 1024
 
 
 def feistel(x: np.ndarray, half_bits: int, keys: np.ndarray) -> np.ndarray:
@@ -60,89 +72,147 @@ def slots(index: np.ndarray, total: int, key: str = KEY) -> np.ndarray:
     return at.astype(np.int64)
 
 
-def sequences(docs: DataFrame, path: str, pattern: str, length: int = SEQUENCE_IDS, end_id: int = END_ID) -> DataFrame:
-    """task, position, doc_ids (of each text that has ids here), n_ids before the filling, payload (unsigned 16-bit ids)."""
-    small_batches(docs.sparkSession)
+def id_bytes(path: str, end_id: int = END_ID) -> int:
+    """Bytes that an id of the tokenizer file needs: ID_BYTES or 4."""
+    from tokenizers import Tokenizer
+
+    largest = max(end_id, *Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values())
+    return ID_BYTES if largest < 1 << (8 * ID_BYTES) else 4
+
+
+def tokenised(docs: DataFrame, path: str, pattern: str, end_id: int = END_ID) -> DataFrame:
+    """doc_id, first (place of its first id among the ids of all texts), n and ids (binary) of every text, end id included."""
+    width = id_bytes(path, end_id)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task, position = worker_tokenizer(path, pattern), TaskContext.get().partitionId(), 0
-        held, owners = np.zeros(0, "<u2"), []  # owners: (end of its ids in held, doc_id)
-
-        def cut_off(last: bool) -> pa.RecordBatch:
-            nonlocal held, owners, position
-            whole = len(held) // length
-            out: list[list] = [[], [], [], [], []]
-            k = 0
-            for s in range(whole + (last and len(held) % length > 0)):
-                part, ids = held[s * length : (s + 1) * length], []
-                while k < len(owners) and owners[k][0] <= s * length:
-                    k += 1
-                for stop, doc_id in owners[k:]:
-                    ids.append(doc_id)
-                    if stop >= (s + 1) * length:
-                        break
-                payload = np.full(length, end_id, "<u2")
-                payload[: len(part)] = part
-                for column, value in zip(out, (task, position, ids, len(part), payload.tobytes()), strict=True):
-                    column.append(value)
-                position += 1
-            done = whole * length
-            held, owners = held[done:], [(stop - done, d) for stop, d in owners if stop > done]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()), strict=True)], ["task", "position", "doc_ids", "n_ids", "payload"])
-
+        encoder, part, place = worker_tokenizer(path, pattern), TaskContext.get().partitionId(), 0
         for batch in batches:
-            parts, at = [held], len(held)
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(encoder(text or "") + end, "<u4").astype("<u2")
-                parts.append(ids)
-                at += len(ids)
-                owners.append((at, doc_id))
-            held = np.concatenate(parts)
-            yield cut_off(False)
-        yield cut_off(True)
-
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "task int, position long, doc_ids array<long>, n_ids int, payload binary")
-
-
-def in_training_order(rows: DataFrame, key: str = KEY, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """rows of sequences() with slot, shard and byte_offset; each shard is one sorted partition."""
-    spark = rows.sparkSession
-    rows = materialize(rows, "sequences")
-    counts = {r.task: r.n for r in rows.groupBy("task").agg(F.count("*").alias("n")).collect()}  # a number per input task
-    firsts, total = {}, 0
-    for task in sorted(counts):
-        firsts[task], total = total, total + counts[task]
-    first = spark.createDataFrame(list(firsts.items()), "task int, first long")
-
+            ids = [np.frombuffer(encoder(t or "") + end, "<u4") for t in batch.column("text").to_pylist()]
+            n = np.array([len(x) for x in ids], np.int64)
+            starts = place + np.cumsum(n) - n
+            place += int(n.sum())
+            columns = [pa.array(np.full(len(n), part, np.int64)), batch.column("doc_id"), pa.array(starts), pa.array(n), pa.array([x.astype(f"<u{width}").tobytes() for x in ids], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "doc_id", "start", "n", "ids"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    # equal rows are interchangeable, so that a number of any kind may part them
+    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("any", F.monotonically_increasing_id())
+    order = ["doc_id", "tie", "text"]
+    rows = rows.repartitionByRange("doc_id", "tie", "any").sortWithinPartitions(*order).select("doc_id", "text")
+    found = materialize(rows.mapInArrow(run, "part long, doc_id long, start long, n long, ids binary"), "ids", ARROW_ROWS)
+    sizes = found.groupBy("part").agg(F.sum("n").alias("size")).withColumn("span", F.floor(F.col("part") / SPAN))
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    spans = sizes.groupBy("span").agg(F.sum("size").alias("size")).select("span", F.coalesce(F.sum("size").over(before().orderBy("span")), F.lit(0)).alias("span_first"))  # a row per SPAN partitions
+    firsts = sizes.join(spans, "span").select("part", (F.col("span_first") + F.coalesce(F.sum("size").over(before("span").orderBy("part")), F.lit(0))).alias("part_first"))
+    return found.join(materialize(firsts, "firsts"), "part").select("doc_id", (F.col("part_first") + F.col("start")).alias("first"), "n", "ids")
+
+
+def _slot_of(total: int, key: str):
     @F.pandas_udf("long")
-    def slot(index: pd.Series) -> pd.Series:
-        return pd.Series(slots(index.to_numpy(np.int64), total, key))
-
-    placed = (
-        rows.join(F.broadcast(first), "task")  # one row per input task
-        .withColumn("slot", slot(F.col("first") + F.col("position")))
-        .withColumn("shard", F.floor(F.col("slot") / shard_rows).cast("int"))
-        .withColumn("byte_offset", F.pmod("slot", F.lit(shard_rows)) * F.length("payload"))
-        .select("slot", "shard", "byte_offset", "doc_ids", "n_ids", "payload")
-    )
-    return placed.repartitionById(max(1, -(-total // shard_rows)), F.col("shard")).sortWithinPartitions("slot")
-
-
-def write_shards(ordered: DataFrame, path: str) -> None:
-    """One directory shard=K per shard, its records in slot order."""
-    ordered.write.partitionBy("shard").parquet(path)
+    def slot(number: pd.Series) -> pd.Series:
+        return pd.Series(slots(number.to_numpy(np.int64), total, key))
+
+    return slot
+
+
+class Order:
+    """The sequences of documents in training order. docs: doc_id and text."""
+
+    def __init__(self, docs: DataFrame, path: str, pattern: str, key: str = KEY, length: int = SEQUENCE_IDS, shard_rows: int = SHARD_ROWS, end_id: int = END_ID) -> None:
+        self.rows, self.key, self.length, self.shard_rows, self.end_id = tokenised(docs, path, pattern, end_id), key, length, shard_rows, end_id
+        self.width = id_bytes(path, end_id)
+        self.total = -(-(self.rows.agg(F.sum("n")).first()[0] or 0) // length)
+        self.stride = length * self.width + 1
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        placed = rows.withColumn("slot", _slot_of(self.total, self.key)(F.col("number"))).drop("number").withColumn("shard", F.floor(F.col("slot") / self.shard_rows).cast("int"))
+        return placed.withColumn("byte_offset", F.pmod("slot", F.lit(self.shard_rows)) * self.stride)
+
+    def contents(self) -> DataFrame:
+        """slot, shard, byte_offset, doc_ids (of each text that has ids there, in order) and n_ids before the filling."""
+        cuts = F.sequence(F.floor(F.col("first") / self.length), F.floor((F.col("first") + F.col("n") - 1) / self.length))
+        held = self.rows.select("doc_id", "first", "n", F.explode(cuts).alias("number"))
+        begin = F.greatest("first", F.col("number") * self.length)
+        held = held.select("number", "doc_id", begin.alias("begin"), (F.least(F.col("first") + F.col("n"), (F.col("number") + 1) * self.length) - begin).alias("n"))
+        one = held.groupBy("number").agg(F.sort_array(F.collect_list(F.struct("begin", "doc_id"))).alias("d"), F.sum("n").cast("int").alias("n_ids"))  # a sequence's length at most
+        return self._placed(one.select("number", F.col("d.doc_id").alias("doc_ids"), "n_ids")).select("slot", "shard", "byte_offset", "doc_ids", "n_ids")
+
+    def records(self) -> DataFrame:
+        """shard and record (payload and closing byte): a partition per shard, in the order of its slots."""
+        length, width, end_id = self.length, self.width, self.end_id
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                numbers, places, parts = [], [], []
+                for first, blob in zip(batch.column("first").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                    at, stop = first, first + len(blob) // width
+                    while at < stop:
+                        to = min(stop, (at // length + 1) * length)
+                        numbers.append(at // length)
+                        places.append(at % length)
+                        parts.append(blob[(at - first) * width : (to - first) * width])
+                        at = to
+                yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(places, pa.int32()), pa.array(parts, pa.binary())], ["number", "place", "part"])
+
+        def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now: tuple[int, int] | None = None  # slot and shard
+            held: list[bytes] = []
+
+            def record() -> bytes:
+                body = b"".join(held)
+                return body + np.full(length - len(body) // width, end_id, f"<u{width}").tobytes()
+
+            for batch in batches:
+                shards, records = [], []
+                for slot, shard, part in zip(*(batch.column(c).to_pylist() for c in ("slot", "shard", "part")), strict=True):
+                    if now is not None and now[0] != slot:
+                        shards.append(now[1])
+                        records.append(record())
+                        held = []
+                    now = slot, shard
+                    held.append(part)
+                yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(records, pa.binary())], ["shard", "record"])
+            if now is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([now[1]], pa.int32()), pa.array([record()], pa.binary())], ["shard", "record"])
+
+        cuts = self.rows.select("first", "ids").mapInArrow(cut, "number long, place int, part binary")
+        dealt = self._placed(cuts).repartitionById(max(1, -(-self.total // self.shard_rows)), F.col("shard")).sortWithinPartitions("slot", "place")
+        return dealt.select("slot", "shard", "part").mapInArrow(join, "shard int, record binary")
+
+    def write_shards(self, path: str) -> None:
+        """A folder shard=K with one file of fixed-stride records for each shard."""
+        lines = self.records().select(F.col("record").cast("string").alias("value"), "shard")  # the bytes as they are
+        with arrow_rows(lines.sparkSession, 4 * ARROW_ROWS):
+            lines.write.option("lineSep", "\n").partitionBy("shard").text(path)
+
+
+def read_from(spark: SparkSession, path: str, slot: int = 0, stride: int = SEQUENCE_IDS * ID_BYTES + 1, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """slot, shard, byte_offset and payload of the rest of the order from a slot on; earlier shards are not opened."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, blob in zip(batch.column("shard").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                first = max(0, slot - shard * shard_rows)
+                at = np.arange(first, len(blob) // stride, dtype=np.int64)
+                for s in range(0, len(at), ARROW_ROWS):
+                    some = at[s : s + ARROW_ROWS]
+                    payload = [blob[k * stride : (k + 1) * stride - 1] for k in some.tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array(some + shard * shard_rows), pa.array(np.full(len(some), shard, np.int32)), pa.array(some * stride), pa.array(payload, pa.binary())], ["slot", "shard", "byte_offset", "payload"])
 
-def read_from(spark: SparkSession, path: str, slot: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """The rest of the order from a slot on; earlier shards are not opened."""
-    return spark.read.parquet(path).where((F.col("shard") >= slot // shard_rows) & (F.col("slot") >= slot))
+    files = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary, shard int").load(path)
+    return files.where(F.col("shard") >= slot // shard_rows).select("shard", "content").mapInArrow(run, "slot long, shard int, byte_offset long, payload binary")
 
 
 def op2_training_order(spark: SparkSession, sf_dir: str, tokenizer_file: str | None = None) -> DataFrame:
+    """The shards, written under spark.checkpoint.dir and read again by offset, with what each record holds."""
     import public_tokenizers
 
-    path = tokenizer_file or public_tokenizers.path("byte_bpe_50k.json")
-    rows = sequences(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return in_training_order(rows)
+    order = Order(table(spark, sf_dir, "documents"), tokenizer_file or public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    contents = order.contents()
+    if not order.total:
+        return contents.withColumn("payload", F.lit(None).cast("binary"))
+    path = f"{scratch_dir(spark)}/gf-shards-{uuid.uuid4().hex}"
+    order.write_shards(path)
+    read = materialize(read_from(spark, path, 0, order.stride, order.shard_rows), "records", 4)
+    return contents.join(read.select("slot", "payload"), "slot")

@@ -51,30 +51,44 @@ def test_quality_score_of_empty_text_is_the_bias():
     assert model.score(["word"])[0] == pytest.approx(1 / (1 + np.exp(1.0)))
 
 
-def test_training_order_is_a_permutation_and_keeps_all_ids(spark, documents):
-    rows = training_order.in_training_order(training_order.sequences(documents, JSON, P.PATTERN), shard_rows=64)
-    got = rows.collect()
-    total = len(got)
-    assert sorted(r.slot for r in got) == list(range(total))
-    assert all(r.shard == r.slot // 64 and r.byte_offset == r.slot % 64 * 2048 and len(r.payload) == 2048 for r in got)
-    encoder = own_tiktoken()
-    want = defaultdict(int)
-    for r in documents.collect():
-        for t in [*encoder.encode_ordinary(r.text or ""), training_order.END_ID]:
-            want[t] += 1
-    have = defaultdict(int)
-    for r in got:
-        for t in np.frombuffer(r.payload, "<u2")[: r.n_ids].tolist():
-            have[t] += 1
-    assert have == want
-
-
-def test_training_order_shards_resume(spark, documents, tmp_path):
-    rows = training_order.in_training_order(training_order.sequences(documents, JSON, P.PATTERN), shard_rows=50)
-    training_order.write_shards(rows, str(tmp_path / "shards"))
-    total = rows.count()
-    rest = training_order.read_from(spark, str(tmp_path / "shards"), 120, 50)
-    assert sorted(r.slot for r in rest.select("slot").collect()) == list(range(120, total))
+def plain_order(docs, length, shard_rows, key=training_order.KEY):
+    """Slot to (doc_ids, n_ids, payload), from one list of all ids."""
+    encoder = Tokenizer.from_file(JSON)
+    spread = [(r.doc_id, r.tie, r.text or "") for r in docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text").collect()]
+    ids, owners = [], []
+    for doc_id, _, text in sorted(spread, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        own = [*encoder.encode(text, add_special_tokens=False).ids, training_order.END_ID]
+        owners += [(len(ids), len(ids) + len(own), doc_id)]
+        ids += own
+    total = -(-len(ids) // length)
+    out = {}
+    for number, slot in enumerate(training_order.slots(np.arange(total), total, key).tolist()):
+        s, e = number * length, min(len(ids), (number + 1) * length)
+        part = ids[s:e] + [training_order.END_ID] * (length - e + s)
+        out[slot] = ([d for x, y, d in owners if x < e and y > s], e - s, np.array(part, "<u2").tobytes())
+    return out
+
+
+@pytest.mark.parametrize("parts", [2, 7])
+def test_training_order_shards_equal_one_list_of_all_ids(spark, documents, tmp_path, parts):
+    docs = documents.repartition(parts)
+    order = training_order.Order(docs, JSON, P.PATTERN, length=256, shard_rows=50)
+    order.write_shards(str(tmp_path / "shards"))
+    want = plain_order(documents, 256, 50)
+    assert order.total == len(want) and order.stride == 513
+    for slot in (0, 1, 49, 50, 123, order.total - 1):  # a seek in the file itself
+        (file,) = (tmp_path / "shards" / f"shard={slot // 50}").glob("part-*")
+        with file.open("rb") as f:
+            f.seek(slot % 50 * order.stride)
+            assert f.read(512) == want[slot][2]
+    rest = training_order.read_from(spark, str(tmp_path / "shards"), 123, order.stride, 50).collect()
+    assert {r.slot: (r.shard, r.byte_offset, r.payload) for r in rest} == {s: (s // 50, s % 50 * 513, w[2]) for s, w in want.items() if s >= 123}
+    held = order.contents().collect()
+    assert {r.slot: (r.doc_ids, r.n_ids) for r in held} == {s: w[:2] for s, w in want.items()} and len(held) == len(want)
+
+
+def test_training_order_of_large_vocabularies_has_wider_ids(tmp_path):
+    assert training_order.id_bytes(JSON) == 2 and training_order.id_bytes(JSON, 70_000) == 4
 
 
 @pytest.mark.parametrize("total", [1, 2, 3, 5, 64, 1000, 4097])
@@ -84,9 +98,16 @@ def test_feistel_permutes(total):
     assert total < 100 or (a != training_order.slots(np.arange(total), total, "other")).any()
 
 
-def test_training_order_odd_rows(spark, odd_docs, no_docs):
-    assert training_order.in_training_order(training_order.sequences(odd_docs, JSON, P.PATTERN)).count() > 0
-    assert training_order.in_training_order(training_order.sequences(no_docs, JSON, P.PATTERN)).count() == 0
+def test_training_order_odd_rows(spark, odd_docs, no_docs, tmp_path):
+    docs = odd_docs.unionByName(odd_docs.where("doc_id IS NULL"))
+    order = training_order.Order(docs, JSON, P.PATTERN, length=64)
+    order.write_shards(str(tmp_path / "shards"))
+    got = {r.slot: r.payload for r in training_order.read_from(spark, str(tmp_path / "shards"), 0, order.stride).collect()}
+    want = plain_order(docs, 64, training_order.SHARD_ROWS)
+    assert got == {s: w[2] for s, w in want.items()}
+    assert {r.slot: (r.doc_ids, r.n_ids) for r in order.contents().collect()} == {s: w[:2] for s, w in want.items()}
+    none = training_order.Order(no_docs, JSON, P.PATTERN)
+    assert none.total == 0 and none.contents().count() == 0
 
 
 def test_bpe_equals_tiktoken(spark, documents, odd_docs):
