@@ -29,11 +29,6 @@ def arrow_rows(spark: SparkSession, rows: int | None = ARROW_ROWS) -> Iterator[N
         spark.conf.set(key, before)
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the memory of one Arrow batch (a session setting read when a plan runs)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
