@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import ALLOWED_HOSTS, CASE_ID, CAUSE, CITATION_CONTEXT, CITED_COURT, COURT, JID, JUDGE, NEW_CITATION, OLD_CITATION, ROC_DATE_LINE
-from .text import clipped, lines, normalize_space, strip
+from .text import bound, lines, normalize_space, running, strip
 
 EMPTY = ""
 
@@ -100,19 +100,37 @@ def citations(text: Column) -> Column:
 
 
 def contexts(text: Column, pattern: str, context: int = CITATION_CONTEXT) -> Column:
-    """array<struct<position bigint, match string, context string>> of every match, with text on both sides."""
-    text = F.coalesce(text, F.lit(""))
-    found, gaps = F.regexp_extract_all(text, F.lit("(?U)" + pattern), F.lit(0)), F.split(text, "(?U)" + pattern, -1)
-
-    def one(i: Column) -> Column:
-        before = F.aggregate(F.slice(gaps, 1, i), F.lit(0), lambda n, g: n + F.length(g))
-        position = before + F.aggregate(F.slice(found, 1, i - 1), F.lit(0), lambda n, m: n + F.length(m))
-        match = F.element_at(found, i)
-        around = clipped(text, position, position + F.length(match), context, "context")
-        return F.struct(around["position"].alias("position"), match.alias("match"), around["context"].alias("context"))
-
-    empty = F.array().cast("array<struct<position:bigint,match:string,context:string>>")
-    return F.when(F.size(found) > 0, F.transform(F.sequence(F.lit(1), F.size(found)), one)).otherwise(empty)
+    """array<struct<position bigint, match string, context string>> of every match, with text on both sides.
+
+    The text around a match is joined from the gaps and matches next to it (a match has a character at least), so that a long text
+    is not read again for each.
+    """
+    pattern, none = "(?U)" + pattern, F.lit(0)
+    last = lambda t: F.substring(t, -context, context)
+    head = lambda t: F.substring(t, 1, context)
+
+    def of(b: Column) -> Column:
+        """b: text length, found (matches), gaps (one more), starts (of the gaps), ends and begins (their clipped ends and beginnings)."""
+
+        def one(match: Column, i: Column) -> Column:
+            start = b["starts"][i] + F.length(b["gaps"][i])
+            stop = start + F.length(match)
+            back = F.least(i, F.lit(context))
+            earlier = F.zip_with(F.slice(b["ends"], i - back + 1, back), F.slice(b["found"], i - back + 1, back), lambda g, m: F.concat(g, m))
+            later = F.zip_with(F.slice(b["found"], i + 2, F.lit(context)), F.slice(b["begins"], i + 3, F.lit(context)), lambda m, g: F.concat(m, F.coalesce(g, F.lit(""))))
+            left = last(F.concat(F.array_join(earlier, ""), b["ends"][i]))
+            right = head(F.concat(b["begins"][i + 1], F.array_join(later, "")))
+            around = F.concat(F.when(start > context, "...").otherwise(""), left, match, right, F.when(stop + context < b["n"], "...").otherwise(""))
+            return F.struct(start.cast("bigint").alias("position"), match.alias("match"), around.alias("context"))
+
+        return F.transform(b["found"], one)
+
+    def parts(s: Column) -> Column:
+        sizes = F.zip_with(s["gaps"], s["found"], lambda g, m: F.length(g) + F.coalesce(F.length(m), none))
+        return F.struct(s["n"].alias("n"), s["found"].alias("found"), s["gaps"].alias("gaps"), running(sizes).alias("starts"), F.transform(s["gaps"], last).alias("ends"), F.transform(s["gaps"], head).alias("begins"))
+
+    whole = lambda t: F.struct(F.length(t).alias("n"), F.regexp_extract_all(t, F.lit(pattern), none).alias("found"), F.split(t, pattern, -1).alias("gaps"))
+    return bound(F.coalesce(text, F.lit("")), lambda t: bound(whole(t), lambda s: bound(parts(s), of)))
 
 
 # ------------------------------------------------------------------ judgments

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..constants import CASE_ID, CN_DIGITS, FACTS_HEADINGS, NOT_NAMES, PARTY_FILLERS, PARTY_STOPS, PATTERN_NAMES, ROLES
 from ..operators.resolve import clean_statute_names
 from .identifiers import chinese_number, is_date_line
-from .text import lines, normalize_space, strip
+from .text import bound, lines, normalize_space, strip
 
 MAIN, FACTS, REASONS = "主文", "事實", "理由"
 
@@ -20,63 +16,76 @@ MAIN, FACTS, REASONS = "主文", "事實", "理由"
 def section_texts(text: Column) -> Column:
     """struct<main_text, facts, reasoning>: the lines below each heading up to the line of the date.
 
-    A fold over the lines carries the current section and one array per section.
+    Headings and the first date below one are looked up by their place; what lies between is cut out.
     """
-    empty = F.array().cast("array<string>")
     names = {MAIN: "main_text", FACTS: "facts", REASONS: "reasoning"}
-    start = F.struct(F.lit("").alias("now"), F.lit(False).alias("ended"), *[empty.alias(n) for n in names.values()])
-
-    def step(s: Column, line: Column) -> Column:
-        title, own = normalize_space(line), strip(line)
-        heading = F.when(title == MAIN, MAIN).when(title.isin(FACTS_HEADINGS), FACTS).when(title == REASONS, REASONS)
-        ended = s["ended"] | (heading.isNull() & (s["now"] != "") & is_date_line(line))
-        takes = ~ended & heading.isNull() & (own != "")
-        grown = [F.when(takes & (s["now"] == key), F.array_append(s[name], own)).otherwise(s[name]).alias(name) for key, name in names.items()]
-        return F.struct(F.when(~s["ended"], F.coalesce(heading, s["now"])).otherwise(s["now"]).alias("now"), ended.alias("ended"), *grown)
-
-    done = F.aggregate(lines(F.coalesce(text, F.lit(""))), start, step)
-    return F.struct(*[F.array_join(done[n], "\n").alias(n) for n in names.values()])
-
-
-_ROLE = re.compile(r"^\s*((?:" + "|".join(r"\s*".join(role) for role in ROLES) + r"))\s+(.+?)$")
-_CASE = re.compile(CASE_ID.removeprefix("(?U)"))
-
-
-def _parties(text: str | None) -> dict[str, list[str]]:
-    out: dict[str, list[str]] = {}
-    squeeze = lambda s: re.sub(r"\s+", "", s)
-    rows = iter((text or "").split("\n"))
-    # up to the line with the case number, which is among the first ten
-    for k, line in enumerate(rows):
-        if squeeze(line) in (MAIN, "據上論結") or k >= 10:
-            return out
-        if _CASE.search(line.strip()):
-            break
-    role = None
-    for line in rows:
-        own, title = line.strip(), squeeze(line)
-        if title in (MAIN, "據上論結"):
-            break
-        if not own:
-            continue
-        if found := _ROLE.match(line):
-            role, name = squeeze(found.group(1)), re.sub(r"\s{2,}", "", found.group(2).strip())
-            names = out.setdefault(role, [])
-            if len(name) >= 2:
-                names.append(name)
-        elif role:
-            if any(word in own for word in PARTY_STOPS):
-                break
-            name = re.sub(r"\s{2,}", "", own)
-            if title not in PARTY_FILLERS and 2 <= len(name) <= 30 and not any(word in name for word in NOT_NAMES):
-                out[role].append(name)
-    return out
-
-
-@F.pandas_udf(T.MapType(T.StringType(), T.ArrayType(T.StringType())))
-def parties(text: pd.Series) -> pd.Series:
-    """Names by role, from the lines between the case number and the main text."""
-    return text.map(_parties)
+
+    def read(line: Column, i: Column) -> Column:
+        title = normalize_space(line)
+        kind = F.when(title == MAIN, MAIN).when(title.isin(FACTS_HEADINGS), FACTS).when(title == REASONS, REASONS)
+        return F.struct(i.alias("i"), strip(line).alias("own"), kind.alias("kind"), (kind.isNull() & is_date_line(line)).alias("dated"))
+
+    def sections(rows: Column, end: Column) -> Column:
+        heads = F.filter(rows, lambda r: r["kind"].isNotNull() & (r["i"] < end))
+        return bound(heads, lambda h: F.transform(h, lambda r, k: F.struct(r["kind"].alias("kind"), F.slice(rows, r["i"] + 2, F.coalesce(F.try_element_at(h["i"], k + 2), end) - r["i"] - 1)["own"].alias("lines"))))
+
+    def joined(found: Column) -> Column:
+        of = lambda kind: F.flatten(F.filter(found, lambda s: s["kind"] == kind)["lines"])
+        return F.struct(*[F.array_join(F.filter(of(kind), lambda own: own != ""), "\n").alias(name) for kind, name in names.items()])
+
+    def all_of(rows: Column) -> Column:
+        first = F.try_element_at(F.filter(rows, lambda r: r["kind"].isNotNull()), F.lit(1))["i"]
+        dated = F.try_element_at(F.filter(rows, lambda r: r["dated"] & (r["i"] > first)), F.lit(1))["i"]
+        return bound(F.coalesce(dated, F.size(rows)), lambda end: bound(sections(rows, end), joined))
+
+    return bound(F.transform(lines(F.coalesce(text, F.lit(""))), read), all_of)
+
+
+ROLE = r"(?U)^\s*((?:" + "|".join(r"\s*".join(role) for role in ROLES) + r"))\s+(.+)$"
+ENDINGS = [MAIN, "據上論結"]
+HEAD_LINES = 10
+NAME_CHARS = (2, 30)
+
+
+def parties(text: Column) -> Column:
+    """map<role, names>, from the lines between the case number (in the first lines) and the main text.
+
+    A line names a role and its first party; lines below it without a role are further parties of it, until one
+    tells that the list is over. Lines are read one by one, then cut at the places of the roles.
+    """
+    least, most = NAME_CHARS
+    any_of = lambda value, words: F.exists(F.array(*map(F.lit, words)), lambda w: value.contains(w))
+    place = lambda rows, test: F.try_element_at(F.filter(rows, test), F.lit(1))["i"]
+
+    def read(line: Column, i: Column) -> Column:
+        own, title = strip(line), normalize_space(line)
+        role = normalize_space(F.regexp_extract(line, ROLE, 1))
+        named = F.regexp_replace(F.when(role != "", strip(F.regexp_extract(line, ROLE, 2))).otherwise(own), r"(?U)\s{2,}", "")
+        more = ~title.isin(PARTY_FILLERS) & F.length(named).between(least, most) & ~any_of(named, NOT_NAMES)
+        return F.struct(
+            i.alias("i"), role.alias("role"), F.when(F.when(role != "", F.length(named) >= least).otherwise(more), named).alias("name"), title.isin(ENDINGS).alias("ends"),
+            own.rlike(CASE_ID).alias("cased"), ((role == "") & any_of(own, PARTY_STOPS)).alias("stops"),
+        )
+
+    def listed(rows: Column) -> Column:
+        case = place(F.slice(rows, 1, HEAD_LINES), lambda r: r["cased"] | r["ends"])
+        end = place(rows, lambda r: r["ends"] & (r["i"] > case))
+        return F.when(rows[case]["cased"], F.slice(rows, case + 2, F.coalesce(end, F.size(rows)) - case - 1)).otherwise(F.slice(rows, 1, 0))
+
+    def before_stop(rows: Column) -> Column:
+        first = place(rows, lambda r: r["role"] != "")
+        return F.filter(rows, lambda r: (r["i"] >= first) & (r["i"] < F.coalesce(place(rows, lambda s: s["stops"] & (s["i"] > first)), r["i"] + 1)))
+
+    def by_role(rows: Column) -> Column:
+        heads = F.filter(rows, lambda r: r["role"] != "")
+        start = rows[0]["i"]
+        parts = lambda h: F.transform(h, lambda r, k: F.struct(r["role"].alias("role"), F.slice(rows, r["i"] - start + 1, F.coalesce(F.try_element_at(h["i"], k + 2), start + F.size(rows)) - r["i"])["name"].alias("names")))
+        names = lambda p, role: F.filter(F.flatten(F.filter(p, lambda s: s["role"] == role)["names"]), lambda n: n.isNotNull())
+        return bound(bound(heads, parts), lambda p: F.map_from_entries(F.transform(F.array_distinct(p["role"]), lambda role: F.struct(role, names(p, role)))))
+
+    none = F.create_map().cast("map<string,array<string>>")
+    found = bound(bound(bound(F.transform(lines(F.coalesce(text, F.lit(""))), read), listed), before_stop), lambda rows: F.when(F.size(rows) > 0, by_role(rows)).otherwise(none))
+    return F.coalesce(found, none)
 
 
 _NAMES = "(?:" + "|".join(PATTERN_NAMES) + "|[一-鿿]{2,15}(?:法|條例|規則|辦法))"

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..constants import BOILERPLATE, SAFETY_VALVE, SNIPPET_CONTEXT, SNIPPET_MATCHES, SUBSTANTIVE
+from ..constants import BOILERPLATE, CHALLENGE, CUT_WARNING, REFUSAL, REFUSAL_CHARS, SAFETY_VALVE, SNIPPET_CONTEXT, SNIPPET_MATCHES, SUBSTANTIVE
+
+#: Elements that running() sums together first.
+SPAN = 256
 
 
 def quoted(literal: str) -> str:
@@ -13,6 +16,28 @@ def quoted(literal: str) -> str:
     return "\\Q" + literal.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), with value evaluated once however often use() names it (also in lambdas)."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(numbers: Column) -> Column:
+    """For each number of an array the sum of those before it.
+
+    Sums are taken in spans of SPAN numbers and then over the spans, so that no fold copies a long array at every step.
+    """
+
+    def sums(values: Column, start: Column) -> Column:
+        first = F.struct(start.alias("sum"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(values, first, lambda s, x: F.struct((s["sum"] + x).alias("sum"), F.array_append(s["out"], s["sum"]).alias("out")), lambda s: s["out"])
+
+    zero = F.lit(0).cast("bigint")
+    cut = lambda n: F.transform(F.sequence(F.lit(0), F.ceil(F.size(n) / SPAN).cast("int") - 1), lambda k: F.slice(n, k * SPAN + 1, F.lit(SPAN)))
+    total = lambda span: F.aggregate(span, zero, lambda s, x: s + x)
+    summed = lambda spans: F.flatten(F.zip_with(spans, sums(F.transform(spans, total), zero), sums))
+    return bound(numbers.cast("array<bigint>"), lambda n: F.when(F.size(n) > 0, bound(cut(n), summed)).otherwise(F.array().cast("array<bigint>")))
+
+
 def strip(text: Column) -> Column:
     """Without white space of any kind (ideographic and no-break spaces too) at both ends."""
     return F.regexp_replace(F.regexp_replace(text, r"(?U)^\s+", ""), r"(?U)\s+\z", "")
@@ -48,16 +73,12 @@ def match_count(text: Column, keyword: str) -> Column:
 
 def snippets(text: Column, keyword: str, context: int = SNIPPET_CONTEXT, limit: int = SNIPPET_MATCHES) -> Column:
     """array<struct<position bigint, snippet string>> of the first matches; position counts from 0."""
-    text, k = F.coalesce(text, F.lit("")), len(keyword)
-    gaps = F.split(text, quoted(keyword), -1)
-    shown = F.least(F.size(gaps) - 1, F.lit(limit))
-
-    def one(i: Column) -> Column:
-        position = F.aggregate(F.slice(gaps, 1, i), F.lit(0), lambda n, g: n + F.length(g)) + (i - 1) * k
-        return clipped(text, position, position + k, context, "snippet")
-
-    empty = F.array().cast("array<struct<position:bigint,snippet:string>>")
-    return F.when(shown > 0, F.transform(F.sequence(F.lit(1), shown), one)).otherwise(empty)
+    k = len(keyword)
+    gaps = lambda t: F.split(t, quoted(keyword), limit + 1)  # noqa: E731  # no further than needed
+    before = lambda parts: F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda g: F.length(g) + k)
+    # a match starts where the gaps and matches before it end, and its own gap
+    starts = lambda parts: F.zip_with(running(before(parts)), F.slice(parts, 1, F.size(parts) - 1), lambda s, g: s + F.length(g))
+    return bound(F.coalesce(text, F.lit("")), lambda t: F.transform(bound(gaps(t), starts), lambda s: clipped(t, s, s + k, context, "snippet")))
 
 
 def clipped(text: Column, start: Column, stop: Column, context: int, name: str) -> Column:
@@ -71,10 +92,7 @@ def clipped(text: Column, start: Column, stop: Column, context: int, name: str)
 def safety_valve(text: Column, limit: int = SAFETY_VALVE) -> Column:
     """struct<text, truncated>: texts over the limit are cut and carry a warning at their end."""
     n = F.length(text)
-    warning = F.concat(
-        F.lit("\n\n[System Warning: 本欄位字數過長（原長 "), n.cast("string"), F.lit(" 字），已截斷末端 "), (n - limit).cast("string"),
-        F.lit(" 字。請優先基於已提供的部分進行推理，切勿直接斷言「大法官並未提及某事」——被截斷的內容可能包含關鍵論述。若判斷末端內容關鍵，可回報使用者需人工查閱完整判決。]"),
-    )
+    warning = F.format_string(CUT_WARNING, n, n - limit)
     cut = F.coalesce(n > limit, F.lit(False))
     return F.struct(F.when(cut, F.concat(F.substring(text, 1, limit), warning)).otherwise(text).alias("text"), cut.alias("truncated"))
 
@@ -92,6 +110,12 @@ def looks_like_article(text: Column, markers: list[str] = BOILERPLATE) -> Column
     return F.coalesce(~found, F.lit(True))
 
 
+def is_block_page(html: Column) -> Column:
+    """A saved page that isn't the document: nothing, a short refusal, or a challenge for browsers."""
+    challenge = F.forall(F.array(*map(F.lit, CHALLENGE)), lambda mark: html.contains(mark))
+    return F.coalesce((F.length(html) == 0) | ((F.length(html) < REFUSAL_CHARS) & html.contains(REFUSAL)) | challenge, F.lit(True))
+
+
 def has_all_terms(text: Column, terms: str) -> Column:
     """Every term (between white space) occurs in the text."""
     out = F.lit(True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +12,13 @@ from ..functions.identifiers import article_key, article_order, case_id_line, ca
 from ..functions.identifiers import NEW_CITATION, OLD_CITATION
 from ..functions.sections import cited_statutes, parties, section_texts
 from ..functions.text import clean_judgment_text, long_field, looks_like_article
-from .resolve import known_names, resolve_names, suggestions, with_court
-from .search import page, search_judgments, search_names, search_rulings
+from .resolve import known_names, resolve_name, suggestions, with_court
+from .search import available_years, page, search_judgments, search_names, search_rulings
+
+
+def error_envelope(message: str, at: datetime, **context: object) -> dict[str, object]:
+    """A failed lookup as a JSON-ready answer: success, error, timestamp and what the caller adds (which wins over these)."""
+    return {"success": False, "error": message, "timestamp": at.isoformat()} | context
 
 
 class Engine:
@@ -28,8 +35,11 @@ class Engine:
         """The judgment with its parts; by identifier, or by an allowed url."""
         if not jid and not url:
             raise ValueError("an identifier or a url is needed")
-        rows = self.judgments.where(F.col("jid") == jid) if jid else self.judgments.where(url_allowed(F.lit(url)) & (F.col("jid") == jid_from_url(F.lit(url))))
-        return judgment_parts(rows)
+        if not jid:
+            jid, fine = self.spark.range(1).select(jid_from_url(F.lit(url)), url_allowed(F.lit(url))).first()
+            if not fine:
+                raise ValueError(f"documents don't come from this address: {url[:80]}")
+        return judgment_parts(self.judgments.where(F.col("jid") == jid))
 
     def query_regulation(self, law_name: str = "", pcode: str = "", article_no: str = "", from_no: str = "", to_no: str = "", include_history: bool = False, compat: bool = False) -> DataFrame:
         """Articles of a law: one, a range (if both ends are given), or all, in order, with the law's status.
@@ -41,7 +51,7 @@ class Engine:
         if pcode:
             laws = self.laws.where(F.col("pcode") == pcode).groupBy("pcode").agg(F.max_by("law_name", "ordinal").alias("law_name"), F.bool_or("abolished").alias("abolished"))
         else:
-            found = resolve_names(self.spark.createDataFrame([(law_name,)], "term string"), self.laws).where("pcode IS NOT NULL").select("law_name", "pcode")
+            found = resolve_name(law_name, self.laws).where("pcode IS NOT NULL").select("law_name", "pcode")
             gone = self.laws.where("abolished").select("pcode").distinct().withColumn("abolished", F.lit(True))
             laws = found.join(gone, "pcode", "left").withColumn("abolished", F.coalesce("abolished", F.lit(False)))
         rows = self.articles.where(looks_like_article(F.col("content"))).join(laws, "pcode")
@@ -59,7 +69,7 @@ class Engine:
         """term, tier, law_name, pcode, status, matched_from (if the name isn't the law's), suggestions."""
         if not name:
             raise ValueError("a name is needed")
-        found = resolve_names(self.spark.createDataFrame([(name,)], "term string"), self.laws)
+        found = resolve_name(name, self.laws)
         status = self.laws.groupBy("pcode").agg(F.bool_or("abolished").alias("gone"))
         rows = found.join(status, "pcode", "left")
         return rows.select("term", "tier", "law_name", "pcode", F.when(F.col("pcode").isNotNull(), F.when(F.col("gone"), ABOLISHED).otherwise(CURRENT)).alias("status"), F.when(F.col("law_name") != F.col("term"), F.col("term")).alias("matched_from"))
@@ -79,6 +89,10 @@ class Engine:
         extra = [c.alias(f"{field}_{name}") for field, keyword, full in (("reasoning", reasoning_keyword, include_reasoning), ("opinions", opinions_keyword, include_opinions)) for name, c in long_field(F.col(field), keyword, full).items()]
         return rows.select(*rest, *extra)
 
+    def available_years(self) -> DataFrame:
+        """year of the new system's rulings, sorted."""
+        return available_years(self.rulings)
+
     def search_rulings(self, max_results: int = 30, **criteria) -> DataFrame:
         if max_results <= 0:
             raise ValueError("the number of results must be positive")

@@ -31,13 +31,31 @@ def courts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "court string, code string, level int")
 
 
-def substrings(text: Column) -> Column:
-    """The distinct substrings of a short text (a name); the empty one is not among them."""
+def substrings(text: Column, longest: int) -> Column:
+    """The distinct substrings of up to longest characters; the empty one is not among them."""
     n = F.length(text)
-    every = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(text, i, k))))
+    every = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), F.least(n - i + 1, F.lit(longest))), lambda k: F.substring(text, i, k))))
     return F.when(n > 0, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
 
 
+def longest_name(laws: DataFrame) -> int:
+    """Characters of the dictionary's longest name; 1 for an empty one."""
+    return laws.agg(F.max(F.length("law_name"))).first()[0] or 1
+
+
+def resolve_name(term: str, laws: DataFrame) -> DataFrame:
+    """As resolve_names() for one term: comparisons with a literal, in one pass over the dictionary."""
+    spark, full, fixed = laws.sparkSession, ALIASES.get(term), BUILTIN_LAWS.get(term)
+    name, size = F.col("law_name"), F.length("law_name")
+    tier = F.when(name == term, 0).when(name == F.lit(full), 1).when(F.lit(term).contains(name) & (size > 0), 3).when(name.contains(term), 4)
+    order = F.when(F.col("tier") == 3, -size).when(F.col("tier") == 4, size).otherwise(0)
+    found = laws.select("ordinal", "law_name", "pcode", tier.alias("tier")).where("tier IS NOT NULL").withColumn("size", order)
+    if fixed:
+        found = found.unionByName(spark.createDataFrame([(0, term, fixed, 2, 0)], "ordinal bigint, law_name string, pcode string, tier int, size int"))
+    best = found.agg(F.min(F.struct("tier", "size", "ordinal", "law_name", "pcode")).alias("b"))
+    return best.select(F.lit(term).alias("term"), F.col("b.tier").alias("tier"), F.col("b.law_name").alias("law_name"), F.col("b.pcode").alias("pcode"))
+
+
 def prefixes(text: Column, longest: int) -> Column:
     n = F.least(F.length(text), F.lit(longest))
     return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda k: F.substring(text, F.lit(1), k))).otherwise(F.array().cast("array<string>"))
@@ -65,9 +83,11 @@ def resolve_names(terms: DataFrame, laws: DataFrame, alias: DataFrame | None = N
     exact = hit(terms.join(laws, F.col("term") == F.col("law_name")), 0, none)
     by_alias = hit(terms.join(alias.select(F.col("alias").alias("term"), "law_name"), "term").join(laws, "law_name"), 1, none)
     fixed = hit(terms.join(builtin.select("law_name", "pcode"), F.col("term") == F.col("law_name")).withColumn("ordinal", F.lit(0).cast("bigint")), 2, none)
-    parts = terms.select("term", F.explode(substrings(F.col("term"))).alias("law_name"))
+    # no name is longer than the longest, and none can hold a longer term
+    longest = max(longest_name(laws), 1)
+    parts = terms.select("term", F.explode(substrings(F.col("term"), longest)).alias("law_name"))
     holds = hit(parts.join(laws, "law_name"), 3, -size)
-    of_names = laws.select("ordinal", "law_name", "pcode", F.explode(substrings(F.col("law_name"))).alias("term"))
+    of_names = laws.select("ordinal", "law_name", "pcode", F.explode(substrings(F.col("law_name"), longest)).alias("term"))
     held = hit(of_names.join(terms, "term"), 4, size)
     found = exact.unionByName(by_alias).unionByName(fixed).unionByName(holds).unionByName(held)
     best = found.groupBy("term").agg(F.min(F.struct("tier", "size", "ordinal", "law_name", "pcode")).alias("b"))
@@ -99,6 +119,19 @@ def with_history(articles: DataFrame, histories: DataFrame) -> DataFrame:
     return articles.join(histories.select("pcode", "history"), "pcode", "left")
 
 
+def abolished_codes(laws: DataFrame) -> DataFrame:
+    """pcode: the distinct codes of abolished items, sorted."""
+    return laws.where("abolished").select("pcode").distinct().orderBy("pcode")
+
+
+def court_named(asked: str) -> Column:
+    """Rows (court, jid) of a court, by its name or its code; an unknown code holds for identifiers that start with it and a letter for the type."""
+    code = COURTS.get(asked, asked)
+    name = next((n for n, c in COURTS.items() if c == code), None)
+    head = F.split_part("jid", F.lit(","), F.lit(1))
+    return F.col("court") == name if name else F.coalesce(F.substring(head, 1, len(code)) == code, F.lit(False)) & (F.length(head) == len(code) + 1)
+
+
 def suggestions(laws: DataFrame, term: str, limit: int = 10) -> DataFrame:
     """The first names, in dictionary order, that hold the term."""
     return laws.where(F.col("law_name").contains(term)).orderBy("ordinal").limit(limit).select("ordinal", "law_name", "pcode")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..constants import FAN_OUT, MAX_RESULTS, MISSING_LEVEL, PAGE_SIZE
 from ..functions.identifiers import fold_variant, format_case_ref, valid_jid
 from ..functions.text import has_all_terms
+from .resolve import court_named
 
 
 def page(rows: DataFrame, order: list[Column], offset: int = 0, size: int = PAGE_SIZE) -> DataFrame:
@@ -80,14 +81,15 @@ def search_judgments(
     """Judgments (jid, court, court_level, case_type, year, word, number, full_text, main_text, arrival), one per jid.
 
     With word and number alone the year is an equality and only the default types are searched; otherwise the
-    years are a range and all words of keyword and main_text must occur. Higher courts come first unless a court is named.
+    years are a range and all words of keyword and main_text must occur. Higher courts come first unless a court is
+    named, which goes by its name or its code.
     """
     limit = checked_limit(max_results)
     if not (keyword or case_number or main_text):
         raise ValueError("a keyword, a case number or a main text is needed")
     found = rows
     if court:
-        found = found.where(F.col("court") == court)
+        found = found.where(court_named(court))
     if case_word:
         found = found.where(fold_variant(F.col("word")) == F.translate(F.lit(case_word), "臺", "台"))
     if case_number:
@@ -134,6 +136,18 @@ def search_rulings(rulings: DataFrame, keyword: str = "", year: int = 0, number_
     return found.select("system", title.alias("case_id"), "year", "number", F.coalesce("issues", F.lit("")).alias("issues")).orderBy(rank, F.desc("year"), F.desc("number"))
 
 
+def listed_rulings(listing: DataFrame, issues: DataFrame, cases: DataFrame) -> DataFrame:
+    """listing (system, year, number) with the issues and, where the ruling itself is known, its reasoning."""
+    key = ["system", "year", "number"]
+    joined = listing.join(issues.select(*key, "issues"), key, "left").join(cases.select(*key, "reasoning"), key, "left")
+    return joined.withColumn("issues", F.coalesce("issues", F.lit("")))
+
+
+def available_years(listing: DataFrame) -> DataFrame:
+    """year: those of the new system's rulings, distinct and sorted; what a missing ruling is answered with."""
+    return listing.where("system = '憲判字'").select("year").distinct().orderBy("year")
+
+
 def truncated(rows: DataFrame, limit: int) -> DataFrame:
     """One row: n matches, and if a page of limit rows leaves some out."""
     return rows.agg(F.count("*").alias("n"), (F.count("*") > checked_limit(limit, 1 << 30)).alias("truncated"))

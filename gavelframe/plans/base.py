@@ -34,6 +34,10 @@ def literal(value) -> str:
     return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("'", "''") + "'"
 
 
+def literal_list(values: list) -> str:
+    return "[" + ", ".join(map(literal, values)) + "]"
+
+
 class Fixture:
     """A small table, as a DataFrame and as SQL."""
 

@@ -10,7 +10,7 @@ from ..functions.identifiers import NEW_CITATION, OLD_CITATION, chinese_number,
 from ..functions.sections import cited_statutes, normalized_article
 from ..operators.api import Engine, citation_edges
 from ..operators.resolve import known_names
-from ..operators.search import search_rulings, truncated
+from ..operators.search import available_years, listed_rulings, search_rulings, truncated
 from ..sources.files import issues
 from ..sources.html import missing_fields, new_listing, old_listing, ruling_pages
 from .base import Fixture, query, table
@@ -69,7 +69,14 @@ def citations_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.explode(contexts(F.col("text"), "[0-9]+ ")).alias("c")).select("doc_id", "c.position", "c.match", "c.context")
 
 
-@query("citations_context_rulings")
+def _contexts_sql(pattern: str) -> str:
+    return rf"""SELECT system, year, number, position, match, (CASE WHEN s > 0 THEN '...' ELSE '' END) || substr(reasoning, s + 1, e - s) || (CASE WHEN e < length(reasoning) THEN '...' ELSE '' END) AS context
+    FROM (SELECT *, greatest(position - 80, 0) AS s, least(position + length(match) + 80, length(reasoning)) AS e
+      FROM (SELECT *, m[i] AS match, CAST(list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS position
+        FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT *, string_split_regex(reasoning, '{pattern}') AS g, regexp_extract_all(reasoning, '{pattern}') AS m FROM {RULINGS.sql}))))"""
+
+
+@query("citations_context_rulings", _contexts_sql(r"釋字第\s*[0-9０-９]+\s*號") + " UNION ALL " + _contexts_sql(r"[0-9０-９]{3,4}\s*年\s*憲判字第\s*[0-9０-９]+\s*號"))
 def citations_context_rulings(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("reasoning")
     return RULINGS.frame(spark).select("system", "year", "number", F.explode(F.concat(contexts(text, OLD_CITATION), contexts(text, NEW_CITATION))).alias("c")).select("system", "year", "number", "c.*")
@@ -114,9 +121,67 @@ _RULINGS = "(SELECT CASE WHEN l.doc_id IS NULL THEN '釋字' ELSE '憲判字' EN
 _MATCH = f"(contains({_TITLE}, '11') OR CAST(number AS VARCHAR) = '11' OR (system = '憲判字' AND CAST(year AS VARCHAR) = '11') OR contains(issues, '11') OR contains(reasoning, '11'))"
 
 
-@query("ruling_search", f"SELECT system, {_TITLE} AS case_id, CAST(year AS BIGINT) AS year, number, issues FROM {_RULINGS} WHERE {_MATCH} AND number BETWEEN 5 AND 400 ORDER BY CASE WHEN system = '憲判字' THEN 0 ELSE 1 END, year DESC, number DESC LIMIT 30")
+@query("ruling_search", f"SELECT system, {_TITLE} AS case_id, CAST(year AS BIGINT) AS year, number, issues FROM {_RULINGS} WHERE {_MATCH} ORDER BY CASE WHEN system = '憲判字' THEN 0 ELSE 1 END, year DESC, number DESC LIMIT 30")
 def ruling_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search_rulings(_rulings(spark, sf_dir), "11", number_from=5, number_to=400).limit(30)
+    return search_rulings(_rulings(spark, sf_dir), "11").limit(30)
+
+
+@query("ruling_number_range", f"SELECT system, {_TITLE} AS case_id, CAST(year AS BIGINT) AS year, number, issues FROM (SELECT o_orderkey, '釋字' AS system, 0 AS year, CAST(o_custkey AS BIGINT) AS number, o_orderpriority AS issues FROM orders) WHERE number BETWEEN 5 AND 40")
+def ruling_number_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The range of numbers as the feature, on a column that many rows share."""
+    o = table(spark, sf_dir, "orders")
+    rows = o.select(F.lit("釋字").alias("system"), F.lit(0).cast("bigint").alias("year"), F.col("o_custkey").cast("bigint").alias("number"), F.col("o_orderpriority").alias("issues"), F.lit(None).cast("string").alias("reasoning"))
+    return search_rulings(rows, number_from=5, number_to=40)
+
+
+_CITING = "(SELECT doc_id, text || ' 依釋字第 ' || (doc_id % 800 + 1) || ' 號及' || (110 + doc_id % 3) || '年憲判字第' || (doc_id % 20 + 1) || '號，違反民法第' || (doc_id % 1200 + 1) || '條及依勞動基準法第十八條之一。' AS text FROM documents)"
+
+
+def _citing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as reasonings, each with citations at its end."""
+    n = F.col("doc_id")
+    parts = [F.col("text"), F.lit(" 依釋字第 "), n % 800 + 1, F.lit(" 號及"), 110 + n % 3, F.lit("年憲判字第"), n % 20 + 1, F.lit("號，違反民法第"), n % 1200 + 1, F.lit("條及依勞動基準法第十八條之一。")]
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(*[p.cast("string") for p in parts]).alias("text"))
+
+
+_CITED = "SELECT '釋字第' || (doc_id % 800 + 1) || '號' AS case_id, doc_id FROM documents UNION ALL SELECT (110 + doc_id % 3) || '年憲判字第' || (doc_id % 20 + 1) || '號', doc_id FROM documents"
+
+
+@query("citations_of_documents", f"SELECT doc_id, case_id FROM ({_CITED})")
+def citations_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _citing(spark, sf_dir).select(F.lit("釋字").alias("system"), F.lit(0).alias("year"), F.col("doc_id").alias("number"), F.col("text").alias("reasoning"))
+    return citation_edges(rows).select(F.regexp_extract("source", r"(\d+)", 1).cast("bigint").alias("doc_id"), "case_id")
+
+
+@query("citations_in_degree_documents", f"SELECT case_id, count(*) AS cited_by FROM ({_CITED}) GROUP BY case_id")
+def citations_in_degree_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return citations_of_documents(spark, sf_dir).groupBy("case_id").agg(F.count("*").alias("cited_by"))
+
+
+@query("citation_context_of_documents", r"""SELECT doc_id, position, '釋字第 ' || (doc_id % 800 + 1) || ' 號' AS match, CASE WHEN position > 80 THEN '...' ELSE '' END || substr(text, greatest(position - 80, 0) + 1, least(position, 80) + length('釋字第 ' || (doc_id % 800 + 1) || ' 號') + 80)
+  || CASE WHEN position + length('釋字第 ' || (doc_id % 800 + 1) || ' 號') + 80 < length(text) THEN '...' ELSE '' END AS context FROM (SELECT doc_id, text, CAST(strpos(text, '釋字第') - 1 AS BIGINT) AS position FROM """ + _CITING + ")")
+def citation_context_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _citing(spark, sf_dir).select("doc_id", F.explode(contexts(F.col("text"), OLD_CITATION)).alias("c")).select("doc_id", "c.position", "c.match", "c.context")
+
+
+@query("cited_statutes_of_documents", "SELECT doc_id, '民法第' || (doc_id % 1200 + 1) || '條' AS entry FROM documents UNION ALL SELECT doc_id, '勞動基準法第18-1條' FROM documents")
+def cited_statutes_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cited_statutes(_citing(spark, sf_dir), known_names(LAWS.frame(spark))).select("doc_id", "entry")
+
+
+@query("listed_rulings", "SELECT s.s_suppkey AS number, s.s_name AS issues, c.c_name AS reasoning FROM (SELECT DISTINCT l_suppkey FROM lineitem) l JOIN supplier s ON s.s_suppkey = l.l_suppkey LEFT JOIN customer c ON c.c_custkey = s.s_suppkey AND c.c_custkey % 2 = 0")
+def listed_rulings_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing with issues, and reasoning where the ruling is known."""
+    ref = lambda column: [F.lit("釋字").alias("system"), F.lit(0).alias("year"), F.col(column).alias("number")]
+    listing = table(spark, sf_dir, "lineitem").select(*ref("l_suppkey")).distinct()
+    issued = table(spark, sf_dir, "supplier").select(*ref("s_suppkey"), F.col("s_name").alias("issues"))
+    cases = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(*ref("c_custkey"), F.col("c_name").alias("reasoning"))
+    return listed_rulings(listing, issued, cases).select("number", "issues", "reasoning")
+
+
+@query("available_years", f"SELECT DISTINCT CAST(year AS BIGINT) AS year FROM {_RULINGS} WHERE system = '憲判字'")
+def available_years_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return available_years(_rulings(spark, sf_dir))
 
 
 @query("ruling_search_year", f"SELECT system, {_TITLE} AS case_id, CAST(year AS BIGINT) AS year, number, issues FROM {_RULINGS} WHERE system = '憲判字' AND year = 111")
@@ -153,6 +218,17 @@ def ruling_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return old.unionByName(new_listing(pages).select("year", "number", "doc_id")).select(*[F.col(c).cast("int").alias(c) for c in ("year", "number", "doc_id")])
 
 
+@query("ruling_listing_of_documents", "SELECT doc_id, doc_id % 900 + 1 AS number, 110 + doc_id % 3 AS year FROM documents")
+def ruling_listing_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links in either order of their attributes, two in a page."""
+    n = F.col("doc_id")
+    old = F.format_string('<a title="釋字第%d號" href="/docdata.aspx?fid=100&id=%d">x</a>', n % 900 + 1, n)
+    new = F.format_string('<a class="b" href="/docdata.aspx?fid=38&amp;id=%d" title="%d年憲判字第%d號">y</a><a href="/other">z</a>', n, 110 + n % 3, n % 900 + 1)
+    pages = table(spark, sf_dir, "documents").select(n.cast("string").alias("page_id"), F.concat(F.lit("<ul>"), old, new, F.lit("</ul>")).alias("html"))
+    joined = old_listing(pages).join(new_listing(pages), ["page_id", "doc_id", "number"])
+    return joined.select("doc_id", "number", "year")
+
+
 @query("ruling_page_fields", "SELECT * FROM (VALUES ('解釋字號', '釋字第748號'), ('解釋文', '第一段' || chr(10) || chr(10) || '第二段'), ('理由書', '理由' || chr(10) || '續')) v(title, body)")
 def ruling_page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ruling_pages(PAGES.frame(spark).where("page_id = 'ruling'")).select(F.explode("fields").alias("title", "body"))

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import JID
+from ..constants import ALLOWED_HOSTS, JID
 from ..functions.identifiers import absolute_url, dotted_date, jid_from_url, url_allowed, url_host, url_parameter, url_scheme, valid_jid
-from ..functions.text import normalize_space
+from ..functions.sections import parties
+from ..functions.text import is_block_page, normalize_space
 from ..operators.api import judgment_parts
+from ..operators.resolve import with_court
 from ..operators.search import all_valid, attach_following, attach_next, first_seen, ranked, ranked_within, search_judgments
 from ..sources.html import judgment_pages, parsed, result_list, single_articles, statute_pages
-from .base import Fixture, query, table
+from .base import Fixture, literal_list, query, table
 from .fixtures import JIDS, JUDGMENTS, PAGES, RESULTS, URLS
 
 _LEVELS = Fixture("o_orderpriority string, court_level int", [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3)])
@@ -60,6 +62,54 @@ def judgment_search_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_judgments(RESULTS.frame(spark), main_text="被告應將 移轉").select("jid")
 
 
+_CODES = ["TPD", "TPS", "TPH"]
+_JID = f"({literal_list(_CODES)})[CAST(doc_id % 3 AS INTEGER) + 1] || 'V,110,訴,' || doc_id || ',20210120,1'"
+_COURT = f"({literal_list(['臺灣臺北地方法院', '最高法院', '臺灣高等法院'])})[CAST(doc_id % 3 AS INTEGER) + 1]"
+_BODY = r"array_to_string(list_filter(list_transform(string_split(replace(text, chr(160), ' '), chr(10)), lambda x: regexp_replace(regexp_replace(x, '^[\s\x{3000}\x{2000}-\x{200a}\x{0085}\x{2028}\x{2029}]+', ''), '[\s\x{3000}\x{2000}-\x{200a}\x{0085}\x{2028}\x{2029}]+$', '')), lambda x: x <> ''), chr(10))"
+
+
+def document_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as judgments: jid, raw_text with heading, parties, sections and date around the text, and arrival."""
+    n = F.col("doc_id")
+    jid = F.concat(F.element_at(F.array(*map(F.lit, _CODES)), (n % 3 + 1).cast("int")), F.lit("V,110,訴,"), n.cast("string"), F.lit(",20210120,1"))
+    lines = [
+        F.lit("臺灣臺北地方法院民事判決"), F.format_string("110年度訴字第%d號", n), F.concat(F.lit("原      告  甲"), F.col("lang"), F.lit("公司")), F.concat(F.lit("          乙"), F.col("source"), F.lit("行")),
+        F.format_string("被      告  丙%d", n), F.lit("上列當事人間請求給付價金事件，本院判決如下："), F.lit("主    文"), F.col("text"), F.lit("事實及理由"), F.format_string("一、共%d字。", F.col("n_chars").cast("long")),
+        F.lit("理    由"), F.lit("理由如次。"), F.lit("中    華    民    國  110  年  1  月  20  日"), F.lit("法 官 林甲"),
+    ]
+    return table(spark, sf_dir, "documents").select("doc_id", jid.alias("jid"), F.concat_ws("\n", *lines).alias("raw_text"), F.col("text"), F.col("source"))
+
+
+@query(
+    "judgment_sections_of_documents",
+    f"""SELECT {_JID} AS jid, {_COURT} AS court, '110年度訴字第' || doc_id || '號' AS case_id, '臺灣臺北地方法院' AS court_in_text, '110-01-20' AS date, '給付價金' AS cause, '林甲' AS judges,
+    sha256({_BODY}) AS main_text, '一、共' || n_chars || '字。' AS facts, '理由如次。' AS reasoning FROM documents""",
+)
+def judgment_sections_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = judgment_parts(document_judgments(spark, sf_dir).select("jid", "raw_text"))
+    return rows.select("jid", "court", "case_id", "court_in_text", "date", "cause", F.array_join("judges", ",").alias("judges"), F.sha2("main_text", 256).alias("main_text"), "facts", "reasoning")
+
+
+@query("judgment_parties_of_documents", "SELECT doc_id, '原告' AS role, '甲' || lang || '公司,乙' || source || '行' AS names FROM documents UNION ALL SELECT doc_id, '被告', '丙' || doc_id FROM documents")
+def judgment_parties_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = document_judgments(spark, sf_dir).select("doc_id", F.explode(parties(F.col("raw_text"))).alias("role", "names"))
+    return rows.select("doc_id", "role", F.array_join("names", ",").alias("names"))
+
+
+@query("judgment_search_of_documents", f"SELECT {_JID} AS jid FROM documents WHERE {_COURT} = '最高法院' AND contains(text, 'the') AND contains(text, 'and') ORDER BY doc_id, jid LIMIT 200")
+def judgment_search_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words, in the court of a code."""
+    rows = with_court(document_judgments(spark, sf_dir)).select("jid", "court", "court_level", "case_type", F.lit(110).alias("year"), F.lit("訴").alias("word"), F.col("doc_id").cast("string").alias("number"), F.col("text").alias("full_text"), F.lit("").alias("main_text"), F.col("doc_id").alias("arrival"))
+    return search_judgments(rows, keyword="the and", court="TPS", max_results=200).select("jid")
+
+
+@query("block_pages", "SELECT page_id, length(html) = 0 OR (length(html) < 500 AND contains(html, 'Request Rejected')) OR (contains(html, 'bobcmn') AND contains(html, 'TSPD')) AS blocked FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN html WHEN 1 THEN '<p>Request Rejected</p>' WHEN 2 THEN html || 'bobcmn TSPD' ELSE '' END AS html FROM pages)")
+def block_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("page_id") % 4
+    html = F.when(kind == 0, F.col("html")).when(kind == 1, "<p>Request Rejected</p>").when(kind == 2, F.concat("html", F.lit("bobcmn TSPD"))).otherwise("")
+    return table(spark, sf_dir, "pages").select("page_id", is_block_page(html).alias("blocked"))
+
+
 @query("union_fanout_dedup", "SELECT user_id, min(event_id) AS event_id FROM events WHERE event_type IN ('click', 'view', 'purchase') GROUP BY user_id")
 def union_fanout_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three searches as one bag, then the first of each key."""
@@ -97,7 +147,10 @@ def url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", url_scheme(url).alias("scheme"), url_host(url).alias("host"), url_parameter(url, "page").alias("page"))
 
 
-@query("url_allowlist", f"SELECT url, contains(url, 'https://judgment.') OR url = 'http://data.judicial.gov.tw/x' OR contains(url, 'https://law.moj.gov.tw/') OR contains(url, 'user@law.moj') AS allowed FROM {URLS.sql}")
+_HOST_SQL = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1))"
+
+
+@query("url_allowlist", f"SELECT url, coalesce(lower(split_part(url, ':', 1)) IN ('http', 'https') AND {_HOST_SQL} IN (SELECT unnest({literal_list(ALLOWED_HOSTS)})), false) AS allowed FROM {URLS.sql}")
 def url_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return URLS.frame(spark).select("url", url_allowed(F.col("url")).alias("allowed"))
 
@@ -179,6 +232,9 @@ def judgment_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
 DATES = Fixture("raw string", [("115.02.10",), ("99/1/2",), ("2024-01-01",), ("",), ("115.2",)])
 
 
-@query("dotted_dates", "SELECT * FROM (VALUES ('115.02.10', '115-02-10'), ('99/1/2', '99-01-02'), ('2024-01-01', ''), ('', ''), ('115.2', '')) v(raw, day)")
+_DOTTED = "'^([0-9]{2,3})[./]([0-9]{1,2})[./]([0-9]{1,2})'"
+
+
+@query("dotted_dates", f"SELECT raw, CASE WHEN regexp_matches(raw, {_DOTTED}) THEN regexp_extract(raw, {_DOTTED}, 1) || '-' || lpad(regexp_extract(raw, {_DOTTED}, 2), 2, '0') || '-' || lpad(regexp_extract(raw, {_DOTTED}, 3), 2, '0') ELSE '' END AS day FROM {DATES.sql}")
 def dotted_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DATES.frame(spark).select("raw", dotted_date(F.col("raw")).alias("day"))

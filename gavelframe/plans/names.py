@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import ABOLISHED, ALIASES, BUILTIN_LAWS, CASE_TYPES, COURT_LEVELS, COURTS, CURRENT, DEFAULT_LEVEL, INVALID_NAMES, NAME_PREFIXES, SHORT_NAMES
 from ..functions.identifiers import article_key, article_order, fold_variant
-from ..operators.resolve import clean_statute_names, known_names, names_of_codes, page_law_name, resolve_names, suggestions, with_court, with_history, with_status, without_abolished
+from ..operators.resolve import abolished_codes, clean_statute_names, known_names, names_of_codes, page_law_name, resolve_names, suggestions, with_court, with_history, with_status, without_abolished
 from ..operators.search import page, page_counts, search_names
 from .base import Fixture, query, table
 from .fixtures import ARTICLES, CODES, HISTORIES, JIDS, LAWS, TERMS
@@ -201,6 +201,16 @@ def page_title_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TITLES.frame(spark).select("title", page_law_name(F.col("title")).alias("law_name"))
 
 
+@query("abolished_codes", f"SELECT DISTINCT pcode FROM {PART_SQL} WHERE abolished")
+def abolished_codes_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abolished_codes(parts(spark, sf_dir))
+
+
+@query("longest_name", "SELECT max(length(p_name)) AS n FROM part")
+def longest_name_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parts(spark, sf_dir).agg(F.max(F.length("law_name")).cast("bigint").alias("n"))
+
+
 @query("variant_fold", f"SELECT code, replace(court, '臺', '台') AS folded FROM {COURT_ROWS.sql}")
 def variant_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return COURT_ROWS.frame(spark).select("code", fold_variant(F.col("court")).alias("folded"))

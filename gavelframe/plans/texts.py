@@ -67,9 +67,10 @@ def multi_criteria_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.where(has_all_terms(F.col("text"), "the and")).select("doc_id", "lang", "source")
 
 
-@query("dedup_first_seen", "SELECT text, min(doc_id) AS doc_id, arg_min(source, doc_id) AS source FROM documents GROUP BY text")
+@query("dedup_first_seen", "SELECT sha256(text) AS digest, min(doc_id) AS doc_id, arg_min(source, doc_id) AS source FROM documents GROUP BY text")
 def dedup_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_seen(table(spark, sf_dir, "documents").select("text", "doc_id", "source"), ["text"], ["doc_id"])
+    """By digests, so that no text is shuffled."""
+    return first_seen(table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("digest"), "doc_id", "source"), ["digest"], ["doc_id"])
 
 
 @query("strip_inline_tags", "SELECT page_id, sha256(regexp_replace(html, '</?(?:abbr|span)[^>]*>', '', 'g')) AS digest FROM pages")

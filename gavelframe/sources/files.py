@@ -8,9 +8,11 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..constants import BUILTIN_LAWS
 from ..functions.identifiers import url_parameter
 from ..functions.text import strip
 
@@ -30,6 +32,18 @@ def law_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("ordinal", F.col("e.key").alias("law_name"), F.col("e.value").alias("pcode"), F.coalesce(F.array_contains("abolished_set", F.col("e.value")), F.lit(False)).alias("abolished"))
 
 
+def law_dictionary_or_builtin(spark: SparkSession, path: str) -> DataFrame:
+    """The dictionary of a file; the built-in names where the file is missing, damaged or empty."""
+    try:
+        rows = law_dictionary(spark, path)
+        if not rows.isEmpty():
+            return rows
+    except AnalysisException:  # no such file
+        pass
+    fixed = [(i, name, code, False) for i, (name, code) in enumerate(BUILTIN_LAWS.items())]
+    return spark.createDataFrame(fixed, "ordinal int, law_name string, pcode string, abolished boolean")
+
+
 def dictionary_header(spark: SparkSession, path: str) -> DataFrame:
     """version, update_date and the counters of a dictionary file."""
     return _whole(spark, path).select(F.from_json("value", DICTIONARY).alias("d")).select("d.version", "d.update_date", "d.law_count", "d.order_count", "d.abolished_count", "d.total")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -35,10 +36,13 @@ class Element:
         return self.attributes.get("class", "").split()
 
     def walk(self) -> Iterator[Element]:
-        for child in self.children:
+        """Elements below, in page order."""
+        stack = self.children[::-1]
+        while stack:
+            child = stack.pop()
             if isinstance(child, Element):
                 yield child
-                yield from child.walk()
+                stack += child.children[::-1]
 
     def every(self, test: str) -> list[Element]:
         """Elements below that fit tag, #id, .class, tag#id or tag.class, in page order."""
@@ -51,11 +55,13 @@ class Element:
         return next((found[0] for test in tests if (found := self.every(test))), None)
 
     def strings(self) -> Iterator[str]:
-        for child in self.children:
+        stack = self.children[::-1]
+        while stack:
+            child = stack.pop()
             if isinstance(child, str):
                 yield child
             elif child.tag not in SKIPPED:
-                yield from child.strings()
+                stack += child.children[::-1]
 
     def text(self, between: str = "", stripped: bool = True) -> str:
         parts = (s.strip() for s in self.strings()) if stripped else self.strings()
@@ -174,15 +180,9 @@ def _judgment(html: str) -> list[dict]:
 
 
 def _join_strings(element: Element) -> None:
-    out: list[Element | str] = []
-    for child in element.children:
-        if isinstance(child, str) and out and isinstance(out[-1], str):
-            out[-1] += child
-        else:
-            out.append(child)
-            if isinstance(child, Element):
-                _join_strings(child)
-    element.children = out
+    for holder in [element, *element.walk()]:
+        runs = groupby(holder.children, key=lambda child: isinstance(child, str))
+        holder.children = [part for text, run in runs for part in (["".join(run)] if text else run)]
 
 
 def judgment_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:
@@ -198,25 +198,28 @@ def _article(row: Element) -> tuple[str, str] | None:
     return (number.text(), content.text()) if number and content and content.text() else None
 
 
+def _statute_row(element: Element) -> dict | None:
+    """An element as a heading, or as an article of a row or of a table's cells."""
+    if element.tag == "tr":
+        cells = [cell.text() for cell in element.every("td")]
+        return {"kind": "article", "label": cells[0], "level": None, "content": cells[1]} if len(cells) > 1 and cells[1] else None
+    if "h3" in element.classes:
+        label = "".join(element.text().split())
+        levels = [n for n in (1, 2) if f"char-{n}" in element.classes]
+        return {"kind": "heading", "label": label, "level": (levels or [3])[0], "content": None} if label else None
+    found = _article(element) if "row" in element.classes else None
+    return {"kind": "article", "label": found[0], "level": None, "content": found[1]} if found else None
+
+
 def _statute(html: str) -> list[dict]:
-    """Rows of kind title, heading or article, in page order."""
+    """Rows of kind title, heading or article, in page order; table rows count where nothing else is an article."""
     top = dom(html)
-    title = top.first("h2", "title")
-    out: list[dict] = [{"kind": "title", "label": title.text() if title else "", "level": None, "content": None}]
-    root = top.first(".law-reg-content")
-    for element in [c for c in root.children if isinstance(c, Element)] if root else top.every("div.row"):
-        if root and "h3" in element.classes:
-            label = "".join(element.text().split())
-            if label:
-                out.append({"kind": "heading", "label": label, "level": 1 if "char-1" in element.classes else 2 if "char-2" in element.classes else 3, "content": None})
-        elif "row" in element.classes and (found := _article(element)):
-            out.append({"kind": "article", "label": found[0], "level": None, "content": found[1]})
-    if not any(r["kind"] == "article" for r in out):
-        for row in top.every("tr"):
-            cells = row.every("td")
-            if len(cells) >= 2 and cells[1].text():
-                out.append({"kind": "article", "label": cells[0].text(), "level": None, "content": cells[1].text()})
-    return out
+    title, body = top.first("h2", "title"), top.first(".law-reg-content")
+    elements = [c for c in body.children if isinstance(c, Element) and c.tag != "tr"] if body else top.every("div.row")
+    rows = [row for row in map(_statute_row, elements) if row and (body or row["kind"] == "article")]
+    if all(row["kind"] != "article" for row in rows):
+        rows += filter(None, map(_statute_row, top.every("tr")))
+    return [{"kind": "title", "label": title.text() if title else "", "level": None, "content": None}, *rows]
 
 
 def statute_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:
@@ -227,15 +230,20 @@ def statute_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:
     return kept.withColumn("label", F.when(F.col("kind") == "article", number).otherwise(F.col("label")))
 
 
+CONTAINERS, LEAST_BLOCK = [".law-article", "#pnlContent", ".content-law", "pre"], 20
+
+
 def _single(html: str) -> list[dict]:
+    """The text of a known container, else of the longest block that isn't too short; none for page footers."""
     top = dom(html)
-    title, holder = top.first("h2", ".law-title", "title"), top.first(".law-article", "#pnlContent", ".content-law", "pre")
-    content = holder.text() if holder else ""
-    if not holder:
-        blocks = [e for e in top.walk() if e.tag in ("p", "div", "td")]
-        content = max(blocks, key=lambda e: len(e.text(stripped=False)), default=Element("", {}, None)).text()
-        content = content if len(content) > 20 else ""
-    return [{"title": title.text() if title else "", "content": "" if any(m in content for m in BOILERPLATE) else content}]
+    title, holder = top.first("h2", ".law-title", "title"), top.first(*CONTAINERS)
+    if holder:
+        content = holder.text()
+    else:
+        longest = max((e for e in top.walk() if e.tag in ("p", "div", "td")), key=lambda e: len(e.text(stripped=False)), default=None)
+        content = longest.text() if longest and len(longest.text()) > LEAST_BLOCK else ""
+    footer = any(marker in content for marker in BOILERPLATE)
+    return [{"title": title.text() if title else "", "content": "" if footer else content}]
 
 
 def single_articles(pages: DataFrame, key: str = "page_id") -> DataFrame:
@@ -272,19 +280,21 @@ def missing_fields(rows: DataFrame, critical: list[str], least: int) -> DataFram
     return rows.withColumns({"missing": missing, "found": F.sort_array(F.map_keys("fields")), "complete": (F.size("fields") >= least) & (F.size(missing) == 0)})
 
 
+def _listed(pages: DataFrame, key: str, title: str, fid: int, **numbers: int) -> DataFrame:
+    """key, the numbers in the title (by their group) and doc_id of the links of a listing whose title fits, whatever the order of their attributes."""
+    links = pages.select(key, F.explode(F.regexp_extract_all("html", F.lit(r"<a\s[^>]*>"), F.lit(0))).alias("link"))
+    attribute = lambda name: F.regexp_extract("link", rf'\s{name}="([^"]*)"', 1)
+    href = rf"^/docdata\.aspx\?fid={fid}&(?:amp;)?id=(\d+)$"
+    fits = links.select(key, attribute("title").alias("title"), attribute("href").alias("href")).where(F.col("title").rlike(title) & F.col("href").rlike(href))
+    found = {name: F.regexp_extract("title", title, group).cast("bigint").alias(name) for name, group in numbers.items()}
+    return fits.select(key, *found.values(), F.regexp_extract("href", href, 1).cast("bigint").alias("doc_id")).distinct()
+
+
 def old_listing(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """number and doc_id of the old system's rulings in saved listings, in either order of the attributes."""
-    first = F.regexp_extract_all("html", F.lit(r'title="釋字第\d+號"\s+href="/docdata\.aspx\?fid=100&(?:amp;)?id=\d+"'), F.lit(0))
-    second = F.regexp_extract_all("html", F.lit(r'href="/docdata\.aspx\?fid=100&(?:amp;)?id=\d+"[^>]*title="釋字第\d+號"'), F.lit(0))
-    links = pages.select(key, F.explode(F.when(F.size(first) > 0, first).otherwise(second)).alias("link"))
-    part = lambda pattern: F.regexp_extract("link", pattern, 1).cast("bigint")
-    return links.select(key, part(r"釋字第(\d+)號").alias("number"), part(r"[?&;]id=(\d+)").alias("doc_id")).distinct()
+    """number and doc_id of the old system's rulings in saved listings."""
+    return _listed(pages, key, r"^釋字第(\d+)號$", 100, number=1)
 
 
 def new_listing(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """year, number and doc_id of the new system's rulings in saved listings."""
-    first = F.regexp_extract_all("html", F.lit(r'href="/docdata\.aspx\?fid=38&(?:amp;)?id=\d+"[^>]*title="\d+年憲判字第\d+號"'), F.lit(0))
-    second = F.regexp_extract_all("html", F.lit(r'title="\d+年憲判字第\d+號"\s+href="/docdata\.aspx\?fid=38&(?:amp;)?id=\d+"'), F.lit(0))
-    links = pages.select(key, F.explode(F.when(F.size(first) > 0, first).otherwise(second)).alias("link"))
-    part = lambda pattern: F.regexp_extract("link", pattern, 1).cast("bigint")
-    return links.select(key, part(r"(\d+)年憲判").alias("year"), part(r"憲判字第(\d+)號").alias("number"), part(r"[?&;]id=(\d+)").alias("doc_id")).distinct()
+    return _listed(pages, key, r"^(\d+)年憲判字第(\d+)號$", 38, year=1, number=2)

@@ -34,6 +34,7 @@ def session_counts(events: DataFrame, by: list[str], at: str = "ts", gap: str =
 def cached_with_expiry(events: DataFrame, key: str, value: str, at: str, ttl_seconds: int) -> DataFrame:
     """key, value, hits, expired: the cached value of each key, counted, and given out as expired when its time is over.
 
+    The value is that of the latest event by its time, null if that event has none; events without a time are left out.
     Events come with a watermark on at; a key without events for ttl_seconds of event time leaves the state.
     """
 
@@ -43,15 +44,17 @@ def cached_with_expiry(events: DataFrame, key: str, value: str, at: str, ttl_sec
             state.remove()
             yield pd.DataFrame({key: [k[0]], "value": [held[0]], "hits": [held[1]], "expired": [True]})
             return
-        held = state.get if state.exists else (None, 0, 0)
-        last, hits, latest = held
+        last, hits, latest = state.get if state.exists else (None, 0, -1)
         for batch in batches:
-            batch = batch.sort_values(at)
-            last, hits, latest = float(batch[value].iloc[-1]), hits + len(batch), max(latest, int(batch[at].iloc[-1].timestamp() * 1000))
+            hits += len(batch)
+            newest = batch.sort_values(at, kind="stable").iloc[-1]
+            written = int(newest[at].timestamp() * 1000)
+            if written >= latest:  # an event that comes late doesn't overwrite a newer one
+                last, latest = None if pd.isna(newest[value]) else float(newest[value]), written
         state.update((last, hits, latest))
         state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + ttl_seconds * 1000)
         yield pd.DataFrame({key: [k[0]], "value": [last], "hits": [hits], "expired": [False]})
 
     kind = events.schema[key].dataType.simpleString()
-    rows = events.select(key, at, F.col(value).cast("double").alias(value))
+    rows = events.where(F.col(at).isNotNull()).select(key, at, F.col(value).cast("double").alias(value))
     return rows.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, value double, hits long, expired boolean", "value double, hits long, latest long", "append", GroupStateTimeout.EventTimeTimeout)
