@@ -3,11 +3,16 @@
 A text is brought to a canonical form (lower case, copyright lines dropped, equivalent spellings unified,
 every run of other characters than letters and digits made one space) and its SHA-256 digest is hash-joined
 to the digests of known licences: a document is a licence if its whole text is one. Lines that mention a
-licence are digested the same way and looked up among known one-line notices. All of it is DataFrame
-functions; the known tables are fixed lists of a few rows.
+licence are digested the same way and hash-joined to known one-line notices, which are all combinations of usual
+phrases and licence names. All of it is DataFrame functions; the known tables are lists of a fixed
+number of rows, independent of the data.
+
+A copyright line names a holder: it begins with "copyright" and holds (c), a year or a place for one, or begins with (c) or
+"all rights reserved". A wrapped line of a licence that begins with "copyright holders" is none.
 
 Defined cases: a null text counts as empty; an empty text has the digest of the empty string and matches
-nothing; a null doc_id is kept; repeated rows are each reported; other columns are ignored.
+nothing; a text of any length is digested whole; a null doc_id is kept; repeated rows are each reported; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import materialize, table
 
 # The wording of licences and notices, as published.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -39,23 +44,55 @@ UNLICENSE = """This is free and unencumbered software released into the public d
 Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
 In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
 THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+ZERO_BSD = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+BOOST = """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+WTFPL = """DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE
+Version 2, December 2004
+Copyright (C) 2004 Sam Hocevar <sam@hocevar.net>
+Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed.
+DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE
+TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION
+0. You just DO WHAT THE FUCK YOU WANT TO."""
+MIT_0 = MIT.replace(", subject to the following conditions:", ".").replace("The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n", "")
 BSD_3 = BSD_2.replace("THIS SOFTWARE IS PROVIDED BY", BSD_3_CLAUSE + "\nTHIS SOFTWARE IS PROVIDED BY")
 LICENCES = [
     ("MIT", MIT), ("MIT", "MIT License\n" + MIT), ("MIT", "The MIT License (MIT)\n" + MIT), ("ISC", ISC), ("ISC", "ISC License\n" + ISC),
     ("BSD-2-Clause", BSD_2), ("BSD-2-Clause", "BSD 2-Clause License\n" + BSD_2), ("BSD-3-Clause", BSD_3), ("BSD-3-Clause", "BSD 3-Clause License\n" + BSD_3),
-    ("Zlib", ZLIB), ("Zlib", "zlib License\n" + ZLIB), ("Unlicense", UNLICENSE),
+    ("Zlib", ZLIB), ("Zlib", "zlib License\n" + ZLIB), ("Unlicense", UNLICENSE), ("0BSD", ZERO_BSD), ("0BSD", "BSD Zero Clause License\n" + ZERO_BSD), ("MIT-0", MIT_0),
+    ("MIT-0", "MIT No Attribution\n" + MIT_0), ("BSL-1.0", BOOST), ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003\n" + BOOST), ("WTFPL", WTFPL),
 ]
-NOTICES = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "SPDX-License-Identifier: MIT"),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
-]
+# How licences are called in notices.
+NAMES = {
+    "AGPL-3.0": ["the GNU Affero General Public License, version 3", "the GNU Affero General Public License v3.0", "the AGPLv3 license"],
+    "Apache-2.0": ["the Apache License, Version 2.0", "the Apache License 2.0", "the Apache 2.0 license", "the Apache-2.0 license"],
+    "BSD-2-Clause": ["the BSD 2-Clause License", "the 2-Clause BSD License", "the Simplified BSD License"],
+    "BSD-3-Clause": ["the BSD 3-Clause License", "the 3-Clause BSD License", "the New BSD License", "the Modified BSD License"],
+    "BSL-1.0": ["the Boost Software License, Version 1.0", "the Boost Software License 1.0"],
+    "CC-BY-4.0": ["CC BY 4.0", "a Creative Commons Attribution 4.0 International License", "the Creative Commons Attribution 4.0 International License"],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0", "a Creative Commons Attribution-NonCommercial 4.0 International License", "the Creative Commons Attribution-NonCommercial 4.0 International License"],
+    "CC-BY-NC-ND-4.0": ["CC BY-NC-ND 4.0", "a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"],
+    "CC-BY-NC-SA-4.0": ["CC BY-NC-SA 4.0", "a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"],
+    "CC-BY-ND-4.0": ["CC BY-ND 4.0", "a Creative Commons Attribution-NoDerivatives 4.0 International License"],
+    "CC-BY-SA-4.0": ["CC BY-SA 4.0", "a Creative Commons Attribution-ShareAlike 4.0 International License", "the Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "EPL-2.0": ["the Eclipse Public License 2.0", "the Eclipse Public License, version 2.0", "the Eclipse Public License v2.0"],
+    "GPL-2.0": ["the GNU General Public License, version 2", "the GNU General Public License v2.0", "the GPLv2 license"],
+    "GPL-3.0": ["the GNU General Public License, version 3", "the GNU General Public License v3.0", "the GPLv3 license"],
+    "ISC": ["the ISC License"],
+    "LGPL-2.1": ["the GNU Lesser General Public License, version 2.1", "the GNU Lesser General Public License v2.1"],
+    "LGPL-3.0": ["the GNU Lesser General Public License, version 3", "the GNU Lesser General Public License v3.0"],
+    "MIT": ["the MIT License", "the MIT/Expat License", "the Expat License"],
+    "MPL-2.0": ["the Mozilla Public License 2.0", "the Mozilla Public License, version 2.0", "the Mozilla Public License, v. 2.0"],
+    "Unlicense": ["the Unlicense license"],
+    "Zlib": ["the zlib License", "the zlib/libpng License"],
+}
+#: What is licensed, and what may be said of names that hold the word "license" themselves.
+SUBJECTS = ["", "This work is ", "This software is ", "This program is ", "This project is ", "This document is ", "This file is ", "This text is ", "This article is ", "This page is ", "This content is "]
+VERBS = ["Released under ", "Distributed under ", "Published under ", "Available under ", "Distributed under the terms of ", "Released under the terms of ", "Licensed under the terms of "]
+NOTICES = [(key, f"{subject}licensed under {name}.") for key, names in NAMES.items() for name in names for subject in SUBJECTS]
+NOTICES += [(key, f"{verb}{name}.") for key, names in NAMES.items() for name in names if "license" in name.lower() for verb in VERBS]
 # Spellings that count as equal, as whole words of the lower-case text.
 SPELLINGS = [
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sub-license", "sublicense"), ("sub license", "sublicense"), ("sublicence", "sublicense"),
@@ -70,22 +107,24 @@ SPDX_IDS = (
 SPDX_NOTICES = [(x, f"SPDX-License-Identifier: {x}") for x in SPDX_IDS]
 #: Digests of further whole licences, from the full texts in /usr/share/common-licenses.
 DIGESTS = [
-    ("Apache-2.0", "6ab5deeb4b2c14f4681b97d03ec0d6cf046968b552bd6e2efe1721910b2e5e9e"),
+    ("Apache-2.0", "f92c423b6d6da66caa78abd6f49f73f5bc8715dca82e1a73f62d1e6eec41986c"),
+    ("Artistic-1.0-Perl", "e963bc30f4d3c45f45030c34409ee37315564625649c1394e32bb5ddd99e01b2"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "5379e6f33e826ba185b23fd11a414555c2161fda481478babd1e73a3ae098a71"),
+    ("GFDL-1.3", "93d6108daecdddc5f284cf8f2512fb0d72f6e9ee12381feb9704ba194b00c3e6"),
     ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
-    ("GPL-2.0", "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1"),
-    ("GPL-3.0", "f3ab5ee40da170411ea6671f9845ada2aaba303ee57ba6086b373d1e66c9dc3f"),
-    ("LGPL-2.0", "9b0b3105b96203f9d9e4b72d4b77951152156c88139302b5aedf6295e3ceaaa3"),
-    ("LGPL-2.1", "cb225061bb71741fe8b31a2092e22fe05b1130438158ae5d16c48fd50186e345"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0", "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
     ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
     ("MPL-1.1", "fbe9a0b96f52e03cb474f9a7083781399c011279e85b548118563ec96e659354"),
     ("MPL-2.0", "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
-    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
-    ("GFDL-1.2", "f06741c6c5feec30d99f80228f0d9ea6b884eae0e790ab18a0f4257184befa86"),
-    ("GFDL-1.3", "80229e90e6f40a551a447f33ef48bd361a8e3166d53f29a2d1537245e2064feb"),
 ]
+_HOLDER = r"(?:copyright[^\n]*(?:\(c\)|©|[0-9]{4}|[\[<{](?:yyyy|year))|\(c\)|©|all rights reserved)[^\n]*"
+COPYRIGHT_LINE = rf"(^|\n)[ \t]*{_HOLDER}"
 #: A copyright line behind comment marks; such lines are dropped as well when whole texts are looked up.
-COMMENTED_LINE = r"(^|\n)[ \t]*(?:#+|\*+|/\*+|//+|;+|--+|%+|<!--)[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*"
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*"
+COMMENTED_LINE = rf"(^|\n)[ \t]*(?:#+|\*+|/\*+|//+|;+|--+|%+|<!--)[ \t]*{_HOLDER}"
 SEPARATORS = r"[^\p{L}\p{N}]+"
 MENTION = r"(?i)licen[cs]e"
 
@@ -145,13 +184,16 @@ def scan(docs: DataFrame, licences: list[tuple[str, str]] = LICENCES, notices: l
     """doc_id, digest, license_id (null if the text is no known licence) and notice_ids (sorted, comma-separated)."""
     spark = docs.sparkSession
     whole = known(spark, licences).unionByName(spark.createDataFrame(digests, "license_id string, digest string")).groupBy("digest").agg(F.min("license_id").alias("license_id"))
-    lookup = F.create_map(*[x for name, text in notices for x in (digest(F.lit(text)), F.lit(name))])
-    gate = mention(notices)
-    lines = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"), lambda line: line.rlike(gate))
-    hits = F.array_compact(F.transform(lines, lambda line: F.try_element_at(lookup, digest(line))))
-    rows = docs.select("doc_id", digest(F.col("text")).alias("digest"), uncommented(F.col("text")).alias("_other"), F.array_join(F.array_sort(F.array_distinct(hits)), ",").alias("notice_ids"))
-    found = F.broadcast(whole.withColumnRenamed("digest", "_key"))
-    return rows.join(found, F.coalesce("_other", "digest") == F.col("_key"), "left").select("doc_id", "digest", "license_id", "notice_ids")
+    text, gate = F.coalesce(F.col("text").cast("string"), F.lit("")), mention(notices)
+    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(gate))
+    rows = docs.select("doc_id", digest(F.col("text")).alias("digest"), uncommented(F.col("text")).alias("_other"), F.transform(lines, digest).alias("_lines"), F.monotonically_increasing_id().alias("_row"))
+    rows = materialize(rows, "digests")  # no texts; rows keep their number from here on
+    said = F.broadcast(known(spark, notices).toDF("_line", "_notice"))  # a fixed number of rows
+    hits = rows.select("_row", F.explode(F.array_distinct("_lines")).alias("_line")).join(said, "_line")
+    hits = hits.groupBy("_row").agg(F.array_join(F.array_sort(F.collect_set("_notice")), ",").alias("notice_ids"))  # some of the fixed ids
+    found = F.broadcast(whole.toDF("_key", "license_id"))
+    joined = rows.join(found, F.coalesce("_other", "digest") == F.col("_key"), "left").join(hits, "_row", "left")
+    return joined.select("doc_id", "digest", "license_id", F.coalesce("notice_ids", F.lit("")).alias("notice_ids"))
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +213,7 @@ def _sql_known(rows: list[tuple[str, str]]) -> str:
 
 
 ORACLE = f"""
-WITH whole AS ({_sql_known(LICENCES)}), short AS ({_sql_known(NOTICES)}),
+WITH whole AS ({_sql_known(LICENCES)}), short AS ({_sql_known(NOTICES + SPDX_NOTICES)}),
 docs AS (SELECT doc_id, text, sha256({_sql_canonical('text')}) AS digest FROM documents),
 lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
 hits AS (SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS ids
