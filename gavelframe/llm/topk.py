@@ -1,13 +1,16 @@
 """Exact top-k search by a three-phase uniform threshold.
 
-Vectors are cut into SLICES groups of dimensions, so that a score is the sum of one partial score per slice,
-and each (block of queries, block of candidates, slice) is a task of its own. Phase 1 gathers the k best
-partial scores of every task and the lowest partial score of every slice; summed, with the lowest standing in
-for what was not sent, they bound scores from below. The NEAR * k candidates with the highest bounds get their
-exact scores, of which the k-th best is a safe cutoff whatever the others score. Phase 2 hands each query's
-cutoff to all tasks, which send every entry whose partial score reaches cutoff / SLICES; a candidate that is
-sent by no slice scores less than the cutoff. Phase 3 bounds what was sent from both sides, raises the
-cutoff, drops what can't reach it and fetches the partial scores still missing, so that the scores are exact.
+Vectors are cut into SLICES groups of dimensions, so that a score is the sum of one partial score per slice.
+
+1. Each (block of queries, block of candidates, slice) is a task that gathers the k best partial scores of every query and
+   the lowest one. Summed, with the lowest standing in for what was not sent, they bound scores from below. The NEAR * k
+   candidates with the highest bounds get their exact scores, of which the k-th best is a safe cutoff whatever
+   the others score.
+2. Each query's cutoff goes to all its blocks, which collect every entry whose partial score reaches cutoff / SLICES in
+   some slice; a candidate that no slice collects scores less than the cutoff.
+3. The missing partial scores of the collected entries are added where the blocks are; entries whose exact score
+   reaches the cutoff are sent, the k best of a block at most, and the k best of all are the answer. So what is
+   sent follows the number of queries and blocks, not that of pairs that come near.
 
 Blocks are filled by a hash (BLOCK rows on average) and joined by number; all candidates meet all queries.
 
@@ -16,7 +19,8 @@ could leave 2^53 is multiplied in 64-bit integers.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part, as query or
 candidate; vectors of different lengths don't meet; a vec_id on several rows counts once, by its smallest
-vector; null vec_ids take no part; ties go to the smaller vec_id; with fewer than k candidates all return.
+vector; null vec_ids take no part; ties go to the smaller vec_id; with fewer than k candidates all return; an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, release, table
 from .vector_dedup import usable
 
 K = 5
@@ -39,6 +43,8 @@ BLOCK = 4096
 QUERY_BLOCK = 1024
 #: Pairs of blocks in an Arrow batch.
 BLOCK_PAIRS = 4
+#: Queries that are compared with a block at a time.
+STRIP = 256
 
 
 def quantized(vectors: DataFrame) -> DataFrame:
@@ -49,34 +55,37 @@ def quantized(vectors: DataFrame) -> DataFrame:
 
 
 def _blocks(rows: DataFrame, per_block: int, name: str) -> DataFrame:
-    """block, dim, slice, ids binary, part binary: the rows of a hash block, cut into slices of dimensions."""
+    """block, dim, ids binary, parts array<binary>: the rows of a hash block, cut into slices of dimensions."""
     count = max(1, -(-rows.count() // per_block))
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("vec_id")
         ids, matrix = group["vec_id"].to_numpy(np.int64).tobytes(), np.array(group["v"].tolist(), np.int64)
         parts = np.array_split(matrix, min(SLICES, matrix.shape[1]), axis=1)
-        return pd.DataFrame({"block": key[0], "dim": key[1], "slice": range(len(parts)), "ids": ids, "part": [np.ascontiguousarray(p).tobytes() for p in parts]})
+        return pd.DataFrame({"block": key[0], "dim": key[1], "ids": [ids], "parts": [[np.ascontiguousarray(p).tobytes() for p in parts]]})
 
     keyed = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(count)).alias("block"), F.size("v").alias("dim"), "vec_id", "v")
-    return materialize(keyed.groupBy("block", "dim").applyInPandas(run, "block long, dim int, slice int, ids binary, part binary"), name)
+    return materialize(keyed.groupBy("block", "dim").applyInPandas(run, "block long, dim int, ids binary, parts array<binary>"), name)
 
 
-def _paired(queries: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Every block of queries beside every block of candidates of its length and slice."""
-    side = lambda df, s: df.select("dim", "slice", *(F.col(c).alias(f"{c}_{s}") for c in df.columns if c not in ("dim", "slice")))
-    numbers = lambda df, s: df.select("dim", "slice", F.col("block").alias(f"block_{s}"))  # noqa: E731  # block numbers only, no vectors
-    pairs = numbers(queries, "q").join(numbers(candidates, "c"), ["dim", "slice"]).repartition("dim", "slice", "block_q", "block_c")
-    return pairs.join(side(candidates, "c"), ["dim", "slice", "block_c"]).join(side(queries, "q"), ["dim", "slice", "block_q"])
+def _sliced(blocks: DataFrame) -> DataFrame:
+    return blocks.select("block", "dim", "ids", F.posexplode("parts").alias("slice", "part"))
 
 
-def _partials(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, candidate ids and the integer partial scores of a pair of blocks."""
-    q_ids, c_ids = np.frombuffer(row["ids_q"], "<i8"), np.frombuffer(row["ids_c"], "<i8")
-    q, c = np.frombuffer(row["part_q"], "<i8").reshape(len(q_ids), -1), np.frombuffer(row["part_c"], "<i8").reshape(len(c_ids), -1)
+def _paired(queries: DataFrame, candidates: DataFrame, by: list[str]) -> DataFrame:
+    """Every block of queries beside every block of candidates that agrees with it in the columns by."""
+    side = lambda df, s: df.select(*by, *(F.col(c).alias(f"{c}_{s}") for c in df.columns if c not in by))
+    numbers = lambda df, s: df.select(*by, F.col("block").alias(f"block_{s}"))  # noqa: E731  # block numbers only, no vectors
+    pairs = numbers(queries, "q").join(numbers(candidates, "c"), by).repartition(*by, "block_q", "block_c")
+    return pairs.join(side(candidates, "c"), [*by, "block_c"]).join(side(queries, "q"), [*by, "block_q"])
+
+
+def _products(q_part: bytes, c_part: bytes, n_q: int, n_c: int) -> np.ndarray:
+    """The integer partial scores of a pair of blocks in one slice."""
+    q, c = np.frombuffer(q_part, "<i8").reshape(n_q, -1), np.frombuffer(c_part, "<i8").reshape(n_c, -1)
     if float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1] < 2.0**53:
-        return q_ids, c_ids, (q.astype(float) @ c.astype(float).T).astype(np.int64)
-    return q_ids, c_ids, q @ c.T
+        return (q.astype(float) @ c.astype(float).T).astype(np.int64)
+    return q @ c.T
 
 
 def local_best(pairs: DataFrame, k: int) -> DataFrame:
@@ -85,7 +94,8 @@ def local_best(pairs: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                q_ids, c_ids, scores = _partials(row)
+                q_ids, c_ids = np.frombuffer(row["ids_q"], "<i8"), np.frombuffer(row["ids_c"], "<i8")
+                scores = _products(row["part_q"], row["part_c"], len(q_ids), len(c_ids))
                 low = scores.min(axis=1)
                 own = q_ids[:, None] == c_ids[None, :]
                 scores[own] = -np.iinfo(np.int64).max  # the minimum itself can't be negated
@@ -99,23 +109,41 @@ def local_best(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.mapInArrow(run, "query_id long, slice int, vec_id long, partial long, low long")
 
 
-def over_cutoff(pairs: DataFrame) -> DataFrame:
-    """Phase 2: every entry of which slices * partial reaches the query's cutoff (block column cutoffs); without a cutoff, every entry."""
+def collected(q_ids: np.ndarray, c_ids: np.ndarray, partials: list[np.ndarray], least: np.ndarray, known: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Phases 2 and 3 in a pair of blocks: (query place, candidate place, exact score) of the entries that some slice collects and that
+    reach the cutoff least (all for queries without a known one), the k best of each query."""
+    enough = np.zeros(partials[0].shape, bool)
+    for partial in partials:
+        enough |= partial >= -(-least // len(partials))[:, None]
+    enough |= ~known[:, None]
+    i, j = np.nonzero(enough & (q_ids[:, None] != c_ids[None, :]))
+    score = sum(partial[i, j] for partial in partials)
+    fine = (score >= least[i]) | ~known[i]
+    i, j, score = i[fine], j[fine], score[fine]
+    order = np.lexsort((c_ids[j], -score, i))
+    i, j, score = i[order], j[order], score[order]
+    place = np.arange(len(i)) - np.searchsorted(i, i)
+    return i[place < k], j[place < k], score[place < k]
+
+
+def over_cutoff(pairs: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, score of what each pair of blocks sends, given the cutoffs of its queries (columns cutoff_ids and cutoffs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                q_ids, c_ids, scores = _partials(row)
-                known = dict(zip(row["cutoff_ids"], row["cutoffs"], strict=True))
-                least = np.array([known.get(int(q), 0) for q in q_ids], np.int64)
-                every = np.array([int(q) not in known for q in q_ids], bool)  # fewer than k candidates
-                slices = min(SLICES, row["dim"])
-                i, j = np.nonzero((scores >= -(-least // slices)[:, None]) | every[:, None])
-                other = q_ids[i] != c_ids[j]
-                i, j = i[other], j[other]
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[i]), pa.array(np.full(len(i), row["slice"], np.int32)), pa.array(c_ids[j]), pa.array(scores[i, j])], ["query_id", "slice", "vec_id", "partial"])
+                q_ids, c_ids = np.frombuffer(row["ids_q"], "<i8"), np.frombuffer(row["ids_c"], "<i8")
+                told = dict(zip(row["cutoff_ids"], row["cutoffs"], strict=True))
+                least = np.array([told.get(int(q), 0) for q in q_ids], np.int64)
+                known = np.array([int(q) in told for q in q_ids], bool)
+                width = [len(p) // len(q_ids) for p in row["parts_q"]]
+                for s in range(0, len(q_ids), STRIP):
+                    some = q_ids[s : s + STRIP]
+                    partials = [_products(q[s * w : (s + STRIP) * w], c, len(some), len(c_ids)) for q, c, w in zip(row["parts_q"], row["parts_c"], width, strict=True)]
+                    i, j, score = collected(some, c_ids, partials, least[s : s + STRIP], known[s : s + STRIP], k)
+                    yield pa.RecordBatch.from_arrays([pa.array(some[i]), pa.array(c_ids[j]), pa.array(score, pa.int64())], ["query_id", "vec_id", "score"])
 
-    return pairs.mapInArrow(run, "query_id long, slice int, vec_id long, partial long")
+    return pairs.mapInArrow(run, "query_id long, vec_id long, score long")
 
 
 def _kth(bounds: DataFrame, k: int, column: str) -> DataFrame:
@@ -126,11 +154,9 @@ def _kth(bounds: DataFrame, k: int, column: str) -> DataFrame:
 
 def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: the k best candidates of each row for which is_query (a Column) holds."""
-    spark = vectors.sparkSession
     rows = materialize(quantized(vectors), "quantized")
     queries, candidates = _blocks(rows.where(is_query), QUERY_BLOCK, "queries"), _blocks(rows, BLOCK, "candidates")
-    pairs = _paired(queries, candidates)
-    sent = materialize(local_best(pairs, k), "local", BLOCK_PAIRS)
+    sent = materialize(local_best(_paired(_sliced(queries), _sliced(candidates), ["dim", "slice"]), k), "local", BLOCK_PAIRS)
     lows = sent.groupBy("query_id", "slice").agg(F.min("low").alias("low"))
     floor = lows.groupBy("query_id").agg(F.sum("low").alias("floor"))
     bounds = sent.join(lows.select("query_id", "slice", F.col("low").alias("slice_low")), ["query_id", "slice"]).groupBy("query_id", "vec_id").agg(F.sum(F.col("partial") - F.col("slice_low")).alias("above"))
@@ -141,28 +167,18 @@ def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     near = materialize(bounds.withColumn("place", place).where(F.col("place") <= NEAR * k).select("query_id", "vec_id"), "near")
     near = near.join(v("query_id", "a"), "query_id").join(v("vec_id", "b"), "vec_id").select("query_id", "vec_id", product.alias("bound"))
     cutoffs = materialize(_kth(near, k, "bound"), "cutoffs")
-    # phase 2: the cutoffs of a block of queries (QUERY_BLOCK numbers) travel with the block
-    in_block = rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-rows.where(is_query).count() // QUERY_BLOCK)))).alias("block"))
+    # the cutoffs of a block of queries (QUERY_BLOCK numbers) travel with the block
+    count = max(1, -(-rows.where(is_query).count() // QUERY_BLOCK))
+    in_block = rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.pmod(F.xxhash64("vec_id"), F.lit(count)).alias("block"))
     sets = in_block.join(cutoffs, "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "cutoff")).alias("c"))
-    told = queries.join(sets, "block", "left").select(*queries.columns, F.coalesce(F.col("c.query_id"), F.array().cast("array<long>")).alias("cutoff_ids"), F.coalesce(F.col("c.cutoff"), F.array().cast("array<long>")).alias("cutoffs"))
-    told = _paired(told, candidates).withColumnsRenamed({"cutoff_ids_q": "cutoff_ids", "cutoffs_q": "cutoffs"})
-    entries = materialize(over_cutoff(told), "entries", BLOCK_PAIRS)
-    # phase 3: both bounds of what was sent, a higher cutoff, then exact scores
-    slices = lows.groupBy("query_id").agg(F.count("*").alias("slices"), F.sum("low").alias("floor"))
-    seen = entries.join(lows, ["query_id", "slice"]).groupBy("query_id", "vec_id").agg(F.sum("partial").alias("sum"), F.sum("low").alias("seen_low"), F.count("*").alias("n"))
-    seen = seen.join(slices, "query_id").join(cutoffs, "query_id", "left")
-    missing = F.col("slices") - F.col("n")
-    under = F.ceil(F.col("cutoff").cast("decimal(38,0)") / F.col("slices")).cast("long") - 1
-    seen = seen.withColumn("least", F.col("sum") + F.col("floor") - F.col("seen_low")).withColumn("most", F.when(missing == 0, F.col("sum")).otherwise(F.col("sum") + missing * under))
-    seen = materialize(seen.select("query_id", "vec_id", "sum", "least", "most", missing.alias("missing"), F.col("cutoff").alias("base")), "seen")
-    higher = _kth(seen, k, "least")
-    best = F.greatest("cutoff", "base")  # null only where there are fewer than k candidates
-    left = seen.join(higher, "query_id", "left").where(best.isNull() | (F.col("most") >= best))
-    known = left.where("missing = 0").select("query_id", "vec_id", F.col("sum").alias("score"))
-    open_ = left.where("missing > 0").select("query_id", "vec_id").join(v("query_id", "a"), "query_id").join(v("vec_id", "b"), "vec_id")
-    scores = known.unionByName(open_.select("query_id", "vec_id", product.alias("score")))
+    none = F.array().cast("array<long>")
+    told = queries.join(sets, "block", "left").select(*queries.columns, F.coalesce(F.col("c.query_id"), none).alias("cutoff_ids"), F.coalesce(F.col("c.cutoff"), none).alias("cutoffs"))
+    told = _paired(told, candidates, ["dim"]).withColumnsRenamed({"cutoff_ids_q": "cutoff_ids", "cutoffs_q": "cutoffs"})
+    scores = materialize(over_cutoff(told, k), "scores", BLOCK_PAIRS)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return scores.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    out = materialize(scores.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "top")
+    release(rows, queries, candidates, sent, cutoffs, scores)
+    return out
 
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
