@@ -1,19 +1,21 @@
 """Embedding near-duplicates by PCA-ordered tiled comparison.
 
-Vectors of one label are rotated into the order of their principal components and sorted by the first one;
-runs of TILE vectors form tiles that know the range of their leading components. Two tiles meet only if
-these ranges are no further apart than vectors of the wanted cosine can be. For a pair of tiles the leading
-dimensions are multiplied first; a pair of vectors whose partial product plus the product of its suffix
+Vectors of one label are rotated into the order of their principal components and sorted by the cells that their leading
+components fall into (half as wide as vectors of the wanted cosine can be apart); runs of TILE vectors form
+tiles, boxes in the leading components. Two tiles meet only if their boxes are no further apart than that; they
+find each other by the cells of the first component, so that only neighbours are ever joined. For a pair of
+tiles the leading dimensions are multiplied first; a pair of vectors whose partial product plus the product of its suffix
 norms (Cauchy-Schwarz) can't reach the threshold stops there. Survivors get the exact cosine of the original
-vectors in double precision. The rotation is fitted on a bounded sample (SAMPLE vectors) and only changes
-the speed: any rotation gives the same links.
+vectors in double precision. The rotation is fitted on a bounded sample (SAMPLE vectors, in one task that
+returns their Gram matrix) and only changes the speed: any rotation gives the same links.
 
 Equal vectors of a label are one vector with a count, so that a group of copies of any size costs one row. A
 pair of tiles returns a count and a local component for each vector at most, never its links.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and rows with a null
 label, link with nothing; vectors of different lengths don't link; a vec_id on several rows counts once, by
-its smallest row; rows with a null vec_id are left out; an empty table gives no rows.
+its smallest row; rows with a null vec_id are left out; a cosine of exactly the threshold links; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, release, table
 from .graph import components
 
 COSINE = 0.93
@@ -35,6 +37,8 @@ TILE = 1024
 LEADS = 4
 STEP = 16
 SAMPLE = 20_000
+#: The narrowest cells of the first component, and tiles that one task cuts (on average).
+LEAST_CELL, TILES_TOGETHER = 0.05, 8
 SLACK = 1e-9
 
 
@@ -46,10 +50,18 @@ def usable(column: str = "embedding"):
 
 
 def _rotation(reps: DataFrame, dim: int) -> np.ndarray:
-    rows = reps.where(F.size("embedding") == dim).orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select(F.col("embedding").cast("array<double>").alias("e")).collect()
-    x = np.array([r.e for r in rows])
-    x /= np.linalg.norm(x / np.abs(x).max(axis=1, keepdims=True), axis=1, keepdims=True) * np.abs(x).max(axis=1, keepdims=True)
-    return np.linalg.eigh(x.T @ x)[1][:, ::-1].copy()
+    """The principal components of a bounded sample, one task's Gram matrix of dim * dim numbers."""
+
+    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((dim, dim))
+        for batch in batches:
+            x = unit(np.array(batch.column("e").to_pylist(), float).reshape(batch.num_rows, dim))
+            total += x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["gram"])
+
+    sample = reps.where(F.size("embedding") == dim).orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select(F.col("embedding").cast("array<double>").alias("e"))
+    sums = sample.mapInArrow(gram, "gram binary").collect()
+    return np.linalg.eigh(sum(np.frombuffer(r.gram).reshape(dim, dim) for r in sums))[1][:, ::-1].copy()
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -91,19 +103,28 @@ def _local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         low = after
 
 
-def tiles(reps: DataFrame, rotations: dict[int, np.ndarray], per_tile: int = TILE) -> DataFrame:
+def _reach(cosine: float) -> float:
+    """How far apart unit vectors of at least this cosine can be."""
+    return math.sqrt(max(0.0, 2 - 2 * cosine)) + SLACK
+
+
+def _cell(cosine: float) -> float:
+    return max(_reach(cosine), LEAST_CELL)
+
+
+def tiles(reps: DataFrame, rotations: dict[int, np.ndarray], cosine: float = COSINE, per_tile: int = TILE) -> DataFrame:
     """One row per tile: label, dim, tile, lo and hi of the leading components, ids, copies, unit vectors."""
     spark = reps.sparkSession
     sent = spark.sparkContext.broadcast(rotations)  # one square matrix per length of vectors
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first, blobs = [], []
+            cells, blobs = [], []
             for e in batch.column("embedding").to_pylist():
                 u = unit(np.array([e]))
-                first.append(float((u @ sent.value[len(e)])[0, 0]))
+                cells.append(np.floor((u @ sent.value[len(e)][:, :LEADS])[0] / (_cell(cosine) / 2)).astype(int).tolist())
                 blobs.append(u[0].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("label"), batch.column("copies"), pa.array([len(b) // 8 for b in blobs], pa.int32()), pa.array(first), pa.array(blobs, pa.binary())], ["rep", "label", "copies", "dim", "first", "unit"])
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("label"), batch.column("copies"), pa.array([len(b) // 8 for b in blobs], pa.int32()), pa.array(cells, pa.list_(pa.int32())), pa.array(blobs, pa.binary())], ["rep", "label", "copies", "dim", "cells", "unit"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, held, number = ["label", "dim", "tile", "lo", "hi", "ids", "copies", "units"], [], 0
@@ -127,21 +148,26 @@ def tiles(reps: DataFrame, rotations: dict[int, np.ndarray], per_tile: int = TIL
             yield tile(held)
 
     rows = reps.select("rep", F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"), "copies")
-    led = rows.mapInArrow(lead, "rep long, label string, copies long, dim int, first double, unit binary")
-    spread = led.repartitionByRange(max(4, 2 * spark.sparkContext.defaultParallelism), "label", "dim", "first").sortWithinPartitions("label", "dim", "first", "rep")
-    return spread.mapInArrow(cut, "label string, dim int, tile long, lo array<double>, hi array<double>, ids binary, copies binary, units binary")
+    led = materialize(rows.mapInArrow(lead, "rep long, label string, copies long, dim int, cells array<int>, unit binary"), "led", 4096)
+    ranges = max(1, -(-led.count() // (TILES_TOGETHER * per_tile)))
+    spread = led.repartitionByRange(ranges, "label", "dim", "cells", "rep").sortWithinPartitions("label", "dim", "cells", "rep")
+    found = spread.mapInArrow(cut, "label string, dim int, tile long, lo array<double>, hi array<double>, ids binary, copies binary, units binary")
+    found._gf_led = led
+    return found
 
 
 def tile_pairs(tiled: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """(a, b) tiles of a label whose leading components are near enough."""
-    reach = math.sqrt(max(0.0, 2 - 2 * cosine)) + SLACK
+    """(a, b) tiles of a label whose boxes are near enough."""
+    reach, cell = _reach(cosine), _cell(cosine)
     meta = tiled.select("label", "dim", "tile", "lo", "hi")
-    a, b = (meta.select("label", "dim", *(F.col(c).alias(f"{c}_{s}") for c in ("tile", "lo", "hi"))) for s in "ab")
-    near = lambda k: F.coalesce((F.col("lo_a")[k] <= F.col("hi_b")[k] + reach) & (F.col("lo_b")[k] <= F.col("hi_a")[k] + reach), F.lit(True))
-    pairs = a.join(b, ["label", "dim"]).where("tile_a <= tile_b")
-    for k in range(LEADS):
-        pairs = pairs.where(F.when(F.size("lo_a") > k, near(k)).otherwise(True))
-    return pairs.select("tile_a", "tile_b")
+    at = lambda x: F.floor(x / cell)
+    side = lambda s, low, high: meta.select("label", "dim", *(F.col(c).alias(f"{c}_{s}") for c in ("tile", "lo", "hi")), at(low).alias(f"from_{s}"), F.explode(F.sequence(at(low), at(high))).alias("cell"))
+    a, b = side("a", F.col("lo")[0], F.col("hi")[0]), side("b", F.col("lo")[0] - reach, F.col("hi")[0] + reach)
+    # of the cells that two tiles share, the first one counts
+    pairs = a.join(b, ["label", "dim", "cell"]).where("tile_a <= tile_b AND cell = greatest(from_a, from_b)")
+    gap = lambda k: F.greatest(F.lit(0.0), F.col("lo_a")[k] - F.col("hi_b")[k], F.col("lo_b")[k] - F.col("hi_a")[k])
+    apart = sum(F.when(F.size("lo_a") > k, gap(k) * gap(k)).otherwise(0.0) for k in range(LEADS))
+    return pairs.where(apart <= reach * reach).select("tile_a", "tile_b")
 
 
 def compare(tiled: DataFrame, rotations: dict[int, np.ndarray], cosine: float = COSINE) -> DataFrame:
@@ -186,7 +212,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     reps = materialize(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors")
     dims = [r.d for r in reps.select(F.size("embedding").alias("d")).distinct().collect()]  # lengths of vectors, one in practice
     rotations = {d: _rotation(reps, d) for d in dims}
-    tiled = materialize(tiles(reps, rotations), "tiles", 4096)
+    cut = tiles(reps, rotations, cosine)
+    tiled = materialize(cut, "tiles", 4096)
+    release(cut._gf_led)
     found = materialize(compare(tiled, rotations, cosine), "links", 8)
     counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
     parts = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
