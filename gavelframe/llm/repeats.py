@@ -16,17 +16,20 @@ stand for ranks and the recursion ends after one level:
 A chunk sends each name once, as sorted differences without document numbers (chunks follow the order of
 doc_id, so that the smallest chunk has the first document), and gets one bit back for each. Texts are
 shuffled once, into a table bucketed by chunk that later passes join without another shuffle. Whole texts
-that repeat are settled by their digest first. Names are hashes: a tuple's may collide, which costs time only;
-those of whole prefixes have 64 bits besides the bits of their bucket, taken from another hash.
-
-Defined cases: a null text counts as empty; texts shorter than LENGTH bytes lose nothing; rows that repeat a
-doc_id are one document, which don't remove from each other; rows with a null doc_id keep all and remove
-nothing; an empty table gives no rows; other columns are ignored.
+that repeat are settled by their digest first. Names are hashes with a key that is drawn anew for each run, so
+that no text can be made to collide on purpose: a tuple's may collide, which costs time only; those of whole prefixes
+have 64 bits besides the bits of their bucket, taken from another hash. Chunks and buckets grow with the
+corpus (growth()), so that what a chunk sends to a bucket stays more than its row's overhead.
+
+Defined cases: a null text counts as empty; texts shorter than LENGTH bytes lose nothing; a very long text is a chunk by
+itself, whole; rows that repeat a doc_id are one document, which don't remove from each other; rows with a null doc_id keep
+all and remove nothing; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import secrets
 import uuid
 from collections.abc import Iterator
 
@@ -50,6 +53,11 @@ DIGEST = 16
 CHUNK_ROWS = 4
 
 
+def growth(total: int) -> int:
+    """How many times larger chunks and buckets are for a corpus of so many bytes: 1 up to 32 GB, 16 from 512 GB on."""
+    return min(16, max(1, total >> 35))
+
+
 def word_view(buffer: bytes) -> np.ndarray:
     """The 8-byte little-endian word that starts at each byte."""
     n = max(0, len(buffer) - 7)
@@ -106,7 +114,7 @@ class Chunk:
     def _of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.stops, at, side="right")
 
-    def tuples(self, buckets: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def tuples(self, buckets: int, length: int, key: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Sampled positions, their name's index, the distinct names (bucket << 32 | 32 bits) and if several documents here hold each."""
         size = length - PERIOD + 1
         at = (np.arange(0, len(self.text), PERIOD, dtype=np.int64)[:, None] + COVER).ravel()
@@ -114,10 +122,10 @@ class Chunk:
         doc = self._of(at)
         fits = at + size <= self.stops[doc] if len(at) else np.zeros(0, bool)
         at, doc = at[fits], self.number[doc[fits]]
-        h = names(self.words, at, size, (1,))[0]
-        key = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)) << np.uint64(32) | h & np.uint64(0xFFFFFFFF)
-        order = np.argsort(key)
-        return at, *_classes(key[order], doc[order], order)
+        h = names(self.words, at, size, (key,))[0]
+        value = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)) << np.uint64(32) | h & np.uint64(0xFFFFFFFF)
+        order = np.argsort(value)
+        return at, *_classes(value[order], doc[order], order)
 
     def candidates(self, at: np.ndarray, length: int) -> np.ndarray:
         """Starts of the strings that hold one of the sampled positions at, early enough."""
@@ -130,9 +138,9 @@ class Chunk:
         at = np.flatnonzero(np.cumsum(steps[:-1]) > 0)
         return at[at + length <= self.stops[self._of(at)]]
 
-    def prefixes(self, at: np.ndarray, buckets: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def prefixes(self, at: np.ndarray, buckets: int, length: int, key: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For the strings at these starts: name's index, if an earlier document here has it; then buckets and names of the distinct ones."""
-        h, other = names(self.words, at, length, (2, 3))
+        h, other = names(self.words, at, length, (key + 1, key + 2))
         bucket = (other >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
         order = np.argsort(h)
         order = order[np.argsort(bucket[order].astype(np.uint16 if buckets < 1 << 16 else np.uint64), kind="stable")]
@@ -181,9 +189,11 @@ def _told(bits: list[dict] | None, bucket: np.ndarray) -> np.ndarray:
     return out
 
 
-def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def chunked(docs: DataFrame, chunk_bytes: int | None = None) -> DataFrame:
     """The table of chunks, bucketed by chunk: chunk, n_bytes, ids, lengths, digests, text (all binary but the first two)."""
     spark = docs.sparkSession
+    estimate = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # of the files, without a scan
+    chunk_bytes = chunk_bytes or CHUNK_BYTES * growth(estimate)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
@@ -278,7 +288,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     chunks = chunked(rows.where("doc_id IS NOT NULL"))
     total = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    n_tuples, n_prefixes = (max(1, -(-total // size)) for size in (BUCKET_TUPLES * PERIOD // len(COVER), BUCKET_PREFIXES))
+    n_tuples, n_prefixes = (max(1, -(-total // size)) for size in (BUCKET_TUPLES * growth(total) * PERIOD // len(COVER), BUCKET_PREFIXES * growth(total)))
+    key = secrets.randbits(48)
     copies = materialize(whole_copies(chunks), "copies")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Chunk]]:
@@ -292,22 +303,22 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def tuples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, chunk in each(batches):
-            _, _, keys, _ = chunk.tuples(n_tuples, length)
+            _, _, keys, _ = chunk.tuples(n_tuples, length, key)
             yield sent(row["chunk"], list(_blobs(keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF))))
 
     def open_starts(row: dict, chunk: Chunk) -> np.ndarray:
-        at, index, keys, several = chunk.tuples(n_tuples, length)
+        at, index, keys, several = chunk.tuples(n_tuples, length, key)
         return chunk.candidates(at[(several | _told(row["bits"], keys >> np.uint64(32)))[index]], length)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, chunk in each(batches):
-            _, _, bucket, values = chunk.prefixes(open_starts(row, chunk), n_prefixes, length)
+            _, _, bucket, values = chunk.prefixes(open_starts(row, chunk), n_prefixes, length, key)
             yield sent(row["chunk"], list(_blobs(bucket, values)))
 
     def results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, chunk in each(batches):
             at = open_starts(row, chunk)
-            index, later, bucket, _ = chunk.prefixes(at, n_prefixes, length)
+            index, later, bucket, _ = chunk.prefixes(at, n_prefixes, length, key)
             gone = chunk.removed(at[later | _told(row["more"], bucket)[index]], length)
             raw = np.frombuffer(chunk.text, np.uint8)
             n = chunk.lengths
@@ -354,7 +365,10 @@ def forget(found: DataFrame) -> None:
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated strings; one of which nothing is left goes. Other rows stay as they are.
 
-    Removal works on bytes, so that it can cut a character in two; what is left of such a one goes as well.
+    Removal works on bytes, so that it can cut a character in two; what is left of such a one goes as well. Rows
+    with a null doc_id or text stay; rows that repeat a doc_id lose what their text shares with smaller doc_ids, and equal rows
+    all stay; n_chars, if docs have it, is that of the new text; other columns stay, whatever their names; an
+    empty table stays empty.
     """
     every = remove_repeats(docs)
     # rows that repeat a doc_id are told apart by their text
