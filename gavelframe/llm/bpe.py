@@ -8,8 +8,9 @@ of a megabyte takes n log n steps. Decoding joins the bytes of the ids.
 
 Frequent short matches are memoised per Python worker in a dictionary of bounded size.
 
-Defined cases: a null text counts as empty and an empty text has no ids. Ids of bytes are part of every
-byte-level vocabulary, so that each text can be encoded and decoding gives back its UTF-8 bytes exactly.
+Defined cases: a null text counts as empty and an empty text has no ids; a null doc_id is kept; repeated rows are each
+returned; a very long text or match is encoded whole; an empty table gives no rows; other columns are ignored. Ids of
+bytes are part of every byte-level vocabulary, so that each text can be encoded and decoding gives back its UTF-8 bytes exactly.
 """
 
 from __future__ import annotations

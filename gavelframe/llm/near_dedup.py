@@ -20,7 +20,8 @@ components of verified pairs; no step gathers a bucket, a group or a component i
 
 Defined cases: a null text counts as empty; texts without any word are classed by their exact text, so that
 empty ones are copies of each other; texts of fewer than five words match equal word sequences only; texts
-of one doc_id are all compared and then united in one class; rows with a null doc_id are left out; an empty
+of one doc_id are all compared and then united in one class; rows with a null doc_id are left out; a very long text is
+compared whole, in a block of its own; of equal estimates the partner with the larger doc_id is tried first; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -426,7 +427,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group, one with the smallest doc_id; different texts of a doc_id count as documents; rows without a doc_id stay."""
+    """One row of each group, one with the smallest doc_id, with all columns of docs, whatever their names.
+
+    Different texts of a doc_id count as documents; equal rows become one; rows without a doc_id stay; a null text counts as
+    empty, and empty texts are one group; an empty table stays empty.
+    """
     rows, _ = _keyed(docs)
     kept = _text_groups(rows).where("doc_id = class_id").select(F.col("doc_id").alias("_key"))
     return rows.join(kept, "_key", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

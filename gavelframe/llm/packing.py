@@ -7,7 +7,9 @@ filled greedily, always with the longest piece that fits; then its smallest piec
 unpacked pieces together fill the widened gap more tightly.
 
 Defined cases: a null text counts as empty and makes a piece of the end id alone; a null doc_id is packed
-like any other; repeated rows are packed once each; an empty table gives no rows.
+like any other; repeated rows are packed once each; a very long text makes as many pieces as it needs, each packed by
+itself; of pieces of equal length that with the smaller doc_id is taken first; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -154,7 +156,8 @@ def pack(rows: DataFrame, capacity: int = LENGTH, group_pieces: int = GROUP_PIEC
         number, offset = best_two_fit(part["length"].to_numpy(np.int64), capacity)
         return part.drop(columns="deal").assign(sequence_id=number + (int(key[0]) << 32), offset=offset)
 
-    dealt = rows.withColumn("deal", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    # the row's number in the table parts rows that are equal
+    dealt = rows.withColumn("deal", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("deal").applyInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
@@ -170,5 +173,5 @@ def op9_packing(spark: SparkSession, sf_dir: str, tokenizer_file: str | None = N
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last stage: where each piece of the kept documents stands."""
+    """The last stage: where each piece of the kept documents stands (see the module for nulls, repeated rows and empty tables)."""
     return _packed(spark, docs, None)

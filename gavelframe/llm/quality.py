@@ -1,8 +1,9 @@
 """Quality classifier: supervised subword embeddings.
 
-A document is the average of learned vectors of its hashed words and character 3- to 5-grams (within a
-word, with its boundaries, and a hashed token per pair of words that says if the second repeats the
-first); a softmax over two classes reads the average. Vectors and softmax are trained
+A document is the average of learned vectors of its hashed words, its character 3- to 5-grams (within a
+word, with its boundaries) and a hashed token for each pair of neighbouring words, which stands for the pair's
+shape alone: if the second word is the first again. (Pairs by their words can't tell a text that repeats any
+one word: see the README for figures.) A softmax over two classes reads the average. Vectors and softmax are trained
 together by stochastic gradient descent in numpy, in one Spark task, on a bounded sample of labelled rows;
 scoring runs in Spark tasks over every whole text. As the softmax is linear in the average, the trained model folds into
 one logit per hash bucket, which is what the tasks receive (BUCKETS floats, whatever the corpus size).
@@ -10,7 +11,8 @@ one logit per hash bucket, which is what the tasks receive (BUCKETS floats, what
 Defined cases: a null text counts as empty; an empty text has no features and gets the bias alone;
 rows without a usable label (quality not 0 or 1) are not trained on; if a document has several labels the
 largest holds; with no labelled rows at all every score is 0.5, with one class only the training still
-runs. A null doc_id is scored and is not held out. Extra columns of the inputs are ignored.
+runs. A null doc_id is scored and is not held out; repeated rows are each scored; a very long text is scored whole; an empty
+table gives no rows. Other columns of the inputs are ignored, or kept by score() and the stage.
 """
 
 from __future__ import annotations
@@ -181,7 +183,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts, with the columns of documents."""
+    """Documents that the classifier accepts, with the columns of documents.
+
+    Rows with a null text or doc_id and repeated rows are judged like others; no row is accepted without labels (all score
+    0.5); an empty table stays empty; columns of docs may have any names.
+    """
     labels = table(spark, sf_dir, "labels")
     names = ("_gf_score", "_gf_predicted")  # docs may have columns of the usual names
     return materialize(score(docs, fit(docs, labels), names=names).where(F.col(names[1]) == 1).select(*docs.columns), "accepted", ARROW_ROWS)

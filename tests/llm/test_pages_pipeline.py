@@ -2,15 +2,19 @@
 
 import math
 import time
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers as P
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gavelframe.llm import html_text, near_dedup, quality, repeats
+from gavelframe.llm import html_text, quality
 
 from .conftest import SF
+from .test_dedup import brute_groups, brute_repeats
 
 MENU = "<nav><ul><li><a href='/'>Home</a></li></ul></nav><div class='box'><p>Repeated box of the site</p></div>"
 PAGE = "<html><head><title>T</title><style>p{}</style><script>var a='</p>';</script></head><body>" + MENU + "<article><h1>Title %d</h1><p>First &amp; second&nbsp;  part\nof %d.</p><ul><li>one %d<li>two</ul></article><div class='comments'><p>nice</p></div><footer>(c)</footer></body></html>"
@@ -188,21 +192,53 @@ def test_pipeline_stages(spark, tmp_path):
     model = quality.fit(before, spark.read.parquet(f"{SF}/labels.parquet"))
     assert {r.doc_id for r in after.collect()} == {r.doc_id for r in quality.score(before, model).where("predicted = 1").collect()}
     before, after = results["near_dedup"]
-    assert {r.doc_id for r in after.collect()} == {r.doc_id for r in near_dedup.groups(before).where("doc_id = class_id").collect()}
+    groups = brute_groups({r.doc_id: r.text for r in before.collect()})
+    assert {r.doc_id: r.text for r in after.collect()} == {r.doc_id: r.text for r in before.collect() if groups[r.doc_id] == r.doc_id}
     before, after = results["repeats"]
-    kept = {r.doc_id: bytes(r.kept).decode("utf-8", "ignore") for r in repeats.remove_repeats(before).collect()}
-    texts = {r.doc_id: r for r in after.collect()}
-    assert all(texts[i].text == t and texts[i].n_chars == len(t) for i, t in kept.items() if t.strip() and i in texts)
-    assert all(i in texts for i, t in kept.items() if t.strip())
+    kept = {i: b.decode("utf-8", "ignore") for i, *_, b in brute_repeats([(r.doc_id, (r.text or "").encode()) for r in before.collect()])}
+    assert {r.doc_id: (r.text, r.n_chars) for r in after.collect()} == {i: (t, len(t)) for i, t in kept.items() if t.strip()}
     before, after = results["packing"]
-    assert {r.doc_id for r in after.select("doc_id").collect()} == {r.doc_id for r in before.select("doc_id").collect()}
+    tokenizer, pieces, bins = Tokenizer.from_file(P.path("byte_bpe_50k.json")), defaultdict(list), defaultdict(list)
+    for r in after.collect():
+        pieces[r.doc_id].append(r)
+        bins[r.sequence_id].append((r.offset, r.length))
+    texts = {r.doc_id: r.text for r in before.collect()}
+    assert pieces.keys() == texts.keys()
+    for i, text in texts.items():
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        own = sorted(pieces[i], key=lambda r: r.piece)
+        assert [r.start for r in own] == [sum(x.length for x in own[:k]) for k in range(len(own))] and sum(r.length for r in own) == len(ids)
+        assert all(r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes()) for r in own)
+    for held in bins.values():
+        held.sort()
+        assert [o for o, _ in held] == [sum(n for _, n in held[:k]) for k in range(len(held))] and sum(n for _, n in held) <= 1024
 
 
 def test_pipeline_odd_rows(spark, odd_docs, no_docs, tmp_path):
-    for docs in (odd_docs, no_docs):
-        labels = tmp_path / f"labels{docs.count()}"
-        spark.createDataFrame([(1, 1, 0), (6, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(labels / "labels.parquet"))
-        for name, stage in corpus_pipeline.STAGES:
-            out = stage(spark, docs, str(labels))
-            assert name == "packing" or out.columns == odd_docs.columns
-            out.count()
+    """Nulls, empty, long and repeated texts through every stage: each stage's rows by hand."""
+    labels = str(tmp_path / "labels")
+    spark.createDataFrame([(1, 1, 0), (6, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{labels}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    scores = quality.score(odd_docs, quality.fit(odd_docs, spark.read.parquet(f"{labels}/labels.parquet"))).where("predicted = 1")
+    accepted = stages["quality"](spark, odd_docs, labels)
+    ids = lambda df: sorted((str(r.doc_id), str(r.text)) for r in df.collect())
+    assert accepted.columns == odd_docs.columns and ids(accepted) == ids(scores) and {r.score for r in accepted.collect()} <= {1.0, None}
+    kept = stages["near_dedup"](spark, odd_docs, labels)
+    # null, empty, blank and line-break texts stay apart by their exact text, but null and empty are one; the null id stays
+    texts = [r.text for r in kept.collect()]
+    assert kept.columns == odd_docs.columns and len(texts) == len({t or "" for t in texts}) and {t or "" for t in texts} == {r.text or "" for r in odd_docs.collect()}
+    left = stages["repeats"](spark, odd_docs, labels)
+    assert left.columns == odd_docs.columns and left.where("doc_id IS NULL").first().text == "no id"
+    assert {r.doc_id for r in left.where("doc_id IS NOT NULL").collect()} <= {r.doc_id for r in odd_docs.collect()}
+    packed = stages["packing"](spark, odd_docs, labels).collect()
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = Counter()
+    for r in odd_docs.collect():
+        want[r.doc_id] += len(tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1
+    got = Counter()
+    for r in packed:
+        got[r.doc_id] += r.length
+    assert got == want
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, no_docs, labels)
+        assert out.count() == 0 and (name == "packing" or out.columns == odd_docs.columns)

@@ -139,7 +139,6 @@ def test_bpe_empty_table(spark, no_docs):
 
 def test_packing_pieces_and_sequences(spark, documents, odd_docs):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     docs = documents.select("doc_id", "text").unionByName(odd_docs.where("doc_id IS NOT NULL").selectExpr("doc_id + 1000000 AS doc_id", "text").where("doc_id <> 1000007"))
     rows = packing.pack(packing.pieces(docs, JSON, P.PATTERN), group_pieces=150).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
@@ -173,6 +172,54 @@ def test_packing_ids_of_added_tokens_and_long_white_space(spark):
     assert {r.doc_id: r.n for r in rows} == {i: 1 + len(tokenizer.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
 
 
+def plain_best_two_fit(lengths, capacity):
+    """Bins as sorted lists of lengths, piece by piece: greedy, then the smallest against the tightest pair."""
+    left, bins = sorted(lengths), []
+    while left:
+        held, gap = [], capacity
+        while fits := [x for x in left if x <= gap]:
+            held.append(max(fits))
+            left.remove(held[-1])
+            gap -= held[-1]
+        if gap and len(held) > 1 and len(left) >= 2:
+            small = held[-1]
+            best = max((left[i] + left[j] for i in range(len(left)) for j in range(i) if left[i] + left[j] <= gap + small), default=0)
+            if best > small:
+                # of equally tight pairs the one with the smallest piece
+                pair = min(((left[j], left[i]) for i in range(len(left)) for j in range(i) if left[i] + left[j] == best))
+                held.pop()
+                left.append(small)
+                for x in pair:
+                    left.remove(x)
+                    held.append(x)
+                left.sort()
+        bins.append(sorted(held))
+    return sorted(bins)
+
+
+def test_best_two_fit_equals_a_plain_version():
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        lengths = rng.integers(1, 61, rng.integers(1, 60))
+        number, _ = packing.best_two_fit(lengths, 60)
+        assert sorted(sorted(lengths[number == b].tolist()) for b in range(number.max() + 1)) == plain_best_two_fit(lengths.tolist(), 60)
+
+
+def test_packing_null_and_repeated_ids(spark):
+    rows = [(None, "one two three")] * 300 + [(7, "one two three")] * 300 + [(7, None), (None, ""), (8, "word " * 5000)]
+    got = packing.pack(packing.pieces(spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, deal string, piece int"), JSON, P.PATTERN), group_pieces=100).collect()
+    count = defaultdict(int)
+    for r in got:
+        count[r.doc_id, r.piece, r.length] += 1
+    n, long = len(Tokenizer.from_file(JSON).encode("one two three").ids) + 1, len(Tokenizer.from_file(JSON).encode("word " * 5000).ids) + 1
+    assert count[None, 0, n] == 300 and count[7, 0, n] == 300 and count[7, 0, 1] == count[None, 0, 1] == 1
+    assert sum(k[2] for k in count if k[0] == 8) == long
+    used = defaultdict(int)
+    for r in got:
+        used[r.sequence_id] += r.length
+    assert max(used.values()) <= 1024
+
+
 def test_best_two_fit_never_overfills():
     rng = np.random.default_rng(2)
     for _ in range(20):
@@ -199,6 +246,26 @@ def test_licences_equal_sql(spark):
     assert mine == theirs
 
 
+@pytest.mark.parametrize("name", ["MIT", "ISC", "BSD_2", "BSD_3", "ZLIB", "UNLICENSE", "ZERO_BSD", "MIT_0", "BOOST", "WTFPL"])
+def test_licences_wrapped_respelt_and_punctuated(spark, name):
+    text = getattr(licenses, name)
+    words, lines = text.split(), []
+    for word in words:  # hard-wrapped at 40 characters: lines begin with "COPYRIGHT HOLDERS" and the like
+        if lines and len(lines[-1]) + len(word) < 40:
+            lines[-1] += " " + word
+        else:
+            lines.append(word)
+    changed = [
+        "Copyright (c) 2019-2021 A. Holder\n\n" + "\n".join(lines), "© 2020 B. Holder\r\n" + text.upper(), "All rights reserved.\n" + text.replace("license", "licence").replace("noninfringement", "non-infringement").replace("NONINFRINGEMENT", "NON-INFRINGEMENT"),
+        "\t" + text.replace(",", " ,").replace(".", "!").replace('"', "“") + "\n\n", "# Copyright 2022 C. Holder\n" + "\n".join("# " + x for x in lines),
+    ]
+    if name == "WTFPL":  # its own copyright line goes with the text around it when lines are rewrapped
+        changed = changed[1:4]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate([text, *changed, text + " And more."])], "doc_id long, text string")
+    got = [r.license_id for r in licenses.scan(rows).orderBy("doc_id").collect()]
+    assert got[0] is not None and got[:-1] == [got[0]] * (len(changed) + 1) and got[-1] is None
+
+
 def test_licence_spellings_and_odd_rows(spark, odd_docs, no_docs):
     changed = "Copyright (c) 2020 Somebody\n\n" + licenses.MIT.upper().replace(",", " ; ").replace("SUBLICENSE", "SUB-LICENSE")
     rows = spark.createDataFrame([(1, changed), (2, licenses.BSD_3), (3, licenses.MIT + " and more"), (4, "x\nReleased under the MIT License.\ny"), (5, "Released under the mit licence")], "doc_id long, text string")
