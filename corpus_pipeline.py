@@ -2,7 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; run() writes each stage's
 result as Parquet in the shared folder and rereads it as the next one's docs. The last stage has no SQL form
-(nor have the first three), hence ORACLE_SQL is None; tests compare the stages with brute-force versions.
+(nor have the first three), hence ORACLE_SQL is None; tests compare the second and third stage with plain
+versions over all pairs of texts and all windows, the first with its own scores, and the last by its ids and offsets.
+
+Defined cases: null texts count as empty; rows without a doc_id pass the stages that compare documents; an empty table
+gives no rows; what each stage does with repeated rows stands in its docstring.
 """
 
 from __future__ import annotations
