@@ -417,9 +417,11 @@ def _text_groups(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     still = _open(left, sigs)
     more = _settled(still, sigs, sets, similarity)
     whole = components(more)
-    release(candidates, sigs, sets, left, still)
+    found = _with_component(_with_component(of_doc.select("doc_id", "rep"), parts, "rep", "part"), whole, "part", "class_id").select("doc_id", "class_id")
+    found = materialize(found, "groups")
+    release(of_doc, candidates, sigs, sets, links, parts, left, still, more)
     collect_shuffles(spark)
-    return _with_component(_with_component(of_doc.select("doc_id", "rep"), parts, "rep", "part"), whole, "part", "class_id").select("doc_id", "class_id")
+    return found
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
