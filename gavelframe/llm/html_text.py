@@ -38,13 +38,14 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter, defaultdict
+from array import array
+from collections import Counter
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from .common import ARROW_ROWS, materialize, release, table
 
@@ -74,37 +75,44 @@ FAMILIES = (("li", "ul", "ol", "menu"), ("dt", "dd", "dl"), ("tr", "table"), ("t
 ITEMS = {"li": (0, {"li"}), "dt": (1, {"dt", "dd"}), "dd": (1, {"dt", "dd"}), "tr": (2, {"tr"}), "td": (3, {"td", "th"}), "th": (3, {"td", "th"})}
 
 
-def _key(label: str, seed: int = 0) -> int:
-    """A 64-bit name (signed) of a label below the node of that name."""
-    h = xxhash.xxh3_64_intdigest(label.encode("utf-8", "surrogatepass"), seed % 2**64)
-    return h - 2**64 if h >= 2**63 else h
+#: The families that a tag belongs to.
+FAMILY_OF = {tag: [k for k, family in enumerate(FAMILIES) if tag in family] for family in FAMILIES for tag in family}
+
+
+def _key(data: str, seed: int = 0) -> int:
+    """A 63-bit name of a label below the node of that name."""
+    return xxh3_64_intdigest(data.encode("utf-8", "surrogatepass"), seed) >> 1
 
 
 class Node:
     """An element. own: the node of the style tree that it belongs to, itself unless it is inline or too deep."""
 
-    __slots__ = ("tag", "label", "parent", "scrap", "article", "main", "link", "own", "key", "depth", "kids", "found", "block", "nearest", "parts")
+    __slots__ = ("tag", "label", "parent", "scrap", "article", "main", "link", "own", "key", "depth", "kids", "found", "block", "nearest", "parts", "every")
 
     def __init__(self, tag: str, label: str, parent: Node | None, scrap: bool) -> None:
         self.tag, self.label, self.parent, self.scrap = tag, label, parent, scrap
         self.parts: list[str | Node | None] = []  # text, child, or None between two blocks
-        inline = tag in INLINE
-        self.article = tag == "article" or (parent is not None and parent.article)
-        self.main = tag == "main" or (parent is not None and parent.main)
-        self.link = tag == "a" or (parent is not None and inline and parent.link)
-        self.block = parent.block if inline and parent else self
-        self.nearest = [None] * len(FAMILIES) if parent is None else parent.nearest
-        if any(tag in family for family in FAMILIES):
-            self.nearest = [self if tag in family else old for family, old in zip(FAMILIES, self.nearest, strict=True)]
-        if parent is not None and (inline or parent.own.depth >= DEPTH):
-            self.own = parent.own
-            return
-        self.own, self.depth = self, parent.own.depth + 1 if parent else 0
-        self.key = _key(label, parent.own.key if parent else 0)
+        if parent is None:
+            self.article = self.main = self.link = False
+            self.block, self.nearest, self.every = self, [None] * len(FAMILIES), [self]  # every: the style tree's nodes of the page
+            self.own, self.depth, self.key = self, 0, _key(label)
+        else:
+            inline = tag in INLINE
+            self.article, self.main, self.link = parent.article or tag == "article", parent.main or tag == "main", tag == "a" or (inline and parent.link)
+            self.block, self.nearest, self.every = parent.block if inline else self, parent.nearest, parent.every
+            if tag in FAMILY_OF:
+                self.nearest = self.nearest.copy()
+                for k in FAMILY_OF[tag]:
+                    self.nearest[k] = self
+            own = parent.own
+            if inline or own.depth >= DEPTH:
+                self.own = own
+                return
+            self.own, self.depth, self.key = self, own.depth + 1, _key(label, own.key)
+            own.kids.append(self.key)
+            self.every.append(self)
         self.kids: list[int] = []  # names of the children in page order; texts of one place are one child
-        self.found: list[str] = []  # contents of its leaf
-        if parent is not None:
-            parent.own.kids.append(self.key)
+        self.found: list[int] = []  # names of its leaf's contents
 
 
 def parse(source: str) -> Node:
@@ -150,13 +158,14 @@ def parse(source: str) -> Node:
             at = end.end() if end else size
             node.parts.append(None)
             continue
-        names, label = [], tag
+        names, label = (), tag
         if attributes and "=" in attributes:
+            names = []
             for kind, *values in ATTRIBUTE.findall(attributes):
                 value = next((v for v in values if v), "")
                 if kind.lower() in ("href", "src"):
                     if tag in ("a", "img"):
-                        node.own.found.append(f"{kind.lower()} {value}")
+                        node.own.found.append(_key(value, LINK))
                     continue
                 value = value.lower()
                 names += re.split(r"[^a-z0-9]+", value)
@@ -260,6 +269,8 @@ def kept_blocks(top: Node, redundancy: Mapping[int, float], low: float = LOW) ->
 
 
 PRESENTATION, CHILD, CONTENT, CHAIN, BLOCK = range(5)
+#: Seeds that part names of texts and links.
+TEXT, LINK = 1, 2
 
 
 def style_rows(top: Node) -> Iterator[tuple[int, int, int, float, list[int] | None]]:
@@ -267,36 +278,48 @@ def style_rows(top: Node) -> Iterator[tuple[int, int, int, float, list[int] | No
 
     PRESENTATION: a sequence of children and its share in the node's occurrences; CHILD: a child and its share
     in the node's presentations; CONTENT: a content of a leaf and its share there; CHAIN: a leaf and the nodes
-    from the root down to it; BLOCK: a block of the page's text and its characters.
+    from the root down to it; BLOCK: a block of the page's text (of its article, if it has one) and its characters.
     """
+    inside: dict[int, int] = {}
+    outside: dict[int, int] = {}
     for text, holder, _ in _blocks(top):
-        holder.own.found.append(f"text {text}")
-    leaf_of, nodes = {}, [n for n in _walk(top) if n.own is n]
-    by_key: dict[int, list[Node]] = defaultdict(list)
-    for n in nodes:
+        name = _key(text, TEXT)
+        holder.own.found.append(name)
+        if not holder.scrap:
+            of = inside if holder.article or holder.main else outside
+            of[name] = of.get(name, 0) + len(text)
+    by_key: dict[int, list[Node]] = {}
+    for n in top.every:
         if n.found:
-            leaf_of[n.key] = _key("#text", n.key)
-            n.kids.append(leaf_of[n.key])
-        by_key[n.key].append(n)
+            n.kids.append(_key("#text", n.key))
+        by_key.setdefault(n.key, []).append(n)
     for key, same in by_key.items():
-        looks = Counter(_key(" ".join(map(str, n.kids))) for n in same)
-        children: Counter[int] = Counter()
+        looks: dict[int, float] = {}
+        children: dict[int, float] = {}
+        contents: dict[int, int] = {}
+        part = 1 / len(same)
         for n in same:
-            for kid, times in Counter(n.kids).items():
-                children[kid] += times / len(n.kids)
-        yield from ((key, PRESENTATION, look, times / len(same), None) for look, times in looks.items())
-        yield from ((key, CHILD, kid, share / len(same), None) for kid, share in children.items())
-        if key in leaf_of:
-            contents = Counter(_key(f) for n in same for f in n.found)
-            total = sum(contents.values())
-            yield from ((leaf_of[key], CONTENT, content, times / total, None) for content, times in contents.items())
-            above, up = [leaf_of[key]], same[0]
+            look = xxh3_64_intdigest(array("q", n.kids).tobytes()) >> 1
+            looks[look] = looks.get(look, 0) + part
+            for kid in n.kids:
+                children[kid] = children.get(kid, 0) + part / len(n.kids)
+            for content in n.found:
+                contents[content] = contents.get(content, 0) + 1
+        for look, share in looks.items():
+            yield key, PRESENTATION, look, share, None
+        for kid, share in children.items():
+            yield key, CHILD, kid, share, None
+        if contents:
+            leaf, total = _key("#text", key), sum(contents.values())
+            for content, times in contents.items():
+                yield leaf, CONTENT, content, times / total, None
+            above, up = [leaf], same[0]
             while up is not None:
                 above.append(up.own.key)
                 up = up.own.parent
-            yield leaf_of[key], CHAIN, 0, 0.0, above[::-1]
-    for block, times in Counter(kept_blocks(top, {})).items():
-        yield 0, BLOCK, _key(block), float(times * len(block)), None
+            yield leaf, CHAIN, 0, 0.0, above[::-1]
+    for name, size in (inside or outside).items():
+        yield 0, BLOCK, name, float(size), None
 
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
@@ -307,32 +330,40 @@ def host(url: str = "url"):
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """The rows of style_rows() for every distinct page of every host, with host and page (a hash of the html)."""
-    names = ["host", "page", "node", "kind", "value", "n", "above"]
-    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int8(), pa.int64(), pa.float64(), pa.list_(pa.int64()))
+    """The rows of style_rows() for every page of every host, with host, page (a hash of the html) and times, how often the host has the page."""
+    names = ["host", "page", "times", "node", "kind", "value", "n", "above"]
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int8(), pa.int64(), pa.float64(), pa.list_(pa.int64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in names]
-            for site, page, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for row in style_rows(parse(source)):
-                    for column, value in zip(out, (site, page, *row), strict=True):
-                        column.append(value)
+            for site, page, times, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows = list(style_rows(parse(source)))
+                for column, value in zip(out, (site, page, times), strict=False):
+                    column += [value] * len(rows)
+                for column, values in zip(out[3:], zip(*rows, strict=True), strict=True):
+                    column += values
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
 
     body = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(host().alias("host"), F.xxhash64(body).alias("page"), body.alias("html")).where(F.col("host") != "")
-    found = rows.mapInArrow(run, "host string, page long, node long, kind byte, value long, n double, above array<long>")
-    # rows of repeated pages are equal, so that each page counts once
-    return materialize(found.groupBy("host", "page", "node", "kind", "value").agg(F.max("n").alias("n"), F.max("above").alias("above")), "style-nodes", ARROW_ROWS)
+    keyed = pages.select(host().alias("host"), F.xxhash64(body).alias("page"), body.alias("html")).where(F.col("host") != "")
+    several = keyed.groupBy("host", "page").agg(F.count("*").alias("times")).where("times > 1")
+    several = materialize(several, "repeated-pages")
+    if several.isEmpty():
+        rows = keyed.select("host", "page", F.lit(1).cast("long").alias("times"), "html")
+    else:
+        rows = keyed.join(several, ["host", "page"], "left").select("host", "page", F.coalesce("times", F.lit(1)).alias("times"), "html")
+    return materialize(rows.mapInArrow(run, "host string, page long, times long, node long, kind byte, value long, n double, above array<long>"), "style-nodes", ARROW_ROWS)
 
 
 def style_tree(every: DataFrame) -> DataFrame:
     """host, node, n_pages (near copies count once) and redundancy (1 - importance) of every node of style_nodes()."""
-    blocks = every.where(F.col("kind") == BLOCK).select("host", "page", "value", "n")
-    shared = materialize(blocks.groupBy("host", "value").agg(F.count("*").alias("pages")).where("pages > 1"), "shared")
+    blocks = every.where(F.col("kind") == BLOCK).select("host", "page", "times", "value", "n")
+    shared = materialize(blocks.groupBy("host", "value").agg(F.round(F.sum(1 / F.col("times"))).alias("pages")).where("pages > 1"), "shared")
+    # of pages that are the same, all blocks are the same as well
     weights = blocks.join(shared, ["host", "value"], "left").groupBy("host", "page").agg(F.expr("1 / percentile(coalesce(pages, 1), 0.5, cast(n AS long))").alias("w"))
-    rows = every.where(F.col("kind").isin(PRESENTATION, CHILD, CONTENT)).drop("above").join(materialize(weights, "weights"), ["host", "page"], "left").withColumn("w", F.coalesce("w", F.lit(1.0)))
+    weights = materialize(weights.where("w < 1"), "weights")
+    rows = every.where(F.col("kind").isin(PRESENTATION, CHILD, CONTENT)).drop("above").join(weights, ["host", "page"], "left").withColumn("w", F.coalesce("w", F.lit(1.0)) / F.col("times"))
     # one row per (host, node, kind, value): counts before any group of a host meets
     values = materialize(rows.groupBy("host", "node", "kind", "value").agg(F.sum(F.col("w") * F.col("n")).alias("mass"), F.sum("w").alias("pages")), "values")
     of = lambda kind: values.where(F.col("kind") == kind)
