@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ARROW_ROWS, arrow_rows, materialize, scratch_dir, table, text_or_empty
+from .common import ARROW_ROWS, arrow_rows, collect_shuffles, materialize, release, scratch_dir, table, text_or_empty
 from .packing import worker_tokenizer
 
 SEQUENCE_IDS = 1024
@@ -101,11 +101,14 @@ def tokenised(docs: DataFrame, path: str, pattern: str, end_id: int = END_ID) ->
     order = ["doc_id", "tie", "text"]
     rows = rows.repartitionByRange("doc_id", "tie", "any").sortWithinPartitions(*order).select("doc_id", "text")
     found = materialize(rows.mapInArrow(run, "part long, doc_id long, start long, n long, ids binary"), "ids", ARROW_ROWS)
+    collect_shuffles(docs.sparkSession)
     sizes = found.groupBy("part").agg(F.sum("n").alias("size")).withColumn("span", F.floor(F.col("part") / SPAN))
     before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     spans = sizes.groupBy("span").agg(F.sum("size").alias("size")).select("span", F.coalesce(F.sum("size").over(before().orderBy("span")), F.lit(0)).alias("span_first"))  # a row per SPAN partitions
     firsts = sizes.join(spans, "span").select("part", (F.col("span_first") + F.coalesce(F.sum("size").over(before("span").orderBy("part")), F.lit(0))).alias("part_first"))
-    return found.join(materialize(firsts, "firsts"), "part").select("doc_id", (F.col("part_first") + F.col("start")).alias("first"), "n", "ids")
+    out = found.join(materialize(firsts, "firsts"), "part").select("doc_id", (F.col("part_first") + F.col("start")).alias("first"), "n", "ids")
+    out._gf_ids = found
+    return out
 
 
 def _slot_of(total: int, key: str):
@@ -205,14 +208,18 @@ def read_from(spark: SparkSession, path: str, slot: int = 0, stride: int = SEQUE
 
 
 def op2_training_order(spark: SparkSession, sf_dir: str, tokenizer_file: str | None = None) -> DataFrame:
-    """The shards, written under spark.checkpoint.dir and read again by offset, with what each record holds."""
+    """Writes the shards under spark.checkpoint.dir; what each record holds, with the CRC-32 of its ids as they are read from their shard by offset."""
     import public_tokenizers
 
     order = Order(table(spark, sf_dir, "documents"), tokenizer_file or public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
-    contents = order.contents()
+    contents = materialize(order.contents(), "contents")
+    collect_shuffles(spark)
     if not order.total:
-        return contents.withColumn("payload", F.lit(None).cast("binary"))
+        return contents.withColumn("ids_crc32", F.lit(None).cast("long"))
     path = f"{scratch_dir(spark)}/gf-shards-{uuid.uuid4().hex}"
     order.write_shards(path)
-    read = materialize(read_from(spark, path, 0, order.stride, order.shard_rows), "records", 4)
-    return contents.join(read.select("slot", "payload"), "slot")
+    release(order.rows._gf_ids)
+    collect_shuffles(spark)
+    read = read_from(spark, path, 0, order.stride, order.shard_rows)
+    sums = materialize(read.select("slot", F.crc32("payload").alias("ids_crc32")), "sums", 4)
+    return contents.join(sums, "slot")
