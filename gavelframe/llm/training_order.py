@@ -5,16 +5,17 @@ fixed number of ids; the last sequence of all is filled up with end ids. Sequenc
 Feistel permutation of the next power of four, walked along its cycle until it falls below N, gives each its
 slot. The order depends on the rows and the key alone, not on files, partitions or the cluster.
 
-Range partitions of the slots are the shards, one file each: a record is the sequence's ids (little-endian
-unsigned integers of ID_BYTES or, for larger vocabularies, 4 bytes) and one closing byte, so that slot s stands in shard
-s // shard_rows from byte (s % shard_rows) * stride on, and a run resumes at any slot by reading on from there.
+Range partitions of the slots are the shards, one file each: a record is the slot (8 bytes), the sequence's ids (unsigned
+integers of ID_BYTES or, for larger vocabularies, 4 bytes; all little-endian) and one closing byte, so that slot s stands in
+shard s // shard_rows from byte (s % shard_rows) * stride on, and a run resumes at any slot by reading on from there.
 Shards are written by Spark's text writer, whose lines are the raw bytes: its commit protocol leaves a whole
 file or none when an executor is lost.
 
 1. Texts are range-partitioned by (doc_id, hash), tokenised in that order and written with their place in the
    partition; the partitions' first places are sums over a table of one row per partition, in two steps.
 2. Each text is cut where sequences end; the cuts go to the partition of their slot's shard, sorted by slot
-   and place, and are joined to records there. No sequence or text is gathered anywhere else.
+   and place, and are joined to records there. No sequence or text is gathered anywhere else. This is done for
+   one of PASSES ranges of shards after the other, so that the shuffle of one is gone before the next begins.
 
 Defined cases: a null text counts as empty and adds one end id; a null doc_id is kept as a null in doc_ids and
 comes first; repeated rows are kept, each with its ids; a very long text fills as many sequences as it needs; an
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,8 +46,10 @@ KEY = "epoch-0"
 END_ID = 50_256
 #: Bytes of an id where all ids fit in them.
 ID_BYTES = 2
-#: Partitions whose sizes are summed together first.
-SPAN = 1024
+#: Bytes before a record's ids: its slot.
+HEAD = 8
+#: Partitions whose sizes are summed together first, and ranges of shards that are written one after the other.
+SPAN, PASSES = 1024, 2
 
 
 def feistel(x: np.ndarray, half_bits: int, keys: np.ndarray) -> np.ndarray:
@@ -126,11 +130,7 @@ class Order:
         self.rows, self.key, self.length, self.shard_rows, self.end_id = tokenised(docs, path, pattern, end_id), key, length, shard_rows, end_id
         self.width = id_bytes(path, end_id)
         self.total = -(-(self.rows.agg(F.sum("n")).first()[0] or 0) // length)
-        self.stride = length * self.width + 1
-
-    def _placed(self, rows: DataFrame) -> DataFrame:
-        placed = rows.withColumn("slot", _slot_of(self.total, self.key)(F.col("number"))).drop("number").withColumn("shard", F.floor(F.col("slot") / self.shard_rows).cast("int"))
-        return placed.withColumn("byte_offset", F.pmod("slot", F.lit(self.shard_rows)) * self.stride)
+        self.stride = HEAD + length * self.width + 1
 
     def contents(self) -> DataFrame:
         """slot, shard, byte_offset, doc_ids (of each text that has ids there, in order) and n_ids before the filling."""
@@ -139,32 +139,40 @@ class Order:
         begin = F.greatest("first", F.col("number") * self.length)
         held = held.select("number", "doc_id", begin.alias("begin"), (F.least(F.col("first") + F.col("n"), (F.col("number") + 1) * self.length) - begin).alias("n"))
         one = held.groupBy("number").agg(F.sort_array(F.collect_list(F.struct("begin", "doc_id"))).alias("d"), F.sum("n").cast("int").alias("n_ids"))  # a sequence's length at most
-        return self._placed(one.select("number", F.col("d.doc_id").alias("doc_ids"), "n_ids")).select("slot", "shard", "byte_offset", "doc_ids", "n_ids")
+        slot = F.col("slot")
+        placed = one.withColumn("slot", _slot_of(self.total, self.key)(F.col("number")))
+        return placed.select("slot", F.floor(slot / self.shard_rows).cast("int").alias("shard"), (F.pmod(slot, F.lit(self.shard_rows)) * self.stride).alias("byte_offset"), F.col("d.doc_id").alias("doc_ids"), "n_ids")
 
-    def records(self) -> DataFrame:
-        """shard and record (payload and closing byte): a partition per shard, in the order of its slots."""
-        length, width, end_id = self.length, self.width, self.end_id
+    def records(self, first: int, last: int) -> DataFrame:
+        """shard and record of the shards from first to before last: a partition per shard, in the order of its slots."""
+        length, width, end_id, total, key, per_shard = self.length, self.width, self.end_id, self.total, self.key, self.shard_rows
+        names, kinds = ["slot", "shard", "place", "part"], (pa.int64(), pa.int32(), pa.int32(), pa.binary())
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            pack = zstandard.ZstdCompressor(level=1).compress
             for batch in batches:
-                numbers, places, parts = [], [], []
-                for first, blob in zip(batch.column("first").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                    at, stop = first, first + len(blob) // width
-                    while at < stop:
-                        to = min(stop, (at // length + 1) * length)
-                        numbers.append(at // length)
-                        places.append(at % length)
-                        parts.append(blob[(at - first) * width : (to - first) * width])
-                        at = to
-                yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(places, pa.int32()), pa.array(parts, pa.binary())], ["number", "place", "part"])
+                starts, sizes = batch.column("first").to_numpy(), batch.column("n").to_numpy()
+                # the sequences that each text has a part in, and the part's bounds
+                begin, end = starts // length, (starts + sizes - 1) // length
+                row = np.repeat(np.arange(len(starts)), end - begin + 1)
+                number = np.arange(len(row)) - np.repeat(np.cumsum(end - begin + 1) - (end - begin + 1), end - begin + 1) + begin[row]
+                slot = slots(number, total, key)
+                at = np.flatnonzero((slot // per_shard >= first) & (slot // per_shard < last))
+                row, number, slot = row[at], number[at], slot[at]
+                left = np.maximum(starts[row], number * length)
+                right = np.minimum((starts + sizes)[row], (number + 1) * length)
+                blobs, own = batch.column("ids"), starts[row]
+                parts = [pack(memoryview(blobs[k].as_buffer())[x * width : y * width]) for k, x, y in zip(row.tolist(), (left - own).tolist(), (right - own).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((slot, slot // per_shard, left - number * length, parts), kinds, strict=True)], names)
 
         def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            unpack = zstandard.ZstdDecompressor().decompress
             now: tuple[int, int] | None = None  # slot and shard
             held: list[bytes] = []
 
             def record() -> bytes:
                 body = b"".join(held)
-                return body + np.full(length - len(body) // width, end_id, f"<u{width}").tobytes()
+                return now[0].to_bytes(HEAD, "little") + body + np.full(length - len(body) // width, end_id, f"<u{width}").tobytes()
 
             for batch in batches:
                 shards, records = [], []
@@ -174,37 +182,49 @@ class Order:
                         records.append(record())
                         held = []
                     now = slot, shard
-                    held.append(part)
+                    held.append(unpack(part))
                 yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(records, pa.binary())], ["shard", "record"])
             if now is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([now[1]], pa.int32()), pa.array([record()], pa.binary())], ["shard", "record"])
 
-        cuts = self.rows.select("first", "ids").mapInArrow(cut, "number long, place int, part binary")
-        dealt = self._placed(cuts).repartitionById(max(1, -(-self.total // self.shard_rows)), F.col("shard")).sortWithinPartitions("slot", "place")
+        cuts = self.rows.select("first", "n", "ids").mapInArrow(cut, "slot long, shard int, place int, part binary")
+        dealt = cuts.repartitionById(max(1, last - first), F.col("shard") - first).sortWithinPartitions("slot", "place")
         return dealt.select("slot", "shard", "part").mapInArrow(join, "shard int, record binary")
 
     def write_shards(self, path: str) -> None:
         """A folder shard=K with one file of fixed-stride records for each shard."""
-        lines = self.records().select(F.col("record").cast("string").alias("value"), "shard")  # the bytes as they are
-        with arrow_rows(lines.sparkSession, 4 * ARROW_ROWS):
-            lines.write.option("lineSep", "\n").partitionBy("shard").text(path)
-
-
-def read_from(spark: SparkSession, path: str, slot: int = 0, stride: int = SEQUENCE_IDS * ID_BYTES + 1, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """slot, shard, byte_offset and payload of the rest of the order from a slot on; earlier shards are not opened."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, blob in zip(batch.column("shard").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                first = max(0, slot - shard * shard_rows)
-                at = np.arange(first, len(blob) // stride, dtype=np.int64)
-                for s in range(0, len(at), ARROW_ROWS):
-                    some = at[s : s + ARROW_ROWS]
-                    payload = [blob[k * stride : (k + 1) * stride - 1] for k in some.tolist()]
-                    yield pa.RecordBatch.from_arrays([pa.array(some + shard * shard_rows), pa.array(np.full(len(some), shard, np.int32)), pa.array(some * stride), pa.array(payload, pa.binary())], ["slot", "shard", "byte_offset", "payload"])
-
-    files = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary, shard int").load(path)
-    return files.where(F.col("shard") >= slot // shard_rows).select("shard", "content").mapInArrow(run, "slot long, shard int, byte_offset long, payload binary")
+        spark = self.rows.sparkSession
+        shards = -(-self.total // self.shard_rows)
+        bounds = [shards * k // PASSES for k in range(PASSES + 1)]
+        for first, last in zip(bounds[:-1], bounds[1:], strict=True):
+            if first < last:
+                lines = self.records(first, last).select(F.col("record").cast("string").alias("value"), "shard")  # the bytes as they are
+                with arrow_rows(spark):
+                    lines.write.mode("append").option("lineSep", "\n").partitionBy("shard").text(path)
+                collect_shuffles(spark)
+
+
+def read_from(spark: SparkSession, path: str, slot: int = 0, stride: int = HEAD + SEQUENCE_IDS * ID_BYTES + 1, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """slot, shard, byte_offset and payload of the rest of the order from a slot on; earlier shards are not opened.
+
+    Files are split between records, whatever their size.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    shards = sorted(k for k in (int(name.partition("=")[2]) for name in (f.getPath().getName() for f in found) if name.startswith("shard=")) if k >= slot // shard_rows)
+    schema = "slot long, shard int, byte_offset long, payload binary"
+    if not shards:
+        return spark.createDataFrame([], schema)
+
+    def rows(records: Iterator[bytes]) -> Iterator[tuple[int, int, int, bytearray]]:
+        for record in records:
+            at = int.from_bytes(record[:HEAD], "little")
+            if at >= slot:
+                yield at, at // shard_rows, at % shard_rows * stride, bytearray(record[HEAD:-1])
+
+    # flat binary records have a reader for RDDs only
+    records = spark.sparkContext.binaryRecords(",".join(f"{path}/shard={k}" for k in shards), stride)
+    return spark.createDataFrame(records.mapPartitions(rows), schema)
 
 
 def op2_training_order(spark: SparkSession, sf_dir: str, tokenizer_file: str | None = None) -> DataFrame:
@@ -221,5 +241,5 @@ def op2_training_order(spark: SparkSession, sf_dir: str, tokenizer_file: str | N
     release(order.rows._gf_ids)
     collect_shuffles(spark)
     read = read_from(spark, path, 0, order.stride, order.shard_rows)
-    sums = materialize(read.select("slot", F.crc32("payload").alias("ids_crc32")), "sums", 4)
+    sums = materialize(read.select("slot", F.crc32("payload").alias("ids_crc32")), "sums")
     return contents.join(sums, "slot")

@@ -75,14 +75,14 @@ def test_training_order_shards_equal_one_list_of_all_ids(spark, documents, tmp_p
     order = training_order.Order(docs, JSON, P.PATTERN, length=256, shard_rows=50)
     order.write_shards(str(tmp_path / "shards"))
     want = plain_order(documents, 256, 50)
-    assert order.total == len(want) and order.stride == 513
+    assert order.total == len(want) and order.stride == 521
     for slot in (0, 1, 49, 50, 123, order.total - 1):  # a seek in the file itself
         (file,) = (tmp_path / "shards" / f"shard={slot // 50}").glob("part-*")
         with file.open("rb") as f:
             f.seek(slot % 50 * order.stride)
-            assert f.read(512) == want[slot][2]
+            assert f.read(520) == slot.to_bytes(8, "little") + want[slot][2]
     rest = training_order.read_from(spark, str(tmp_path / "shards"), 123, order.stride, 50).collect()
-    assert {r.slot: (r.shard, r.byte_offset, r.payload) for r in rest} == {s: (s // 50, s % 50 * 513, w[2]) for s, w in want.items() if s >= 123}
+    assert {r.slot: (r.shard, r.byte_offset, r.payload) for r in rest} == {s: (s // 50, s % 50 * 521, w[2]) for s, w in want.items() if s >= 123}
     held = order.contents().collect()
     assert {r.slot: (r.doc_ids, r.n_ids) for r in held} == {s: w[:2] for s, w in want.items()} and len(held) == len(want)
 
