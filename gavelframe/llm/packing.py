@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ARROW_ROWS, materialize, table
+from .common import ARROW_ROWS, materialize, release, table
 
 LENGTH = 1024
 END_ID = 2
@@ -158,7 +158,9 @@ def pack(rows: DataFrame, capacity: int = LENGTH, group_pieces: int = GROUP_PIEC
 
     # the row's number in the table parts rows that are equal
     dealt = rows.withColumn("deal", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
-    return dealt.groupBy("deal").applyInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    packed = materialize(dealt.groupBy("deal").applyInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"), "packed")
+    release(rows)
+    return packed
 
 
 def _packed(spark: SparkSession, docs: DataFrame, tokenizer_file: str | None) -> DataFrame:

@@ -221,7 +221,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     of_rep = reps.select("rep", "label", "embedding", "copies").join(counts, "rep", "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     alone = rows.where(~(usable() & nonzero & F.col("label").isNotNull())).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     linked = good.join(of_rep, ["label", "embedding"]).select("vec_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    out = materialize(linked.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id")), "classes")
+    release(reps, tiled, found)
+    return out
 
 
 def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
