@@ -204,7 +204,7 @@ def judges(text: Column) -> Column:
 
 
 def cited_cases(text: Column) -> Column:
-    pattern = r"(?U)" + CITED_COURT + r"\s*\d+\s*年度?\s*\S+字\s*第?\s*\d+\s*號"
+    pattern = r"(?U)(?=[最臺台智懲福])" + CITED_COURT + r"\s*\d+\s*年度?\s*\S+字\s*第?\s*\d+\s*號"
     return F.array_distinct(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0)))
 
 

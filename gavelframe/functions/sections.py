@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +23,16 @@ def section_texts(text: Column) -> Column:
     """
     names = {MAIN: "main_text", FACTS: "facts", REASONS: "reasoning"}
 
+    first_signs = sorted({heading[0] for heading in (MAIN, REASONS, *FACTS_HEADINGS)})
+
+    def kind_of(line: Column) -> Column:
+        # few lines hold a sign of a heading at all
+        likely = reduce(or_, (line.contains(sign) for sign in first_signs))
+        kind = lambda title: F.when(title == MAIN, MAIN).when(title.isin(FACTS_HEADINGS), FACTS).when(title == REASONS, REASONS)
+        return F.when(likely, bound(normalize_space(line), kind))
+
     def read(line: Column, i: Column) -> Column:
-        title = normalize_space(line)
-        kind = F.when(title == MAIN, MAIN).when(title.isin(FACTS_HEADINGS), FACTS).when(title == REASONS, REASONS)
-        return F.struct(i.alias("i"), strip(line).alias("own"), kind.alias("kind"), (kind.isNull() & is_date_line(line)).alias("dated"))
+        return bound(kind_of(line), lambda kind: F.struct(i.alias("i"), strip(line).alias("own"), kind.alias("kind"), (kind.isNull() & line.contains("華") & is_date_line(line)).alias("dated")))
 
     def sections(rows: Column, end: Column) -> Column:
         heads = F.filter(rows, lambda r: r["kind"].isNotNull() & (r["i"] < end))
@@ -42,7 +51,8 @@ def section_texts(text: Column) -> Column:
 
 
 ROLE = r"(?U)^\s*((?:" + "|".join(r"\s*".join(role) for role in ROLES) + r"))\s+(.+)$"
-ENDINGS = [MAIN, "據上論結"]
+#: A line that ends the list of parties.
+ENDING = r"(?U)(?:^|\n)[^\S\n]*(?:" + "|".join(r"[^\S\n]*".join(ending) for ending in [MAIN, "據上論結"]) + r")[^\S\n]*(?=\n|\z)"
 HEAD_LINES = 10
 NAME_CHARS = (2, 30)
 
@@ -51,7 +61,7 @@ def parties(text: Column) -> Column:
     """map<role, names>, from the lines between the case number (in the first lines) and the main text.
 
     A line names a role and its first party; lines below it without a role are further parties of it, until one
-    tells that the list is over. Lines are read one by one, then cut at the places of the roles.
+    tells that the list is over. Only the lines before the main text are read; they are cut at the places of the roles.
     """
     least, most = NAME_CHARS
     any_of = lambda value, words: F.exists(F.array(*map(F.lit, words)), lambda w: value.contains(w))
@@ -63,14 +73,13 @@ def parties(text: Column) -> Column:
         named = F.regexp_replace(F.when(role != "", strip(F.regexp_extract(line, ROLE, 2))).otherwise(own), r"(?U)\s{2,}", "")
         more = ~title.isin(PARTY_FILLERS) & F.length(named).between(least, most) & ~any_of(named, NOT_NAMES)
         return F.struct(
-            i.alias("i"), role.alias("role"), F.when(F.when(role != "", F.length(named) >= least).otherwise(more), named).alias("name"), title.isin(ENDINGS).alias("ends"),
-            own.rlike(CASE_ID).alias("cased"), ((role == "") & any_of(own, PARTY_STOPS)).alias("stops"),
+            i.alias("i"), role.alias("role"), F.when(F.when(role != "", F.length(named) >= least).otherwise(more), named).alias("name"), ((role == "") & any_of(own, PARTY_STOPS)).alias("stops"),
         )
 
-    def listed(rows: Column) -> Column:
-        case = place(F.slice(rows, 1, HEAD_LINES), lambda r: r["cased"] | r["ends"])
-        end = place(rows, lambda r: r["ends"] & (r["i"] > case))
-        return F.when(rows[case]["cased"], F.slice(rows, case + 2, F.coalesce(end, F.size(rows)) - case - 1)).otherwise(F.slice(rows, 1, 0))
+    def below_case(head: Column) -> Column:
+        cased = F.transform(F.slice(head, 1, HEAD_LINES), lambda line: strip(line).rlike(CASE_ID))
+        at = F.array_position(cased, F.lit(True))  # from 1; 0 where there is none
+        return bound(at, lambda k: F.when(k > 0, F.slice(head, k.cast("int") + 1, F.size(head))).otherwise(F.slice(head, 1, 0)))
 
     def before_stop(rows: Column) -> Column:
         first = place(rows, lambda r: r["role"] != "")
@@ -84,11 +93,13 @@ def parties(text: Column) -> Column:
         return bound(bound(heads, parts), lambda p: F.map_from_entries(F.transform(F.array_distinct(p["role"]), lambda role: F.struct(role, names(p, role)))))
 
     none = F.create_map().cast("map<string,array<string>>")
-    found = bound(bound(bound(F.transform(lines(F.coalesce(text, F.lit(""))), read), listed), before_stop), lambda rows: F.when(F.size(rows) > 0, by_role(rows)).otherwise(none))
+    head = lines(F.split(F.coalesce(text, F.lit("")), ENDING, 2)[0])
+    listed = bound(bound(head, below_case), lambda rows: F.transform(rows, read))
+    found = bound(bound(listed, before_stop), lambda rows: F.when(F.size(rows) > 0, by_role(rows)).otherwise(none))
     return F.coalesce(found, none)
 
 
-_NAMES = "(?:" + "|".join(PATTERN_NAMES) + "|[一-鿿]{2,15}(?:法|條例|規則|辦法))"
+_NAMES = "(?=[一-鿿])(?:" + "|".join(PATTERN_NAMES) + "|[一-鿿]{2,15}(?:法|條例|規則|辦法))"
 ARABIC = rf"(?U)({_NAMES})\s*第\s*(\d{{1,4}}(?:[-之]\d{{1,2}})?)\s*條(?:\s*第\s*\d+\s*項)?"
 CHINESE = rf"(?U)({_NAMES})\s*第\s*({CN_DIGITS}{{1,8}})\s*條(?:之({CN_DIGITS}{{1,4}}))?"
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..constants import BOILERPLATE, CHALLENGE, CUT_WARNING, REFUSAL, REFUSAL_CHARS, SAFETY_VALVE, SNIPPET_CONTEXT, SNIPPET_MATCHES, SUBSTANTIVE
 
+#: All characters that Unicode counts as white space.
+WHITE = "\t\n\v\f\r \u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Elements that running() sums together first.
 SPAN = 256
 
@@ -40,12 +42,12 @@ def running(numbers: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Without white space of any kind (ideographic and no-break spaces too) at both ends."""
-    return F.regexp_replace(F.regexp_replace(text, r"(?U)^\s+", ""), r"(?U)\s+\z", "")
+    return F.btrim(text, F.lit(WHITE))
 
 
 def normalize_space(text: Column) -> Column:
     """Without any white space."""
-    return F.regexp_replace(text, r"(?U)\s+", "")
+    return F.translate(text, WHITE, "")
 
 
 def strip_inline_tags(html: Column) -> Column:
