@@ -208,7 +208,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     spark = vectors.sparkSession
     rows = vectors.where("vec_id IS NOT NULL").groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min(F.struct("label", "embedding")).alias("v")).select("vec_id", "v.label", "v.embedding")
     nonzero = F.exists(F.col("embedding"), lambda x: x != 0)
-    good = rows.where(usable() & nonzero & F.col("label").isNotNull())
+    rows = materialize(rows.withColumn("fine", F.coalesce(usable() & nonzero & F.col("label").isNotNull(), F.lit(False))), "rows")
+    good = rows.where("fine").drop("fine")
     reps = materialize(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors")
     dims = [r.d for r in reps.select(F.size("embedding").alias("d")).distinct().collect()]  # lengths of vectors, one in practice
     rotations = {d: _rotation(reps, d) for d in dims}
@@ -219,10 +220,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
     parts = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     of_rep = reps.select("rep", "label", "embedding", "copies").join(counts, "rep", "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    alone = rows.where(~(usable() & nonzero & F.col("label").isNotNull())).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    alone = rows.where("NOT fine").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     linked = good.join(of_rep, ["label", "embedding"]).select("vec_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     out = materialize(linked.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id")), "classes")
-    release(reps, tiled, found)
+    release(rows, reps, tiled, found)
     return out
 
 
