@@ -154,9 +154,12 @@ def truncated(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def attach_next(rows: DataFrame, partition: list[str], order: list[str], value: Column, name: str) -> DataFrame:
-    """rows with the value of the next row that has one (a heading and the first article after it)."""
-    later = Window.partitionBy(*partition).orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
-    return rows.withColumn(name, F.first(value, ignorenulls=True).over(later))
+    """rows with the value of the next row that has one (a heading and the first article after it).
+
+    Read backwards it is the last value so far, which a window carries along instead of searching all later rows.
+    """
+    seen = Window.partitionBy(*partition).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn(name, F.last(value, ignorenulls=True).over(seen))
 
 
 def attach_following(rows: DataFrame, partition: list[str], order: list[str], value: Column, name: str) -> DataFrame:
