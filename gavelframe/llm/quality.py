@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ARROW_ROWS, MUL, arrow_rows, chunks, materialize, mix64, span_hashes, table, text_or_empty
+from .common import ARROW_ROWS, MUL, arrow_rows, chunks, materialize, mix64, span_hashes, table
 
 BUCKET_BITS = 17
 DIM = 8
@@ -189,8 +189,6 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     0.5); an empty table stays empty; columns of docs may have any names.
     """
     model = fit(docs, table(spark, sf_dir, "labels"))
-    digest = F.sha2(text_or_empty().cast("binary"), 256)
-    # the score is the text's alone: what is written are the digests of rejected texts
-    rejected = score(docs.select(text_or_empty().alias("text")), model).where("predicted = 0").select(digest.alias("_gf_digest")).distinct()
-    rejected = materialize(rejected, "rejected", ARROW_ROWS)
-    return docs.withColumn("_gf_digest", digest).join(rejected, "_gf_digest", "left_anti").select(*docs.columns)
+    names = ("_gf_score", "_gf_predicted")  # docs may have columns of the usual names
+    # written once, which costs less than a join that shuffles all texts to the verdicts
+    return materialize(score(docs, model, names=names).where(F.col(names[1]) == 1).select(*docs.columns), "accepted", ARROW_ROWS)
