@@ -49,7 +49,7 @@ ID_BYTES = 2
 #: Bytes before a record's ids: its slot.
 HEAD = 8
 #: Partitions whose sizes are summed together first, and ranges of shards that are written one after the other.
-SPAN, PASSES = 1024, 2
+SPAN, PASSES = 1024, 4
 
 
 def feistel(x: np.ndarray, half_bits: int, keys: np.ndarray) -> np.ndarray:
