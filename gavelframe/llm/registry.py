@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_text, licenses, near_dedup, packing, quality, repeats, topk, training_order, vector_dedup
+from . import bpe, divergence, html_text, licenses, near_dedup, packing, quality, repeats, secrets, spelling, topk, training_order, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.op1_quality,
@@ -19,8 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": topk.op8_topk,
     "op9_packing": packing.op9_packing,
     "op10_html": html_text.op10_html,
+    "op11_divergence": divergence.op11_divergence,
+    "op12_secrets": secrets.op12_secrets,
+    "op13_spelling": spelling.op13_spelling,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_licenses": licenses.ORACLE,
     "op8_topk": topk.ORACLE,
+    "op11_divergence": divergence.ORACLE,
+    "op12_secrets": secrets.ORACLE,
+    "op13_spelling": spelling.ORACLE,
 }
