@@ -18,16 +18,16 @@ once, hence redundancies are a sum over the leaves below, one grouping whatever
 
 Each page is then read again without its low branches: those of an importance of LOW at most, and outside articles and
 main elements also those whose redundancy is REDUNDANT at least and RATIO times that of the page's main branch (the one
-with most text of its own). Where the tree can't tell, as on a page without a host, elements that by their tag,
-role or class are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments
-go as well. The text is that of the main element, else of the articles in page order (not of mere
+with most important text of its own: characters times importance). What holds the main branch stays. What the tree can't tell (pages without a host, reader comments and teasers that differ from page to page) goes by tags, roles
+and whole class names of menus, headers, footers, sidebars, notices, adverts, forms and reader comments; such a name never removes
+what holds all articles and main elements of the page, nor (but for comments) what holds half of its text. The text is that of the main element, else of the articles in page order (not of mere
 teasers, of which more than half is link text), else of what is left of the body.
 
 Near copies of a page count once together: a page weighs 1 / the number of pages on its host that share the block
 in the middle of its text when blocks are ordered by that number.
 
-A page is read in time linear in its size; blocks nested deeper than DEPTH count as part of their ancestor at that
-depth in the tree. A host's low branches go to its pages as a list; those of a host with more than LISTED go page by page.
+A page is read in time linear in its size; blocks nested deeper than the parameter depth count as part of their ancestor at that
+depth in the tree (each leaf has a row for each level above it). A host's low branches go to its pages as a list; those of a host with more than LISTED go page by page.
 
 Defined cases: null html counts as empty and gives an empty text; a null url or one without a host takes part in no
 tree and loses no branch by it; repeated pages of one host count once in its tree; repeated rows are each returned;
@@ -57,15 +57,20 @@ LISTED = 10_000
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption summary".split())
-SCRAP = frozenset("script style noscript template nav footer aside form menu dialog iframe object button select textarea svg canvas title video audio".split())
+#: Elements whose content is never text of the page.
+MARKUP = frozenset("script style noscript template iframe object button select textarea svg canvas title video audio".split())
+#: Elements that usually stand beside the article.
+BESIDE = frozenset("nav footer aside form menu dialog".split())
 RAW = frozenset("script style textarea title noscript template iframe svg".split())
-#: Parts of class and id names and roles that mark an element as not belonging to the article.
+#: Whole class names, ids and roles of such elements.
 SCRAP_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies discussion"
-    " disqus footer gdpr menu modal nav navbar navigation newsletter notice notices popup promo promotion related replies reply search share sharing sidebar social"
-    " sponsor sponsored subscribe subscription toolbar widget".split()
+    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comment-list complementary consent contentinfo cookie cookie-banner cookie-consent cookie-notice"
+    " cookies discussion disqus disqus_thread footer gdpr menu modal nav navbar navigation newsletter notice notices popup promo promotion related related-articles related-posts replies reply search"
+    " share sharing sidebar site-footer social sponsor sponsored subscribe subscription toolbar user-comments widget".split()
 )
-SCRAP_OUTSIDE = frozenset("header masthead topbar".split())
+#: Of these, reader comments, which may be longer than the article.
+COMMENTS = frozenset("comment comments comment-list discussion disqus disqus_thread replies reply user-comments".split())
+SCRAP_OUTSIDE = frozenset("header masthead topbar site-header".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|href|src)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -87,10 +92,12 @@ def _key(data: str, seed: int = 0) -> int:
 class Node:
     """An element. own: the node of the style tree that it belongs to, itself unless it is inline or too deep."""
 
-    __slots__ = ("tag", "label", "parent", "scrap", "article", "main", "link", "own", "key", "depth", "kids", "found", "block", "nearest", "parts", "every")
+    __slots__ = ("tag", "label", "parent", "scrap", "article", "main", "link", "own", "key", "depth", "kids", "found", "block", "nearest", "parts", "every", "limit", "soft")
 
-    def __init__(self, tag: str, label: str, parent: Node | None, scrap: bool) -> None:
-        self.tag, self.label, self.parent, self.scrap = tag, label, parent, scrap
+    def __init__(self, tag: str, label: str, parent: Node | None, scrap: bool, soft: bool | None = False, limit: int = DEPTH) -> None:
+        """scrap: markup, never text. soft: by its tag or names it stands beside the article; None if it does even with most of the text. limit: DEPTH of the page."""
+        self.tag, self.label, self.parent, self.scrap, self.soft = tag, label, parent, scrap, soft
+        self.limit = limit if parent is None else parent.limit
         self.parts: list[str | Node | None] = []  # text, child, or None between two blocks
         if parent is None:
             self.article = self.main = self.link = False
@@ -105,7 +112,7 @@ class Node:
                 for k in FAMILY_OF[tag]:
                     self.nearest[k] = self
             own = parent.own
-            if inline or own.depth >= DEPTH:
+            if inline or own.depth >= self.limit:
                 self.own = own
                 return
             self.own, self.depth, self.key = self, own.depth + 1, _key(label, own.key)
@@ -115,10 +122,11 @@ class Node:
         self.found: list[int] = []  # names of its leaf's contents
 
 
-def parse(source: str) -> Node:
-    """A tolerant tree of the page; text stands in parts in page order, with None at the borders of blocks."""
-    top = node = Node("html", "html", None, False)
+def parse(source: str, depth: int = DEPTH) -> Node:
+    """A tolerant tree of the page; text stands in parts in page order, with None at the borders of blocks. depth: of the style tree."""
+    top = node = Node("html", "html", None, False, limit=depth)
     open_: Counter[str] = Counter()
+    some_soft = False
     at, size, last = 0, len(source), source.rfind(">") + 1
 
     def leave(to: Node) -> None:
@@ -168,7 +176,7 @@ def parse(source: str) -> Node:
                         node.own.found.append(_key(value, LINK))
                     continue
                 value = value.lower()
-                names += re.split(r"[^a-z0-9]+", value)
+                names += value.split()
                 if kind.lower() != "role":
                     label += ("#" if kind.lower() == "id" else ".") + ".".join(sorted(re.sub(r"[0-9]+", "0", value).split()))
         if tag in VOID:
@@ -186,16 +194,33 @@ def parse(source: str) -> Node:
                     leave(item.parent)
                     node.parts.append(None)
         outside = not (node.article or node.main)
-        scrap = tag in SCRAP or not SCRAP_NAMES.isdisjoint(names) or (outside and (tag == "header" or not SCRAP_OUTSIDE.isdisjoint(names)))
-        child = Node(tag, label, node, node.scrap or scrap)
+        soft = tag in BESIDE or not SCRAP_NAMES.isdisjoint(names) or (outside and (tag == "header" or not SCRAP_OUTSIDE.isdisjoint(names)))
+        child = Node(tag, label, node, node.scrap or tag in MARKUP, None if soft and not COMMENTS.isdisjoint(names) else soft)
+        some_soft = some_soft or soft
         open_[tag] += 1
         if tag not in INLINE:
             node.parts.append(None)
         node.parts.append(child)
         node = child
+    if some_soft:
+        _judge(top)
     return top
 
 
+def _judge(top: Node) -> None:
+    """Which of the soft elements are scrap: those that don't hold all articles and main elements of the page (themselves included), and (but for reader comments) less than half of its text."""
+    nodes = list(_walk(top))
+    size, roots = {}, {}
+    for n in reversed(nodes):  # children before their parents
+        inner = [p for p in n.parts if isinstance(p, Node)]
+        roots[n] = 0 if n.scrap else (n.tag in ("article", "main")) + sum(roots[c] for c in inner)
+        size[n] = 0 if n.scrap else sum(len(p.strip()) for p in n.parts if isinstance(p, str)) + sum(size[c] for c in inner)
+    half, every = size[top] / 2, roots[top]
+    for n in nodes:
+        soft = n.soft is not False and not (every and roots[n] == every) and (n.soft is None or size[n] < half)
+        n.scrap = n.scrap or soft or (n.parent is not None and n.parent.scrap)
+
+
 def _below(node: Node, keep=lambda child: True) -> Iterator[tuple[str | None, Node]]:
     """The texts below a node in page order, None between blocks, and the element that holds each; without children that keep() refuses."""
     stack = [(node, iter(node.parts))]
@@ -247,20 +272,28 @@ def _article(top: Node, keep) -> list[str]:
 
 def kept_blocks(top: Node, redundancy: Mapping[int, float], low: float = LOW) -> list[str]:
     """The blocks of one page; redundancy: of its host's nodes in the style tree (those below REDUNDANT / RATIO may be missing)."""
-    main = 0.0
+    main, path = 0.0, set()
     if redundancy:
         size: Counter[int] = Counter()
+        at: dict[int, Node] = {}
         for text, holder, _ in _blocks(top):
             own = holder.own
             while own.tag in TEXTUAL and own.parent is not None:
                 own = own.parent.own
-            size[own.key] += len(text)
-        main = redundancy.get(max(size, key=size.__getitem__, default=0), REDUNDANT / RATIO)
+            if not holder.scrap:
+                size[own.key] += len(text)
+                at[own.key] = own
+        if size:
+            most = max(size, key=lambda k: size[k] * (1 - redundancy.get(k, 0.0)))
+            main, up = redundancy.get(most, REDUNDANT / RATIO), at[most]
+            while up is not None:  # what holds the main branch stays
+                path.add(up.own.key)
+                up = up.own.parent
 
     def keep(node: Node) -> bool:
         if node.scrap:
             return False
-        if node.own is not node or node.tag in TEXTUAL:
+        if node.own is not node or node.tag in TEXTUAL or node.key in path:
             return True
         r = redundancy.get(node.key, 0.0)
         return not (r >= 1 - low or (r >= REDUNDANT and r >= RATIO * main and not (node.article or node.main)))
@@ -329,7 +362,7 @@ def host(url: str = "url"):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), HOST, 1))
 
 
-def style_nodes(pages: DataFrame) -> DataFrame:
+def style_nodes(pages: DataFrame, depth: int = DEPTH) -> DataFrame:
     """The rows of style_rows() for every page of every host, with host, page (a hash of the html) and times, how often the host has the page."""
     names = ["host", "page", "times", "node", "kind", "value", "n", "above"]
     kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int8(), pa.int64(), pa.float64(), pa.list_(pa.int64()))
@@ -338,7 +371,7 @@ def style_nodes(pages: DataFrame) -> DataFrame:
         for batch in batches:
             out: list[list] = [[] for _ in names]
             for site, page, times, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows = list(style_rows(parse(source)))
+                rows = list(style_rows(parse(source, depth)))
                 for column, value in zip(out, (site, page, times), strict=False):
                     column += [value] * len(rows)
                 for column, values in zip(out[3:], zip(*rows, strict=True), strict=True):
@@ -393,9 +426,9 @@ def style_tree(every: DataFrame) -> DataFrame:
     return looks.join(sums, ["host", "node"], "left").select("host", "node", F.round("m", 6).alias("n_pages"), F.round(redundancy, 9).alias("redundancy"))
 
 
-def extract(pages: DataFrame, low: float = LOW) -> DataFrame:
+def extract(pages: DataFrame, low: float = LOW, depth: int = DEPTH) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    every = style_nodes(pages)
+    every = style_nodes(pages, depth)
     found = materialize(style_tree(every).where(F.col("redundancy") >= REDUNDANT / RATIO).select("host", "node", "redundancy"), "style-tree")
     sizes = materialize(found.groupBy("host").agg(F.count("*").alias("size")), "sizes")
     rule = F.collect_list(F.struct("node", "redundancy"))
@@ -413,7 +446,7 @@ def extract(pages: DataFrame, low: float = LOW) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                "\n".join(kept_blocks(parse(source or ""), dict(zip(nodes or (), values or (), strict=True)), low))
+                "\n".join(kept_blocks(parse(source or "", depth), dict(zip(nodes or (), values or (), strict=True)), low))
                 for source, nodes, values in zip(*(batch.column(c).to_pylist() for c in ("html", "nodes", "redundancy")), strict=True)
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_chars"])

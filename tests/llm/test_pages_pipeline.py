@@ -32,6 +32,31 @@ def test_html_main_text(spark):
         assert got[k].n_chars == len(got[k].text)
 
 
+WRAPPED = [
+    ('<div class="layout has-sidebar"><article>%s</article></div>', 1), ('<div id="search-wrapper"><article>%s</article></div>', 1), ('<form id="aspnetForm"><article>%s</article></form>', 1),
+    ('<article class="post share-enabled">%s</article>', 1), ('<article class="post share">%s</article><footer>(c)</footer>', 1), ('<div class="sidebar"><main>%s</main></div><div>other</div>', 1),
+    ('<form action="/"><div>%s</div></form><div>ok</div>', 2), ('<nav>menu</nav><article>%s</article><div class="comments"><article>nice text, and a very long comment on it, longer than all else</article></div>', 1),
+    ('<div class="comments"><p>a very long comment, longer than the text itself, and longer still</p></div><div class="content">%s</div>', 1), ('<article>%s<aside>by the way</aside><form>your mail</form><div class="comments">one</div></article>', 1),
+    ('<article>%s<section id="public-notice">, a part of it</section></article>', 3), ('<aside class="related"><article>teaser</article></aside><article>%s</article>', 1), ('<div role="banner">Top</div><div>%s</div>', 1),
+]
+
+
+def test_html_names_on_wrappers_lose_no_article(spark):
+    """Names of menus and adverts on what holds the article, or inside other names, remove nothing; on what stands beside it they do."""
+    text = "The text of the article, which is long enough"
+    endings = {1: "", 2: "\nok", 3: "\n, a part of it"}
+    rows = [(k, "no host", "<body>" + body % text + "</body>") for k, (body, _) in enumerate(WRAPPED)]
+    got = {r.page_id: r.text for r in html_text.extract(pages_frame(spark, rows)).collect()}
+    assert got == {k: text + endings[end] for k, (_, end) in enumerate(WRAPPED)}
+
+
+def test_html_depth_of_the_tree_is_a_parameter(spark):
+    """A part that the whole site repeats goes at any depth that the tree is given."""
+    deep = "<body><div class='x'>" + "<div>" * 40 + "<div class='promise'><p>We never sleep</p></div><div class='own'><p>Text number %d is its own</p></div>" + "</div>" * 40 + "</div></body>"
+    rows = [(k, f"http://b.example/{k}", deep % k) for k in range(8)]
+    assert {r.text for r in html_text.extract(pages_frame(spark, rows), depth=64).collect()} == {f"Text number {k} is its own" for k in range(8)}
+
+
 def test_html_style_tree_removes_what_a_site_repeats(spark):
     body = "<body><div class='head'><div class='promise'><p>We never sleep</p></div></div><div class='main'><p>Text number %d is its own</p></div></body>"
     rows = [(k, f"http://b.example/{k}", body % k) for k in range(8)] + [(100, "http://c.example/1", body % 100)]
