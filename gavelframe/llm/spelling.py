@@ -43,6 +43,8 @@ LONG = 64
 FLUSH = 500_000
 #: Code points of a text that are cut into words at a time.
 PIECE = 1 << 22
+#: Words whose keys a task makes; the table of words is small beside that of their keys, so that the size of its files doesn't deal them out.
+TASK_WORDS = 20_000
 #: Keys in a batch.
 KEY_ROWS = 1 << 16
 
@@ -152,7 +154,7 @@ def is_near(a: Column, at: Column, b: Column, bt: Column) -> Column:
 
 def near_words(words: DataFrame, long: int = LONG) -> DataFrame:
     """a, b, n_a, n_b: each unordered pair of near words once."""
-    size = F.length("word")
+    size, words = F.length("word"), words.repartition(max(1, -(-words.count() // TASK_WORDS)), "word")
     # words of up to `long` code points among themselves
     short = words.where(size <= long).select("word", F.col("word").alias("w"), "n").mapInArrow(_emit, "key long, place int, w string, n long")
     short = materialize(short, "short-keys")
