@@ -74,7 +74,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lang, source), (n, docs) in counts.items():
             keys = list(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(keys)), pa.array([source] * len(keys)), pa.array(keys, pa.binary()).cast(pa.string()), pa.array([n[k] for k in keys], pa.int64()), pa.array([docs[k] for k in keys], pa.int64())],
+                [pa.array([lang] * len(keys), pa.string()), pa.array([source] * len(keys), pa.string()), pa.array(keys, pa.binary()).cast(pa.string()), pa.array([n[k] for k in keys], pa.int64()), pa.array([docs[k] for k in keys], pa.int64())],
                 ["lang", "source", "term", "n", "docs"],
             )
         counts.clear()
