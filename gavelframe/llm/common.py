@@ -73,6 +73,18 @@ def collect_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def apart(docs: DataFrame, *names: str) -> list[str]:
+    """names, lengthened where docs have such a column (in either case), for columns that are added to docs for a while."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

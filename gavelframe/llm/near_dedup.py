@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ARROW_ROWS, MUL, chunks, collect_shuffles, materialize, mix64, release, span_hashes, table, text_or_empty
+from .common import ARROW_ROWS, MUL, apart, chunks, collect_shuffles, materialize, mix64, release, span_hashes, table, text_or_empty
 from .graph import components
 
 WORDS = 5
@@ -348,23 +348,25 @@ def _settled(rows: DataFrame, sigs: DataFrame, sets: DataFrame, similarity: floa
     return found
 
 
-def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """The rows with a doc_id, one for each distinct text of it, with a _key of their own; and doc_id and _key where the two differ.
+def _keyed(docs: DataFrame, key: str = "_key") -> tuple[DataFrame, DataFrame | None]:
+    """The rows with a doc_id, one for each distinct text of it, with a key of their own; and doc_id and _key where the two differ.
 
-    The first text of a doc_id, by its digest, has the doc_id as key; others have a hash that is 2^62 at least.
+    The first text of a doc_id, by its digest, has the doc_id as key; others have a hash that is 2^62 at least. Of several rows with one doc_id and text that
+    differ elsewhere the one that is smallest as JSON stays.
     """
     docs = docs.where("doc_id IS NOT NULL")
     own = F.col("doc_id").cast("long")
     repeated = materialize(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
     if repeated.isEmpty():
-        return docs.withColumn("_key", own), None
-    some = docs.join(repeated, "doc_id", "left_semi").withColumn("_sha", F.sha2(text_or_empty().cast("binary"), 256))
-    some = materialize(some.dropDuplicates(["doc_id", "_sha"]), "texts")
-    firsts = materialize(some.groupBy("doc_id").agg(F.min("_sha").alias("_first")), "firsts")
-    other = F.shiftrightunsigned(F.xxhash64("doc_id", "_sha"), 2).bitwiseOR(F.lit(1 << 62))
-    some = some.join(firsts, "doc_id").withColumn("_key", F.when(F.col("_sha") == F.col("_first"), own).otherwise(other)).drop("_sha", "_first")
-    rows = docs.join(repeated, "doc_id", "left_anti").withColumn("_key", own).unionByName(some)
-    return rows, some.where("_key <> doc_id").select(own.alias("doc_id"), "_key")
+        return docs.withColumn(key, own), None
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    some = docs.join(repeated, "doc_id", "left_semi").select(own.alias("_id"), F.sha2(text_or_empty().cast("binary"), 256).alias("_sha"), whole.alias("_row"), F.to_json(whole, {"ignoreNullFields": "false"}).alias("_json"))
+    some = materialize(some.groupBy("_id", "_sha").agg(F.min_by("_row", "_json").alias("_row")), "texts")
+    firsts = materialize(some.groupBy("_id").agg(F.min("_sha").alias("_first")), "firsts")
+    other = F.shiftrightunsigned(F.xxhash64("_id", "_sha"), 2).bitwiseOR(F.lit(1 << 62))
+    some = some.join(firsts, "_id").withColumn("_key", F.when(F.col("_sha") == F.col("_first"), F.col("_id")).otherwise(other))
+    rows = docs.join(repeated, "doc_id", "left_anti").withColumn(key, own).unionByName(some.select("_row.*", F.col("_key").alias(key)))
+    return rows, some.where("_key <> _id").select(F.col("_id").alias("doc_id"), "_key")
 
 
 def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -382,9 +384,9 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return ids.join(least, "class_id").select("doc_id", F.col("least").alias("class_id"))
 
 
-def _text_groups(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """_key of each row (no two rows have the same) as doc_id, and class_id, the smallest key of its near-duplicates."""
-    docs = rows.select(F.col("_key").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+def _text_groups(rows: DataFrame, similarity: float = SIMILARITY, key: str = "_key") -> DataFrame:
+    """The key of each row (no two rows have the same) as doc_id, and class_id, the smallest key of its near-duplicates."""
+    docs = rows.select(F.col(key).cast("long").alias("doc_id"), text_or_empty().alias("text"))
     spark = docs.sparkSession
     every = materialize(signatures(docs), "signatures", ARROW_ROWS)
     copies = materialize(every.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "copies")
@@ -431,9 +433,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group, one with the smallest doc_id, with all columns of docs, whatever their names.
 
-    Different texts of a doc_id count as documents; equal rows become one; rows without a doc_id stay; a null text counts as
+    Different texts of a doc_id count as documents; of rows with one doc_id and text the one that is smallest as JSON stays; rows without a doc_id stay; a null text counts as
     empty, and empty texts are one group; an empty table stays empty.
     """
-    rows, _ = _keyed(docs)
-    kept = _text_groups(rows).where("doc_id = class_id").select(F.col("doc_id").alias("_key"))
-    return rows.join(kept, "_key", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    (key,) = apart(docs, "_key")
+    rows, _ = _keyed(docs, key)
+    kept = _text_groups(rows, key=key).where("doc_id = class_id").select(F.col("doc_id").alias(key))
+    return rows.join(kept, key, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(docs.where("doc_id IS NULL"))

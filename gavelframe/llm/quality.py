@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ARROW_ROWS, MUL, arrow_rows, chunks, materialize, mix64, span_hashes, table
+from .common import ARROW_ROWS, MUL, apart, arrow_rows, chunks, materialize, mix64, span_hashes, table
 
 BUCKET_BITS = 17
 DIM = 8
@@ -162,17 +162,17 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, names: tu
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast((model.weights, model.bias))
     keep = [c for c in docs.columns if c not in names]
-    docs = docs.select(*keep)
-    schema = T.StructType([*docs.schema]).add(names[0], "double").add(names[1], "integer")
+    docs = docs.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(keep)))  # names with a dot don't get through mapInArrow
+    schema = T.StructType([*docs.schema]).add("score", "double").add("predicted", "integer")
     at = keep.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*sent.value)
         for batch in batches:
             scores = own.score([t or "" for t in batch.column(at).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))], [*keep, *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema).toDF(*keep, *names)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,6 +189,6 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     0.5); an empty table stays empty; columns of docs may have any names.
     """
     model = fit(docs, table(spark, sf_dir, "labels"))
-    names = ("_gf_score", "_gf_predicted")  # docs may have columns of the usual names
+    names = tuple(apart(docs, "_gf_score", "_gf_predicted"))
     # written once, which costs less than a join that shuffles all texts to the verdicts
-    return materialize(score(docs, model, names=names).where(F.col(names[1]) == 1).select(*docs.columns), "accepted", ARROW_ROWS)
+    return materialize(score(docs, model, names=names).where(F.col(names[1]) == 1).select(*(F.col(f"`{c}`") for c in docs.columns)), "accepted", ARROW_ROWS)

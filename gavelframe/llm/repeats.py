@@ -1,17 +1,16 @@
-"""Suffix-array removal of repeated strings: a distributed difference-cover algorithm for bounded prefixes.
+"""Removal of repeated strings: a difference-cover filter, then a join of the hashes of whole strings.
 
-A byte goes if a string of LENGTH bytes that covers it also starts in a document with a smaller doc_id. Of the
-suffix array only the classes of equal LENGTH-byte prefixes matter and their first document, so that names
-stand for ranks and the recursion ends after one level:
+A byte goes if a string of LENGTH bytes that covers it also starts in a document with a smaller doc_id. Of a suffix array only the
+classes of equal LENGTH-byte prefixes would be used, never their order. So there is neither a recursion nor a merge by ranks (the README
+has the figures why); prefixes are grouped by hashed names:
 
 1. Texts are joined in the order of doc_id into chunks of CHUNK_BYTES. COVER is a difference cover modulo
    PERIOD: for any two positions some shift below PERIOD takes both into the sample, which is a fifth of all
-   positions. Each sampled position gets its tuple, the LENGTH - PERIOD + 1 bytes that start there.
-2. Tuples are dealt to buckets and sorted there. Equal neighbours get equal names; a tuple that only one
-   document holds is unique, and with it all suffixes that start up to PERIOD - 1 bytes before it are done.
-3. The recursion takes what is left, a suffix for each position before a tuple that is not unique: sampled and
-   remaining suffixes are merged by sorting their full LENGTH-byte names in buckets.
-4. Equal adjacent prefixes form a class; those in a later document than the class's first are marked.
+   positions. Each sampled position gets its tuple, the LENGTH - PERIOD + 1 bytes that start there, and its hashed name.
+2. Names are dealt to buckets, where equal ones meet; a tuple that only one document holds settles all prefixes that start up
+   to PERIOD - 1 bytes before it.
+3. Of the prefixes that are left the full LENGTH bytes are hashed and dealt to buckets in the same way.
+4. Equal names form a class; its members in a later document than the first are marked.
 
 A chunk sends each name once, as sorted differences without document numbers (chunks follow the order of
 doc_id, so that the smallest chunk has the first document), and gets one bit back for each. Texts are
@@ -31,7 +30,7 @@ from __future__ import annotations
 import hashlib
 import secrets
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MUL, arrow_rows, collect_shuffles, materialize, mix64, release, scratch_dir, shuffle_width, table
+from .common import MUL, apart, arrow_rows, collect_shuffles, materialize, mix64, release, scratch_dir, shuffle_width, table
 
 LENGTH = 50
 #: A perfect difference set: every residue modulo PERIOD is the difference of two of its members.
@@ -284,9 +283,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < PERIOD + 7:
         raise ValueError(f"length must be at least {PERIOD + 7}")
     spark = docs.sparkSession
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, text_sha256 string"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     chunks = chunked(rows.where("doc_id IS NOT NULL"))
+    try:
+        return _removed(rows, chunks, length)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {chunks._gf_name}")
+        release(chunks)
+        raise
+
+
+def _removed(rows: DataFrame, chunks: DataFrame, length: int) -> DataFrame:
+    spark = rows.sparkSession
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, text_sha256 string"
     total = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     n_tuples, n_prefixes = (max(1, -(-total // size)) for size in (BUCKET_TUPLES * growth(total) * PERIOD // len(COVER), BUCKET_PREFIXES * growth(total)))
     key = secrets.randbits(48)
@@ -349,10 +358,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    every = remove_repeats(table(spark, sf_dir, "documents"))
-    found = materialize(every.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")), "kept", CHUNK_ROWS)
-    forget(every)
-    return found
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")]
+    return written(table(spark, sf_dir, "documents"), lambda every: every.select(*columns), "kept")
+
+
+def written(docs: DataFrame, view: Callable[[DataFrame], DataFrame], name: str, length: int = LENGTH) -> DataFrame:
+    """A view of remove_repeats(), as a table; whether it could be written or not, the table of chunks goes."""
+    every = remove_repeats(docs, length)
+    try:
+        return materialize(view(every), name, CHUNK_ROWS)
+    finally:
+        forget(every)
 
 
 def forget(found: DataFrame) -> None:
@@ -370,21 +386,21 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     all stay; n_chars, if docs have it, is that of the new text; other columns stay, whatever their names; an
     empty table stays empty.
     """
-    every = remove_repeats(docs)
+    sha, kept, new = apart(docs, "_sha", "_kept", "_new")
     # rows that repeat a doc_id are told apart by their text
-    found = materialize(every.where("n_removed > 0").groupBy("doc_id", F.col("text_sha256").alias("_sha")).agg(F.min("kept").alias("_kept")), "removed", CHUNK_ROWS)
-    forget(every)
-    joined = docs.withColumn("_sha", F.sha2(F.col("text").cast("string").cast("binary"), 256)).join(found, ["doc_id", "_sha"], "left")
-    return _cleaned(joined, docs)
+    found = written(docs, lambda every: every.where("n_removed > 0").groupBy("doc_id", F.col("text_sha256").alias(sha)).agg(F.min("kept").alias(kept)), "removed")
+    joined = docs.withColumn(sha, F.sha2(F.col("text").cast("string").cast("binary"), 256)).join(found, ["doc_id", sha], "left")
+    return _cleaned(joined, docs, kept, new)
 
 
-def _cleaned(joined: DataFrame, docs: DataFrame) -> DataFrame:
+def _cleaned(joined: DataFrame, docs: DataFrame, kept: str, new: str) -> DataFrame:
     @F.pandas_udf("string")
-    def readable(kept: pd.Series) -> pd.Series:
-        return kept.map(lambda b: b.decode("utf-8", "ignore"), na_action="ignore")
+    def readable(left: pd.Series) -> pd.Series:
+        return left.map(lambda b: b.decode("utf-8", "ignore"), na_action="ignore")
 
-    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.col("_new"))
-    out = joined.withColumn("_new", readable("_kept")).withColumn("text", text).where("_kept IS NULL OR btrim(_new) <> ''")
+    whole = F.col(kept).isNull()
+    text = F.when(whole, F.col("text")).otherwise(F.col(new))
+    out = joined.withColumn(new, readable(kept)).withColumn("text", text).where(whole | (F.btrim(F.col(new)) != ""))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))

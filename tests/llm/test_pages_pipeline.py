@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gavelframe.llm import html_text, quality
+from gavelframe.llm import html_text, quality, repeats
 
 from .conftest import SF
 from .test_dedup import brute_groups, brute_repeats
@@ -267,3 +267,41 @@ def test_pipeline_odd_rows(spark, odd_docs, no_docs, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, no_docs, labels)
         assert out.count() == 0 and (name == "packing" or out.columns == odd_docs.columns)
+
+
+INTERNAL = ["_key", "_sha", "_first", "_kept", "_new", "_gf_score", "_gf_predicted", "_row", "_json", "_id", "SCORE", "a.b"]
+
+
+def test_stages_leave_columns_of_any_name_alone(spark, tmp_path):
+    """Every name that a stage uses inside, as a column of the documents, with and without repeated doc_ids."""
+    labels = str(tmp_path / "labels")
+    spark.createDataFrame([(1, 1, 0), (2, 1, 0), (4, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{labels}/labels.parquet")
+    passage = "a passage of more than fifty bytes that stands in two of these documents, "
+    texts = [(1, passage + "and one"), (2, "something else entirely, in words of its own, as long as it takes"), (3, passage + "the other end"), (4, "fourth text")]
+    schema = "doc_id long, text string, n_chars long, " + ", ".join(f"`{c}` string" for c in INTERNAL)
+    for repeated in (False, True):
+        rows = [(i, t, len(t), *(f"{c} of {i} {k}" for c in INTERNAL)) for k in (range(3) if repeated else range(1)) for i, t in texts]
+        docs = spark.createDataFrame(rows, schema)
+        for name, stage in corpus_pipeline.STAGES[:3] if repeated else corpus_pipeline.STAGES[1:2]:
+            out = stage(spark, docs, labels)
+            assert out.columns == docs.columns
+            got = out.collect()
+            assert {tuple(r[3:]) for r in got} <= {r[3:] for r in rows}
+            assert {r.doc_id for r in got} <= {1, 2, 3, 4}
+            if name == "near_dedup":  # of equal texts the row that is smallest as JSON stays, whatever the order
+                assert sorted((r.doc_id, r["_key"]) for r in got) == [(i, f"_key of {i} 0") for i in range(1, 5)]
+                again = stage(spark, spark.createDataFrame(rows[::-1], schema), labels)
+                assert sorted(map(tuple, again.collect())) == sorted(map(tuple, got))
+            if name == "repeats":
+                assert {r.text for r in got if r.doc_id == 3} == {"the other end"} and {r.n_chars for r in got if r.doc_id == 3} == {13}
+
+
+def test_a_failed_removal_leaves_no_table(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "x" * 80), (2, "x" * 80)], "doc_id long, text string")
+    before = {t.name for t in spark.catalog.listTables()}
+    with pytest.raises(ZeroDivisionError):
+        repeats.written(docs, lambda every: 1 / 0, "kept")
+    monkeypatch.setattr(repeats, "whole_copies", lambda chunks: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        repeats.remove_repeats(docs)
+    assert {t.name for t in spark.catalog.listTables()} == before
