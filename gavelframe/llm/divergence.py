@@ -166,9 +166,12 @@ class Audit:
     def dense(self) -> DataFrame:
         """lang, a, b, value: the heavy terms' sums, of each pair of sources and tile."""
         cuts = F.greatest(F.ceil(F.col("heavy_terms") / TILE_TERMS).cast("long"), F.lit(1).cast("long"))
-        rows = self._terms(["term", "n"], True).withColumn("cut", F.pmod(F.xxhash64("term"), cuts))
-        every = self.groups.where("heavy_terms > 0").withColumn("term", F.lit(None).cast("string")).withColumn("n", F.lit(0).cast("long")).withColumn("cut", F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)))
-        tiles = self._tiled(rows.unionByName(every.select(rows.columns))).select("lang", "i", "j", "cut", "source", "block", "total", "kept", "term", "n")
+        rows = self._terms(["term", "n", "holders"], True).withColumn("cut", F.pmod(F.xxhash64("term"), cuts))
+        # how many terms a cut has: a tile sees only those that its own sources hold
+        sizes = rows.groupBy("lang", "cut", "holders").agg(F.count("*").alias("r")).groupBy("lang", "cut").agg(F.sum(F.expr("r div holders")).alias("terms"))
+        rows = rows.drop("holders").withColumn("terms", F.lit(0).cast("long"))
+        every = self.groups.where("heavy_terms > 0").withColumn("term", F.lit(None).cast("string")).withColumn("n", F.lit(0).cast("long")).withColumn("cut", F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1))).join(sizes, ["lang", "cut"])
+        tiles = self._tiled(rows.unionByName(every.select(rows.columns))).select("lang", "i", "j", "cut", "source", "block", "total", "kept", "term", "n", "terms")
         return tiles.groupBy("lang", "i", "j", "cut").applyInPandas(_dense_tile, "lang string, a string, b string, value long")
 
     def single(self) -> DataFrame:
@@ -226,11 +229,13 @@ def _dense_tile(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         mine = cells[cells["block"] == block]
         n = np.zeros((len(own), width), np.int64)
         n[line[mine["source"].to_numpy()].to_numpy(), column[mine["term"].to_numpy()].to_numpy()] = mine["n"].to_numpy()
-        side.append((own, shares(n, own["total"].to_numpy()[:, None], own["kept"].to_numpy()[:, None])))
-    (left, p), (right, q) = side[0], side[-1]
-    values = np.zeros((len(left), len(right)), np.int64)
+        base = shares(np.zeros(len(own), np.int64), own["total"], own["kept"])
+        side.append((own, shares(n, own["total"].to_numpy()[:, None], own["kept"].to_numpy()[:, None]), base))
+    (left, p, u), (right, q, v) = side[0], side[-1]
+    absent = int(sources["terms"].max()) - width  # terms of the cut that no source of the tile holds
+    values = distance(u[:, None], v[None, :]) * absent
     for i in range(len(left)):
-        values[i] = distance(p[i], q).sum(axis=1)
+        values[i] += distance(p[i], q).sum(axis=1)
     return _pairs_of(lang, left, right, values, bi == bj)
 
 
