@@ -14,6 +14,7 @@ from ..functions.sections import cited_statutes, parties, section_texts
 from ..functions.text import clean_judgment_text, long_field, looks_like_article
 from .resolve import known_names, resolve_name, suggestions, with_court
 from .search import available_years, page, search_judgments, search_names, search_rulings
+from .text_index import TextIndex
 
 
 def error_envelope(message: str, at: datetime, **context: object) -> dict[str, object]:
@@ -22,14 +23,15 @@ def error_envelope(message: str, at: datetime, **context: object) -> dict[str, o
 
 
 class Engine:
-    """Tables: laws (ordinal, law_name, pcode, abolished), histories (pcode, history), articles (pcode, number, content), judgments, rulings."""
+    """Tables: laws (ordinal, law_name, pcode, abolished), histories (pcode, history), articles (pcode, number, content), judgments, rulings; index: of the judgments' full_text by jid."""
 
-    def __init__(self, spark: SparkSession, laws: DataFrame | None = None, histories: DataFrame | None = None, articles: DataFrame | None = None, judgments: DataFrame | None = None, rulings: DataFrame | None = None) -> None:
+    def __init__(self, spark: SparkSession, laws: DataFrame | None = None, histories: DataFrame | None = None, articles: DataFrame | None = None, judgments: DataFrame | None = None, rulings: DataFrame | None = None, index: TextIndex | None = None) -> None:
+        self.index = index
         self.spark, self.laws, self.histories, self.articles, self.judgments, self.rulings = spark, laws, histories, articles, judgments, rulings
 
     def search_judgments(self, **criteria) -> DataFrame:
         """See operators.search.search_judgments."""
-        return search_judgments(self.judgments, **criteria)
+        return search_judgments(self.judgments, index=self.index, **criteria)
 
     def get_judgment(self, jid: str = "", url: str = "") -> DataFrame:
         """The judgment with its parts; by identifier, or by an allowed url."""

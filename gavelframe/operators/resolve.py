@@ -31,18 +31,13 @@ def courts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "court string, code string, level int")
 
 
-def substrings(text: Column, longest: int) -> Column:
+def substrings(text: Column, longest: Column) -> Column:
     """The distinct substrings of up to longest characters; the empty one is not among them."""
     n = F.length(text)
-    every = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), F.least(n - i + 1, F.lit(longest))), lambda k: F.substring(text, i, k))))
+    every = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), F.least(n - i + 1, longest)), lambda k: F.substring(text, i, k))))
     return F.when(n > 0, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
 
 
-def longest_name(laws: DataFrame) -> int:
-    """Characters of the dictionary's longest name; 1 for an empty one."""
-    return laws.agg(F.max(F.length("law_name"))).first()[0] or 1
-
-
 def resolve_name(term: str, laws: DataFrame) -> DataFrame:
     """As resolve_names() for one term: comparisons with a literal, in one pass over the dictionary."""
     spark, full, fixed = laws.sparkSession, ALIASES.get(term), BUILTIN_LAWS.get(term)
@@ -83,11 +78,11 @@ def resolve_names(terms: DataFrame, laws: DataFrame, alias: DataFrame | None = N
     exact = hit(terms.join(laws, F.col("term") == F.col("law_name")), 0, none)
     by_alias = hit(terms.join(alias.select(F.col("alias").alias("term"), "law_name"), "term").join(laws, "law_name"), 1, none)
     fixed = hit(terms.join(builtin.select("law_name", "pcode"), F.col("term") == F.col("law_name")).withColumn("ordinal", F.lit(0).cast("bigint")), 2, none)
-    # no name is longer than the longest, and none can hold a longer term
-    longest = max(longest_name(laws), 1)
-    parts = terms.select("term", F.explode(substrings(F.col("term"), longest)).alias("law_name"))
+    # no name is longer than the longest, which the plan itself looks up
+    bounded = terms.withColumn("longest", laws.agg(F.coalesce(F.max(F.length("law_name")), F.lit(1))).scalar())
+    parts = bounded.select("term", F.explode(substrings(F.col("term"), F.col("longest"))).alias("law_name"))
     holds = hit(parts.join(laws, "law_name"), 3, -size)
-    of_names = laws.select("ordinal", "law_name", "pcode", F.explode(substrings(F.col("law_name"), longest)).alias("term"))
+    of_names = laws.select("ordinal", "law_name", "pcode", F.explode(substrings(F.col("law_name"), F.length("law_name"))).alias("term"))
     held = hit(of_names.join(terms, "term"), 4, size)
     found = exact.unionByName(by_alias).unionByName(fixed).unionByName(holds).unionByName(held)
     best = found.groupBy("term").agg(F.min(F.struct("tier", "size", "ordinal", "law_name", "pcode")).alias("b"))

@@ -9,6 +9,7 @@ from ..constants import FAN_OUT, MAX_RESULTS, MISSING_LEVEL, PAGE_SIZE
 from ..functions.identifiers import fold_variant, format_case_ref, valid_jid
 from ..functions.text import has_all_terms
 from .resolve import court_named
+from .text_index import TextIndex
 
 
 def page(rows: DataFrame, order: list[Column], offset: int = 0, size: int = PAGE_SIZE) -> DataFrame:
@@ -76,13 +77,13 @@ def year_between(year: Column, lo: int = 0, hi: int = 0) -> Column:
 
 
 def search_judgments(
-    rows: DataFrame, keyword: str = "", court: str = "", case_type: str = "", year_from: int = 0, year_to: int = 0, case_word: str = "", case_number: str = "", main_text: str = "", max_results: int = 10,
+    rows: DataFrame, keyword: str = "", court: str = "", case_type: str = "", year_from: int = 0, year_to: int = 0, case_word: str = "", case_number: str = "", main_text: str = "", max_results: int = 10, index: TextIndex | None = None,
 ) -> DataFrame:
     """Judgments (jid, court, court_level, case_type, year, word, number, full_text, main_text, arrival), one per jid.
 
     With word and number alone the year is an equality and only the default types are searched; otherwise the
     years are a range and all words of keyword and main_text must occur. Higher courts come first unless a court is
-    named, which goes by its name or its code.
+    named, which goes by its name or its code. With an index of full_text by jid only the judgments that it finds for the keyword are read.
     """
     limit = checked_limit(max_results)
     if not (keyword or case_number or main_text):
@@ -105,6 +106,8 @@ def search_judgments(
         if case_type:
             found = found.where(F.col("case_type") == case_type)
         found = found.where(year_between(F.col("year"), year_from, year_to))
+        if keyword and index is not None:
+            found = found.join(index.search(keyword).select(F.col("key").alias("jid")).distinct(), "jid", "left_semi")
         found = found.where(has_all_terms(F.col("full_text"), keyword)) if keyword else found
         found = found.where(has_all_terms(F.col("main_text"), main_text)) if main_text else found
     once = first_seen(found.where(F.col("jid") != ""), ["jid"], ["arrival"])

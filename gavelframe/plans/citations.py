@@ -169,13 +169,14 @@ def cited_statutes_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cited_statutes(_citing(spark, sf_dir), known_names(LAWS.frame(spark))).select("doc_id", "entry")
 
 
-@query("listed_rulings", "SELECT s.s_suppkey AS number, s.s_name AS issues, c.c_name AS reasoning FROM (SELECT DISTINCT l_suppkey FROM lineitem) l JOIN supplier s ON s.s_suppkey = l.l_suppkey LEFT JOIN customer c ON c.c_custkey = s.s_suppkey AND c.c_custkey % 2 = 0")
+@query("listed_rulings", "SELECT s.s_suppkey AS number, s.s_name AS issues, c.c_name AS reasoning FROM (SELECT DISTINCT l_suppkey FROM lineitem) l JOIN supplier s ON s.s_suppkey = l.l_suppkey LEFT JOIN customer c ON c.c_custkey = s.s_suppkey AND c.c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')")
 def listed_rulings_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing with issues, and reasoning where the ruling is known."""
     ref = lambda column: [F.lit("釋字").alias("system"), F.lit(0).alias("year"), F.col(column).alias("number")]
     listing = table(spark, sf_dir, "lineitem").select(*ref("l_suppkey")).distinct()
     issued = table(spark, sf_dir, "supplier").select(*ref("s_suppkey"), F.col("s_name").alias("issues"))
-    cases = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(*ref("c_custkey"), F.col("c_name").alias("reasoning"))
+    urgent = table(spark, sf_dir, "orders").where("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    cases = table(spark, sf_dir, "customer").join(urgent, "c_custkey", "left_semi").select(*ref("c_custkey"), F.col("c_name").alias("reasoning"))
     return listed_rulings(listing, issued, cases).select("number", "issues", "reasoning")
 
 

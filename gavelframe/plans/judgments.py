@@ -103,10 +103,10 @@ def judgment_search_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_judgments(rows, keyword="the and", court="TPS", max_results=200).select("jid")
 
 
-@query("block_pages", "SELECT page_id, length(html) = 0 OR (length(html) < 500 AND contains(html, 'Request Rejected')) OR (contains(html, 'bobcmn') AND contains(html, 'TSPD')) AS blocked FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN html WHEN 1 THEN '<p>Request Rejected</p>' WHEN 2 THEN html || 'bobcmn TSPD' ELSE '' END AS html FROM pages)")
+@query("block_pages", "SELECT page_id, length(html) = 0 OR (length(html) < 500 AND contains(html, 'Request Rejected')) OR (contains(html, 'bobcmn') AND contains(html, 'TSPD')) AS blocked FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN html WHEN 1 THEN '<p>Request Rejected</p>' || html WHEN 2 THEN html || 'bobcmn TSPD' ELSE html || 'bobcmn' END AS html FROM pages)")
 def block_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("page_id") % 4
-    html = F.when(kind == 0, F.col("html")).when(kind == 1, "<p>Request Rejected</p>").when(kind == 2, F.concat("html", F.lit("bobcmn TSPD"))).otherwise("")
+    html = F.when(kind == 0, F.col("html")).when(kind == 1, F.concat(F.lit("<p>Request Rejected</p>"), "html")).when(kind == 2, F.concat("html", F.lit("bobcmn TSPD"))).otherwise(F.concat("html", F.lit("bobcmn")))
     return table(spark, sf_dir, "pages").select("page_id", is_block_page(html).alias("blocked"))
 
 

@@ -127,3 +127,15 @@ def test_rare_words_read_few_files(spark, tmp_path, monkeypatch):
     shards = [line for line in plan.splitlines() if "PartitionFilters" in line and "shard" in line]
     assert shards and all("shard" in line.split("PartitionFilters")[1] for line in shards)
     assert [r.key for r in index.search("needle").collect()] == [37]
+
+
+def test_judgment_search_with_an_index(spark, tmp_path):
+    from gavelframe.operators.api import Engine
+    from gavelframe.plans.fixtures import RESULTS
+
+    judgments = RESULTS.frame(spark)
+    index = TextIndex(spark, str(tmp_path))
+    index.append(judgments, "jid", "full_text", "a")
+    plain_, indexed = Engine(spark, judgments=judgments), Engine(spark, judgments=judgments, index=index)
+    for criteria in ({"keyword": "給付 價金"}, {"keyword": "價金", "court": "TPS"}, {"keyword": "nothing"}, {"main_text": "移轉"}, {"case_word": "臺上", "case_number": "5"}):
+        assert [r.jid for r in indexed.search_judgments(**criteria).collect()] == [r.jid for r in plain_.search_judgments(**criteria).collect()]
