@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import names, texts, citations, judgments, validity, graph, indexed, scale, streams, tables  # noqa: F401, I001
+from . import names, texts, citations, judgments, validity, graph, indexed, scale, streams, tables, sqlcalls  # noqa: F401, I001
 from .base import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -15,6 +15,8 @@ from ..operators.api import Engine
 from ..operators.refresh import merged
 from ..operators.resolve import clean_statute_names, known_names, names_of_codes, page_law_name, resolve_names, with_court, with_history
 from ..operators.search import all_valid, attach_next, search_judgments
+from ..session import shared_folder
+from ..sources import archive
 from ..sources.html import judgment_pages, missing_fields, result_list, ruling_pages, single_articles, statute_pages
 from .base import ORACLE_SQL, query, table
 from .citations import CASE_REFS, NUMERALS
@@ -476,3 +478,16 @@ def issue_index_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_rulings(spark, sf_dir).select(format_case_ref(F.col("system"), F.col("year"), F.col("number")).alias("case_id"), issues(F.col("issues"), F.col("opinions")).alias("issues"))
 
 
+
+
+# ------------------------------------------------------------ archives
+
+
+@query("archived_pages", "SELECT CAST(page_id AS VARCHAR) || '.html' AS entry, CAST(octet_length(encode(html)) AS BIGINT) AS size, sha256(html) AS sha256 FROM pages")
+def archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages written as ZIP archives and read back in parts."""
+    archive.register(spark)
+    path = shared_folder(spark, "archives")
+    rows = table(spark, sf_dir, "pages").select(F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("entry"), F.col("html").cast("binary").alias("content"))
+    rows.repartition(4, "entry").write.format("archive").mode("overwrite").option("path", path).save()
+    return spark.read.format("archive").option("path", path).option("part_bytes", 1 << 18).load().select("entry", "size", F.sha2("content", 256).alias("sha256"))
