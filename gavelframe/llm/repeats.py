@@ -28,6 +28,7 @@ all and remove nothing; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 import secrets
 import uuid
 from collections.abc import Callable, Iterator
@@ -53,8 +54,11 @@ CHUNK_ROWS = 4
 
 
 def growth(total: int) -> int:
-    """How many times larger chunks and buckets are for a corpus of so many bytes: 1 up to 32 GB, 16 from 512 GB on."""
-    return min(16, max(1, total >> 35))
+    """How many times larger chunks and buckets are for a corpus of so many bytes: 1 below 128 GB, 53 at 100 TB.
+
+    Both grow with the square root, so that what a chunk sends to a bucket stays the same, however large the corpus; a task then holds a chunk of 222 MB at 100 TB.
+    """
+    return max(1, math.isqrt(total >> 35))
 
 
 def word_view(buffer: bytes) -> np.ndarray:

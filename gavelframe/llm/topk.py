@@ -2,15 +2,16 @@
 
 Vectors are cut into SLICES groups of dimensions, so that a score is the sum of one partial score per slice.
 
-1. Each (block of queries, block of candidates, slice) is a task that gathers the k best partial scores of every query and
-   the lowest one. Summed, with the lowest standing in for what was not sent, they bound scores from below. The NEAR * k
-   candidates with the highest bounds get their exact scores, of which the k-th best is a safe cutoff whatever
+1. Each (block of queries, block of candidates, slice) is a task that gathers a list of the LIST best partial scores of every query (places in the
+   block and scores, packed), and the lowest partial score. The first NEAR * k of each list, summed, with the lowest standing in for what isn't among them, bound scores
+   from below. The NEAR * k candidates with the highest bounds get their exact scores, of which the k-th best is a safe cutoff whatever
    the others score.
-2. Each query's cutoff goes to all its blocks, which collect every entry whose partial score reaches cutoff / SLICES in
-   some slice; a candidate that no slice collects scores less than the cutoff.
-3. The missing partial scores of the collected entries are added where the blocks are; entries whose exact score
-   reaches the cutoff are sent, the k best of a block at most, and the k best of all are the answer. So what is
-   sent follows the number of queries and blocks, not that of pairs that come near.
+2. A candidate that reaches the cutoff has a partial score of cutoff / SLICES at least in some slice. A list whose last entry is below that
+   holds all such candidates of its block. So for a query and a block whose lists all end below, the sufficient entries are in the lists already;
+   only where a list ends above is the query open in that block, and its row of partial scores is computed once more.
+3. Block pairs with something left get the cutoffs, the open queries and the sufficient entries: the entries' scores are resolved one by one,
+   an open query's sufficient ones from its row; those that reach the cutoff are sent, the k best of a block at most, and the k best of all
+   are the answer. So what is computed again follows the open lists, and what is sent the number of queries and blocks.
 
 Blocks are filled by a hash (BLOCK rows on average) and joined by number; all candidates meet all queries.
 
@@ -40,6 +41,8 @@ K = 5
 NEAR = 4
 SLICES = 2
 BLOCK = 4096
+#: Entries of a list: with 64 dimensions and BLOCK candidates nearly all lists then end below the cutoff (README).
+LIST = 128
 QUERY_BLOCK = 1024
 #: Pairs of blocks in an Arrow batch.
 BLOCK_PAIRS = 4
@@ -72,11 +75,12 @@ def _sliced(blocks: DataFrame) -> DataFrame:
     return blocks.select("block", "dim", "ids", F.posexplode("parts").alias("slice", "part"))
 
 
-def _paired(queries: DataFrame, candidates: DataFrame, by: list[str]) -> DataFrame:
-    """Every block of queries beside every block of candidates that agrees with it in the columns by."""
+def _paired(queries: DataFrame, candidates: DataFrame, by: list[str], which: DataFrame | None = None) -> DataFrame:
+    """Every block of queries beside every block of candidates that agrees with it in the columns by; of which only those with a row in the table which, with its columns."""
     side = lambda df, s: df.select(*by, *(F.col(c).alias(f"{c}_{s}") for c in df.columns if c not in by))
     numbers = lambda df, s: df.select(*by, F.col("block").alias(f"block_{s}"))  # noqa: E731  # block numbers only, no vectors
-    pairs = numbers(queries, "q").join(numbers(candidates, "c"), by).repartition(*by, "block_q", "block_c")
+    pairs = numbers(queries, "q").join(numbers(candidates, "c"), by) if which is None else which
+    pairs = pairs.repartition(*by, "block_q", "block_c")
     return pairs.join(side(candidates, "c"), [*by, "block_c"]).join(side(queries, "q"), [*by, "block_q"])
 
 
@@ -88,8 +92,12 @@ def _products(q_part: bytes, c_part: bytes, n_q: int, n_c: int) -> np.ndarray:
     return q @ c.T
 
 
-def local_best(pairs: DataFrame, k: int) -> DataFrame:
-    """Phase 1: query_id, slice, vec_id, partial of the k best of each task, and low, the task's lowest partial score."""
+def local_best(pairs: DataFrame, k: int, length: int = LIST) -> DataFrame:
+    """Phase 1: a row for each query, block and slice with the list of its best partial scores.
+
+    vecs and partials: the NEAR * k best; low: the lowest partial score of all; places and values: the `length` best, packed, in any order; last: the lowest of these;
+    whole: whether these are all candidates.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,19 +107,46 @@ def local_best(pairs: DataFrame, k: int) -> DataFrame:
                 low = scores.min(axis=1)
                 own = q_ids[:, None] == c_ids[None, :]
                 scores[own] = -np.iinfo(np.int64).max  # the minimum itself can't be negated
-                n = min(k, len(c_ids))
+                n = min(max(NEAR * k, length), len(c_ids))
                 top = np.argpartition(-scores, n - 1, axis=1)[:, :n] if n < len(c_ids) else np.broadcast_to(np.arange(n), (len(q_ids), n))
-                i, j = np.repeat(np.arange(len(q_ids)), n), top.ravel()
-                fine = ~own[i, j]
-                i, j = i[fine], j[fine]
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[i]), pa.array(np.full(len(i), row["slice"], np.int32)), pa.array(c_ids[j]), pa.array(scores[i, j]), pa.array(low[i])], ["query_id", "slice", "vec_id", "partial", "low"])
-
-    return pairs.mapInArrow(run, "query_id long, slice int, vec_id long, partial long, low long")
-
-
-def collected(q_ids: np.ndarray, c_ids: np.ndarray, partials: list[np.ndarray], least: np.ndarray, known: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Phases 2 and 3 in a pair of blocks: (query place, candidate place, exact score) of the entries that some slice collects and that
-    reach the cutoff least (all for queries without a known one), the k best of each query."""
+                lists = np.take_along_axis(scores, top, axis=1)
+                first = np.argsort(-lists, axis=1, kind="stable")[:, : NEAR * k]
+                vecs, partials, places, values = [], [], [], []
+                for i in range(len(q_ids)):  # a list is a few arrays
+                    best, fine = first[i], ~own[i, top[i]]
+                    best = best[fine[best]]
+                    vecs.append(c_ids[top[i, best]])
+                    partials.append(lists[i, best])
+                    places.append(top[i, fine].astype("<u4").tobytes())
+                    values.append(lists[i, fine].astype("<i8").tobytes())
+                rows = len(q_ids)
+                same = [pa.array(np.full(rows, row[c], np.int64)) for c in ("dim", "block_q", "block_c", "slice")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(q_ids), *same, pa.array(vecs, pa.list_(pa.int64())), pa.array(partials, pa.list_(pa.int64())), pa.array(low), pa.array(places, pa.binary()), pa.array(values, pa.binary()), pa.array(lists.min(axis=1)), pa.array(np.full(rows, n == len(c_ids)))],
+                    ["query_id", "dim", "block_q", "block_c", "slice", "vecs", "partials", "low", "places", "values", "last", "whole"],
+                )
+
+    return pairs.mapInArrow(run, "query_id long, dim long, block_q long, block_c long, slice long, vecs array<long>, partials array<long>, low long, places binary, values binary, last long, whole boolean")
+
+
+def work_left(sent: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """Phase 2: dim, block_q, block_c, open (queries whose rows are computed once more) and lists (query_id, places, values: those of the others with a sufficient entry).
+
+    Every list of a query and a block counts: if one of them ends at cutoff / SLICES or above and isn't whole, the query is open there. Without a cutoff
+    (fewer than k candidates in all) lists that aren't whole are open, and whole ones have all entries.
+    """
+    known = sent.join(cutoffs, "query_id", "left").withColumn("least", F.expr(f"CASE WHEN cutoff > 0 THEN (cutoff + least({SLICES}, dim) - 1) div least({SLICES}, dim) ELSE cutoff div least({SLICES}, dim) END"))
+    beyond = ~F.col("whole") & (F.col("least").isNull() | (F.col("last") >= F.col("least")))
+    fits = F.col("least").isNull() | (F.array_max("partials") >= F.col("least"))
+    kept = F.when(fits & (F.length("places") > 0), F.struct("query_id", "places", "values"))
+    lists = known.groupBy("dim", "block_q", "block_c", "query_id").agg(F.bool_or(beyond).alias("open"), F.collect_list(kept).alias("lists"))  # SLICES at most
+    some = lists.where(F.col("open") | (F.size("lists") > 0))
+    # no more than the queries of a block
+    return some.groupBy("dim", "block_q", "block_c").agg(F.collect_list(F.when(F.col("open"), F.col("query_id"))).alias("open"), F.flatten(F.collect_list(F.when(~F.col("open"), F.col("lists")))).alias("lists"))
+
+
+def collected(q_ids: np.ndarray, c_ids: np.ndarray, partials: list[np.ndarray], least: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query place, candidate place, exact score) of the entries of open queries that some slice collects and that reach the cutoff least (all for queries without a known one)."""
     enough = np.zeros(partials[0].shape, bool)
     for partial in partials:
         enough |= partial >= -(-least // len(partials))[:, None]
@@ -119,7 +154,11 @@ def collected(q_ids: np.ndarray, c_ids: np.ndarray, partials: list[np.ndarray],
     i, j = np.nonzero(enough & (q_ids[:, None] != c_ids[None, :]))
     score = sum(partial[i, j] for partial in partials)
     fine = (score >= least[i]) | ~known[i]
-    i, j, score = i[fine], j[fine], score[fine]
+    return i[fine], j[fine], score[fine]
+
+
+def best_of(i: np.ndarray, j: np.ndarray, score: np.ndarray, c_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best entries of each query."""
     order = np.lexsort((c_ids[j], -score, i))
     i, j, score = i[order], j[order], score[order]
     place = np.arange(len(i)) - np.searchsorted(i, i)
@@ -127,21 +166,38 @@ def collected(q_ids: np.ndarray, c_ids: np.ndarray, partials: list[np.ndarray],
 
 
 def over_cutoff(pairs: DataFrame, k: int) -> DataFrame:
-    """query_id, vec_id, score of what each pair of blocks sends, given the cutoffs of its queries (columns cutoff_ids and cutoffs)."""
+    """Phase 3: query_id, vec_id, score of what each pair of blocks sends, given its open queries, the lists of the others and the cutoffs of its queries (cutoff_ids and cutoffs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                q_ids, c_ids = np.frombuffer(row["ids_q"], "<i8"), np.frombuffer(row["ids_c"], "<i8")
+                q_ids, c_ids = np.frombuffer(row["ids_q"], "<i8"), np.frombuffer(row["ids_c"], "<i8")  # both ascend
                 told = dict(zip(row["cutoff_ids"], row["cutoffs"], strict=True))
                 least = np.array([told.get(int(q), 0) for q in q_ids], np.int64)
                 known = np.array([int(q) in told for q in q_ids], bool)
-                width = [len(p) // len(q_ids) for p in row["parts_q"]]
-                for s in range(0, len(q_ids), STRIP):
-                    some = q_ids[s : s + STRIP]
-                    partials = [_products(q[s * w : (s + STRIP) * w], c, len(some), len(c_ids)) for q, c, w in zip(row["parts_q"], row["parts_c"], width, strict=True)]
-                    i, j, score = collected(some, c_ids, partials, least[s : s + STRIP], known[s : s + STRIP], k)
-                    yield pa.RecordBatch.from_arrays([pa.array(some[i]), pa.array(c_ids[j]), pa.array(score, pa.int64())], ["query_id", "vec_id", "score"])
+                side = lambda parts, n: [np.frombuffer(p, "<i8").reshape(n, -1) for p in parts]
+                qs, cs = side(row["parts_q"], len(q_ids)), side(row["parts_c"], len(c_ids))
+                found = []
+                for e in row["lists"]:
+                    i = int(np.searchsorted(q_ids, e["query_id"]))
+                    places, values = np.frombuffer(e["places"], "<u4").astype(np.int64), np.frombuffer(e["values"], "<i8")
+                    j = places[values >= -(-least[i] // len(qs))] if known[i] else places
+                    found.append((np.full(len(j), i), j, sum(c[j] @ q[i] for q, c in zip(qs, cs, strict=True))))
+                if found:  # an entry may be in the lists of several slices
+                    i, j, score = (np.concatenate(x) for x in zip(*found, strict=True))
+                    _, once = np.unique(i * len(c_ids) + j, return_index=True)
+                    i, j, score = i[once], j[once], score[once]
+                    fine = (score >= least[i]) | ~known[i]
+                    found = [(i[fine], j[fine], score[fine])]
+                rows = np.searchsorted(q_ids, np.sort(np.array(row["open"], np.int64)))
+                for s in range(0, len(rows), STRIP):
+                    some = rows[s : s + STRIP]
+                    partials = [_products(np.ascontiguousarray(q[some]).tobytes(), p, len(some), len(c_ids)) for q, p in zip(qs, row["parts_c"], strict=True)]
+                    i, j, score = collected(q_ids[some], c_ids, partials, least[some], known[some])
+                    found.append((some[i], j, score))
+                if found:
+                    i, j, score = best_of(*(np.concatenate(x) for x in zip(*found, strict=True)), c_ids, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(q_ids[i]), pa.array(c_ids[j]), pa.array(score, pa.int64())], ["query_id", "vec_id", "score"])
 
     return pairs.mapInArrow(run, "query_id long, vec_id long, score long")
 
@@ -159,7 +215,8 @@ def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     sent = materialize(local_best(_paired(_sliced(queries), _sliced(candidates), ["dim", "slice"]), k), "local", BLOCK_PAIRS)
     lows = sent.groupBy("query_id", "slice").agg(F.min("low").alias("low"))
     floor = lows.groupBy("query_id").agg(F.sum("low").alias("floor"))
-    bounds = sent.join(lows.select("query_id", "slice", F.col("low").alias("slice_low")), ["query_id", "slice"]).groupBy("query_id", "vec_id").agg(F.sum(F.col("partial") - F.col("slice_low")).alias("above"))
+    heads = sent.select("query_id", "slice", F.explode(F.arrays_zip("vecs", "partials")).alias("e")).select("query_id", "slice", F.col("e.vecs").alias("vec_id"), F.col("e.partials").alias("partial"))
+    bounds = heads.join(lows.select("query_id", "slice", F.col("low").alias("slice_low")), ["query_id", "slice"]).groupBy("query_id", "vec_id").agg(F.sum(F.col("partial") - F.col("slice_low")).alias("above"))
     bounds = bounds.join(floor, "query_id").select("query_id", "vec_id", (F.col("above") + F.col("floor")).alias("bound"))
     v = lambda name, column: rows.select(F.col("vec_id").alias(name), F.col("v").alias(column))
     product = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
@@ -173,11 +230,12 @@ def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     sets = in_block.join(cutoffs, "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "cutoff")).alias("c"))
     none = F.array().cast("array<long>")
     told = queries.join(sets, "block", "left").select(*queries.columns, F.coalesce(F.col("c.query_id"), none).alias("cutoff_ids"), F.coalesce(F.col("c.cutoff"), none).alias("cutoffs"))
-    told = _paired(told, candidates, ["dim"]).withColumnsRenamed({"cutoff_ids_q": "cutoff_ids", "cutoffs_q": "cutoffs"})
+    left = materialize(work_left(sent, cutoffs), "left")
+    told = _paired(told, candidates, ["dim"], left).withColumnsRenamed({"cutoff_ids_q": "cutoff_ids", "cutoffs_q": "cutoffs"})
     scores = materialize(over_cutoff(told, k), "scores", BLOCK_PAIRS)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     out = materialize(scores.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "top")
-    release(rows, queries, candidates, sent, cutoffs, scores)
+    release(rows, queries, candidates, sent, cutoffs, left, scores)
     return out
 
 

@@ -243,3 +243,48 @@ def test_top_k_with_fewer_than_k_candidates(spark):
                 want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
         got = [tuple(r) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0).collect()]
         assert sorted(got) == sorted(want) and len(got) >= 2
+
+
+@pytest.mark.parametrize("shape", ["random", "clusters", "negative", "ties", "one dimension"])
+def test_top_k_in_small_blocks(spark, monkeypatch, shape):
+    """Open and closed lists, with a few vectors in a block, against all products."""
+    monkeypatch.setattr(topk, "BLOCK", 40)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
+    rng = np.random.default_rng(4)
+    n, d = 400, 1 if shape == "one dimension" else 6
+    x = rng.normal(size=(n, d))
+    if shape == "clusters":
+        x = rng.normal(size=(5, d))[rng.integers(0, 5, n)] * 3 + 0.1 * x
+    x = {"negative": -np.abs(x), "ties": np.round(x)}.get(shape, x).astype(np.float32)
+    rows = [(int(i), [float(v) for v in x[i]]) for i in range(n)]
+    got = sorted(tuple(r) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 9 == 0, 3).collect())
+    q = np.floor(256 * x.astype(float)).astype(np.int64)
+    want = []
+    for i in range(0, n, 9):
+        scores = q @ q[i]
+        order = sorted((j for j in range(n) if j != i), key=lambda j: (-scores[j], j))[:3]
+        want += [(i, r + 1, j, int(scores[j])) for r, j in enumerate(order)]
+    assert got == want
+
+
+def test_top_k_later_phases_compute_little(spark):
+    """On the given vectors fewer than a quarter of the products of the first phase are computed again."""
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    seen = []
+    real = topk.work_left
+    try:
+        topk.work_left = lambda sent, cutoffs: seen.append(real(sent, cutoffs).select(F.size("open").alias("open")).agg(F.sum("open")).first()[0]) or real(sent, cutoffs)
+        topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+    finally:
+        topk.work_left = real
+    queries = vectors.where("vec_id % 50 = 0").count()
+    blocks = max(1, -(-vectors.count() // topk.BLOCK))
+    assert seen[0] < queries * blocks / 4
+
+
+def test_growth_keeps_what_a_chunk_sends_to_a_bucket():
+    assert [repeats.growth(n) for n in (0, 1 << 35, 1 << 37, 10**14)] == [1, 1, 2, 53]
+    for total in (1 << 40, 10**14, 10**16):
+        g = repeats.growth(total)
+        names = repeats.CHUNK_BYTES * g / (total / (repeats.BUCKET_PREFIXES * g))
+        assert names >= repeats.CHUNK_BYTES * repeats.BUCKET_PREFIXES / (1 << 35) * 0.7
