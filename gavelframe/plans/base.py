@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+#: Queries on invented rows, name -> (query, SQL), whose name a query on given tables has taken over; tests run them.
+CASES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
 def query(name: str, sql: str | None = None):
     """Register a function (spark, sf_dir) -> DataFrame, with the SQL that gives the same rows on the same tables."""
 
     def put(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        if name in QUERIES:
+            CASES[name] = QUERIES[name], ORACLE_SQL.pop(name, None)
         QUERIES[name] = f
         if sql is not None:
             ORACLE_SQL[name] = sql

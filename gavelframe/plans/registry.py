@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from . import names, texts, citations, judgments, validity, graph, indexed, scale, streams, tables, sqlcalls  # noqa: F401, I001
-from .base import ORACLE_SQL, QUERIES
+from .base import CASES, ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES"]
+__all__ = ["CASES", "ORACLE_SQL", "QUERIES"]

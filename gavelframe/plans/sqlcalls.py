@@ -33,7 +33,7 @@ def sql_citations_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, "SELECT * FROM distinct_citations(TABLE(SELECT * FROM {rows}) PARTITION BY (o_custkey), 'body')", rows=rows)
 
 
-@query("sql_case_references", f"SELECT ordinal, system AS case_system, year AS case_year, number AS case_number FROM ({ORACLE_SQL['parse_case_id_of_orders']})")
+@query("sql_case_references", f"SELECT ordinal, system AS case_system, year AS case_year, number AS case_number FROM ({ORACLE_SQL['parse_case_id']})")
 def sql_case_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X3 as scalar functions."""
     return _sql(spark, "SELECT ordinal, case_system(raw) AS case_system, case_year(raw) AS case_year, case_number(raw) AS case_number FROM {refs}", refs=REFS.frame(spark, sf_dir))
@@ -45,7 +45,7 @@ def sql_chinese_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, "SELECT numeral, chinese_number(numeral) AS value FROM {rows}", rows=COUNTED.frame(spark, sf_dir))
 
 
-@query("sql_article_range", f"SELECT number, major, minor FROM ({ORACLE_SQL['article_range_ordered_of_items']})")
+@query("sql_article_range", f"SELECT number, major, minor FROM ({ORACLE_SQL['article_range_ordered']})")
 def sql_article_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F11, X1 as scalar functions."""
     return _sql(spark, """SELECT number, article_major(number) AS major, article_minor(number) AS minor FROM {rows} WHERE pcode = 'B0000001' AND NOT contains(number, '.')

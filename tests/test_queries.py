@@ -21,3 +21,11 @@ def test_query(spark, con, name):
     mine, theirs = both(spark, con, registry.QUERIES[name], registry.ORACLE_SQL[name], SF)
     assert mine[1] == theirs[1]
     assert mine[0] == theirs[0]
+
+
+@pytest.mark.parametrize("name", sorted(registry.CASES))
+def test_case(spark, con, name):
+    """Queries on invented rows, which show single cases."""
+    run, sql = registry.CASES[name]
+    mine, theirs = both(spark, con, run, sql, SF)
+    assert mine == theirs
