@@ -26,10 +26,10 @@ def read(spark, path, **options):
 
 def test_what_is_written_is_read_in_parts(spark, rows, tmp_path):
     frame(spark, rows).write.format("archive").mode("overwrite").option("path", str(tmp_path / "a")).save()
-    for size in (1, 5000, 1 << 26):
+    for size in (1, 1000, 1 << 26):
         df = read(spark, tmp_path / "a", part_bytes=size)
         assert sorted((r.entry, bytes(r.content)) for r in df.collect()) == sorted(rows) and df.agg(F.sum("size")).first()[0] == sum(len(c) for _, c in rows)
-    assert read(spark, tmp_path / "a", part_bytes=5000).rdd.getNumPartitions() > 6 > read(spark, tmp_path / "a").rdd.getNumPartitions()
+    assert read(spark, tmp_path / "a", part_bytes=1000).rdd.getNumPartitions() > 6 > read(spark, tmp_path / "a").rdd.getNumPartitions()
     listed = read(spark, f"file://{tmp_path}/a", content="false")
     assert listed.where("content IS NULL").count() == 120
 
