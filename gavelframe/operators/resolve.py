@@ -1,7 +1,8 @@
 """Resolution of law names, codes and courts: joins on equality only.
 
-Containment ("the query holds a name", "a name holds the query") and longest-prefix or -suffix matches are
-equi-joins on enumerated substrings, so that no pair of rows that doesn't match is ever formed.
+Containment ("the query holds a name", "a name holds the query") and longest-suffix matches are
+equi-joins on enumerated substrings, so that no pair of rows that doesn't match is ever formed. These joins are merge joins by hint: the
+planner takes enumerated rows to be as few as the rows they come from, and would broadcast them through the driver.
 """
 
 from __future__ import annotations
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 from ..constants import ABOLISHED, ALIASES, BUILTIN_LAWS, CASE_TYPES, COURT_LEVELS, COURTS, CURRENT, DEFAULT_LEVEL, INVALID_NAMES, NAME_PREFIXES, SHORT_NAMES
 from ..functions.identifiers import title_name
 
+#: Tasks to which the names that hold one term are dealt.
+SALTS = 8
+
 
 def pairs(spark: SparkSession, rows: dict[str, str], first: str, second: str) -> DataFrame:
     return spark.createDataFrame(list(rows.items()), f"{first} string, {second} string")
@@ -38,6 +42,13 @@ def substrings(text: Column, longest: Column) -> Column:
     return F.when(n > 0, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
 
 
+def substrings_of(text: Column, lengths: Column) -> Column:
+    """The distinct substrings of the given lengths."""
+    n = F.length(text)
+    fits = F.filter(lengths, lambda k: k.between(1, n))
+    return F.array_distinct(F.flatten(F.transform(fits, lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(text, i, k)))))
+
+
 def resolve_name(term: str, laws: DataFrame) -> DataFrame:
     """As resolve_names() for one term: comparisons with a literal, in one pass over the dictionary."""
     spark, full, fixed = laws.sparkSession, ALIASES.get(term), BUILTIN_LAWS.get(term)
@@ -72,18 +83,24 @@ def resolve_names(terms: DataFrame, laws: DataFrame, alias: DataFrame | None = N
     builtin = builtin_laws(spark) if builtin is None else builtin
     terms = terms.where(F.length("term") > 0).select("term").distinct()
     laws = laws.select("ordinal", "law_name", "pcode")
+    shuffled = laws.hint("merge")
     hit = lambda df, tier, size: df.select("term", F.lit(tier).alias("tier"), size.alias("size"), "ordinal", "law_name", "pcode")
     none = F.lit(0)
     size = F.length("law_name")
-    exact = hit(terms.join(laws, F.col("term") == F.col("law_name")), 0, none)
-    by_alias = hit(terms.join(alias.select(F.col("alias").alias("term"), "law_name"), "term").join(laws, "law_name"), 1, none)
+    exact = hit(shuffled.join(terms, F.col("term") == F.col("law_name")), 0, none)
+    by_alias = hit(alias.select(F.col("alias").alias("term"), "law_name").hint("merge").join(terms, "term").join(shuffled, "law_name"), 1, none)
     fixed = hit(terms.join(builtin.select("law_name", "pcode"), F.col("term") == F.col("law_name")).withColumn("ordinal", F.lit(0).cast("bigint")), 2, none)
     # no name is longer than the longest, which the plan itself looks up
     bounded = terms.withColumn("longest", laws.agg(F.coalesce(F.max(F.length("law_name")), F.lit(1))).scalar())
     parts = bounded.select("term", F.explode(substrings(F.col("term"), F.col("longest"))).alias("law_name"))
-    holds = hit(parts.join(laws, "law_name"), 3, -size)
-    of_names = laws.select("ordinal", "law_name", "pcode", F.explode(substrings(F.col("law_name"), F.length("law_name"))).alias("term"))
-    held = hit(of_names.join(terms, "term"), 4, size)
+    holds = hit(parts.hint("merge").join(laws, "law_name"), 3, -size)
+    # of a name only substrings as long as some term; names that hold a common term are dealt to salts, for each of which the terms are repeated
+    lengths = terms.agg(F.collect_set(F.length("term"))).scalar()
+    salt = F.pmod(F.xxhash64("ordinal", "law_name"), F.lit(SALTS)).cast("int").alias("salt")
+    measured = laws.withColumns({"salt": salt, "lengths": lengths})
+    of_names = measured.select("ordinal", "law_name", "pcode", "salt", F.explode(substrings_of(F.col("law_name"), F.col("lengths"))).alias("term"))
+    asked = terms.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    held = hit(of_names.hint("merge").join(asked, ["term", "salt"]), 4, size)
     found = exact.unionByName(by_alias).unionByName(fixed).unionByName(holds).unionByName(held)
     best = found.groupBy("term").agg(F.min(F.struct("tier", "size", "ordinal", "law_name", "pcode")).alias("b"))
     return terms.join(best, "term", "left").select("term", F.col("b.tier").alias("tier"), F.col("b.law_name").alias("law_name"), F.col("b.pcode").alias("pcode"))
@@ -171,7 +188,7 @@ def clean_statute_names(raw: DataFrame, known: DataFrame) -> DataFrame:
     raw = raw.select("raw").distinct().withColumn("name", without_prefix(F.col("raw")))
     yes = known.select(F.col("law_name").alias("_known")).distinct()
     ends = raw.select("raw", "name", F.explode(suffixes(F.col("name"))).alias("_known")).where((F.length("_known") >= 2) | (F.col("_known") == F.col("name")))
-    best = ends.join(yes, "_known").groupBy("raw").agg(F.max_by("_known", F.length("_known")).alias("_suffix"))
+    best = ends.hint("merge").join(yes, "_known").groupBy("raw").agg(F.max_by("_known", F.length("_known")).alias("_suffix"))
     whole = raw.select("raw").join(yes.withColumnRenamed("_known", "raw"), "raw").withColumn("_whole", F.lit(True))
     joined = raw.join(whole, "raw", "left").join(best, "raw", "left")
     return joined.select("raw", F.when(F.col("_whole"), F.col("raw")).otherwise(F.coalesce("_suffix", "name")).alias("law_name"))
