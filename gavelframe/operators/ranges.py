@@ -4,7 +4,8 @@ Points lie in cells of a fixed width. Cells that hold points are counted; a rang
 two), every cell knows the nodes above it, and equality of nodes tells which cells with points a range meets, each exactly once. So a wide range costs
 a logarithm and then only the cells that have something for it, which its result pays for. Cells with more than HOT points (one article that everybody cites) are
 salted: points are dealt to salts by a hash, and the ranges of that cell are repeated for each. Only the cells at a range's ends compare values
-that don't match; there is no nested loop.
+that don't match; there is no nested loop. The joins are merge joins by hint: nodes and cells are enumerated rows, which the planner takes to be as few as
+the rows they come from, and would broadcast through the driver.
 
 Defined cases: both ends of a range count; a range that ends before it begins, one with a null end, and null points meet nothing; null keys
 meet nothing, as in any equi-join; repeated ranges and points count each.
@@ -59,11 +60,11 @@ def range_join(points: DataFrame, ranges: DataFrame, by: list[str], point: str,
     nodes = span.withColumn("_node", F.explode(dyadic_nodes(of(lo), of(hi))))
     top = span.agg(F.max(F.greatest(F.abs(of(lo)), F.abs(of(hi))))).first()[0] or 1
     above = F.explode(F.transform(F.sequence(F.lit(0), F.lit(int(top + 1).bit_length())), lambda k: F.struct(k.alias("level"), F.call_function("shiftright", "_cell", k).alias("node"))))
-    met = nodes.join(cells.withColumn("_node", above), [*by, "_node"]).drop("_node")
+    met = nodes.hint("merge").join(cells.withColumn("_node", above), [*by, "_node"]).drop("_node")
     asked = met.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
     every = [c for c in points.columns if c not in by]
-    salted = dealt.join(cells, [*by, "_cell"]).withColumn("_salt", F.pmod(F.xxhash64(*every), F.col("_salts")).cast("int")).drop("_salts")
-    return asked.drop("_salts").join(salted, [*by, "_cell", "_salt"]).where(F.col(point).between(F.col(lo), F.col(hi))).drop("_cell", "_salt")
+    salted = dealt.hint("merge").join(cells, [*by, "_cell"]).withColumn("_salt", F.pmod(F.xxhash64(*every), F.col("_salts")).cast("int")).drop("_salts")
+    return asked.drop("_salts").hint("merge").join(salted, [*by, "_cell", "_salt"]).where(F.col(point).between(F.col(lo), F.col(hi))).drop("_cell", "_salt")
 
 
 def articles_in_ranges(articles: DataFrame, ranges: DataFrame) -> DataFrame:
