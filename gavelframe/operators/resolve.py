@@ -150,22 +150,29 @@ def suggestions(laws: DataFrame, term: str, limit: int = 10) -> DataFrame:
 
 
 def with_court(rows: DataFrame, table: DataFrame | None = None, jid: str = "jid") -> DataFrame:
-    """rows with court, court_level and case_type by the longest court code that the identifier starts with."""
-    table = courts(rows.sparkSession) if table is None else table
+    """rows with court, court_level and case_type by the longest court code that the identifier starts with.
+
+    The built-in courts are looked up within each row. A table of courts is joined to the distinct heads of identifiers; these are few and the rows many, so that
+    the heads are broadcast: a shuffle by head would bring all rows of a court, with their texts, to one task.
+    """
     code = F.split_part(F.coalesce(F.col(jid), F.lit("")), F.lit(","), F.lit(1))
-    heads = rows.select(code.alias("_head")).distinct()
     longest = 6
-    hits = heads.select("_head", F.explode(prefixes(F.col("_head"), longest)).alias("code")).join(table, "code")
-    best = hits.groupBy("_head").agg(F.max_by(F.struct("code", "court", "level"), F.length("code")).alias("b"))
-    rest = F.substring(F.col("_head"), F.length("b.code") + 1, F.lit(longest))
+    if table is None:
+        at = {c: F.struct(F.lit(c).alias("code"), F.lit(name).alias("court"), F.lit(COURT_LEVELS.get(c, DEFAULT_LEVEL)).alias("level")) for name, c in COURTS.items()}
+        known = F.create_map(*[x for c, court in at.items() for x in (F.lit(c), court)])
+        found = F.coalesce(*[F.try_element_at(known, F.substring(code, 1, k)) for k in range(longest, 0, -1)])
+        joined = rows.withColumn("_head", code).withColumn("_court", found)
+    else:
+        heads = rows.select(code.alias("_head")).distinct()
+        hits = heads.select("_head", F.explode(prefixes(F.col("_head"), longest)).alias("code")).join(table, "code")
+        best = hits.groupBy("_head").agg(F.max_by(F.struct("code", "court", "level"), F.length("code")).alias("_court"))
+        joined = rows.withColumn("_head", code).join(F.broadcast(best), "_head", "left")
+    rest = F.substring(F.col("_head"), F.length("_court.code") + 1, F.lit(longest))
     kind = F.lit(None).cast("string")
     for name, letter in CASE_TYPES.items():
         kind = F.when(rest == letter, name).otherwise(kind)
-    found = best.select("_head", F.col("b.court").alias("court"), F.col("b.level").cast("int").alias("court_level"), F.coalesce(kind, F.lit("")).alias("case_type"))
-    return (
-        rows.withColumn("_head", code).join(found, "_head", "left").drop("_head")
-        .withColumns({"court": F.coalesce("court", F.lit("")), "court_level": F.coalesce("court_level", F.lit(0)), "case_type": F.coalesce("case_type", F.lit(""))})
-    )
+    found = {"court": F.coalesce("_court.court", F.lit("")), "court_level": F.coalesce(F.col("_court.level").cast("int"), F.lit(0)), "case_type": F.coalesce(kind, F.lit(""))}
+    return joined.withColumns(found).drop("_head", "_court")
 
 
 def without_prefix(name: Column, prefixes_: list[str] = NAME_PREFIXES) -> Column:
