@@ -22,6 +22,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from ..constants import PAGE_SIZE
 
 RANGE_ROWS = 1 << 18
+#: Ranges of a table at most. Each costs a task, a folder, and sampled rows and a task's report for the driver; in a table with more rows than that the ranges grow.
+MOST_RANGES = 512
 
 
 class RankedTable:
@@ -37,8 +39,8 @@ class RankedTable:
         return [F.col(n).desc() if d else F.col(n).asc() for n, d in zip(self.names, self.down, strict=True)]
 
     def build(self, rows: DataFrame, range_rows: int = RANGE_ROWS) -> RankedTable:
-        """Write the rows in ranges of about range_rows."""
-        count = max(1, -(-rows.count() // range_rows))
+        """Write the rows in ranges of about range_rows, or more where that would make more than MOST_RANGES of them."""
+        count = min(MOST_RANGES, max(1, -(-rows.count() // range_rows)))
         ranged = rows.repartitionByRange(count, *self._order).sortWithinPartitions(*self._order)
         ranged.withColumn("_range", F.spark_partition_id()).write.mode("overwrite").partitionBy("_range").parquet(f"{self.path}/rows")
         self.schema = rows.schema
