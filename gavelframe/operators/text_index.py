@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import path_exists, shared_folder
@@ -36,6 +36,10 @@ BLOCK_CHARS = 1 << 22
 #: Characters of text in a bucket of postings and in a shard of texts, on average.
 BUCKET_CHARS = 1 << 26
 LEAST_BUCKETS = 16
+#: Parts of a bucket, by block, that are written by different tasks: postings of a frequent gram grow with the corpus.
+BUCKET_PARTS = 4
+#: Tasks to which postings of one gram and candidates of one query are dealt, by block; the few rows of queries are repeated for each.
+SALTS = 16
 #: Grams of each word whose postings are read.
 RAREST = 4
 #: Queries whose postings of a block are taken together.
@@ -148,6 +152,14 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows(now)
 
 
+def salt_of_block() -> Column:
+    return F.pmod("block", F.lit(SALTS)).cast("int")
+
+
+def every_salt() -> Column:
+    return F.explode(F.array(*map(F.lit, range(SALTS))))
+
+
 class TextIndex:
     """An index at a path; see the module. key and text name the columns of what is appended."""
 
@@ -179,7 +191,7 @@ class TextIndex:
         texts = self.spark.read.parquet(f"{where}/texts")
         grams = texts.select("block", "no", "text").mapInArrow(_post, POSTINGS)
         grams = grams.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets)).cast("int"))
-        spread = grams.repartition(buckets, "bucket").sortWithinPartitions("bucket", "gram", "block")
+        spread = grams.repartition(buckets * BUCKET_PARTS, F.col("bucket"), F.pmod("block", F.lit(BUCKET_PARTS))).sortWithinPartitions("bucket", "gram", "block")
         spread.write.mode("overwrite").partitionBy("bucket").parquet(f"{where}/postings")
 
     # -------------------------------------------------------- reading
@@ -228,18 +240,20 @@ class TextIndex:
         few = len(distinct) <= FILTER_VALUES
         grams = [r[0] for r in distinct if len(r[0]) == GRAM] if few else []
         postings = self._postings(grams, sorted({r[0] for r in distinct if len(r[0]) < GRAM})) if few else self._all()
+        postings = postings.withColumn("salt", salt_of_block())
         held = postings.groupBy("gram").agg(F.sum("n_docs").alias("held"))
         exact, prefix = each.where(~short), each.where(short)
         rank = F.row_number().over(Window.partitionBy("query", "word").orderBy(F.coalesce("held", F.lit(0)), "offset"))
         chosen = exact.join(held, "gram", "left").withColumn("rank", rank).where(F.col("rank") <= rarest)
         chosen = chosen.withColumn("wanted", F.count("*").over(Window.partitionBy("query", "word"))).select("query", "word", "offset", "gram", "wanted")
         by_prefix = prefix.select("query", "word", "offset", F.col("gram").alias("start"), F.lit(1).cast("long").alias("wanted"))
-        met = postings.join(chosen, "gram")
+        n_words = words.groupBy("query").agg(F.count("*").alias("n_words"))
+        for_each = lambda rows: rows.join(n_words, "query").withColumn("salt", every_salt())
+        met = postings.join(for_each(chosen), ["gram", "salt"])
         if not few or any(len(r[0]) < GRAM for r in distinct):
             starts_with = F.explode(F.transform(F.sequence(F.lit(1), F.lit(GRAM - 1)), lambda k: F.substring("gram", F.lit(1), k)))
-            met = met.unionByName(postings.withColumn("start", starts_with).join(by_prefix, "start").drop("start"))
-        n_words = words.groupBy("query").agg(F.count("*").alias("n_words"))
-        met = met.join(n_words, "query").withColumn("lot", F.pmod(F.xxhash64("query"), F.lit(max(1, queries.count() // GROUP_QUERIES))))
+            met = met.unionByName(postings.withColumn("start", starts_with).join(for_each(by_prefix), ["start", "salt"]).drop("start"))
+        met = met.withColumn("lot", F.pmod(F.xxhash64("query"), F.lit(max(1, queries.count() // GROUP_QUERIES))))
         kind = queries.schema["query"].dataType.simpleString()
         columns = ["segment", "block", "lot", "query", "n_words", "word", "wanted", "offset", "gram", "docs", "counts", "positions"]
         return met.select(columns).groupBy("segment", "block", "lot").applyInPandas(_intersect, f"segment string, block long, no int, query {kind}")
@@ -265,7 +279,9 @@ class TextIndex:
             shards = mine.select(F.expr(f"cast(block div {max(1, BUCKET_CHARS // BLOCK_CHARS)} as int)").alias("shard")).distinct().limit(FILTER_VALUES + 1).collect()
             if len(shards) <= FILTER_VALUES:
                 texts = texts.where(F.col("shard").isin([r[0] for r in shards]))
-            rows = texts.join(mine, ["block", "no"]).join(asked, "query").where(F.forall("words", lambda w: F.col("text").contains(w))).select("query", "key")
+            # the words come to the candidates before the texts do, else all texts of a query would meet in one task
+            worded = mine.withColumn("salt", salt_of_block()).join(asked.withColumn("salt", every_salt()), ["query", "salt"]).drop("salt")
+            rows = texts.join(worded, ["block", "no"]).where(F.forall("words", lambda w: F.col("text").contains(w))).select("query", "key")
             out = rows if out is None else out.unionByName(rows)
         return out
 
