@@ -27,6 +27,8 @@ NAME_CHARS = 1 << 23
 LOT_CHARS = 1 << 25
 #: Characters after a match that its row carries.
 AFTER = 40
+#: Matches that a task holds before it gives them out.
+MATCHES = 1 << 14
 MATCH = "name string, start long, stop long, after string"
 
 
@@ -59,13 +61,22 @@ def _scanner(names):
         automaton = automaton_of(names.value)
         for batch in batches:
             at, found = [], []
+
+            def rows() -> pa.RecordBatch:
+                name, start, stop, after = zip(*found, strict=True) if found else ((), (), (), ())
+                out = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(name, pa.string()), pa.array(start, pa.int64()), pa.array(stop, pa.int64()), pa.array(after, pa.string())]
+                at.clear()
+                found.clear()
+                return pa.RecordBatch.from_arrays(out, ["key", "name", "start", "stop", "after"])
+
             for i, value in enumerate(batch.column(1)):
                 text = value.as_py() or ""
                 for start, stop in leftmost_longest(all_matches(automaton, text)):
                     at.append(i)
                     found.append((text[start:stop], start, stop, text[stop : stop + AFTER]))
-            name, start, stop, after = zip(*found, strict=True) if found else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(name, pa.string()), pa.array(start, pa.int64()), pa.array(stop, pa.int64()), pa.array(after, pa.string())], ["key", "name", "start", "stop", "after"])
+                    if len(found) >= MATCHES:
+                        yield rows()
+            yield rows()
 
     return run
 
