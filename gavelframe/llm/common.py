@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +75,28 @@ def collect_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Return to the system what this Python worker has freed.
+
+    Spark keeps workers between tasks, and their allocators keep what the largest task so far took, so that without this
+    idle workers take an executor's memory from whatever runs later.
+    """
+    POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run for mapInArrow, after which the worker gives its memory back."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def apart(docs: DataFrame, *names: str) -> list[str]:
     """names, lengthened where docs have such a column (in either case), for columns that are added to docs for a while."""
     taken = {c.lower() for c in docs.columns}
@@ -114,6 +138,9 @@ class Powers:
     """Powers of an odd base and of its inverse modulo 2^64, for hashes of substrings by prefix sums."""
 
     def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
         self.up = self.down = np.ones(1, np.uint64)
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:

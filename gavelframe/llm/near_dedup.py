@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ARROW_ROWS, MUL, apart, chunks, collect_shuffles, materialize, mix64, release, span_hashes, table, text_or_empty
+from .common import ARROW_ROWS, MUL, apart, chunks, collect_shuffles, lean, materialize, mix64, release, span_hashes, table, text_or_empty
 from .graph import components
 
 WORDS = 5
@@ -161,7 +161,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 has = np.bincount(found[2], minlength=j - i) > 0
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([t.tobytes() if y else None for t, y in zip(tags, has, strict=True)], pa.binary())], ["doc_id", "k1", "k2", "sig"])
 
-    return docs.mapInArrow(run, "doc_id long, k1 long, k2 long, sig binary")
+    return docs.mapInArrow(lean(run), "doc_id long, k1 long, k2 long, sig binary")
 
 
 def _estimated(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -175,7 +175,7 @@ def _estimated(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
             kept = pa.array(est >= SIMILARITY - MARGIN)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept), pa.array(est).filter(kept)], ["a", "b", "est"])
 
-    return joined.mapInArrow(run, "a long, b long, est double")
+    return joined.mapInArrow(lean(run), "a long, b long, est double")
 
 
 def _weighted(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -194,7 +194,7 @@ def weighted_sets(docs: DataFrame) -> DataFrame:
                 sets = _weighted(texts[i:j])
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array([h.tobytes() for h, _ in sets], pa.binary()), pa.array([w.astype(np.uint32).tobytes() for _, w in sets], pa.binary())], ["rep", "hashes", "counts"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "rep long, hashes binary, counts binary")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "rep long, hashes binary, counts binary")
 
 
 def _sets(hashes: pa.Array, counts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -218,7 +218,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY)
             kept = pa.array([probability_jaccard(p, q) >= similarity for p, q in zip(x, y, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], ["a", "b"])
 
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(lean(run), "a long, b long")
 
 
 def _with_component(rows: DataFrame, parts: DataFrame, column: str, name: str) -> DataFrame:
@@ -296,7 +296,7 @@ def _open(rows: DataFrame, sigs: DataFrame) -> DataFrame:
                 for side, at in sides:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), bucket)), pa.array(np.full(len(at), band, np.int32)), pa.array(side.parts[at]), pa.array(side.reps[at])], ["bucket", "band", "part", "rep"])
 
-    found = materialize(met.mapInArrow(run, "bucket long, band int, part long, rep long"), "open", 1)
+    found = materialize(met.mapInArrow(lean(run), "bucket long, band int, part long, rep long"), "open", 1)
     release(blocks)
     return materialize(found.distinct(), "open")
 
@@ -343,7 +343,7 @@ def _settled(rows: DataFrame, sigs: DataFrame, sets: DataFrame, similarity: floa
                 links = links_of(x, y, batch.column("band")[k].as_py(), similarity)
                 yield pa.RecordBatch.from_arrays([pa.array([s[c] for s in links], pa.int64()) for c in (0, 1)], ["a", "b"])
 
-    found = materialize(met.mapInArrow(run, "a long, b long"), "links", 1)
+    found = materialize(met.mapInArrow(lean(run), "a long, b long"), "links", 1)
     release(blocks)
     return found
 

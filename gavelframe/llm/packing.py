@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ARROW_ROWS, materialize, release, table
+from .common import ARROW_ROWS, lean, materialize, release, table
 
 LENGTH = 1024
 END_ID = 2
@@ -43,6 +43,12 @@ def vocabulary(path: str) -> dict[bytes, int]:
     return {bytes(map(byte.__getitem__, token)): i for token, i in spec["model"]["vocab"].items() if token not in added}
 
 
+def added_tokens(path: str) -> list[str]:
+    """The added tokens of such a file."""
+    with open(path, encoding="utf-8") as file:
+        return [x["content"] for x in json.load(file).get("added_tokens", ())]
+
+
 def worker_tokenizer(path: str, pattern: str) -> Callable[[str], bytes]:
     """Text to its ids as little-endian unsigned 32-bit integers; one tokenizer per Python worker.
 
@@ -52,17 +58,22 @@ def worker_tokenizer(path: str, pattern: str) -> Callable[[str], bytes]:
     """
     if path not in _TOKENIZERS:
         import tiktoken
-        from tokenizers import Tokenizer
 
-        own, library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=vocabulary(path), special_tokens={}), Tokenizer.from_file(path)
-        added = [x.content for x in library.get_added_tokens_decoder().values()]
+        own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=vocabulary(path), special_tokens={})
+        added = added_tokens(path)
+        library = None  # loaded for the first text that needs it: few workers meet one, and it stays in memory
 
         def encode(text: str) -> bytes:
+            nonlocal library
             if not any(token in text for token in added):
                 try:
                     return own.encode_to_numpy(text).astype("<u4").tobytes()
                 except ValueError:  # its regular expressions ran out of stack
                     pass
+            if library is None:
+                from tokenizers import Tokenizer
+
+                library = Tokenizer.from_file(path)
             return np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
         _TOKENIZERS[path] = encode
@@ -91,7 +102,7 @@ def pieces(docs: DataFrame, path: str, pattern: str, length: int = LENGTH, end_i
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(lean(run), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_two_fit(lengths: np.ndarray, capacity: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ARROW_ROWS, MUL, apart, arrow_rows, chunks, materialize, mix64, span_hashes, table
+from .common import ARROW_ROWS, MUL, apart, arrow_rows, chunks, lean, materialize, mix64, span_hashes, table
 
 BUCKET_BITS = 17
 DIM = 8
@@ -144,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> Model
     )
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = texts.join(F.broadcast(usable), "doc_id").select("doc_id", "text", "label")  # at most max_rows ids
-    bags = rows.mapInArrow(lambda it: (b for x in it for b in _bags([x])), "ids binary, shares binary, label int")
+    bags = rows.mapInArrow(lean(_bags), "ids binary, shares binary, label int")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = [(np.frombuffer(i, np.int32), np.frombuffer(s, np.float32), y) for batch in batches for i, s, y in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
@@ -153,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> Model
 
     # one task trains on the bounded sample and returns the folded model
     with arrow_rows(docs.sparkSession):
-        model = bags.repartition(1).mapInArrow(learn, "weights binary, bias double").collect()
+        model = bags.repartition(1).mapInArrow(lean(learn), "weights binary, bias double").collect()
     return Model(np.frombuffer(model[0].weights, np.float32), model[0].bias) if model else train([])
 
 
@@ -172,7 +172,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, names: tu
             scores = own.score([t or "" for t in batch.column(at).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))], schema.names)
 
-    return docs.mapInArrow(run, schema).toDF(*keep, *names)
+    return docs.mapInArrow(lean(run), schema).toDF(*keep, *names)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MUL, apart, arrow_rows, collect_shuffles, materialize, mix64, release, scratch_dir, shuffle_width, table
+from .common import MUL, apart, arrow_rows, collect_shuffles, give_back, lean, materialize, mix64, release, scratch_dir, shuffle_width, table
 
 LENGTH = 50
 #: A perfect difference set: every residue modulo PERIOD is the difference of two of its members.
@@ -222,7 +222,7 @@ def chunked(docs: DataFrame, chunk_bytes: int | None = None) -> DataFrame:
             yield chunk()
 
     rows = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    chunks = rows.mapInArrow(run, "chunk long, n_bytes long, ids binary, lengths binary, digests binary, text binary")
+    chunks = rows.mapInArrow(lean(run), "chunk long, n_bytes long, ids binary, lengths binary, digests binary, text binary")
     name = f"gf_chunks_{uuid.uuid4().hex}"
     # each task writes the few chunks that it has made, so that there is a file per chunk at most
     path = f"{scratch_dir(spark)}/{name}"
@@ -244,7 +244,7 @@ def whole_copies(chunks: DataFrame) -> DataFrame:
                 own = sorted({blob[k : k + DIGEST] for k in range(0, len(blob), DIGEST)})
                 yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(own), pa.int64()), pa.array(own, pa.binary())], ["chunk", "digest"])
 
-    rows = chunks.select("chunk", "digests").mapInArrow(run, "chunk long, digest binary")
+    rows = chunks.select("chunk", "digests").mapInArrow(lean(run), "chunk long, digest binary")
     firsts = rows.groupBy("digest").agg(F.min("chunk").alias("first"), F.max("chunk").alias("last")).where("first < last").drop("last")
     later = rows.join(firsts, "digest").where("chunk > first")
     return later.groupBy("chunk").agg(F.collect_list("digest").alias("copies"))  # no more than a chunk has texts
@@ -259,7 +259,7 @@ def _with(chunks: DataFrame, *sides: DataFrame) -> DataFrame:
 def _met(sent: DataFrame, earlier: bool) -> DataFrame:
     """What the buckets find: chunk, bits (bucket, one bit per name): another chunk has the name; with earlier, a smaller one."""
 
-    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+    def met(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("chunk")
         values = [unpacked(b) for b in part["blob"]]
         stops = np.cumsum([len(v) for v in values])
@@ -275,6 +275,11 @@ def _met(sent: DataFrame, earlier: bool) -> DataFrame:
         out = pd.DataFrame({"chunk": part["chunk"].to_numpy(), "bucket": int(key[0]), "bits": bits})
         return out[out["bits"].notna()]
 
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        out = met(key, part)
+        give_back()
+        return out
+
     marked = sent.groupBy("bucket").applyInPandas(run, "chunk long, bucket int, bits binary")
     return marked.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("bits"))  # one per bucket at most
 
@@ -350,11 +355,11 @@ def _removed(rows: DataFrame, chunks: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(chunk.ids), pa.array(n), pa.array(n_removed), pa.array(n_spans), pa.array(kept, pa.binary()), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "text_sha256"])
 
     kinds = "bucket int, chunk long, blob binary"
-    bits = materialize(_met(_with(chunks, copies).mapInArrow(tuples, kinds), False), "tuples", CHUNK_ROWS)
+    bits = materialize(_met(_with(chunks, copies).mapInArrow(lean(tuples), kinds), False), "tuples", CHUNK_ROWS)
     collect_shuffles(spark)
-    more = materialize(_met(_with(chunks, copies, bits).mapInArrow(prefixes, kinds), True).withColumnRenamed("bits", "more"), "prefixes", CHUNK_ROWS)
+    more = materialize(_met(_with(chunks, copies, bits).mapInArrow(lean(prefixes), kinds), True).withColumnRenamed("bits", "more"), "prefixes", CHUNK_ROWS)
     collect_shuffles(spark)
-    found = _with(chunks, copies, bits, more).mapInArrow(results, schema)
+    found = _with(chunks, copies, bits, more).mapInArrow(lean(results), schema)
     whole = F.length("text").cast("long").alias("n_bytes")
     found = found.unionByName(rows.where("doc_id IS NULL").select("doc_id", whole, F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("text").alias("kept"), F.lit(None).cast("string").alias("text_sha256")))
     found._gf_chunks, found._gf_tables = chunks, (copies, bits, more)
