@@ -12,10 +12,12 @@ Shards are written by Spark's text writer, whose lines are the raw bytes: its co
 file or none when an executor is lost.
 
 1. Texts are range-partitioned by (doc_id, hash), tokenised in that order and written with their place in the
-   partition; the partitions' first places are sums over a table of one row per partition, in two steps.
-2. Each text is cut where sequences end; the cuts go to the partition of their slot's shard, sorted by slot
-   and place, and are joined to records there. No sequence or text is gathered anywhere else. This is done for
-   one of PASSES ranges of shards after the other, so that the shuffle of one is gone before the next begins.
+   partition, their ids apart in chunks of a sequence's length from the partition's first id on; the partitions'
+   first places are sums over a table of one row per partition, in two steps.
+2. Each chunk is cut where a sequence ends in it, once at most; the cuts go to the partition of their slot's shard,
+   sorted by slot and place, and are joined to records there. No sequence or text is gathered anywhere else. This is
+   done for one of PASSES ranges of shards after the other, so that the shuffle of one is gone before the next begins.
+   Spark cuts the chunks by itself: of the passes over all ids, Python sees the sequences' numbers only.
 
 Defined cases: a null text counts as empty and adds one end id; a null doc_id is kept as a null in doc_ids and
 comes first; repeated rows are kept, each with its ids; a very long text fills as many sequences as it needs; an
@@ -31,7 +33,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,6 +51,8 @@ ID_BYTES = 2
 HEAD = 8
 #: Partitions whose sizes are summed together first, and ranges of shards that are written one after the other.
 SPAN, PASSES = 1024, 4
+#: Bytes of chunks or records in an Arrow batch.
+BATCH_BYTES = 1 << 23
 
 
 def feistel(x: np.ndarray, half_bits: int, keys: np.ndarray) -> np.ndarray:
@@ -84,33 +87,60 @@ def id_bytes(path: str, end_id: int = END_ID) -> int:
     return ID_BYTES if largest < 1 << (8 * ID_BYTES) else 4
 
 
-def tokenised(docs: DataFrame, path: str, pattern: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, first (place of its first id among the ids of all texts), n and ids (binary) of every text, end id included."""
+def grouped(pattern: str) -> str:
+    """The same pattern, its alternatives before the look-ahead in one group, which tiktoken's regular expressions match in one go."""
+    head, ahead, tail = pattern.partition(r"|\s+(?!\S)")
+    return f"(?:{head}){ahead}{tail}" if ahead else pattern
+
+
+def tokenised(docs: DataFrame, path: str, pattern: str, end_id: int = END_ID, length: int = SEQUENCE_IDS) -> DataFrame:
+    """Two kinds of rows, with first (place of the first id among the ids of all texts) and n (ids).
+
+    Every text, end id included, with its doc_id; and, where chunk is true, chunks of at most length ids with the ids (binary).
+    """
     width = id_bytes(path, end_id)
     end = np.array([end_id], "<u4").tobytes()
+    step, most = length * width, max(1, BATCH_BYTES // (length * width))
+    names, kinds = ["part", "chunk", "doc_id", "start", "n", "ids"], (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, place = worker_tokenizer(path, pattern), TaskContext.get().partitionId(), 0
+        encoder, part, place, cut, left = worker_tokenizer(path, grouped(pattern)), TaskContext.get().partitionId(), 0, 0, b""
+
+        def batch_of(chunk: bool, doc_ids: pa.Array, starts: np.ndarray, n: np.ndarray, ids: pa.Array) -> pa.RecordBatch:
+            columns = (np.full(len(n), part), np.full(len(n), chunk), doc_ids, starts, n, ids)
+            return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+        def chunks(blob: bytes) -> Iterator[pa.RecordBatch]:
+            nonlocal cut
+            for at in range(0, len(blob), step * most):
+                held = [blob[x : x + step] for x in range(at, min(at + step * most, len(blob)), step)]
+                n = np.array([len(x) // width for x in held], np.int64)
+                yield batch_of(True, pa.nulls(len(n), pa.int64()), cut + np.cumsum(n) - n, n, pa.array(held, pa.binary()))
+                cut += int(n.sum())
+
         for batch in batches:
-            ids = [np.frombuffer(encoder(t or "") + end, "<u4") for t in batch.column("text").to_pylist()]
-            n = np.array([len(x) for x in ids], np.int64)
-            starts = place + np.cumsum(n) - n
+            ids = [encoder(t or "") + end for t in batch.column("text").to_pylist()]
+            n = np.array([len(x) // 4 for x in ids], np.int64)
+            yield batch_of(False, batch.column("doc_id"), place + np.cumsum(n) - n, n, pa.nulls(len(n), pa.binary()))
             place += int(n.sum())
-            columns = [pa.array(np.full(len(n), part, np.int64)), batch.column("doc_id"), pa.array(starts), pa.array(n), pa.array([x.astype(f"<u{width}").tobytes() for x in ids], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["part", "doc_id", "start", "n", "ids"])
+            left += np.frombuffer(b"".join(ids), "<u4").astype(f"<u{width}").tobytes()
+            whole = len(left) // step * step
+            yield from chunks(left[:whole])
+            left = left[whole:]
+        yield from chunks(left)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     # equal rows are interchangeable, so that a number of any kind may part them
     rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("any", F.monotonically_increasing_id())
     order = ["doc_id", "tie", "text"]
     rows = rows.repartitionByRange("doc_id", "tie", "any").sortWithinPartitions(*order).select("doc_id", "text")
-    found = materialize(rows.mapInArrow(run, "part long, doc_id long, start long, n long, ids binary"), "ids", ARROW_ROWS)
+    found = materialize(rows.mapInArrow(run, "part long, chunk boolean, doc_id long, start long, n long, ids binary"), "ids", ARROW_ROWS)
     collect_shuffles(docs.sparkSession)
-    sizes = found.groupBy("part").agg(F.sum("n").alias("size")).withColumn("span", F.floor(F.col("part") / SPAN))
+    sizes = found.where("NOT chunk").groupBy("part").agg(F.sum("n").alias("size")).withColumn("span", F.floor(F.col("part") / SPAN))
     before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     spans = sizes.groupBy("span").agg(F.sum("size").alias("size")).select("span", F.coalesce(F.sum("size").over(before().orderBy("span")), F.lit(0)).alias("span_first"))  # a row per SPAN partitions
     firsts = sizes.join(spans, "span").select("part", (F.col("span_first") + F.coalesce(F.sum("size").over(before("span").orderBy("part")), F.lit(0))).alias("part_first"))
-    out = found.join(materialize(firsts, "firsts"), "part").select("doc_id", (F.col("part_first") + F.col("start")).alias("first"), "n", "ids")
+    out = found.join(materialize(firsts, "firsts"), "part").select("chunk", "doc_id", (F.col("part_first") + F.col("start")).alias("first"), "n", "ids")
     out._gf_ids = found
     return out
 
@@ -127,7 +157,9 @@ class Order:
     """The sequences of documents in training order. docs: doc_id and text."""
 
     def __init__(self, docs: DataFrame, path: str, pattern: str, key: str = KEY, length: int = SEQUENCE_IDS, shard_rows: int = SHARD_ROWS, end_id: int = END_ID) -> None:
-        self.rows, self.key, self.length, self.shard_rows, self.end_id = tokenised(docs, path, pattern, end_id), key, length, shard_rows, end_id
+        self.key, self.length, self.shard_rows, self.end_id = key, length, shard_rows, end_id
+        self.found = tokenised(docs, path, pattern, end_id, length)
+        self.rows, self.chunks = self.found.where("NOT chunk").select("doc_id", "first", "n"), self.found.where("chunk").select("first", "n", "ids")
         self.width = id_bytes(path, end_id)
         self.total = -(-(self.rows.agg(F.sum("n")).first()[0] or 0) // length)
         self.stride = HEAD + length * self.width + 1
@@ -145,28 +177,9 @@ class Order:
 
     def records(self, first: int, last: int) -> DataFrame:
         """shard and record of the shards from first to before last: a partition per shard, in the order of its slots."""
-        length, width, end_id, total, key, per_shard = self.length, self.width, self.end_id, self.total, self.key, self.shard_rows
-        names, kinds = ["slot", "shard", "place", "part"], (pa.int64(), pa.int32(), pa.int32(), pa.binary())
-
-        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            pack = zstandard.ZstdCompressor(level=1).compress
-            for batch in batches:
-                starts, sizes = batch.column("first").to_numpy(), batch.column("n").to_numpy()
-                # the sequences that each text has a part in, and the part's bounds
-                begin, end = starts // length, (starts + sizes - 1) // length
-                row = np.repeat(np.arange(len(starts)), end - begin + 1)
-                number = np.arange(len(row)) - np.repeat(np.cumsum(end - begin + 1) - (end - begin + 1), end - begin + 1) + begin[row]
-                slot = slots(number, total, key)
-                at = np.flatnonzero((slot // per_shard >= first) & (slot // per_shard < last))
-                row, number, slot = row[at], number[at], slot[at]
-                left = np.maximum(starts[row], number * length)
-                right = np.minimum((starts + sizes)[row], (number + 1) * length)
-                blobs, own = batch.column("ids"), starts[row]
-                parts = [pack(memoryview(blobs[k].as_buffer())[x * width : y * width]) for k, x, y in zip(row.tolist(), (left - own).tolist(), (right - own).tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((slot, slot // per_shard, left - number * length, parts), kinds, strict=True)], names)
+        length, width, end_id = self.length, self.width, self.end_id
 
         def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            unpack = zstandard.ZstdDecompressor().decompress
             now: tuple[int, int] | None = None  # slot and shard
             held: list[bytes] = []
 
@@ -182,12 +195,20 @@ class Order:
                         records.append(record())
                         held = []
                     now = slot, shard
-                    held.append(unpack(part))
+                    held.append(part)
                 yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(records, pa.binary())], ["shard", "record"])
             if now is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([now[1]], pa.int32()), pa.array([record()], pa.binary())], ["shard", "record"])
 
-        cuts = self.rows.select("first", "n", "ids").mapInArrow(cut, "slot long, shard int, place int, part binary")
+        # a chunk is no longer than a sequence, hence has a part in two at most
+        room = F.lit(length) - F.col("place")
+        one = F.struct(F.col("number"), F.col("place"), F.substring("ids", F.lit(1), (room * width).cast("int")).alias("part"))
+        two = F.struct((F.col("number") + 1).alias("number"), F.lit(0).cast("long").alias("place"), F.substring("ids", (room * width + 1).cast("int"), F.lit(length * width)).alias("part"))
+        begun = self.chunks.select(F.expr(f"first div {length}").alias("number"), F.pmod("first", F.lit(length)).alias("place"), "n", "ids")
+        cuts = begun.select(F.inline(F.when(F.col("n") > room, F.array(one, two)).otherwise(F.array(one))))
+        # not deterministic for the optimizer, which would otherwise work out the slots of the filter and those of the result apart
+        cuts = cuts.withColumn("slot", _slot_of(self.total, self.key).asNondeterministic()("number"))
+        cuts = cuts.withColumn("shard", F.expr(f"slot div {self.shard_rows}").cast("int")).where((F.col("shard") >= first) & (F.col("shard") < last))
         dealt = cuts.repartitionById(max(1, last - first), F.col("shard") - first).sortWithinPartitions("slot", "place")
         return dealt.select("slot", "shard", "part").mapInArrow(join, "shard int, record binary")
 
@@ -199,7 +220,7 @@ class Order:
         for first, last in zip(bounds[:-1], bounds[1:], strict=True):
             if first < last:
                 lines = self.records(first, last).select(F.col("record").cast("string").alias("value"), "shard")  # the bytes as they are
-                with arrow_rows(spark):
+                with arrow_rows(spark, max(1, BATCH_BYTES // self.stride)):
                     lines.write.mode("append").option("lineSep", "\n").partitionBy("shard").text(path)
                 collect_shuffles(spark)
 
@@ -238,7 +259,7 @@ def op2_training_order(spark: SparkSession, sf_dir: str, tokenizer_file: str | N
         return contents.withColumn("ids_crc32", F.lit(None).cast("long"))
     path = f"{scratch_dir(spark)}/gf-shards-{uuid.uuid4().hex}"
     order.write_shards(path)
-    release(order.rows._gf_ids)
+    release(order.found._gf_ids)
     collect_shuffles(spark)
     read = read_from(spark, path, 0, order.stride, order.shard_rows)
     sums = materialize(read.select("slot", F.crc32("payload").alias("ids_crc32")), "sums")

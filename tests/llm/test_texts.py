@@ -110,6 +110,36 @@ def test_training_order_odd_rows(spark, odd_docs, no_docs, tmp_path):
     assert none.total == 0 and none.contents().count() == 0
 
 
+def test_training_order_passes_give_python_no_ids_to_cut(spark, odd_docs):
+    order = training_order.Order(odd_docs, JSON, P.PATTERN, length=64, shard_rows=50)
+    plan = order.records(0, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # the joining of a shard's own parts; before, all ids went through another one in each pass
+    assert plan.count("ArrowEvalPython [slot(number") == 1  # worked out once
+    chunks = sorted((r.first, r.n, len(r.ids)) for r in order.chunks.collect())
+    assert max(n for _, n, _ in chunks) == 64 and all(size == 2 * n for _, n, size in chunks)  # of a long text as well
+    ends = [0, *(first + n for first, n, _ in chunks)]
+    assert ends[:-1] == [first for first, _, _ in chunks] and ends[-1] == sum(r.n for r in order.rows.collect())
+
+
+@pytest.mark.parametrize("length", [1, 7])
+def test_training_order_short_sequences_of_wide_ids(spark, odd_docs, tmp_path, monkeypatch, length):
+    monkeypatch.setattr(training_order, "BATCH_BYTES", 100)
+    docs = odd_docs.where("length(text) < 1000 OR text IS NULL")
+    order = training_order.Order(docs.repartition(3), JSON, P.PATTERN, length=length, shard_rows=20, end_id=70_000)
+    order.write_shards(str(tmp_path / "shards"))
+    got = {r.slot: np.frombuffer(r.payload, "<u4").tolist() for r in training_order.read_from(spark, str(tmp_path / "shards"), 0, order.stride, 20).collect()}
+    want = {s: np.frombuffer(w[2], "<u2").tolist() for s, w in plain_order(docs, length, 20).items()}
+    assert got == {s: [70_000 if i == training_order.END_ID else i for i in ids] for s, ids in want.items()}
+
+
+def test_grouped_pattern_gives_the_same_ids(documents):
+    plain, other = own_tiktoken(), tiktoken.Encoding("grouped", pat_str=training_order.grouped(P.PATTERN), mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
+    assert training_order.grouped(P.PATTERN) != P.PATTERN and training_order.grouped("a|b") == "a|b"
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list(" \t\n\u00a0'stremvldxé1٣²!?.\u0301☃𝕏"), 60)) for _ in range(2000)] + [r.text or "" for r in documents.select("text").collect()]
+    assert all(plain.encode_ordinary(t) == other.encode_ordinary(t) for t in texts)
+
+
 def test_bpe_equals_tiktoken(spark, documents, odd_docs):
     encoder = own_tiktoken()
     for docs in (documents.select("doc_id", "text"), odd_docs):
