@@ -51,8 +51,8 @@ ID_BYTES = 2
 HEAD = 8
 #: Partitions whose sizes are summed together first, and ranges of shards that are written one after the other.
 SPAN, PASSES = 1024, 4
-#: Bytes of chunks or records in an Arrow batch.
-BATCH_BYTES = 1 << 23
+#: Bytes of chunks or records in an Arrow batch, and how many at most.
+BATCH_BYTES, BATCH_ROWS = 1 << 23, 4096
 
 
 def feistel(x: np.ndarray, half_bits: int, keys: np.ndarray) -> np.ndarray:
@@ -87,6 +87,11 @@ def id_bytes(path: str, end_id: int = END_ID) -> int:
     return ID_BYTES if largest < 1 << (8 * ID_BYTES) else 4
 
 
+def batch_rows(size: int) -> int:
+    """Rows of an Arrow batch of chunks or records of so many bytes each."""
+    return max(1, min(BATCH_ROWS, BATCH_BYTES // size))
+
+
 def grouped(pattern: str) -> str:
     """The same pattern, its alternatives before the look-ahead in one group, which tiktoken's regular expressions match in one go."""
     head, ahead, tail = pattern.partition(r"|\s+(?!\S)")
@@ -100,7 +105,7 @@ def tokenised(docs: DataFrame, path: str, pattern: str, end_id: int = END_ID, le
     """
     width = id_bytes(path, end_id)
     end = np.array([end_id], "<u4").tobytes()
-    step, most = length * width, max(1, BATCH_BYTES // (length * width))
+    step, most = length * width, batch_rows(length * width)
     names, kinds = ["part", "chunk", "doc_id", "start", "n", "ids"], (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +225,7 @@ class Order:
         for first, last in zip(bounds[:-1], bounds[1:], strict=True):
             if first < last:
                 lines = self.records(first, last).select(F.col("record").cast("string").alias("value"), "shard")  # the bytes as they are
-                with arrow_rows(spark, max(1, BATCH_BYTES // self.stride)):
+                with arrow_rows(spark, batch_rows(self.stride)):
                     lines.write.mode("append").option("lineSep", "\n").partitionBy("shard").text(path)
                 collect_shuffles(spark)
 
