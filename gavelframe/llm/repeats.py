@@ -13,7 +13,9 @@ has the figures why); prefixes are grouped by hashed names:
 4. Equal names form a class; its members in a later document than the first are marked.
 
 A chunk sends each name once, as sorted differences without document numbers (chunks follow the order of
-doc_id, so that the smallest chunk has the first document), and gets one bit back for each. Texts are
+doc_id, so that the smallest chunk has the first document), and gets one bit back for each. With its names of
+whole prefixes it sends where the prefixes that are left start, as runs, which come back with the bits, so that the last
+pass looks at no tuples again. What a chunk sends to all buckets, and what they send back, is packed and unpacked at once. Texts are
 shuffled once, into a table bucketed by chunk that later passes join without another shuffle. Whole texts
 that repeat are settled by their digest first. Names are hashes with a key that is drawn anew for each run, so
 that no text can be made to collide on purpose: a tuple's may collide, which costs time only; those of whole prefixes
@@ -31,6 +33,7 @@ import hashlib
 import math
 import secrets
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -51,6 +54,8 @@ BUCKET_TUPLES, BUCKET_PREFIXES = 1 << 20, 1 << 22
 DIGEST = 16
 #: Chunks in an Arrow batch.
 CHUNK_ROWS = 4
+#: Positions named at once, so that what is computed for them stays in the processor's cache.
+BLOCK = 1 << 13
 
 
 def growth(total: int) -> int:
@@ -70,13 +75,26 @@ def word_view(buffer: bytes) -> np.ndarray:
 def names(words: np.ndarray, at: np.ndarray, length: int, seeds: tuple[int, ...]) -> list[np.ndarray]:
     """64-bit names of the length bytes (8 at least) at each position, one for each seed."""
     out = [np.full(len(at), (seed * int(MUL)) % 2**64, np.uint64) for seed in seeds]
-    for k in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:
-        word = words[k:][at]
-        for h in out:
-            h ^= word
-            h *= MUL
-            h ^= h >> np.uint64(29)
-    return [mix64(h) for h in out]
+    views = [words[k:] for k in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]]
+    shifted = np.empty(min(BLOCK, len(at)), np.uint64)
+    for s in range(0, len(at), BLOCK):
+        here = at[s : s + BLOCK]
+        blocks, shift = [h[s : s + BLOCK] for h in out], shifted[: len(here)]
+        for view in views:
+            word = view[here]
+            for h in blocks:
+                h ^= word
+                h *= MUL
+                np.right_shift(h, np.uint64(29), out=shift)
+                h ^= shift
+        for h in blocks:
+            h[:] = mix64(h)
+    return out
+
+
+def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """counts[k] integers upwards from each starts[k]."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -94,6 +112,49 @@ def unpacked(blob: bytes) -> np.ndarray:
     return np.cumsum(wide.reshape(-1).view("<u8"), dtype=np.uint64)
 
 
+def packed_groups(values: np.ndarray, starts: np.ndarray) -> list[bytes]:
+    """packed() of each group of values; groups begin at starts and aren't empty."""
+    if not len(values):
+        return []
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    steps[starts] = values[starts]
+    counts = np.diff(starts, append=len(values))
+    largest = np.maximum.reduceat(steps, starts)
+    widths = 1 + sum((largest >> np.uint64(8 * k) > 0).astype(np.int64) for k in range(1, 8))
+    digits = steps.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)
+    if (widths == widths[0]).all():
+        digits = digits[:, : widths[0]].ravel()
+    else:
+        digits = digits[np.arange(8) < np.repeat(widths, counts)[:, None]]
+    stops = np.cumsum(counts * widths + 1)
+    heads = stops - counts * widths - 1
+    whole, body = np.empty(stops[-1], np.uint8), np.ones(stops[-1], bool)
+    body[heads] = False
+    whole[heads], whole[body] = widths, digits
+    data = whole.tobytes()
+    return [data[s:e] for s, e in zip(heads.tolist(), stops.tolist(), strict=True)]
+
+
+def unpacked_groups(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all blobs of packed(), none of an empty group, one after the other, and how many each has."""
+    whole = np.frombuffer(b"".join(blobs), np.uint8)
+    sizes = np.array([len(b) for b in blobs], np.int64)
+    heads = np.cumsum(sizes) - sizes
+    widths = whole[heads].astype(np.int64)
+    counts = (sizes - 1) // widths
+    body = np.ones(len(whole), bool)
+    body[heads] = False
+    wide = np.zeros((counts.sum(), 8), np.uint8)
+    if (widths == widths[0]).all():
+        wide[:, : widths[0]] = whole[body].reshape(-1, widths[0])
+    else:
+        wide[np.arange(8) < np.repeat(widths, counts)[:, None]] = whole[body]
+    sums = np.cumsum(wide.reshape(-1).view("<u8"), dtype=np.uint64)
+    firsts = np.cumsum(counts) - counts
+    before = np.where(firsts > 0, sums[firsts - 1], np.uint64(0))
+    return sums - np.repeat(before, counts), counts
+
+
 class Chunk:
     """The texts of a chunk without repeated whole texts, and what is known of them so far."""
 
@@ -117,8 +178,8 @@ class Chunk:
     def _of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.stops, at, side="right")
 
-    def tuples(self, buckets: int, length: int, key: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Sampled positions, their name's index, the distinct names (bucket << 32 | 32 bits) and if several documents here hold each."""
+    def _tuples(self, buckets: int, length: int, key: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sampled positions, their documents and names (bucket << 32 | 32 bits)."""
         size = length - PERIOD + 1
         at = (np.arange(0, len(self.text), PERIOD, dtype=np.int64)[:, None] + COVER).ravel()
         at = at[at + size <= len(self.text)]
@@ -126,69 +187,84 @@ class Chunk:
         fits = at + size <= self.stops[doc] if len(at) else np.zeros(0, bool)
         at, doc = at[fits], self.number[doc[fits]]
         h = names(self.words, at, size, (key,))[0]
-        value = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)) << np.uint64(32) | h & np.uint64(0xFFFFFFFF)
-        order = np.argsort(value)
-        return at, *_classes(value[order], doc[order], order)
+        return at, doc, ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)) << np.uint64(32) | h & np.uint64(0xFFFFFFFF)
 
-    def candidates(self, at: np.ndarray, length: int) -> np.ndarray:
-        """Starts of the strings that hold one of the sampled positions at, early enough."""
-        if not len(at):
-            return at
+    def tuples(self, buckets: int, length: int, key: int) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets and 32-bit names of the distinct tuples, sorted."""
+        value = np.sort(self._tuples(buckets, length, key)[2])
+        value = value[_new(value)]
+        return (value >> np.uint64(32)).astype(np.int64), value & np.uint64(0xFFFFFFFF)
+
+    def open_runs(self, bits: list[dict] | None, buckets: int, length: int, key: int) -> tuple[np.ndarray, np.ndarray]:
+        """Runs of starts of the strings that hold a tuple of several documents, early enough: first and past the last."""
+        at, doc, value = self._tuples(buckets, length, key)
+        order = np.argsort(value)
+        value, doc = value[order], doc[order]
+        new = _new(value)
+        firsts = np.flatnonzero(new)
+        told = _told(bits, (value[firsts] >> np.uint64(32)).astype(np.int64))
+        several = np.minimum.reduceat(doc, firsts) != np.maximum.reduceat(doc, firsts) if len(doc) else told
+        left = np.empty(len(at), bool)
+        left[order] = (several | told)[np.cumsum(new) - 1]
+        at = at[left]
         doc = self._of(at)
-        steps = np.zeros(len(self.text) + 1, np.int32)
-        np.add.at(steps, np.maximum(at - (PERIOD - 1), self.starts[doc]), 1)
-        steps[at + 1] -= 1  # no position twice
-        at = np.flatnonzero(np.cumsum(steps[:-1]) > 0)
-        return at[at + length <= self.stops[self._of(at)]]
+        begin = np.maximum(at - (PERIOD - 1), self.starts[doc])
+        new = np.ones(len(at), bool)
+        new[1:] = begin[1:] > at[:-1]  # always so where a document begins
+        last = np.flatnonzero(np.append(new[1:], True)) if len(at) else np.flatnonzero(new)
+        first, stop = begin[new], np.minimum(at[last] + 1, self.stops[doc[last]] - length + 1)
+        return first[first < stop], stop[first < stop]
 
     def prefixes(self, at: np.ndarray, buckets: int, length: int, key: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For the strings at these starts: name's index, if an earlier document here has it; then buckets and names of the distinct ones."""
+        """The order of the strings at these starts by bucket and name, their buckets and names in it, if each is the first of its class."""
         h, other = names(self.words, at, length, (key + 1, key + 2))
-        bucket = (other >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        bucket = ((other >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
         order = np.argsort(h)
-        order = order[np.argsort(bucket[order].astype(np.uint16 if buckets < 1 << 16 else np.uint64), kind="stable")]
-        h, bucket, doc = h[order], bucket[order], self.number[self._of(at)][order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (bucket[1:] != bucket[:-1])
-        place = np.cumsum(new) - 1
-        first = np.minimum.reduceat(doc, np.flatnonzero(new)) if len(h) else doc
-        index, later = np.empty(len(h), np.int64), np.empty(len(h), bool)
-        index[order] = place
-        later[order] = doc > first[place]
-        return index, later, bucket[new], h[new]
-
-    def removed(self, at: np.ndarray, length: int) -> np.ndarray:
-        """Mask of the bytes that the strings at these starts cover."""
-        steps = np.zeros(len(self.text) + 1, np.int32)
-        steps[at] += 1  # no position twice
-        steps[at + length] -= 1
-        return np.cumsum(steps[:-1]) > 0
-
-
-def _classes(key: np.ndarray, doc: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a sorted key: each row's class (in the order before sorting), the classes' keys, if documents differ within each."""
+        order = order[np.argsort(bucket[order], kind="stable")]
+        h, bucket = h[order], bucket[order]
+        return order, bucket, h, _new(h) | _new(bucket)
+
+    def removed(self, at: np.ndarray, told: Callable[[np.ndarray], np.ndarray], buckets: int, length: int, key: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Maximal runs of bytes to remove: first, past the last, place of the document among own. at: the open starts, ascending; told: what the buckets say."""
+        order, bucket, _, new = self.prefixes(at, buckets, length, key)
+        firsts, place = np.flatnonzero(new), np.cumsum(new) - 1
+        number = self.number[self._of(at)][order]
+        first = np.minimum.reduceat(number, firsts) if len(at) else number
+        gone = np.empty(len(at), bool)
+        gone[order] = (number > first[place]) | told(bucket[firsts].astype(np.int64))[place]
+        at = at[gone]
+        doc = self._of(at)
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] > at[:-1] + length) | (doc[1:] != doc[:-1])
+        last = np.flatnonzero(np.append(new[1:], True)) if len(at) else np.flatnonzero(new)
+        return at[new], at[last] + length, doc[new]
+
+
+def _new(key: np.ndarray) -> np.ndarray:
+    """Where a sorted key changes."""
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
-    firsts = np.flatnonzero(new)
-    index = np.empty(len(key), np.int64)
-    index[order] = np.cumsum(new) - 1
-    several = np.minimum.reduceat(doc, firsts) != np.maximum.reduceat(doc, firsts) if len(key) else np.zeros(0, bool)
-    return index, key[firsts], several
+    return new
 
 
-def _blobs(bucket: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    cuts = np.flatnonzero(np.diff(bucket.astype(np.int64))) + 1
-    for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(bucket)], strict=True):
-        if e > s:
-            yield int(bucket[s]), packed(values[s:e])
+def _blobs(bucket: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """The buckets that names (sorted by bucket) go to, and the packed names of each."""
+    starts = np.flatnonzero(_new(bucket))
+    return bucket[starts], packed_groups(values, starts)
 
 
 def _told(bits: list[dict] | None, bucket: np.ndarray) -> np.ndarray:
     """The bits that the buckets sent back, in the order of the chunk's distinct names (bucket: of each name)."""
     out = np.zeros(len(bucket), bool)
-    for row in bits or ():
-        s, e = np.searchsorted(bucket, [row["bucket"], row["bucket"] + 1])
-        out[s:e] = np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=e - s).astype(bool)
+    rows = [(row["bucket"], row["bits"]) for row in bits or () if row["bits"] is not None]
+    if not rows:
+        return out
+    which = np.array([b for b, _ in rows], np.int64)
+    starts = np.searchsorted(bucket, which)
+    counts = np.searchsorted(bucket, which, side="right") - starts
+    sizes = np.array([len(x) for _, x in rows], np.int64)
+    flat = np.unpackbits(np.frombuffer(b"".join(x for _, x in rows), np.uint8))
+    out[spread(starts, counts)] = flat[spread(8 * (np.cumsum(sizes) - sizes), counts)]
     return out
 
 
@@ -257,31 +333,38 @@ def _with(chunks: DataFrame, *sides: DataFrame) -> DataFrame:
 
 
 def _met(sent: DataFrame, earlier: bool) -> DataFrame:
-    """What the buckets find: chunk, bits (bucket, one bit per name): another chunk has the name; with earlier, a smaller one."""
+    """What the buckets find: chunk, bits (bucket, one bit per name, runs as sent): another chunk has the name; with earlier, a smaller one."""
 
     def met(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("chunk")
-        values = [unpacked(b) for b in part["blob"]]
-        stops = np.cumsum([len(v) for v in values])
-        every = np.concatenate(values)
-        order = np.argsort(every, kind="stable")  # chunks ascend within a class
-        ordered = every[order]
-        same = ordered[1:] == ordered[:-1]
-        mark = np.zeros(len(every), bool)
-        mark[order[1:][same]] = True
-        if not earlier:
-            mark[order[:-1][same]] = True
-        bits = [np.packbits(m).tobytes() if m.any() else None for m in np.split(mark, stops[:-1])]
-        out = pd.DataFrame({"chunk": part["chunk"].to_numpy(), "bucket": int(key[0]), "bits": bits})
-        return out[out["bits"].notna()]
+        every, counts = unpacked_groups(part["blob"].tolist())
+        order = np.argsort(every)
+        every = every[order]
+        same = every[1:] == every[:-1]
+        shared = np.zeros(len(every), bool)
+        shared[1:] |= same
+        shared[:-1] |= same
+        order, every = order[shared], every[shared]
+        mark = np.zeros(len(shared), bool)
+        mark[order] = True
+        if earlier and len(order):
+            mark[np.minimum.reduceat(order, np.flatnonzero(_new(every)))] = False  # chunks ascend, so that the lowest place is of the smallest
+        sizes = (counts + 7) // 8
+        stops, firsts = np.cumsum(sizes), np.cumsum(counts) - counts
+        bits = np.zeros(8 * stops[-1], bool)
+        bits[spread(8 * (stops - sizes), counts)] = mark
+        data, some = np.packbits(bits).tobytes(), np.logical_or.reduceat(mark, firsts)
+        found = [data[e - n : e] if a else None for a, e, n in zip(some.tolist(), stops.tolist(), sizes.tolist(), strict=True)]
+        out = pd.DataFrame({"chunk": part["chunk"].to_numpy(), "bucket": int(key[0]), "bits": pd.Series(found, dtype=object), "runs": part["runs"].to_numpy()})
+        return out[some | out["runs"].notna().to_numpy()]
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         out = met(key, part)
         give_back()
         return out
 
-    marked = sent.groupBy("bucket").applyInPandas(run, "chunk long, bucket int, bits binary")
-    return marked.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("bits"))  # one per bucket at most
+    marked = sent.groupBy("bucket").applyInPandas(run, "chunk long, bucket int, bits binary, runs binary")
+    return marked.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits", "runs")).alias("bits"))  # one per bucket at most
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -316,37 +399,41 @@ def _removed(rows: DataFrame, chunks: DataFrame, length: int) -> DataFrame:
                 row = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
                 yield row, Chunk(row["ids"], row["lengths"], row["digests"], row["text"], row["copies"] or [])
 
-    def sent(number: int, blobs: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([b for b, _ in blobs], pa.int32()), pa.array([number] * len(blobs), pa.int64()), pa.array([x for _, x in blobs], pa.binary())], ["bucket", "chunk", "blob"])
+    def sent(number: int, buckets: np.ndarray, blobs: list[bytes], runs: bytes | None = None) -> pa.RecordBatch:
+        carried: list[bytes | None] = [None] * len(blobs)
+        if blobs:  # by any of its rows, so that no bucket carries those of all chunks
+            carried[int(mix64(np.array([number], np.uint64))[0] % np.uint64(len(blobs)))] = runs
+        columns = [pa.array(buckets.astype(np.int32)), pa.array([number] * len(blobs), pa.int64()), pa.array(blobs, pa.binary()), pa.array(carried, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "blob", "runs"])
 
     def tuples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, chunk in each(batches):
-            _, _, keys, _ = chunk.tuples(n_tuples, length, key)
-            yield sent(row["chunk"], list(_blobs(keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF))))
-
-    def open_starts(row: dict, chunk: Chunk) -> np.ndarray:
-        at, index, keys, several = chunk.tuples(n_tuples, length, key)
-        return chunk.candidates(at[(several | _told(row["bits"], keys >> np.uint64(32)))[index]], length)
+            yield sent(row["chunk"], *_blobs(*chunk.tuples(n_tuples, length, key)))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, chunk in each(batches):
-            _, _, bucket, values = chunk.prefixes(open_starts(row, chunk), n_prefixes, length, key)
-            yield sent(row["chunk"], list(_blobs(bucket, values)))
+            first, stop = chunk.open_runs(row["bits"], n_tuples, length, key)
+            _, bucket, values, new = chunk.prefixes(spread(first, stop - first), n_prefixes, length, key)
+            yield sent(row["chunk"], *_blobs(bucket[new], values[new]), zlib.compress(packed(np.stack([first, stop], 1).ravel().astype(np.uint64)), 1))
 
     def results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, chunk in each(batches):
-            at = open_starts(row, chunk)
-            index, later, bucket, _ = chunk.prefixes(at, n_prefixes, length, key)
-            gone = chunk.removed(at[later | _told(row["more"], bucket)[index]], length)
-            raw = np.frombuffer(chunk.text, np.uint8)
+            more = row["more"] or []
+            runs = next((unpacked(zlib.decompress(r["runs"])).astype(np.int64).reshape(-1, 2) for r in more if r["runs"] is not None), np.zeros((0, 2), np.int64))
+            at = spread(runs[:, 0], runs[:, 1] - runs[:, 0])
+            first, stop, doc = chunk.removed(at, lambda bucket: _told(more, bucket), n_prefixes, length, key)  # noqa: B023
             n = chunk.lengths
             n_removed, n_spans = np.where(chunk.copy & (n >= length), n, 0), (chunk.copy & (n >= length)).astype(np.int64)
+            n_removed[chunk.own] = np.bincount(doc, stop - first, len(chunk.own)).astype(np.int64)
+            n_spans[chunk.own] = np.bincount(doc, minlength=len(chunk.own))
+            steps = np.zeros(len(chunk.text) + 1, np.int8)
+            steps[first] += 1  # no position twice
+            steps[stop] -= 1
+            left = np.frombuffer(chunk.text, np.uint8)[np.cumsum(steps[:-1], dtype=np.int8) == 0].tobytes()
+            ends = np.cumsum((n - n_removed)[chunk.own])
             kept: list[bytes] = [b""] * len(n)
-            for k, s, e in zip(chunk.own.tolist(), chunk.starts.tolist(), chunk.stops.tolist(), strict=True):
-                own = gone[s:e]
-                n_removed[k] = own.sum()
-                n_spans[k] = int(own[0]) + int((own[1:] & ~own[:-1]).sum()) if n_removed[k] else 0
-                kept[k] = raw[s:e][~own].tobytes() if n_removed[k] else chunk.text[s:e]
+            for k, s, e in zip(chunk.own.tolist(), [0, *ends.tolist()], ends.tolist(), strict=False):
+                kept[k] = left[s:e]
             short = np.flatnonzero(chunk.copy & (n < length))
             stops = np.cumsum(n)
             for k in short.tolist():
@@ -354,15 +441,16 @@ def _removed(rows: DataFrame, chunks: DataFrame, length: int) -> DataFrame:
             sha = [hashlib.sha256(row["text"][stops[k] - n[k] : stops[k]]).hexdigest() if n_removed[k] else None for k in range(len(n))]
             yield pa.RecordBatch.from_arrays([pa.array(chunk.ids), pa.array(n), pa.array(n_removed), pa.array(n_spans), pa.array(kept, pa.binary()), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "text_sha256"])
 
-    kinds = "bucket int, chunk long, blob binary"
+    kinds = "bucket int, chunk long, blob binary, runs binary"
     bits = materialize(_met(_with(chunks, copies).mapInArrow(lean(tuples), kinds), False), "tuples", CHUNK_ROWS)
     collect_shuffles(spark)
     more = materialize(_met(_with(chunks, copies, bits).mapInArrow(lean(prefixes), kinds), True).withColumnRenamed("bits", "more"), "prefixes", CHUNK_ROWS)
+    release(bits)
     collect_shuffles(spark)
-    found = _with(chunks, copies, bits, more).mapInArrow(lean(results), schema)
+    found = _with(chunks, copies, more).mapInArrow(lean(results), schema)
     whole = F.length("text").cast("long").alias("n_bytes")
     found = found.unionByName(rows.where("doc_id IS NULL").select("doc_id", whole, F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("text").alias("kept"), F.lit(None).cast("string").alias("text_sha256")))
-    found._gf_chunks, found._gf_tables = chunks, (copies, bits, more)
+    found._gf_chunks, found._gf_tables = chunks, (copies, more)
     return found
 
 

@@ -1,12 +1,13 @@
 """Embedding near-duplicates, MinHash near-duplicates, repeated strings, top-k."""
 
 import re
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from gavelframe.llm import near_dedup, registry, repeats, topk, vector_dedup
+from gavelframe.llm import common, near_dedup, registry, repeats, topk, vector_dedup
 from gavelframe.llm.graph import components
 from pyspark.sql import functions as F
 
@@ -288,3 +289,37 @@ def test_growth_keeps_what_a_chunk_sends_to_a_bucket():
         g = repeats.growth(total)
         names = repeats.CHUNK_BYTES * g / (total / (repeats.BUCKET_PREFIXES * g))
         assert names >= repeats.CHUNK_BYTES * repeats.BUCKET_PREFIXES / (1 << 35) * 0.7
+
+
+def test_repeats_pack_for_all_buckets_at_once_as_for_each():
+    rng = np.random.default_rng(12)
+    groups = [np.sort(rng.integers(0, 2 ** int(b), n).astype(np.uint64)) for b, n in zip(rng.integers(1, 63, 60), rng.integers(1, 30, 60))]
+    for some in (groups, groups[:1], [g >> np.uint64(56) for g in groups]):
+        starts = np.cumsum([0, *map(len, some[:-1])])
+        blobs = repeats.packed_groups(np.concatenate(some), starts)
+        assert blobs == [repeats.packed(g) for g in some]
+        values, counts = repeats.unpacked_groups(blobs)
+        assert (values == np.concatenate(some)).all() and counts.tolist() == list(map(len, some))
+    assert repeats.packed_groups(np.zeros(0, np.uint64), np.zeros(0, np.int64)) == []
+
+
+def test_last_pass_of_repeats_looks_at_no_tuples(spark):
+    docs = spark.createDataFrame([(k, "one passage of more than fifty bytes that every text here holds " + str(k)) for k in range(50)], "doc_id long, text string")
+    found = repeats.remove_repeats(docs)
+    assert not [f for f in found.inputFiles() if "gf-tuples" in f]
+    assert found_repeats(found) == brute_repeats([(r.doc_id, r.text.encode()) for r in docs.collect()])
+    repeats.forget(found)
+
+
+def test_shuffles_of_materialised_tables_go(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    data = lambda: {x.getName() for x in (files.getAllFiles().apply(k) for k in range(files.getAllFiles().size())) if x.getName().endswith(".data")}
+    before = data()
+    common.materialize(spark.range(10_000).repartition(7, "id"), "shuffled")
+    assert data() - before
+    common.collect_shuffles(spark)
+    for _ in range(50):
+        if not data() - before:
+            break
+        time.sleep(0.1)
+    assert not data() - before
