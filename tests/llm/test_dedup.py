@@ -313,7 +313,11 @@ def test_last_pass_of_repeats_looks_at_no_tuples(spark):
 
 def test_shuffles_of_materialised_tables_go(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
-    data = lambda: {x.getName() for x in (files.getAllFiles().apply(k) for k in range(files.getAllFiles().size())) if x.getName().endswith(".data")}
+
+    def data():
+        every = files.getAllFiles()  # once, as files come and go
+        return {x for x in (every.apply(k).getName() for k in range(every.size())) if x.endswith(".data")}
+
     before = data()
     common.materialize(spark.range(10_000).repartition(7, "id"), "shuffled")
     assert data() - before
